@@ -1,0 +1 @@
+"""Independent DuckDB SQL for the registered queries (correctness oracle)."""

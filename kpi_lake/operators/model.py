@@ -55,12 +55,12 @@ class StarModel:
         relationships: Sequence[Relationship],
         calendar_tables: Iterable[str] = (),
     ) -> None:
-        self.tables = dict(tables)
+        self.tables = tables  # may be lazy: a table is only built when a query touches it
         self.relationships = list(relationships)
         self.calendar_tables = set(calendar_tables)
         for r in self.relationships:
             for t in (r.many, r.one):
-                if t not in self.tables:
+                if t not in tables:
                     raise KeyError(f"relationship {r} names unknown table {t}")
 
     # --- graph ---------------------------------------------------------------------------------

@@ -7,6 +7,7 @@ row-local (no shuffle); gold adds ``distinct`` for the dimensions.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,6 +32,7 @@ from kpi_lake.functions.clean import (
 )
 from kpi_lake.operators.star import attribute_dimension, date_dimension, fact_table, profile_dimension
 from kpi_lake.sources.layers import Lake, copy_table, read_table, write_many, write_table
+from kpi_lake.sources.lazy import LazyFrames
 
 # ---------------------------------------------------------------------------------------------
 # Recoding maps, thresholds, repairs and labels of the programme's data rules.
@@ -217,8 +219,9 @@ SILVER_STEPS = {
 }
 
 
-def silver_from_bronze(bronze: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    return {name: step(bronze[src]) for name, (src, step) in SILVER_STEPS.items()}
+def silver_from_bronze(bronze: Mapping[str, DataFrame]) -> LazyFrames:
+    """Silver tables, each built on first use."""
+    return LazyFrames({name: (lambda src=src, step=step: step(bronze[src])) for name, (src, step) in SILVER_STEPS.items()})
 
 
 # --- silver -> gold ------------------------------------------------------------------------------
@@ -324,15 +327,34 @@ def gold_participants(participant_updated: DataFrame) -> DataFrame:
     return participant_updated.select("activity_id", "msme_key")
 
 
-def gold_from_silver(silver: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    out: dict[str, DataFrame] = {}
-    out.update(gold_success(silver["success_updated"]))
-    out.update(gold_activity(silver["activity_updated"]))
-    out.update(gold_sales(silver["sales_updated"]))
-    out.update(gold_jobs(silver["job_updated"]))
-    out.update(gold_people(silver["hiring_updated"], silver["firing_updated"]))
-    out["participant_updated"] = gold_participants(silver["participant_updated"])
-    return out
+def gold_from_silver(silver: Mapping[str, DataFrame]) -> LazyFrames:
+    """Gold tables, each built on first use (tables of one silver source are built together)."""
+    groups: dict[str, Callable[[], dict[str, DataFrame]]] = {
+        "success": lambda: gold_success(silver["success_updated"]),
+        "activity": lambda: gold_activity(silver["activity_updated"]),
+        "sales": lambda: gold_sales(silver["sales_updated"]),
+        "jobs": lambda: gold_jobs(silver["job_updated"]),
+        "hiring": lambda: {"hiring": anonymize(silver["hiring_updated"], HIRING_COLUMNS, CONFIDENTIAL_COLUMNS)},
+        "firing": lambda: {"firing": anonymize(silver["firing_updated"], FIRING_COLUMNS, CONFIDENTIAL_COLUMNS)},
+        "participants": lambda: {"participant_updated": gold_participants(silver["participant_updated"])},
+    }
+    members = {
+        "success": ["success_fact", "success_profile", "date_success"],
+        "activity": ["activity_fact", "date_activity", "support_activity"],
+        "sales": ["sales_fact", "date_sales"],
+        "jobs": ["job_fact", "date_job"],
+        "hiring": ["hiring"],
+        "firing": ["firing"],
+        "participants": ["participant_updated"],
+    }
+    built: dict[str, dict[str, DataFrame]] = {}
+
+    def table(group: str, name: str) -> DataFrame:
+        if group not in built:
+            built[group] = groups[group]()
+        return built[group][name]
+
+    return LazyFrames({name: (lambda g=g, name=name: table(g, name)) for g, names in members.items() for name in names})
 
 
 # --- batch runs ----------------------------------------------------------------------------------

@@ -62,7 +62,10 @@ HOURS_PER_TRAINING_DAY = 8
 
 
 def build_model(gold: Mapping[str, DataFrame]) -> StarModel:
-    return StarModel({t: gold[t] for t in MODEL_TABLES}, RELATIONSHIPS, calendar_tables=CALENDAR_TABLES)
+    missing = [t for t in MODEL_TABLES if t not in gold]
+    if missing:
+        raise KeyError(f"gold tables missing: {missing}")
+    return StarModel(gold, RELATIONSHIPS, calendar_tables=CALENDAR_TABLES)
 
 
 def _times(factor: float):

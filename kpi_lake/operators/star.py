@@ -51,20 +51,29 @@ def surrogate_key(df: DataFrame, cols: Sequence[str], name: str = "sk") -> DataF
 def sequence_key(df: DataFrame, order_cols: Sequence[Column | str], name: str = "sk") -> DataFrame:
     """Dense 1..N key in ``order_cols`` order, without funnelling rows through one task.
 
-    The frame is range-partitioned by the sort (each task holds one contiguous slice). Rows are
-    numbered inside their partition from ``monotonically_increasing_id`` (partition id in the
-    upper bits, position in the lower 33 bits); a second, tiny frame of one row per partition
-    gives each partition its offset. That frame is bounded by the partition count, so it is
-    broadcast. ``order_cols`` must order rows totally for the key to be reproducible.
+    The frame is range-partitioned by the sort (each task holds one contiguous slice; sort keys
+    that tie on the first column are split by the following ones). Rows are numbered inside
+    their partition from ``monotonically_increasing_id`` (partition id in the upper bits,
+    position in the lower 33 bits); a second, tiny frame of one row per partition gives each
+    partition its offset. That frame is bounded by the partition count, so it is broadcast.
+
+    The numbered frame is read twice (counts and rows), so it is materialised once with a
+    reliable ``checkpoint`` into the shared checkpoint folder: both reads then see the same
+    partition ids, whatever AQE decides, and a lost executor re-reads files instead of
+    recomputing a sort. ``order_cols`` must order rows totally for the key to be reproducible.
     """
+    from kpi_lake.session import checkpoint_dir
+
     pid = "__pid"
     pos = "__pos"
+    checkpoint_dir(df.sparkSession)
     numbered = (
         df.orderBy(*order_cols)
         .withColumn("__mid", F.monotonically_increasing_id())
         .withColumn(pid, F.spark_partition_id())
         .withColumn(pos, F.col("__mid") - F.shiftleft(F.col(pid).cast("bigint"), 33))
         .drop("__mid")
+        .checkpoint(eager=True)
     )
     counts = numbered.groupBy(pid).agg(F.count(F.lit(1)).alias("__n"))
     offsets = counts.select(

@@ -10,6 +10,7 @@ checkpoint folder) and return what they read back.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Callable
 from functools import lru_cache
 
@@ -536,6 +537,17 @@ def sales_by_industry(spark, sf_dir):
     )
 
 
+@query("silver_sales_incremental")
+def silver_sales_incremental(spark, sf_dir):
+    """Silver sales built by the incremental stream from the bronze files: same rows as the batch."""
+    from kpi_lake.streaming import refresh_silver_incrementally
+
+    lake = scratch_lake(spark, sf_dir, f"stream-{uuid.uuid4().hex[:8]}")
+    write_table(bronze(spark, sf_dir)["success_sales"], lake, "bronze", "success_sales")
+    refresh_silver_incrementally(spark, lake, "sales_updated")
+    return read_table(spark, lake, "silver", "sales_updated")
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 

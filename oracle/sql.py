@@ -451,6 +451,7 @@ SQL["duplicate_keys"] = q("SELECT job_key, count(*) AS n_rows FROM hiring_g GROU
 SQL["silver_profile"] = q("SELECT * FROM s_success")
 SQL["silver_jobs"] = q("SELECT * FROM s_jobs")
 SQL["silver_sales"] = q("SELECT * FROM s_sales")
+SQL["silver_sales_incremental"] = q("SELECT * FROM s_sales")
 SQL["silver_participants"] = q("SELECT * FROM s_participants")
 SQL["silver_hiring"] = q("SELECT * FROM s_hiring")
 SQL["silver_firing"] = q("SELECT * FROM s_firing")

@@ -61,6 +61,14 @@ def model(spark: SparkSession, sf_dir: str):
     return build_model(gold(spark, sf_dir))
 
 
+def gold_model(spark: SparkSession, lake: Lake):
+    """The model over gold tables already written to a lake (the serving path of a dashboard)."""
+    from kpi_lake.plans.semantic import MODEL_TABLES
+    from kpi_lake.sources.lazy import LazyFrames
+
+    return build_model(LazyFrames({t: (lambda t=t: read_table(spark, lake, "gold", t)) for t in MODEL_TABLES}))
+
+
 @lru_cache(maxsize=None)
 def _tag(sf_dir: str) -> str:
     return hashlib.sha1(sf_dir.encode()).hexdigest()[:10]
@@ -537,6 +545,40 @@ def sales_by_industry(spark, sf_dir):
     )
 
 
+# Columns the model declares not nullable, per gold table.
+NOT_NULL_COLUMNS = {
+    "success_fact": ["msme_key"],
+    "success_profile": ["msme_key"],
+    "activity_fact": ["activity_id"],
+    "support_activity": ["support_id"],
+    "date_success": ["registration_date_id"],
+    "date_activity": ["activity_date_id"],
+    "date_sales": ["date_sales_id"],
+    "date_job": ["date_job_id"],
+    "hiring": ["job_key"],
+    "firing": ["job_key"],
+}
+
+
+@query("not_null_check")
+def not_null_check(spark, sf_dir):
+    """Null counts of the declared not-nullable columns (nothing enforces the declaration)."""
+    from functools import reduce
+
+    g = gold(spark, sf_dir)
+    frames = [
+        star.null_keys(g[t], cols).select(*[F.col(f"{c}_nulls").alias(f"{t}__{c}") for c in cols])
+        for t, cols in NOT_NULL_COLUMNS.items()
+    ]
+    return reduce(lambda a, b: a.crossJoin(b), frames)
+
+
+@query("format_dates")
+def format_dates(spark, sf_dir):
+    """Job dates as the model shows them (m/d/yyyy)."""
+    return gold(spark, sf_dir)["date_job"].select("date_job_id", format_kpi("date_job_id", "date").alias("date_job_text"))
+
+
 @query("silver_sales_incremental")
 def silver_sales_incremental(spark, sf_dir):
     """Silver sales built by the incremental stream from the bronze files: same rows as the batch."""

@@ -86,9 +86,13 @@ def write_table(
     mode: str = "overwrite",
     schema_mode: str = "keep",
     partition_by: Sequence[str] = (),
+    sort_within: Sequence[str] = (),
 ) -> str:
     """Full-refresh write of one table; returns its path.
 
+    ``sort_within`` sorts each task's rows before writing (no shuffle): row groups then cover
+    narrow key ranges, so a later filter on that key skips most of them from parquet statistics.
+
     schema_mode:
       ``keep``    overwrite; the stored column types must not change (parquet check).
       ``replace`` overwrite and take the new schema as it is.
@@ -106,6 +110,8 @@ def write_table(
                 writer_df = _merge_frame(df, old)
             else:
                 _check_compatible(df, old, path)
+    if sort_within:
+        writer_df = writer_df.sortWithinPartitions(*sort_within)
     writer = writer_df.write.mode(mode).format(lake.fmt)
     if lake.fmt == "delta":
         if schema_mode == "replace":

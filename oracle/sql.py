@@ -620,6 +620,27 @@ SQL["filter_context"] = q(
 )
 
 
+_NN = {
+    "success_fact_g": ("success_fact", ["msme_key"]),
+    "success_profile_g": ("success_profile", ["msme_key"]),
+    "activity_fact_g": ("activity_fact", ["activity_id"]),
+    "support_activity_g": ("support_activity", ["support_id"]),
+    "date_success_g": ("date_success", ["registration_date_id"]),
+    "date_activity_g": ("date_activity", ["activity_date_id"]),
+    "date_sales_g": ("date_sales", ["date_sales_id"]),
+    "date_job_g": ("date_job", ["date_job_id"]),
+    "hiring_g": ("hiring", ["job_key"]),
+    "firing_g": ("firing", ["job_key"]),
+}
+SQL["not_null_check"] = q(
+    "SELECT "
+    + ", ".join(
+        f"(SELECT count(*) FILTER (WHERE {c} IS NULL) FROM {cte}) AS {t}__{c}" for cte, (t, cols) in _NN.items() for c in cols
+    )
+)
+SQL["format_dates"] = q("SELECT date_job_id, strftime(date_job_id, '%-m/%-d/%Y') AS date_job_text FROM date_job_g")
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(SQL)
 

@@ -30,6 +30,16 @@ from kpi_lake.operators.model import StarModel
 Scope = Callable[[StarModel, FilterContext], DataFrame]
 
 
+@dataclass(frozen=True, eq=False)
+class DateSet:
+    """The calendar dates a time-intelligence measure aggregates over (replacing the filter on
+    that calendar table); ``dates`` returns a frame with the calendar's date column."""
+
+    date_table: str
+    date_col: str
+    dates: Callable[[StarModel, FilterContext], DataFrame]
+
+
 @dataclass(frozen=True, eq=False)
 class Measure:
     """An aggregate over one table.
@@ -50,6 +60,7 @@ class Measure:
     blank_if_zero: bool = True
     context: Callable[[FilterContext], FilterContext] | None = None
     scope: Scope | None = None
+    date_set: DateSet | None = None
 
     def _value(self) -> Column:
         c = F.col(self.column)  # type: ignore[arg-type]
@@ -62,15 +73,20 @@ class Measure:
             agg = agg.cast(self.result_type)
         return agg.alias(self.name)
 
-    def aggregate(self) -> Column:
+    def aggregate(self, where: Column | None = None) -> Column:
+        """The aggregate over all rows, or only over rows where ``where`` holds."""
+
+        def only(value: Column) -> Column:
+            return value if where is None else F.when(where, value)
+
         if self.kind == "sum":
-            agg = F.sum(self._value())
+            agg = F.sum(only(self._value()))
         elif self.kind == "count_rows":
-            agg = F.count(F.lit(1))
+            agg = F.count(only(F.lit(1)))
         elif self.kind == "count_where":
-            agg = F.count(F.when(self.condition(), F.lit(1)))  # type: ignore[misc]
+            agg = F.count(only(F.when(self.condition(), F.lit(1))))  # type: ignore[misc]
         elif self.kind == "count_distinct":
-            agg = F.count_distinct(F.col(self.column))  # type: ignore[arg-type]
+            agg = F.count_distinct(only(F.col(self.column)))  # type: ignore[arg-type]
         else:
             raise ValueError(f"unknown measure kind {self.kind!r}")
         return self._finish(agg)
@@ -168,11 +184,62 @@ def _as_items(catalog: Catalog | None, measures: Sequence[Item | str]) -> tuple[
     return base, derived, names
 
 
+def _direct_date_column(model: StarModel, date_table: str, table: str) -> str | None:
+    hops = model.path(date_table, table)
+    return hops[0].dst_col if hops and len(hops) == 1 else None
+
+
+def _date_set_frame(model: StarModel, ctx: FilterContext, table: str, date_table: str, members: list[tuple[Measure, DateSet]]) -> DataFrame:
+    """Several measures of one fact over different date sets of one calendar, in ONE fact scan.
+
+    Each date set is a subset of the calendar (bounded by its number of days); a per-date flag
+    frame (date, in set 1, in set 2, ...) is built from them and broadcast into a single join
+    with the fact, scoped by every filter except the calendar's own. Each measure then sums only
+    the rows whose date carries its flag.
+    """
+    fact_col = _direct_date_column(model, date_table, table)
+    cal_col = members[0][1].date_col
+    flags = model.tables[date_table].select(F.col(cal_col).alias("__d")).distinct()
+    for i, (_, ds) in enumerate(members):
+        dates = ds.dates(model, ctx).select(F.col(ds.date_col).alias(f"__s{i}")).distinct()
+        flags = flags.join(dates, F.col("__d") == F.col(f"__s{i}"), "left")
+    flag_cols = [F.col(f"__s{i}").isNotNull().alias(f"__f{i}") for i in range(len(members))]
+    flags = flags.select("__d", *flag_cols)
+    flags = flags.filter(reduce(lambda a, b: a | b, [F.col(f"__f{i}") for i in range(len(members))]))
+    rows = model.scoped(table, ctx.removing_table(date_table))
+    joined = rows.join(F.broadcast(flags), F.col(fact_col) == F.col("__d"))  # type: ignore[arg-type]
+    return joined.agg(*[m.aggregate(where=F.col(f"__f{i}")) for i, (m, _) in enumerate(members)])
+
+
 def evaluate(model: StarModel, ctx: FilterContext, measures: Sequence[Item | str], catalog: Catalog | None = None) -> DataFrame:
     """All requested measures as one row."""
     base, derived, names = _as_items(catalog, measures)
+    # Time-intelligence measures, per (fact, calendar); plain measures of the same fact join them
+    # when the context filters that calendar (their date set is then the visible dates).
+    dated: dict[tuple[str, str], list[tuple[Measure, DateSet]]] = {}
+    for m in base:
+        if m.date_set is not None and _direct_date_column(model, m.date_set.date_table, m.table):
+            dated.setdefault((m.table, m.date_set.date_table), []).append((m, m.date_set))
     groups: list[tuple[object, list[Measure]]] = []
+    in_dated = {id(m) for members in dated.values() for m, _ in members}
     for m in base:
+        if id(m) in in_dated:
+            continue
+        if m.context is None and m.scope is None:
+            target = next(
+                (
+                    (t, dt)
+                    for (t, dt) in dated
+                    if t == m.table and ctx.predicate_for(dt) is not None and not model.inbound(dt)
+                ),
+                None,
+            )
+            if target is not None:
+                dt = target[1]
+                col = dated[target][0][1].date_col
+                visible = DateSet(dt, col, lambda model, ctx, dt=dt, col=col: model.scoped(dt, ctx).select(col))
+                dated[target].append((m, visible))
+                continue
         if m.scope is not None:
             groups.append((m, [m]))
             continue
@@ -184,6 +251,7 @@ def evaluate(model: StarModel, ctx: FilterContext, measures: Sequence[Item | str
         else:
             groups.append(((m.table, eff), [m]))
     frames = [members[0].rows(model, ctx).agg(*[m.aggregate() for m in members]) for _, members in groups]
+    frames += [_date_set_frame(model, ctx, t, dt, members) for (t, dt), members in dated.items()]
     row = reduce(lambda a, b: a.crossJoin(b), frames)
     if derived:
         row = row.select("*", *[d.column() for d in derived])
@@ -249,6 +317,7 @@ def share_of_total(df: DataFrame, value: str, name: str = "share") -> DataFrame:
 
 __all__ = [
     "Catalog",
+    "DateSet",
     "Derived",
     "Measure",
     "evaluate",

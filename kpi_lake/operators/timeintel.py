@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kpi_lake.operators.context import FilterContext
-from kpi_lake.operators.measures import Measure
+from kpi_lake.operators.measures import DateSet, Measure
 from kpi_lake.operators.model import StarModel
 
 
@@ -70,20 +70,25 @@ def shifted_dates(
 def month_to_date(base: Measure, date_table: str, date_col: str, name: str) -> Measure:
     """``CALCULATE(base, DATESMTD(date_col))``."""
 
+    def dates(model: StarModel, ctx: FilterContext) -> DataFrame:
+        return month_to_date_dates(model, ctx, date_table, date_col)
+
     def scope(model: StarModel, ctx: FilterContext) -> DataFrame:
-        return _restrict(model, ctx, base.table, date_table, month_to_date_dates(model, ctx, date_table, date_col), date_col)
+        return _restrict(model, ctx, base.table, date_table, dates(model, ctx), date_col)
 
-    return dataclasses.replace(base, name=name, scope=scope)
+    return dataclasses.replace(base, name=name, scope=scope, date_set=DateSet(date_table, date_col, dates))
 
 
 def shift_months(base: Measure, date_table: str, date_col: str, name: str, months: int = -1, extend_month_end: bool = True) -> Measure:
     """``CALCULATE(base, DATEADD(date_col, months, MONTH))``."""
 
+    def dates(model: StarModel, ctx: FilterContext) -> DataFrame:
+        return shifted_dates(model, ctx, date_table, date_col, months, extend_month_end)
+
     def scope(model: StarModel, ctx: FilterContext) -> DataFrame:
-        dates = shifted_dates(model, ctx, date_table, date_col, months, extend_month_end)
-        return _restrict(model, ctx, base.table, date_table, dates, date_col)
+        return _restrict(model, ctx, base.table, date_table, dates(model, ctx), date_col)
 
-    return dataclasses.replace(base, name=name, scope=scope)
+    return dataclasses.replace(base, name=name, scope=scope, date_set=DateSet(date_table, date_col, dates))
 
 
 __all__ = ["month_to_date", "month_to_date_dates", "shift_months", "shifted_dates"]

@@ -7,7 +7,8 @@ row-local (no shuffle); gold adds ``distinct`` for the dimensions.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -368,15 +369,37 @@ class RunReport:
     written: list[str]
 
 
-def run_bronze_to_silver(spark: SparkSession, lake: Lake) -> RunReport:
+WriteTask = Callable[[], "str | list[str]"]
+
+
+def run_writes(tasks: Sequence[WriteTask], parallelism: int = 4) -> list[str]:
+    """Run independent table writes, several at a time.
+
+    Each write is its own Spark job; submitting independent ones from a few driver threads keeps
+    the executors busy while a small job (a dimension, a copy) finishes, instead of idling
+    between jobs. Large writes still use the whole cluster each. Order of results is the order
+    of ``tasks``; the first failure is raised.
+    """
+    if parallelism <= 1 or len(tasks) <= 1:
+        results = [t() for t in tasks]
+    else:
+        with ThreadPoolExecutor(max_workers=parallelism, thread_name_prefix="kpi-lake-write") as pool:
+            results = list(pool.map(lambda t: t(), tasks))
+    out: list[str] = []
+    for r in results:
+        out.extend(r if isinstance(r, list) else [r])
+    return out
+
+
+def bronze_to_silver_tasks(spark: SparkSession, lake: Lake) -> list[WriteTask]:
     """Seven independent row-local jobs: read bronze, clean, overwrite silver."""
-    written = []
-    for name, (src, step) in SILVER_STEPS.items():
-        written.append(write_table(step(read_table(spark, lake, "bronze", src)), lake, "silver", name))
-    return RunReport(written)
+    return [
+        (lambda name=name, src=src, step=step: write_table(step(read_table(spark, lake, "bronze", src)), lake, "silver", name))
+        for name, (src, step) in SILVER_STEPS.items()
+    ]
 
 
-def run_silver_to_gold(spark: SparkSession, lake: Lake) -> RunReport:
+def silver_to_gold_tasks(spark: SparkSession, lake: Lake) -> list[WriteTask]:
     """Gold tables from silver. Each output reads silver again with only its own columns
     (column pruning beats caching the wide silver frame); the support dimension is written once
     and copied to the second layer from the written files."""
@@ -384,39 +407,50 @@ def run_silver_to_gold(spark: SparkSession, lake: Lake) -> RunReport:
     def silver(name: str) -> DataFrame:
         return read_table(spark, lake, "silver", name)
 
-    written: list[str] = []
     success = gold_success(silver("success_updated"))
-    written.append(
-        write_table(success["success_fact"], lake, "gold", "success_fact", schema_mode="replace", sort_within=["registration_date_id"])
-    )
-    written.append(write_table(success["success_profile"], lake, "gold", "success_profile"))
-    written.append(write_table(success["date_success"], lake, "gold", "date_success"))
-
     activity = gold_activity(silver("activity_updated"))
-    written += write_many(activity["support_activity"], [(lake, "silver", "support_activity"), (lake, "gold", "support_activity")])
-    written.append(
-        write_table(activity["activity_fact"], lake, "gold", "activity_fact", schema_mode="merge", sort_within=["activity_date_id"])
-    )
-    written.append(write_table(activity["date_activity"], lake, "gold", "date_activity"))
-
+    people = gold_people(silver("hiring_updated"), silver("firing_updated"))
+    tasks: list[WriteTask] = [
+        lambda: write_table(
+            success["success_fact"], lake, "gold", "success_fact", schema_mode="replace", sort_within=["registration_date_id"]
+        ),
+        lambda: write_table(success["success_profile"], lake, "gold", "success_profile"),
+        lambda: write_table(success["date_success"], lake, "gold", "date_success"),
+        lambda: write_many(activity["support_activity"], [(lake, "silver", "support_activity"), (lake, "gold", "support_activity")]),
+        lambda: write_table(
+            activity["activity_fact"], lake, "gold", "activity_fact", schema_mode="merge", sort_within=["activity_date_id"]
+        ),
+        lambda: write_table(activity["date_activity"], lake, "gold", "date_activity"),
+    ]
     for tables in (gold_sales(silver("sales_updated")), gold_jobs(silver("job_updated"))):
         for name, df in tables.items():
-            written.append(write_table(df, lake, "gold", name, sort_within=FACT_DATE_COLUMNS.get(name, ())))
-
-    people = gold_people(silver("hiring_updated"), silver("firing_updated"))
+            tasks.append(lambda name=name, df=df: write_table(df, lake, "gold", name, sort_within=FACT_DATE_COLUMNS.get(name, ())))
     for name, df in people.items():
-        written.append(write_table(df, lake, "gold", name))
-    written.append(copy_table(spark, lake, "silver", "participant_updated", lake, "gold", columns=["activity_id", "msme_key"]))
-    return RunReport(written)
+        tasks.append(lambda name=name, df=df: write_table(df, lake, "gold", name))
+    tasks.append(lambda: copy_table(spark, lake, "silver", "participant_updated", lake, "gold", columns=["activity_id", "msme_key"]))
+    return tasks
+
+
+def run_bronze_to_silver(spark: SparkSession, lake: Lake, parallelism: int = 4) -> RunReport:
+    return RunReport(run_writes(bronze_to_silver_tasks(spark, lake), parallelism))
+
+
+def run_silver_to_gold(spark: SparkSession, lake: Lake, parallelism: int = 4) -> RunReport:
+    return RunReport(run_writes(silver_to_gold_tasks(spark, lake), parallelism))
 
 
-def run_all(spark: SparkSession, sf_dir: str, lake: Lake) -> RunReport:
-    """Stand-in bronze from the shared tables, then silver, then gold."""
-    from kpi_lake.sources.standins import load_bronze
+def run_all(spark: SparkSession, sf_dir: str, lake: Lake, parallelism: int = 4) -> RunReport:
+    """Stand-in bronze from the shared tables, then silver, then gold (layers in order; the
+    tables of one layer side by side)."""
+    from kpi_lake.sources.standins import bronze_from_sources
 
-    written = load_bronze(spark, sf_dir, lake)
-    written += run_bronze_to_silver(spark, lake).written
-    written += run_silver_to_gold(spark, lake).written
+    bronze = bronze_from_sources(spark, sf_dir)
+    bronze_tasks: list[WriteTask] = [
+        (lambda name=name: write_table(bronze[name], lake, "bronze", name)) for name in bronze
+    ]
+    written = run_writes(bronze_tasks, parallelism)
+    written += run_bronze_to_silver(spark, lake, parallelism).written
+    written += run_silver_to_gold(spark, lake, parallelism).written
     return RunReport(written)
 
 
@@ -432,6 +466,7 @@ __all__ = [
     "gold_success",
     "gold_success_silver",
     "run_all",
+    "run_writes",
     "run_bronze_to_silver",
     "run_silver_to_gold",
     "silver_activity",

@@ -473,9 +473,26 @@ def page_registration(spark, sf_dir):
 
 @query("page_activity")
 def page_activity(spark, sf_dir):
+    return D.page(model(spark, sf_dir), D.activity_context(), "activity")
+
+
+@query("page_activity_q1")
+def page_activity_q1(spark, sf_dir):
+    """The activity page with the first quarter of 2024 picked in the activity-period slicer."""
     return D.page(model(spark, sf_dir), D.activity_context(activity_period=[(2024, 1)]), "activity")
 
 
+@query("page_registration_by_year")
+def page_registration_by_year(spark, sf_dir):
+    """The registration page with every year the year slicer offers selected."""
+    return D.page(model(spark, sf_dir), D.registration_context(years=D.standin_years()), "registration")
+
+
+@query("trend_entities_by_year")
+def trend_entities_by_year(spark, sf_dir):
+    return D.trend_entities(model(spark, sf_dir), D.registration_context(years=D.standin_years()))
+
+
 @query("page_performance")
 def page_performance(spark, sf_dir):
     return D.page(model(spark, sf_dir), D.performance_context(), "performance")

@@ -14,7 +14,9 @@ from kpi_lake.operators.measures import evaluate, evaluate_by, share_of_total
 from kpi_lake.operators.model import StarModel
 from kpi_lake.plans.semantic import CATALOG
 
-# Slicer selections saved in the report.
+# Slicer settings saved in the report. The year list restricts the items the
+# registration-year slicer offers (a filter on the slicer itself, not a selection); the sales
+# range and the job end date are saved selections that filter their page.
 REPORT_REGISTRATION_YEARS = (2021, 2022, 2023, 2024, 2025)
 REPORT_SALES_RANGE = ("2022-03-30", "2024-10-10")  # shown end 2024-10-09, end exclusive
 REPORT_JOBS_UNTIL = "2024-10-01"  # exclusive
@@ -74,9 +76,11 @@ def registration_context(
     departements: Sequence[str] = (),
     partners: Sequence[str] = (),
 ) -> FilterContext:
-    """Registration page: registration year list, year/quarter hierarchy, profile slicers."""
+    """Registration page: year selection, year/quarter hierarchy, profile slicers.
+
+    The saved page has no selection, so the default context is empty.
+    """
     ctx = C.EMPTY
-    years = standin_years() if years is None else years
     if years:
         ctx = ctx.where("date_success", C.in_list("year_success", years), "year_success", SL_REG_YEAR)
     if period:

@@ -514,13 +514,18 @@ for _key, _names in {
 }.items():
     SQL[_key] = q(_select(PERF_MEASURES, _names), PERF_CTX)
 
+ALL_REG_MEASURES = {
+    "total_msmes": f"(SELECT {TOTAL_MSMES} FROM success_profile_g)",
+    "msme_target": f"(SELECT CAST({TOTAL_MSMES} AS DOUBLE) * CAST(1.1 AS DOUBLE) FROM success_profile_g)",
+}
 for _key, _names in {
     "total_entities": ["total_msmes"],
     "target_entities": ["msme_target"],
     "gauge_entities": ["total_msmes", "msme_target"],
     "page_registration": ["total_msmes", "msme_target"],
 }.items():
-    SQL[_key] = q(_select(REG_MEASURES, _names), REG_CTX)
+    SQL[_key] = q(_select(ALL_REG_MEASURES, _names))
+SQL["page_registration_by_year"] = q(_select(REG_MEASURES, ["total_msmes", "msme_target"]), REG_CTX)
 
 for _key, _names in {
     "total_loan": ["total_loan"],
@@ -530,7 +535,8 @@ for _key, _names in {
 }.items():
     SQL[_key] = q(_select(ACT_MEASURES, _names))
 
-SQL["page_activity"] = q(
+SQL["page_activity"] = q(_select(ACT_MEASURES, ["total_attendance", "training_days", "total_loan", "loan_approved"]))
+SQL["page_activity_q1"] = q(
     _select(
         {
             **ACT_MEASURES,
@@ -572,17 +578,18 @@ SQL["format_kpi"] = q(
 )
 
 # --- 2.H ------------------------------------------------------------------------------------------------
-SQL["trend_entities"] = q(
+_TREND = (
     f"SELECT m.registration_date_id, {TOTAL_MSMES.replace('msme_key', 'p.msme_key')} AS total_msmes "
-    "FROM reg_profile p LEFT JOIN (SELECT f.msme_key, d.registration_date_id FROM success_fact_g f "
-    "JOIN reg_dates d ON f.registration_date_id = d.registration_date_id) m ON p.msme_key = m.msme_key "
-    "GROUP BY m.registration_date_id HAVING count(DISTINCT p.msme_key) > 0",
-    REG_CTX,
+    "FROM {profile} p LEFT JOIN (SELECT f.msme_key, d.registration_date_id FROM success_fact_g f "
+    "JOIN {dates} d ON f.registration_date_id = d.registration_date_id) m ON p.msme_key = m.msme_key "
+    "GROUP BY m.registration_date_id HAVING count(DISTINCT p.msme_key) > 0"
 )
+SQL["trend_entities"] = q(_TREND.format(profile="success_profile_g", dates="date_success_g"))
+SQL["trend_entities_by_year"] = q(_TREND.format(profile="reg_profile", dates="reg_dates"), REG_CTX)
 SQL["share_by_category"] = q(
     "SELECT industry, total_msmes, CAST(total_msmes AS DOUBLE) / CAST(sum(total_msmes) OVER () AS DOUBLE) AS share FROM ("
-    f"SELECT industry, {TOTAL_MSMES} AS total_msmes FROM reg_profile GROUP BY industry HAVING count(DISTINCT msme_key) > 0) t",
-    REG_CTX,
+    f"SELECT industry, {TOTAL_MSMES} AS total_msmes FROM success_profile_g GROUP BY industry "
+    "HAVING count(DISTINCT msme_key) > 0) t"
 )
 _LOAN_BY = (
     "SELECT m.industry, CAST(sum(p.s) AS DECIMAL(18,2)) AS total_loan "

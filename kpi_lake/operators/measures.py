@@ -61,9 +61,10 @@ class Measure:
     context: Callable[[FilterContext], FilterContext] | None = None
     scope: Scope | None = None
     date_set: DateSet | None = None
+    value: Callable[[], Column] | None = None
 
     def _value(self) -> Column:
-        c = F.col(self.column)  # type: ignore[arg-type]
+        c = self.value() if self.value is not None else F.col(self.column)  # type: ignore[arg-type]
         return c.cast(self.cast) if self.cast else c
 
     def _finish(self, agg: Column) -> Column:

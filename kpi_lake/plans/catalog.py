@@ -421,6 +421,20 @@ for _name, (_measures, _ctx) in _MEASURE_QUERIES.items():
     QUERIES[_name] = (lambda ms, cf: lambda spark, sf_dir: evaluate(model(spark, sf_dir), cf(), ms, CATALOG))(_measures, _ctx)
 
 
+@query("sales_channels")
+def sales_channels(spark, sf_dir):
+    """Domestic, international (text column through try_cast) and both, on the performance page."""
+    return evaluate(
+        model(spark, sf_dir), D.performance_context(), ["total_sales", "total_international_sales", "total_sales_all_channels"], CATALOG
+    )
+
+
+@query("jobs_net")
+def jobs_net(spark, sf_dir):
+    """Jobs created, dismissals and the net, on the performance page."""
+    return evaluate(model(spark, sf_dir), D.performance_context(), ["total_jobs", "total_fired", "net_jobs"], CATALOG)
+
+
 @query("default_aggregates")
 def default_aggregates(spark, sf_dir):
     act = gold(spark, sf_dir)["activity_fact"]

@@ -94,6 +94,30 @@ LAST_MONTH_SALES = shift_months(TOTAL_SALES, "date_sales", "date_sales_id", "las
 CURRENT_MONTH_JOBS = month_to_date(TOTAL_JOBS, "date_job", "date_job_id", "current_month_jobs")
 LAST_MONTH_JOBS = shift_months(TOTAL_JOBS, "date_job", "date_job_id", "last_month_jobs", -1)
 
+# Parameters of the inferred bodies: the international sales column is text (it summarises as
+# nothing in the model), so it enters only through ``try_cast``; jobs may be counted net of
+# dismissals.
+TOTAL_INTERNATIONAL_SALES = Measure(
+    "total_international_sales",
+    "sales_fact",
+    "sum",
+    value=lambda: F.col("international_sale").try_cast("bigint"),
+    result_type="bigint",
+)
+TOTAL_FIRED = Measure("total_fired", "job_fact", "sum", column="total_fired_employee", result_type="bigint")
+SALES_ALL_CHANNELS = Derived(
+    "total_sales_all_channels",
+    ("total_sales", "total_international_sales"),
+    lambda d, i: F.when(d.isNull() & i.isNull(), F.lit(None)).otherwise(F.coalesce(d, F.lit(0)) + F.coalesce(i, F.lit(0))),
+    "bigint",
+)
+NET_JOBS = Derived(
+    "net_jobs",
+    ("total_jobs", "total_fired"),
+    lambda h, f: F.when(h.isNull() & f.isNull(), F.lit(None)).otherwise(F.coalesce(h, F.lit(0)) - F.coalesce(f, F.lit(0))),
+    "bigint",
+)
+
 MSME_TARGET = Derived("msme_target", ("total_msmes",), _times(ENTITY_TARGET_FACTOR), "double")
 SALES_TARGET = Derived("sales_target", ("total_sales",), _times(SALES_TARGET_FACTOR), "double")
 JOBS_TARGET = Derived("jobs_target", ("total_jobs",), _times(JOBS_TARGET_FACTOR), "double")
@@ -102,6 +126,10 @@ TRAINING_DAYS = Derived(
 )
 
 CATALOG = Catalog().add(
+    TOTAL_INTERNATIONAL_SALES,
+    TOTAL_FIRED,
+    SALES_ALL_CHANNELS,
+    NET_JOBS,
     TOTAL_MSMES,
     TOTAL_JOBS,
     TOTAL_SALES,

@@ -547,6 +547,18 @@ SQL["page_activity_q1"] = q(
     ),
     ACT_Q1_CTX,
 )
+SQL["sales_channels"] = q(
+    "SELECT d AS total_sales, i AS total_international_sales, "
+    "CAST(CASE WHEN d IS NULL AND i IS NULL THEN NULL ELSE coalesce(d, 0) + coalesce(i, 0) END AS BIGINT) AS total_sales_all_channels "
+    f"FROM (SELECT {_sum('domestic_sale')} AS d, {_sum('TRY_CAST(international_sale AS BIGINT)')} AS i FROM perf_sales) t",
+    PERF_CTX,
+)
+SQL["jobs_net"] = q(
+    "SELECT h AS total_jobs, f AS total_fired, "
+    "CAST(CASE WHEN h IS NULL AND f IS NULL THEN NULL ELSE coalesce(h, 0) - coalesce(f, 0) END AS BIGINT) AS net_jobs "
+    f"FROM (SELECT {_sum('total_hired_employee')} AS h, {_sum('total_fired_employee')} AS f FROM perf_jobs) t",
+    PERF_CTX,
+)
 SQL["default_aggregates"] = q(
     f"SELECT support_id, {_sum('activity_duration')} AS sum_activity_duration, "
     f"{_sum('attendance_number')} AS sum_attendance_number FROM activity_fact_g GROUP BY support_id"

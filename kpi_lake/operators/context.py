@@ -18,10 +18,15 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True, eq=False)
 class Filter:
+    """``bounds`` (start inclusive, end exclusive; either may be None) is set for a date range
+    on a single column; it lets the model add the same range as a literal predicate on the
+    fact's date column, which the parquet scan can use to skip data."""
+
     table: str
     columns: tuple[str, ...]
     predicate: Column
     name: str | None = None
+    bounds: tuple[dt.date | None, dt.date | None] | None = None
 
 
 @dataclass(frozen=True, eq=False)
@@ -33,6 +38,31 @@ class FilterContext:
         cols = (columns,) if isinstance(columns, str) else tuple(columns)
         return FilterContext(self.filters + (Filter(table, cols, predicate, name),))
 
+    def where_range(
+        self, table: str, column: str, start: dt.date | str | None, end_exclusive: dt.date | str | None, name: str | None = None
+    ) -> FilterContext:
+        """Half-open date range on one column (either end may be open)."""
+        lo = _as_date(start)
+        hi = _as_date(end_exclusive)
+        c = F.col(column)
+        terms = ([c >= F.lit(lo)] if lo else []) + ([c < F.lit(hi)] if hi else [])
+        pred = reduce(lambda a, b: a & b, terms) if terms else F.lit(True)
+        return FilterContext(self.filters + (Filter(table, (column,), pred, name, (lo, hi)),))
+
+    def key_bounds(self, table: str, column: str) -> tuple[dt.date | None, dt.date | None] | None:
+        """Intersection of the literal date ranges on ``table.column`` (None when there is none)."""
+        lo: dt.date | None = None
+        hi: dt.date | None = None
+        found = False
+        for f in self.filters:
+            if f.table == table and f.bounds is not None and f.columns == (column,):
+                found = True
+                if f.bounds[0] is not None:
+                    lo = f.bounds[0] if lo is None else max(lo, f.bounds[0])
+                if f.bounds[1] is not None:
+                    hi = f.bounds[1] if hi is None else min(hi, f.bounds[1])
+        return (lo, hi) if found else None
+
     def merge(self, other: FilterContext) -> FilterContext:
         return FilterContext(self.filters + other.filters)
 
@@ -73,8 +103,21 @@ EMPTY = FilterContext()
 # --- slicer predicates -------------------------------------------------------------------------
 
 
+def _as_date(value: dt.date | str | None) -> dt.date | None:
+    if value is None or value == "":
+        return None
+    return value if isinstance(value, dt.date) else dt.date.fromisoformat(value)
+
+
 def _lit_date(value: dt.date | str) -> Column:
-    return F.lit(value if isinstance(value, dt.date) else dt.date.fromisoformat(value))
+    return F.lit(_as_date(value))
+
+
+def range_predicate(column: str, bounds: tuple[dt.date | None, dt.date | None]) -> Column | None:
+    """``bounds[0] <= column < bounds[1]`` as literals (None when both ends are open)."""
+    c = F.col(column)
+    terms = ([c >= F.lit(bounds[0])] if bounds[0] else []) + ([c < F.lit(bounds[1])] if bounds[1] else [])
+    return reduce(lambda a, b: a & b, terms) if terms else None
 
 
 def values_not_blank(column: str) -> Column:
@@ -119,6 +162,7 @@ __all__ = [
     "Filter",
     "FilterContext",
     "between",
+    "range_predicate",
     "equals",
     "hierarchy",
     "in_list",

@@ -24,7 +24,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kpi_lake.operators.context import FilterContext
+from kpi_lake.operators.context import FilterContext, range_predicate
 from kpi_lake.operators.model import StarModel
 
 Scope = Callable[[StarModel, FilterContext], DataFrame]
@@ -38,6 +38,26 @@ class DateSet:
     date_table: str
     date_col: str
     dates: Callable[[StarModel, FilterContext], DataFrame]
+    # The set lies within [first of month of the range start - months_before months, range end)
+    # of a literal date range on the calendar; None when no such bound holds.
+    months_before: int | None = 0
+
+
+def date_set_bounds(ctx: FilterContext, sets: Sequence[DateSet]) -> tuple | None:
+    """A literal superset range of all ``sets`` from the context's date range, if there is one."""
+    import datetime as dt
+
+    if not sets or any(s.months_before is None for s in sets):
+        return None
+    b = ctx.key_bounds(sets[0].date_table, sets[0].date_col)
+    if b is None:
+        return None
+    lo, hi = b
+    if lo is not None:
+        back = max(s.months_before for s in sets)  # type: ignore[type-var]
+        y, m = divmod(lo.year * 12 + lo.month - 1 - back, 12)
+        lo = dt.date(y, m + 1, 1)
+    return (lo, hi)
 
 
 @dataclass(frozen=True, eq=False)
@@ -208,6 +228,10 @@ def _date_set_frame(model: StarModel, ctx: FilterContext, table: str, date_table
     flags = flags.select("__d", *flag_cols)
     flags = flags.filter(reduce(lambda a, b: a | b, [F.col(f"__f{i}") for i in range(len(members))]))
     rows = model.scoped(table, ctx.removing_table(date_table))
+    bounds = date_set_bounds(ctx, [ds for _, ds in members])
+    pred = range_predicate(fact_col, bounds) if bounds else None  # type: ignore[arg-type]
+    if pred is not None:
+        rows = rows.filter(pred)
     joined = rows.join(F.broadcast(flags), F.col(fact_col) == F.col("__d"))  # type: ignore[arg-type]
     return joined.agg(*[m.aggregate(where=F.col(f"__f{i}")) for i, (m, _) in enumerate(members)])
 

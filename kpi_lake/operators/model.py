@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kpi_lake.operators.context import FilterContext
+from kpi_lake.operators.context import FilterContext, range_predicate
 
 
 @dataclass(frozen=True)
@@ -133,6 +133,13 @@ class StarModel:
                 continue
             if not self._filtered(hop.src, ctx, hop.rel, seen | {hop.rel}):
                 continue
+            if hop.src in self.calendar_tables:
+                # A literal date range on the calendar key is repeated on the fact's date column:
+                # the scan can skip files / row groups; the semi join below keeps it exact.
+                bounds = ctx.key_bounds(hop.src, hop.src_col)
+                pred = range_predicate(hop.dst_col, bounds) if bounds else None
+                if pred is not None:
+                    df = df.filter(pred)
             keys = self._key_frame(hop, ctx, seen)
             df = df.join(keys, F.col(hop.dst_col) == F.col("__key"), "left_semi")
         return df

@@ -13,8 +13,8 @@ import dataclasses
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kpi_lake.operators.context import FilterContext
-from kpi_lake.operators.measures import DateSet, Measure
+from kpi_lake.operators.context import FilterContext, range_predicate
+from kpi_lake.operators.measures import DateSet, Measure, date_set_bounds
 from kpi_lake.operators.model import StarModel
 
 
@@ -25,8 +25,14 @@ def _fact_date_column(model: StarModel, date_table: str, fact: str) -> str:
     return hops[0].dst_col
 
 
-def _restrict(model: StarModel, ctx: FilterContext, fact: str, date_table: str, dates: DataFrame, date_col: str) -> DataFrame:
+def _restrict(
+    model: StarModel, ctx: FilterContext, fact: str, date_table: str, dates: DataFrame, date_col: str, months_before: int | None = 0
+) -> DataFrame:
     rows = model.scoped(fact, ctx.removing_table(date_table))
+    bounds = date_set_bounds(ctx, [DateSet(date_table, date_col, lambda m, c: dates, months_before)])
+    pred = range_predicate(_fact_date_column(model, date_table, fact), bounds) if bounds else None
+    if pred is not None:
+        rows = rows.filter(pred)
     keys = F.broadcast(dates.select(F.col(date_col).alias("__d")))
     return rows.join(keys, F.col(_fact_date_column(model, date_table, fact)) == F.col("__d"), "left_semi")
 
@@ -74,9 +80,9 @@ def month_to_date(base: Measure, date_table: str, date_col: str, name: str) -> M
         return month_to_date_dates(model, ctx, date_table, date_col)
 
     def scope(model: StarModel, ctx: FilterContext) -> DataFrame:
-        return _restrict(model, ctx, base.table, date_table, dates(model, ctx), date_col)
+        return _restrict(model, ctx, base.table, date_table, dates(model, ctx), date_col, 0)
 
-    return dataclasses.replace(base, name=name, scope=scope, date_set=DateSet(date_table, date_col, dates))
+    return dataclasses.replace(base, name=name, scope=scope, date_set=DateSet(date_table, date_col, dates, 0))
 
 
 def shift_months(base: Measure, date_table: str, date_col: str, name: str, months: int = -1, extend_month_end: bool = True) -> Measure:
@@ -85,10 +91,13 @@ def shift_months(base: Measure, date_table: str, date_col: str, name: str, month
     def dates(model: StarModel, ctx: FilterContext) -> DataFrame:
         return shifted_dates(model, ctx, date_table, date_col, months, extend_month_end)
 
+    # Backward shifts stay below the range end and start at most |months| months earlier.
+    back = -months if months <= 0 else None
+
     def scope(model: StarModel, ctx: FilterContext) -> DataFrame:
-        return _restrict(model, ctx, base.table, date_table, dates(model, ctx), date_col)
+        return _restrict(model, ctx, base.table, date_table, dates(model, ctx), date_col, back)
 
-    return dataclasses.replace(base, name=name, scope=scope, date_set=DateSet(date_table, date_col, dates))
+    return dataclasses.replace(base, name=name, scope=scope, date_set=DateSet(date_table, date_col, dates, back))
 
 
 __all__ = ["month_to_date", "month_to_date_dates", "shift_months", "shifted_dates"]

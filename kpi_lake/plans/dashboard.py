@@ -124,9 +124,9 @@ def performance_context(
     jobs_until = standin_jobs_until() if jobs_until is None else jobs_until
     ctx = C.EMPTY
     if sales_range:
-        ctx = ctx.where("date_sales", C.between("date_sales_id", *sales_range), "date_sales_id", SL_SALES_RANGE)
+        ctx = ctx.where_range("date_sales", "date_sales_id", sales_range[0], sales_range[1], SL_SALES_RANGE)
     if jobs_until:
-        ctx = ctx.where("date_job", C.until("date_job_id", jobs_until), "date_job_id", SL_JOBS_UNTIL)
+        ctx = ctx.where_range("date_job", "date_job_id", None, jobs_until, SL_JOBS_UNTIL)
     return _profile_slicers(ctx, categories)
 
 

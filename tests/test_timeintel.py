@@ -97,3 +97,18 @@ def test_prev_month_jobs_and_mtd_jobs(model):
     # visible {01-31, 02-29, 03-10} shift to {12-31, 01-29, 02-10}: none of them is a job date
     assert row["last_month_jobs"] is None
     assert row["total_jobs"] == 10
+
+
+@pytest.mark.parametrize(
+    "lo, hi", [("2024-02-01", "2024-03-16"), ("2024-03-01", "2024-04-01"), ("2024-02-15", "2024-03-01"), (None, "2024-03-02")]
+)
+def test_literal_range_gives_same_results_as_opaque_predicate(model, lo, hi):
+    """A range slicer carrying literal bounds (pushed to the fact scan) computes the same values."""
+    names = ["total_sales", "current_month_sales", "last_month_sales"]
+    ranged = C.EMPTY.where_range("date_sales", "date_sales_id", lo, hi)
+    opaque = C.EMPTY.where("date_sales", C.until("date_sales_id", hi) if lo is None else C.between("date_sales_id", lo, hi), "date_sales_id")
+    a = evaluate(model, ranged, names, CATALOG).first().asDict()
+    b = evaluate(model, opaque, names, CATALOG).first().asDict()
+    assert a == b
+    for n in names:
+        assert evaluate(model, ranged, [n], CATALOG).first()[n] == b[n]

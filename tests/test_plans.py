@@ -64,3 +64,19 @@ def test_one_agg_per_fact_for_a_page(spark):
     # both measures come from one scan and one aggregate
     assert final.count("FileScan parquet") == 1
     assert final.count("HashAggregate(keys=[], functions=[sum(") == 1
+
+
+def test_date_partitioned_facts_prune_and_agree(spark, tmp_path_factory, gold_lake):
+    from kpi_lake.plans.pipelines import run_all
+
+    lake = Lake(root=str(tmp_path_factory.mktemp("gold_partitioned")))
+    run_all(spark, SF, lake, partition_facts=True)
+    part_model = build_model({t: read_table(spark, lake, "gold", t) for t in MODEL_TABLES})
+    flat_model = build_model({t: read_table(spark, gold_lake, "gold", t) for t in MODEL_TABLES})
+    a = Dsh.page(part_model, Dsh.performance_context(), "performance")
+    assert a.collect() == Dsh.page(flat_model, Dsh.performance_context(), "performance").collect()
+    plan = plan_text(evaluate(part_model, Dsh.performance_context(), ["total_sales"], CATALOG))
+    import re
+
+    part_filters = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert re.search(r"date_sales_id#\d+ >= 1996-03-30", part_filters), part_filters

@@ -134,12 +134,24 @@ def fill_null(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
     )
 
 
+# Text that reads as a number when compared with one: optional blanks and sign, digits, an
+# optional fraction. Exponents, thousands separators and other text are not numbers.
+NUMERIC_TEXT = r"^\s*[+-]?\d+(\.\d*)?\s*$"
+
+
 def numeric_view(df: DataFrame, name: str) -> Column:
-    """The column as a number for comparisons: text goes through ``try_cast`` to double."""
+    """The column as a number for comparisons.
+
+    Text counts as a number only when it looks like a plain (integer or decimal) literal, as in
+    the legacy text-to-number comparison the cleaning rules were written against; the value is
+    then compared exactly (decimal), which agrees with truncating to an integer for integer
+    thresholds. Other text compares as null, i.e. never below a threshold.
+    """
     dtype = column_type(df, name)
     if isinstance(dtype, NumericType):
         return F.col(name)
-    return F.col(name).try_cast("double")
+    col = F.col(name)
+    return F.when(col.rlike(NUMERIC_TEXT), F.trim(col).try_cast("decimal(38,10)"))
 
 
 def floor_below(df: DataFrame, name: str, threshold: float, value: object = 0) -> DataFrame:

@@ -136,7 +136,8 @@ s_success_pre AS (
          CASE group_epargne WHEN 'Aucun' THEN 'No group' WHEN 'Association' THEN 'Association'
               WHEN 'AVEC' THEN 'AVEC group' WHEN 'BD&SME' THEN 'BD&SME' WHEN 'MUSO' THEN 'MUSO'
               WHEN 'Solidarite' THEN 'Solidarity group' ELSE group_epargne END AS group_epargne,
-         CASE WHEN TRY_CAST(revenu_annuel AS DOUBLE) < 25000 THEN '0'
+         CASE WHEN regexp_matches(revenu_annuel, '^\\s*[+-]?\\d+(\\.\\d*)?\\s*$')
+                   AND TRY_CAST(trim(revenu_annuel) AS DOUBLE) < 25000 THEN '0'
               WHEN revenu_annuel IS NULL THEN '0' ELSE revenu_annuel END AS revenu_annuel,
          CAST(trunc(coalesce(nombre_employe, CAST(1 AS DOUBLE))) AS BIGINT) AS nombre_employe,
          CASE WHEN age IS NULL THEN 18 WHEN age < 18 AND age > 1 THEN 18 ELSE age END AS age,

@@ -184,3 +184,9 @@ def test_no_python_udf_in_silver_plans(spark):
         plan = silver(spark, "/root/testdata/sf0.001")[name]._jdf.queryExecution().executedPlan().toString()
         assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, name
         assert F is not None
+
+
+def test_text_compared_as_plain_number_only(spark):
+    df = one_col(spark, "income", ["2e4", " 24999.5 ", "+100", "1,000", "24999.", "abc", "-5"])
+    out = clean.floor_below(df, "income", P.INCOME_FLOOR, 0).orderBy("i")
+    assert col_values(out, "income") == ["2e4", "0", "0", "1,000", "0", "abc", "0"]

@@ -22,7 +22,6 @@ from kpi_lake.functions.clean import (
     decimal_gate,
     fill_null,
     floor_below,
-    label,
     map_lookup,
     normalize,
     recode,

@@ -8,6 +8,7 @@ on top of it.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -62,6 +63,28 @@ def _existing_schema(spark: SparkSession, lake: Lake, layer: str, name: str) ->
         return None
 
 
+def _fs_path(spark: SparkSession, path: str):
+    jvm = spark._jvm  # noqa: SLF001 - Hadoop FileSystem API for the swap, no data moves
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    return hpath, hpath.getFileSystem(spark._jsc.hadoopConfiguration())  # noqa: SLF001
+
+
+def _swap_into_place(spark: SparkSession, staged: str, path: str) -> None:
+    """Replace ``path`` by the fully written ``staged`` folder (two renames, then cleanup)."""
+    dst, fs = _fs_path(spark, path)
+    src, _ = _fs_path(spark, staged)
+    retired, _ = _fs_path(spark, f"{path}.__replaced-{uuid.uuid4().hex[:12]}")
+    had_old = fs.exists(dst)
+    if had_old and not fs.rename(dst, retired):
+        raise OSError(f"could not move {path} aside")
+    if not fs.rename(src, dst):
+        if had_old:
+            fs.rename(retired, dst)
+        raise OSError(f"could not move {staged} to {path}")
+    if had_old:
+        fs.delete(retired, True)
+
+
 def _merge_frame(df: DataFrame, old: StructType) -> DataFrame:
     """New rows carrying every old column: columns the new frame lacks are filled with null."""
     extra = [f for f in old.fields if f.name not in df.columns]
@@ -87,9 +110,14 @@ def write_table(
     schema_mode: str = "keep",
     partition_by: Sequence[str] = (),
     sort_within: Sequence[str] = (),
+    atomic: bool = True,
 ) -> str:
     """Full-refresh write of one table; returns its path.
 
+    With ``atomic`` (file formats, overwrite), the job writes into a staging folder next to the
+    table and the staging folder replaces the table only after the job has committed: a failed
+    job leaves the previous table intact, and a frame may overwrite the table it reads from.
+
     ``sort_within`` sorts each task's rows before writing (no shuffle): row groups then cover
     narrow key ranges, so a later filter on that key skips most of them from parquet statistics.
 
@@ -120,7 +148,18 @@ def write_table(
             writer = writer.option("mergeSchema", "true")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.save(path)
+    if atomic and mode == "overwrite" and lake.fmt != "delta":
+        staged = f"{path}.__staging-{uuid.uuid4().hex[:12]}"
+        try:
+            writer.save(staged)
+        except Exception:
+            staged_path, fs = _fs_path(spark, staged)
+            if fs.exists(staged_path):
+                fs.delete(staged_path, True)
+            raise
+        _swap_into_place(spark, staged, path)
+    else:
+        writer.save(path)
     return path
 
 

@@ -96,3 +96,19 @@ def test_full_refresh_is_idempotent(spark, scratch_dir):
         "thanks_to_project_support", "is_decent_work",
     ]
     assert "nom_employe" not in read_table(spark, lake, "gold", "firing").columns
+
+
+def test_atomic_overwrite_keeps_old_table_on_failure_and_allows_self_overwrite(spark, scratch_dir):
+    import os
+
+    lake = Lake(root=scratch_dir)
+    write_table(spark.createDataFrame([(1, "a")], "id int, v string"), lake, "gold", "t")
+    bad = spark.createDataFrame([(1, "x")], "id int, v string").select("id", F.raise_error(F.lit("boom")).cast("string").alias("v"))
+    with pytest.raises(Exception):
+        write_table(bad, lake, "gold", "t")
+    assert [tuple(r) for r in read_table(spark, lake, "gold", "t").collect()] == [(1, "a")]
+    # a frame derived from the table itself can replace it
+    cur = read_table(spark, lake, "gold", "t")
+    write_table(cur.withColumn("id", F.col("id") + 1), lake, "gold", "t")
+    assert [tuple(r) for r in read_table(spark, lake, "gold", "t").collect()] == [(2, "a")]
+    assert os.listdir(os.path.join(scratch_dir, "gold")) == ["t"]  # no staging or retired folders left

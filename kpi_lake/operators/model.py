@@ -6,8 +6,10 @@ under a context by its own predicates plus one ``left_semi`` join per relationsh
 which some filter arrives. Semi joins never multiply rows, so a measure over a scoped table is
 never inflated by a join.
 
-Join strategy is left to Spark: calendar dimensions (one row per distinct day, a bound fixed by
-the calendar) get a broadcast hint; every other dimension is left to AQE, which broadcasts a
+Join strategy is left to Spark: calendar dimensions get a broadcast hint. Their size is bounded
+by construction: one row per distinct day, and a date column has at most ~3.65 million distinct
+values (years 1-9999), i.e. tens of MB even when the source holds garbage dates; in practice a
+few thousand rows; every other dimension is left to AQE, which broadcasts a
 side only after measuring it below ``spark.sql.autoBroadcastJoinThreshold`` and otherwise keeps
 a shuffle join (with skewed partitions split).
 """

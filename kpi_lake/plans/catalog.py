@@ -381,6 +381,27 @@ def filter_blocked(spark, sf_dir):
     return evaluate(model(spark, sf_dir), ctx, ["total_attendance"], CATALOG)
 
 
+@query("filter_from_people")
+def filter_from_people(spark, sf_dir):
+    """Hires and dismissals filter the jobs they belong to (one side -> many side): a job with
+    several matching hires is counted once."""
+    m = model(spark, sf_dir)
+    full_time = C.EMPTY.where("hiring", C.equals("is_full_time", "yes"), "is_full_time")
+    young = C.EMPTY.where("firing", F.col("age") < F.lit(25), "age")
+    a = evaluate(m, full_time, ["total_jobs"], CATALOG).withColumnRenamed("total_jobs", "jobs_with_full_time_hires")
+    b = evaluate(m, young, ["total_jobs"], CATALOG).withColumnRenamed("total_jobs", "jobs_with_young_dismissals")
+    return a.crossJoin(b)
+
+
+@query("participants_by_category")
+def participants_by_category(spark, sf_dir):
+    """Businesses that attended activities, per business category (profile -> bridge)."""
+    from kpi_lake.operators.measures import Measure
+
+    businesses = Measure("businesses", "participant_updated", "count_distinct", column="msme_key", result_type="bigint")
+    return evaluate_by(model(spark, sf_dir), C.EMPTY, "success_profile", ["msme_category"], [businesses])
+
+
 @query("group_by_dimension")
 def group_by_dimension(spark, sf_dir):
     return D.attendance_by_support(model(spark, sf_dir), D.activity_context(activity_period=[(2024, 1)]))

@@ -492,6 +492,18 @@ SQL["group_by_dimension"] = q(
     "GROUP BY s.support_name HAVING sum(p.att) IS NOT NULL",
     ACT_Q1_CTX,
 )
+SQL["filter_from_people"] = q(
+    f"SELECT (SELECT {_sum('total_hired_employee')} FROM job_fact_g WHERE job_key IN "
+    "(SELECT job_key FROM hiring_g WHERE is_full_time = 'yes')) AS jobs_with_full_time_hires, "
+    f"(SELECT {_sum('total_hired_employee')} FROM job_fact_g WHERE job_key IN "
+    "(SELECT job_key FROM firing_g WHERE age < 25)) AS jobs_with_young_dismissals"
+)
+SQL["participants_by_category"] = q(
+    "SELECT m.msme_category, CAST(NULLIF(count(DISTINCT p.msme_key), 0) AS BIGINT) AS businesses "
+    "FROM (SELECT DISTINCT msme_key FROM participant_g) p "
+    "LEFT JOIN (SELECT msme_key, msme_category FROM success_profile_g) m ON p.msme_key = m.msme_key "
+    "GROUP BY m.msme_category HAVING count(DISTINCT p.msme_key) > 0"
+)
 SQL["bridge_count"] = q(
     "SELECT m.support_name, CAST(NULLIF(count(DISTINCT p.msme_key), 0) AS BIGINT) AS businesses "
     "FROM participant_g p LEFT JOIN (SELECT a.activity_id, s.support_name FROM activity_fact_g a "

@@ -139,3 +139,12 @@ def test_interaction_exception(model):
 def test_hierarchy_slicer(model):
     ctx = C.EMPTY.where("date_success", C.hierarchy(["year_success", "quarter_success"], [(2021,), (2022, 3)]), ("year_success", "quarter_success"))
     assert value(model, ctx, "total_msmes") == 2
+
+
+def test_grouped_measures_from_two_facts_are_joined_per_group(model):
+    both = {r["industry"]: (r["total_sales"], r["total_jobs"]) for r in evaluate_by(model, C.EMPTY, "success_profile", ["industry"], ["total_sales", "total_jobs", "total_msmes"], CATALOG).collect()}
+    sales = {r["industry"]: r["total_sales"] for r in evaluate_by(model, C.EMPTY, "success_profile", ["industry"], ["total_sales"], CATALOG).collect()}
+    jobs = {r["industry"]: r["total_jobs"] for r in evaluate_by(model, C.EMPTY, "success_profile", ["industry"], ["total_jobs"], CATALOG).collect()}
+    assert set(both) == set(sales) | set(jobs)
+    for k, (s, j) in both.items():
+        assert s == sales.get(k) and j == jobs.get(k)

@@ -37,9 +37,16 @@ def _restrict(
     return rows.join(keys, F.col(_fact_date_column(model, date_table, fact)) == F.col("__d"), "left_semi")
 
 
+def visible_bounds(model: StarModel, ctx: FilterContext, date_table: str, date_col: str):
+    """(first, last) visible calendar date as one scalar subquery, shared by month-to-date and
+    month shifts of the same context (Spark runs an identical subquery once)."""
+    b = model.scoped(date_table, ctx).select(F.struct(F.min(date_col).alias("lo"), F.max(date_col).alias("hi"))).scalar()
+    return b.getField("lo"), b.getField("hi")
+
+
 def month_to_date_dates(model: StarModel, ctx: FilterContext, date_table: str, date_col: str) -> DataFrame:
     """Calendar dates from the first of the month of the last visible date up to that date."""
-    hi = model.scoped(date_table, ctx).select(F.max(date_col)).scalar()
+    _, hi = visible_bounds(model, ctx, date_table, date_col)
     c = F.col(date_col)
     return model.tables[date_table].select(date_col).filter((c >= F.trunc(hi, "month")) & (c <= hi))
 
@@ -64,8 +71,7 @@ def shifted_dates(
     moved = visible.select(F.add_months(c, months).alias("__d"))
     dates = calendar.join(moved, c == F.col("__d"), "left_semi")
     if extend_month_end:
-        lo = visible.select(F.min(date_col)).scalar()
-        hi = visible.select(F.max(date_col)).scalar()
+        lo, hi = visible_bounds(model, ctx, date_table, date_col)
         whole_months = (lo == F.trunc(lo, "month")) & (hi == F.last_day(hi))
         moved_hi = F.add_months(hi, months)
         tail = calendar.filter(whole_months & (c > moved_hi) & (c <= F.last_day(moved_hi)))
@@ -100,4 +106,4 @@ def shift_months(base: Measure, date_table: str, date_col: str, name: str, month
     return dataclasses.replace(base, name=name, scope=scope, date_set=DateSet(date_table, date_col, dates, back))
 
 
-__all__ = ["month_to_date", "month_to_date_dates", "shift_months", "shifted_dates"]
+__all__ = ["month_to_date", "month_to_date_dates", "shift_months", "shifted_dates", "visible_bounds"]

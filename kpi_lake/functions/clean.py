@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (
     DataType,
     DecimalType,
+    DoubleType,
+    FloatType,
     NumericType,
     StringType,
 )
@@ -121,16 +123,21 @@ def _literal_like(value: object, dtype: DataType) -> Column:
     return F.lit(value).cast(dtype)
 
 
-def fill_null(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
+def fill_null(df: DataFrame, defaults: Mapping[str, object], nan_as_null: bool = False) -> DataFrame:
     """Null -> default per column; the default is cast to the column's type.
 
-    A text column keeps its text type (a numeric default becomes its string form).
+    A text column keeps its text type (a numeric default becomes its string form). A null test
+    does not see NaN; with ``nan_as_null`` a NaN in a float column is treated as missing too.
     """
+
+    def value_of(name: str) -> Column:
+        dtype = column_type(df, name)
+        if nan_as_null and isinstance(dtype, (FloatType, DoubleType)):
+            return F.nanvl(F.col(name), F.lit(None).cast(dtype))
+        return F.col(name)
+
     return df.withColumns(
-        {
-            name: F.coalesce(F.col(name), _literal_like(value, column_type(df, name)))
-            for name, value in defaults.items()
-        }
+        {name: F.coalesce(value_of(name), _literal_like(value, column_type(df, name))) for name, value in defaults.items()}
     )
 
 

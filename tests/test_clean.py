@@ -188,3 +188,11 @@ def test_text_compared_as_plain_number_only(spark):
     df = one_col(spark, "income", ["2e4", " 24999.5 ", "+100", "1,000", "24999.", "abc", "-5"])
     out = clean.floor_below(df, "income", P.INCOME_FLOOR, 0).orderBy("i")
     assert col_values(out, "income") == ["2e4", "0", "0", "1,000", "0", "abc", "0"]
+
+
+def test_nan_is_not_null_unless_asked(spark):
+    df = one_col(spark, "n", [float("nan"), None, 2.0], DoubleType())
+    kept = clean.fill_null(df, {"n": 1}).orderBy("i")
+    assert [v != v for v in col_values(kept, "n")] == [True, False, False]  # NaN survives a null test
+    fixed = clean.fill_null(df, {"n": 1}, nan_as_null=True).orderBy("i")
+    assert col_values(fixed, "n") == [1.0, 1.0, 2.0]

@@ -21,3 +21,11 @@ def test_incremental_refresh_matches_batch(spark, scratch_dir):
     got = sorted(map(tuple, read_table(spark, lake, "silver", "sales_updated").collect()))
     want = sorted(map(tuple, silver_sales(first.unionByName(second)).collect()))
     assert got == want
+
+
+def test_command_line_refresh_and_page(spark, scratch_dir):
+    from kpi_lake.__main__ import main
+
+    assert main(["refresh", "--sf-dir", "/root/testdata/sf0.001", "--lake", scratch_dir, "--parallelism", "2"]) == 0
+    assert main(["page", "performance", "--lake", scratch_dir]) == 0
+    assert main(["page", "registration", "--lake", scratch_dir, "--year", "1996"]) == 0

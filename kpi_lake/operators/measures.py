@@ -236,6 +236,22 @@ def _date_set_frame(model: StarModel, ctx: FilterContext, table: str, date_table
     return joined.agg(*[m.aggregate(where=F.col(f"__f{i}")) for i, (m, _) in enumerate(members)])
 
 
+def one_row(*frames: DataFrame) -> DataFrame:
+    """Put the columns of several one-row aggregates side by side, without a join.
+
+    Each frame becomes one struct-valued scalar subquery (Spark runs them as ordinary
+    distributed aggregations and inlines the single resulting value); the fields are projected
+    onto a single row. Column names and types are kept.
+    """
+    if len(frames) == 1:
+        return frames[0]
+    cols = []
+    for f in frames:
+        packed = f.select(F.struct(*[F.col(c) for c in f.columns]).alias("__row")).scalar()
+        cols += [packed.getField(c).alias(c) for c in f.columns]
+    return frames[0].sparkSession.range(1).select(*cols)
+
+
 def evaluate(model: StarModel, ctx: FilterContext, measures: Sequence[Item | str], catalog: Catalog | None = None) -> DataFrame:
     """All requested measures as one row."""
     base, derived, names = _as_items(catalog, measures)
@@ -277,7 +293,7 @@ def evaluate(model: StarModel, ctx: FilterContext, measures: Sequence[Item | str
             groups.append(((m.table, eff), [m]))
     frames = [members[0].rows(model, ctx).agg(*[m.aggregate() for m in members]) for _, members in groups]
     frames += [_date_set_frame(model, ctx, t, dt, members) for (t, dt), members in dated.items()]
-    row = reduce(lambda a, b: a.crossJoin(b), frames)
+    row = one_row(*frames)
     if derived:
         row = row.select("*", *[d.column() for d in derived])
     return row.select(*names)
@@ -335,14 +351,15 @@ def implicit_aggregates(df: DataFrame, summarize: Mapping[str, str], fields: Seq
 
 
 def share_of_total(df: DataFrame, value: str, name: str = "share") -> DataFrame:
-    """Each row's share of the column total; the total is a one-row aggregate joined back."""
-    total = df.agg(F.sum(F.col(value)).alias("__total"))
-    return df.crossJoin(total).withColumn(name, F.col(value).cast("double") / F.col("__total").cast("double")).drop("__total")
+    """Each row's share of the column total; the total is a scalar subquery (no join)."""
+    total = df.agg(F.sum(F.col(value))).scalar()
+    return df.withColumn(name, F.col(value).cast("double") / total.cast("double"))
 
 
 __all__ = [
     "Catalog",
     "DateSet",
+    "one_row",
     "Derived",
     "Measure",
     "evaluate",

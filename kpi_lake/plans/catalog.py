@@ -22,7 +22,7 @@ from kpi_lake.functions.calendar import add_calendar, parse_date
 from kpi_lake.functions.formatting import format_kpi
 from kpi_lake.operators import context as C
 from kpi_lake.operators import star
-from kpi_lake.operators.measures import evaluate, evaluate_by, implicit_aggregates
+from kpi_lake.operators.measures import evaluate, evaluate_by, implicit_aggregates, one_row
 from kpi_lake.plans import dashboard as D
 from kpi_lake.plans import pipelines as P
 from kpi_lake.plans.semantic import CATALOG, SUMMARIZE_BY, build_model
@@ -390,7 +390,7 @@ def filter_from_people(spark, sf_dir):
     young = C.EMPTY.where("firing", F.col("age") < F.lit(25), "age")
     a = evaluate(m, full_time, ["total_jobs"], CATALOG).withColumnRenamed("total_jobs", "jobs_with_full_time_hires")
     b = evaluate(m, young, ["total_jobs"], CATALOG).withColumnRenamed("total_jobs", "jobs_with_young_dismissals")
-    return a.crossJoin(b)
+    return one_row(a, b)
 
 
 @query("participants_by_category")
@@ -563,14 +563,14 @@ def slicer_between(spark, sf_dir):
     m = model(spark, sf_dir)
     lo, hi = D.standin_sales_range()
     days = m.tables["date_sales"].filter(C.between("date_sales_id", lo, hi)).agg(F.count(F.lit(1)).alias("days"))
-    return days.crossJoin(evaluate(m, D.performance_context(jobs_until=""), ["total_sales"], CATALOG))
+    return one_row(days, evaluate(m, D.performance_context(jobs_until=""), ["total_sales"], CATALOG))
 
 
 @query("slicer_until")
 def slicer_until(spark, sf_dir):
     m = model(spark, sf_dir)
     days = m.tables["date_job"].filter(C.until("date_job_id", D.standin_jobs_until())).agg(F.count(F.lit(1)).alias("days"))
-    return days.crossJoin(evaluate(m, D.performance_context(sales_range=()), ["total_jobs"], CATALOG))
+    return one_row(days, evaluate(m, D.performance_context(sales_range=()), ["total_jobs"], CATALOG))
 
 
 @query("filter_context")
@@ -615,14 +615,13 @@ NOT_NULL_COLUMNS = {
 @query("not_null_check")
 def not_null_check(spark, sf_dir):
     """Null counts of the declared not-nullable columns (nothing enforces the declaration)."""
-    from functools import reduce
 
     g = gold(spark, sf_dir)
     frames = [
         star.null_keys(g[t], cols).select(*[F.col(f"{c}_nulls").alias(f"{t}__{c}") for c in cols])
         for t, cols in NOT_NULL_COLUMNS.items()
     ]
-    return reduce(lambda a, b: a.crossJoin(b), frames)
+    return one_row(*frames)
 
 
 @query("format_dates")

@@ -239,17 +239,16 @@ def _date_set_frame(model: StarModel, ctx: FilterContext, table: str, date_table
 def one_row(*frames: DataFrame) -> DataFrame:
     """Put the columns of several one-row aggregates side by side, without a join.
 
-    Each frame becomes one struct-valued scalar subquery (Spark runs them as ordinary
-    distributed aggregations and inlines the single resulting value); the fields are projected
-    onto a single row. Column names and types are kept.
+    The frames (each exactly one row, distinct column names) are stacked with ``unionByName``
+    (missing columns null) and folded back to one row by taking each column's non-null value:
+    an aggregate over as many rows as there are frames. Names and types are kept; a measure
+    that is itself blank stays null.
     """
     if len(frames) == 1:
         return frames[0]
-    cols = []
-    for f in frames:
-        packed = f.select(F.struct(*[F.col(c) for c in f.columns]).alias("__row")).scalar()
-        cols += [packed.getField(c).alias(c) for c in f.columns]
-    return frames[0].sparkSession.range(1).select(*cols)
+    cols = [c for f in frames for c in f.columns]
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    return stacked.agg(*[F.first(F.col(c), ignorenulls=True).alias(c) for c in cols])
 
 
 def evaluate(model: StarModel, ctx: FilterContext, measures: Sequence[Item | str], catalog: Catalog | None = None) -> DataFrame:

@@ -4,7 +4,7 @@ Evaluation plan (one-row results):
   * measures are grouped by the row set they aggregate (table + effective context, or a custom
     scope such as month-to-date); each group is ONE ``agg`` over its scoped table, so a page that
     asks five measures of one fact scans that fact once;
-  * the one-row frames are cross-joined (each side is exactly one row);
+  * the one-row frames are stacked and folded into one row (no join);
   * derived measures (targets, ratios) are plain column arithmetic on that row.
 
 Grouped results (charts) pre-aggregate the fact by its join key before joining the mapping to

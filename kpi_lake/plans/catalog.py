@@ -45,20 +45,32 @@ def query(name: str):
 # --- layers as lazy frames -------------------------------------------------------------------------
 
 
-def bronze(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return bronze_from_sources(spark, sf_dir)
+# Layer frames are immutable lazy plans: queries of one session over one folder share them, so
+# each table is analysed once, not once per query.
+_LAYERS: dict[tuple[int, str, str], object] = {}
 
 
-def silver(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return P.silver_from_bronze(bronze(spark, sf_dir))
+def _memo(spark: SparkSession, sf_dir: str, layer: str, build):
+    key = (id(spark._jsparkSession), sf_dir, layer)  # noqa: SLF001
+    if key not in _LAYERS:
+        _LAYERS[key] = build()
+    return _LAYERS[key]
 
 
-def gold(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return P.gold_from_silver(silver(spark, sf_dir))
+def bronze(spark: SparkSession, sf_dir: str):
+    return _memo(spark, sf_dir, "bronze", lambda: bronze_from_sources(spark, sf_dir))
+
+
+def silver(spark: SparkSession, sf_dir: str):
+    return _memo(spark, sf_dir, "silver", lambda: P.silver_from_bronze(bronze(spark, sf_dir)))
+
+
+def gold(spark: SparkSession, sf_dir: str):
+    return _memo(spark, sf_dir, "gold", lambda: P.gold_from_silver(silver(spark, sf_dir)))
 
 
 def model(spark: SparkSession, sf_dir: str):
-    return build_model(gold(spark, sf_dir))
+    return _memo(spark, sf_dir, "model", lambda: build_model(gold(spark, sf_dir)))
 
 
 def gold_model(spark: SparkSession, lake: Lake):

@@ -41,6 +41,8 @@ class DateSet:
     # The set lies within [first of month of the range start - months_before months, range end)
     # of a literal date range on the calendar; None when no such bound holds.
     months_before: int | None = 0
+    # Optional row-wise membership test over the calendar's own columns (no join needed).
+    flag: Callable[[StarModel, FilterContext], Column] | None = None
 
 
 def date_set_bounds(ctx: FilterContext, sets: Sequence[DateSet]) -> tuple | None:
@@ -220,12 +222,19 @@ def _date_set_frame(model: StarModel, ctx: FilterContext, table: str, date_table
     """
     fact_col = _direct_date_column(model, date_table, table)
     cal_col = members[0][1].date_col
-    flags = model.tables[date_table].select(F.col(cal_col).alias("__d")).distinct()
+    calendar = model.tables[date_table]
+    flag_cols: list[Column] = []
+    joined_sets: list[tuple[int, DataFrame]] = []
     for i, (_, ds) in enumerate(members):
-        dates = ds.dates(model, ctx).select(F.col(ds.date_col).alias(f"__s{i}")).distinct()
-        flags = flags.join(dates, F.col("__d") == F.col(f"__s{i}"), "left")
-    flag_cols = [F.col(f"__s{i}").isNotNull().alias(f"__f{i}") for i in range(len(members))]
-    flags = flags.select("__d", *flag_cols)
+        if ds.flag is not None:
+            flag_cols.append(F.coalesce(ds.flag(model, ctx), F.lit(False)).alias(f"__f{i}"))
+        else:
+            joined_sets.append((i, ds.dates(model, ctx).select(F.col(ds.date_col).alias(f"__s{i}")).distinct()))
+    flags = calendar.select(F.col(cal_col).alias("__d"), *flag_cols).distinct()
+    for i, dates in joined_sets:
+        flags = flags.join(dates, F.col("__d") == F.col(f"__s{i}"), "left").withColumn(
+            f"__f{i}", F.col(f"__s{i}").isNotNull()
+        ).drop(f"__s{i}")
     flags = flags.filter(reduce(lambda a, b: a | b, [F.col(f"__f{i}") for i in range(len(members))]))
     rows = model.scoped(table, ctx.removing_table(date_table))
     bounds = date_set_bounds(ctx, [ds for _, ds in members])
@@ -277,7 +286,12 @@ def evaluate(model: StarModel, ctx: FilterContext, measures: Sequence[Item | str
             if target is not None:
                 dt = target[1]
                 col = dated[target][0][1].date_col
-                visible = DateSet(dt, col, lambda model, ctx, dt=dt, col=col: model.scoped(dt, ctx).select(col))
+                visible = DateSet(
+                    dt,
+                    col,
+                    lambda model, ctx, dt=dt, col=col: model.scoped(dt, ctx).select(col),
+                    flag=lambda model, ctx, dt=dt: ctx.predicate_for(dt),
+                )
                 dated[target].append((m, visible))
                 continue
         if m.scope is not None:

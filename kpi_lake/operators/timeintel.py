@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import dataclasses
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kpi_lake.operators.context import FilterContext, range_predicate
@@ -85,10 +85,15 @@ def month_to_date(base: Measure, date_table: str, date_col: str, name: str) -> M
     def dates(model: StarModel, ctx: FilterContext) -> DataFrame:
         return month_to_date_dates(model, ctx, date_table, date_col)
 
+    def flag(model: StarModel, ctx: FilterContext) -> Column:
+        _, hi = visible_bounds(model, ctx, date_table, date_col)
+        c = F.col(date_col)
+        return (c >= F.trunc(hi, "month")) & (c <= hi)
+
     def scope(model: StarModel, ctx: FilterContext) -> DataFrame:
         return _restrict(model, ctx, base.table, date_table, dates(model, ctx), date_col, 0)
 
-    return dataclasses.replace(base, name=name, scope=scope, date_set=DateSet(date_table, date_col, dates, 0))
+    return dataclasses.replace(base, name=name, scope=scope, date_set=DateSet(date_table, date_col, dates, 0, flag))
 
 
 def shift_months(base: Measure, date_table: str, date_col: str, name: str, months: int = -1, extend_month_end: bool = True) -> Measure:

@@ -66,7 +66,7 @@ class FilterContext:
     def merge(self, other: FilterContext) -> FilterContext:
         return FilterContext(self.filters + other.filters)
 
-    # --- editing (CALCULATE-style) -------------------------------------------------------------
+    # --- editing (a measure replacing filters) -------------------------------------------------------------
     def without(self, *names: str) -> FilterContext:
         """Drop the named slicers (a visual that a slicer does not interact with)."""
         return FilterContext(tuple(f for f in self.filters if f.name not in names))

@@ -69,7 +69,7 @@ class Measure:
     kind: ``sum`` | ``count_rows`` | ``count_where`` | ``count_distinct``.
     ``cast`` is applied to the column before summing (e.g. a decimal for money held as double,
     so the total does not depend on the order of additions). ``context`` edits the filter
-    context first (CALCULATE-style replacement); ``scope`` replaces the row set altogether.
+    context first (a measure replacing the filter on a column); ``scope`` replaces the row set altogether.
     """
 
     name: str

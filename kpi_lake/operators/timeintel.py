@@ -80,7 +80,7 @@ def shifted_dates(
 
 
 def month_to_date(base: Measure, date_table: str, date_col: str, name: str) -> Measure:
-    """``CALCULATE(base, DATESMTD(date_col))``."""
+    """``base`` over the month-to-date dates of the calendar (replacing the calendar's filter)."""
 
     def dates(model: StarModel, ctx: FilterContext) -> DataFrame:
         return month_to_date_dates(model, ctx, date_table, date_col)
@@ -97,7 +97,7 @@ def month_to_date(base: Measure, date_table: str, date_col: str, name: str) -> M
 
 
 def shift_months(base: Measure, date_table: str, date_col: str, name: str, months: int = -1, extend_month_end: bool = True) -> Measure:
-    """``CALCULATE(base, DATEADD(date_col, months, MONTH))``."""
+    """``base`` over the visible calendar dates moved by ``months`` (replacing the calendar's filter)."""
 
     def dates(model: StarModel, ctx: FilterContext) -> DataFrame:
         return shifted_dates(model, ctx, date_table, date_col, months, extend_month_end)

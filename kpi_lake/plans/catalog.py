@@ -114,7 +114,7 @@ def sink_replace_schema(spark, sf_dir):
     """An older success_fact (income as text, an extra column) is replaced with the new schema."""
     lake = scratch_lake(spark, sf_dir, "sink_replace_schema")
     fact = gold(spark, sf_dir)["success_fact"]
-    old = fact.limit(0).withColumn("annual_income", F.col("annual_income").cast("string")).withColumn("legacy", F.lit(1))
+    old = fact.withColumn("annual_income", F.col("annual_income").cast("string")).withColumn("legacy", F.lit(1))
     write_table(old, lake, "gold", "success_fact", schema_mode="replace")
     write_table(fact, lake, "gold", "success_fact", schema_mode="replace")
     return read_table(spark, lake, "gold", "success_fact")
@@ -125,7 +125,7 @@ def sink_merge_schema(spark, sf_dir):
     """activity_fact written over an older version that had ``area_id``: the column survives."""
     lake = scratch_lake(spark, sf_dir, "sink_merge_schema")
     fact = gold(spark, sf_dir)["activity_fact"]
-    old = fact.limit(0).withColumn("area_id", F.lit(None).cast("bigint"))
+    old = fact.withColumn("area_id", F.col("partner_id"))
     write_table(old, lake, "gold", "activity_fact", schema_mode="replace")
     write_table(fact, lake, "gold", "activity_fact", schema_mode="merge")
     return read_table(spark, lake, "gold", "activity_fact")

@@ -148,3 +148,37 @@ def test_grouped_measures_from_two_facts_are_joined_per_group(model):
     assert set(both) == set(sales) | set(jobs)
     for k, (s, j) in both.items():
         assert s == sales.get(k) and j == jobs.get(k)
+
+
+# (slicer table, filtered column, table of a measure, reached?) — the reach table of the pages.
+REACH = [
+    ("success_profile", "departement", "success_profile", True),
+    ("success_profile", "departement", "success_fact", True),
+    ("success_profile", "departement", "date_success", False),
+    ("date_success", "year_success", "success_fact", True),
+    ("date_success", "year_success", "success_profile", True),
+    ("date_success", "year_success", "sales_fact", True),
+    ("date_success", "year_success", "job_fact", True),
+    ("date_success", "year_success", "activity_fact", False),
+    ("date_activity", "year_activity", "activity_fact", True),
+    ("date_activity", "year_activity", "participant_updated", True),
+    ("date_activity", "year_activity", "success_fact", False),
+    ("date_activity", "year_activity", "success_profile", False),
+    ("date_sales", "date_sales_id", "sales_fact", True),
+    ("date_sales", "date_sales_id", "job_fact", False),
+    ("date_sales", "date_sales_id", "success_profile", False),
+    ("date_job", "date_job_id", "job_fact", True),
+    ("date_job", "date_job_id", "sales_fact", False),
+    ("success_profile", "msme_category", "sales_fact", True),
+    ("success_profile", "msme_category", "job_fact", True),
+    ("success_profile", "msme_category", "activity_fact", False),
+    ("hiring", "age", "job_fact", True),
+    ("firing", "age", "job_fact", True),
+    ("job_fact", "msme_key", "hiring", False),
+]
+
+
+@pytest.mark.parametrize("slicer_table, column, target, reached", REACH)
+def test_reach_of_every_slicer(model, slicer_table, column, target, reached):
+    ctx = C.EMPTY.where(slicer_table, F.col(column).isNotNull(), column)
+    assert model.is_filtered(target, ctx) is reached

@@ -115,22 +115,29 @@ class Measure:
         return self._finish(agg)
 
     # --- two-phase form for grouped evaluation ------------------------------------------------
+    @property
+    def decomposable(self) -> bool:
+        """Partial results per key add up to the group result (sums and counts)."""
+        return self.kind in ("sum", "count_rows", "count_where")
+
+    def partial_agg(self) -> Column:
+        """Per-key partial aggregate of a decomposable measure."""
+        if self.kind == "sum":
+            return F.sum(self._value())
+        if self.kind == "count_rows":
+            return F.count(F.lit(1))
+        return F.count(F.when(self.condition(), F.lit(1)))  # type: ignore[misc]
+
     def partial(self, df: DataFrame, key: str) -> DataFrame:
         """Per join key: partial aggregate in ``__p`` (or distinct values for count_distinct)."""
         if self.kind == "count_distinct":
             return df.select(F.col(key).alias("__k"), F.col(self.column).alias("__p")).distinct()  # type: ignore[arg-type]
-        if self.kind == "sum":
-            p = F.sum(self._value())
-        elif self.kind == "count_rows":
-            p = F.count(F.lit(1))
-        else:
-            p = F.count(F.when(self.condition(), F.lit(1)))  # type: ignore[misc]
-        return df.groupBy(F.col(key).alias("__k")).agg(p.alias("__p"))
+        return df.groupBy(F.col(key).alias("__k")).agg(self.partial_agg().alias("__p"))
 
-    def final(self) -> Column:
+    def final(self, partial_col: str = "__p") -> Column:
         if self.kind == "count_distinct":
-            return self._finish(F.count_distinct(F.col("__p")))
-        return self._finish(F.sum(F.col("__p")))
+            return self._finish(F.count_distinct(F.col(partial_col)))
+        return self._finish(F.sum(F.col(partial_col)))
 
     def rows(self, model: StarModel, ctx: FilterContext) -> DataFrame:
         if self.scope is not None:
@@ -327,16 +334,40 @@ def evaluate_by(
     """
     base, derived, names = _as_items(catalog, measures)
     group_cols = list(group_cols)
-    parts: list[DataFrame] = []
+    # Decomposable measures of one table under one effective context share a scan, a
+    # pre-aggregation and a join; the others are evaluated one by one.
+    batches: list[list[Measure]] = []
     for m in base:
-        rows = m.rows(model, ctx)
-        if m.table == group_table:
-            parts.append(rows.groupBy(*group_cols).agg(m.aggregate()))
+        for batch in batches:
+            head = batch[0]
+            if (
+                m.decomposable
+                and head.decomposable
+                and m.scope is None
+                and head.scope is None
+                and head.table == m.table
+                and head.effective(ctx).same_as(m.effective(ctx))
+            ):
+                batch.append(m)
+                break
+        else:
+            batches.append([m])
+    parts: list[DataFrame] = []
+    for batch in batches:
+        head = batch[0]
+        rows = head.rows(model, ctx)
+        if head.table == group_table:
+            parts.append(rows.groupBy(*group_cols).agg(*[m.aggregate() for m in batch]))
             continue
-        join_col, mapping = model.group_mapping(group_table, group_cols, m.table, ctx)
-        partial = m.partial(rows, join_col)
+        join_col, mapping = model.group_mapping(group_table, group_cols, head.table, ctx)
+        if len(batch) == 1:
+            partial = head.partial(rows, join_col)
+            finals = [head.final("__p")]
+        else:
+            partial = rows.groupBy(F.col(join_col).alias("__k")).agg(*[m.partial_agg().alias(f"__p{i}") for i, m in enumerate(batch)])
+            finals = [m.final(f"__p{i}") for i, m in enumerate(batch)]
         joined = partial.join(mapping, F.col("__k") == F.col("__gkey"), "left")
-        parts.append(joined.groupBy(*group_cols).agg(m.final()))
+        parts.append(joined.groupBy(*group_cols).agg(*finals))
     out = parts[0]
     for nxt in parts[1:]:
         a, b = out.alias("a"), nxt.alias("b")

@@ -182,3 +182,15 @@ REACH = [
 def test_reach_of_every_slicer(model, slicer_table, column, target, reached):
     ctx = C.EMPTY.where(slicer_table, F.col(column).isNotNull(), column)
     assert model.is_filtered(target, ctx) is reached
+
+
+def test_grouped_measures_of_one_fact_share_a_scan(model, spark):
+    from kpi_lake.operators.measures import Measure
+
+    fired = Measure("fired", "job_fact", "sum", column="total_fired_employee", result_type="bigint")
+    reports = Measure("reports", "job_fact", "count_rows", result_type="bigint")
+    df = evaluate_by(model, C.EMPTY, "success_profile", ["industry"], ["total_jobs", fired, reports], CATALOG)
+    rows = {r["industry"]: (r["total_jobs"], r["fired"], r["reports"]) for r in df.collect()}
+    assert rows == {"Services": (5, 1, 1), "Commerce": (3, 0, 1), "Agribusiness": (2, 2, 1)}
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("SortMergeJoin") + plan.count("BroadcastHashJoin") == 1  # one join to the mapping

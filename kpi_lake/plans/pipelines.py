@@ -361,6 +361,15 @@ def gold_from_silver(silver: Mapping[str, DataFrame]) -> LazyFrames:
 
 # Facts are written sorted by their date key within each task, so date slicers prune row groups.
 FACT_DATE_COLUMNS = {"sales_fact": ["date_sales_id"], "job_fact": ["date_job_id"]}
+FACT_KEYS = {"sales_fact": "sales_key", "job_fact": "job_key"}
+
+
+def _for_date_partitions(df: DataFrame, date_key: Sequence[str], fact_key: str) -> DataFrame:
+    """Range-partition by (date, fact key) before a write partitioned by date: each task holds
+    a contiguous slice, so a day yields few files, and a day holding a third of all rows is
+    still split over many tasks by the fact key (hash-partitioning by the date alone would put
+    it in one task)."""
+    return df.repartitionByRange(*[F.col(c) for c in date_key], F.col(fact_key))
 
 
 @dataclass
@@ -431,7 +440,7 @@ def silver_to_gold_tasks(spark: SparkSession, lake: Lake, partition_facts: bool
             date_key = FACT_DATE_COLUMNS.get(name, [])
             tasks.append(
                 lambda name=name, df=df, date_key=date_key: write_table(
-                    df.repartition(*date_key) if (partition_facts and date_key) else df,
+                    _for_date_partitions(df, date_key, FACT_KEYS[name]) if (partition_facts and date_key) else df,
                     lake,
                     "gold",
                     name,

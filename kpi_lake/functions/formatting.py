@@ -19,7 +19,8 @@ def format_kpi(value: Column | str, pattern: str = "integer", unit: int = 1) ->
     """Text of a KPI value.
 
     pattern: ``integer`` ("0"), ``currency0`` ("$#,0;($#,0)"), ``currency2`` ("$#,0.00;($#,0.00)"),
-    ``date`` ("m/d/yyyy"). ``unit`` divides the value and appends K / M. Null stays null (blank).
+    ``currency`` ("$#,0.###...": decimals only as needed, here up to 6), ``date`` ("m/d/yyyy").
+    ``unit`` divides the value and appends K / M. Null stays null (blank).
     """
     col = F.col(value) if isinstance(value, str) else value
     if pattern == "date":
@@ -32,9 +33,12 @@ def format_kpi(value: Column | str, pattern: str = "integer", unit: int = 1) ->
         body = F.concat(_number_text(scaled, 0), suffix)
         body = F.regexp_replace(body, ",", "")
         return F.when(col.isNull(), F.lit(None)).when(scaled < 0, F.concat(F.lit("-"), body)).otherwise(body)
-    if pattern in ("currency0", "currency2"):
-        decimals = 0 if pattern == "currency0" else 2
-        body = F.concat(F.lit("$"), _number_text(scaled, decimals), suffix)
+    if pattern in ("currency0", "currency2", "currency"):
+        decimals = {"currency0": 0, "currency2": 2, "currency": 6}[pattern]
+        digits = _number_text(scaled, decimals)
+        if pattern == "currency":
+            digits = F.regexp_replace(digits, r"\.?0+$", "")
+        body = F.concat(F.lit("$"), digits, suffix)
         return (
             F.when(col.isNull(), F.lit(None))
             .when(F.round(scaled.cast("decimal(38,6)"), decimals) < 0, F.concat(F.lit("("), body, F.lit(")")))

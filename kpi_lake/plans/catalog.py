@@ -523,6 +523,17 @@ def page_activity(spark, sf_dir):
     return D.page(model(spark, sf_dir), D.activity_context(), "activity")
 
 
+@query("page_performance_text")
+def page_performance_text(spark, sf_dir):
+    """The performance page's cards as text in their display formats."""
+    return D.page_text(model(spark, sf_dir), D.performance_context(), "performance")
+
+
+@query("page_activity_text")
+def page_activity_text(spark, sf_dir):
+    return D.page_text(model(spark, sf_dir), D.activity_context(), "activity")
+
+
 @query("page_activity_q1")
 def page_activity_q1(spark, sf_dir):
     """The activity page with the first quarter of 2024 picked in the activity-period slicer."""

@@ -206,6 +206,15 @@ def page(model: StarModel, ctx: FilterContext, name: str) -> DataFrame:
     return evaluate(model, ctx, PAGE_MEASURES[name], CATALOG)
 
 
+def page_text(model: StarModel, ctx: FilterContext, name: str) -> DataFrame:
+    """The page's cards as displayed: each value in its measure's format (blank stays null)."""
+    from kpi_lake.functions.formatting import format_kpi
+    from kpi_lake.plans.semantic import MEASURE_FORMATS
+
+    row = page(model, ctx, name)
+    return row.select(*[format_kpi(c, MEASURE_FORMATS.get(c, "integer")).alias(c) for c in row.columns])
+
+
 __all__ = [
     "INTERACTION_EXCEPTIONS",
     "PAGE_MEASURES",
@@ -216,6 +225,7 @@ __all__ = [
     "gauge",
     "loan_by_category",
     "page",
+    "page_text",
     "performance_context",
     "registration_context",
     "share_by_category",

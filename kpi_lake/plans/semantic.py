@@ -54,6 +54,25 @@ SUMMARIZE_BY = {
     "success_profile": {"business_owner_age": "sum"},
 }
 
+# Display format of each measure (model format strings: "0" -> integer,
+# "$#,0" -> currency0, "$#,0.###..." -> currency).
+MEASURE_FORMATS = {
+    "total_msmes": "integer",
+    "total_jobs": "integer",
+    "total_sales": "currency",
+    "total_loan": "currency0",
+    "msme_target": "integer",
+    "total_attendance": "integer",
+    "training_days": "integer",
+    "loan_approved": "integer",
+    "current_month_sales": "currency",
+    "last_month_sales": "currency",
+    "sales_target": "currency",
+    "jobs_target": "integer",
+    "current_month_jobs": "integer",
+    "last_month_jobs": "integer",
+}
+
 # Target multipliers.
 ENTITY_TARGET_FACTOR = 1.1
 SALES_TARGET_FACTOR = 1.05

@@ -673,6 +673,68 @@ SQL["not_null_check"] = q(
 SQL["format_dates"] = q("SELECT date_job_id, strftime(date_job_id, '%-m/%-d/%Y') AS date_job_text FROM date_job_g")
 
 
+def _fmt(v: str, kind: str) -> str:
+    """SQL twin of the display formats (integer, currency0, currency)."""
+    dec = f"CAST({v} AS DECIMAL(38,6))"
+    if kind == "integer":
+        body = f"replace(format('{{:,.0f}}', round(abs({dec}), 0)), ',', '')"
+        return f"CASE WHEN {v} IS NULL THEN NULL WHEN {v} < 0 THEN '-' || {body} ELSE {body} END"
+    places = 0 if kind == "currency0" else 6
+    digits = f"format('{{:,.{places}f}}', round(abs({dec}), {places}))"
+    if kind == "currency":
+        digits = f"regexp_replace({digits}, '\\.?0+$', '')"
+    body = f"'$' || {digits}"
+    return f"CASE WHEN {v} IS NULL THEN NULL WHEN round({dec}, {places}) < 0 THEN '(' || {body} || ')' ELSE {body} END"
+
+
+_FORMATS = {
+    "total_msmes": "integer",
+    "total_jobs": "integer",
+    "total_sales": "currency",
+    "total_loan": "currency0",
+    "msme_target": "integer",
+    "total_attendance": "integer",
+    "training_days": "integer",
+    "loan_approved": "integer",
+    "current_month_sales": "currency",
+    "last_month_sales": "currency",
+    "sales_target": "currency",
+    "jobs_target": "integer",
+    "current_month_jobs": "integer",
+    "last_month_jobs": "integer",
+}
+
+
+def _text_of(key: str) -> str:
+    """Wrap a one-row page query so every card is shown in its display format."""
+    sql = SQL[key]
+    head, _, body = sql.rpartition("\nSELECT ")
+    inner = "SELECT " + body
+    cols = [c.strip().split(" AS ")[-1] for c in _split_top(body)]
+    outer = ", ".join(f"{_fmt(c, _FORMATS[c])} AS {c}" for c in cols)
+    return f"{head}\nSELECT {outer} FROM ({inner}) page_row"
+
+
+def _split_top(select_list: str) -> list[str]:
+    out, depth, cur = [], 0, []
+    for ch in select_list:
+        if ch == "(":
+            depth += 1
+        elif ch == ")":
+            depth -= 1
+        if ch == "," and depth == 0:
+            out.append("".join(cur))
+            cur = []
+        else:
+            cur.append(ch)
+    out.append("".join(cur))
+    return out
+
+
+SQL["page_performance_text"] = _text_of("page_performance")
+SQL["page_activity_text"] = _text_of("page_activity")
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(SQL)
 

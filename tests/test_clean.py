@@ -196,3 +196,11 @@ def test_nan_is_not_null_unless_asked(spark):
     assert [v != v for v in col_values(kept, "n")] == [True, False, False]  # NaN survives a null test
     fixed = clean.fill_null(df, {"n": 1}, nan_as_null=True).orderBy("i")
     assert col_values(fixed, "n") == [1.0, 1.0, 2.0]
+
+
+def test_currency_with_optional_decimals(spark):
+    from kpi_lake.functions.formatting import format_kpi
+
+    df = spark.createDataFrame([(1, 1230.0), (2, 10.5), (3, -142275580.65), (4, 100.0), (5, None)], "i int, v double")
+    out = df.select("i", format_kpi("v", "currency").alias("t")).orderBy("i")
+    assert col_values(out, "t") == ["$1,230", "$10.5", "($142,275,580.65)", "$100", None]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from decimal import Decimal
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -74,9 +75,10 @@ MEASURE_FORMATS = {
 }
 
 # Target multipliers.
-ENTITY_TARGET_FACTOR = 1.1
-SALES_TARGET_FACTOR = 1.05
-JOBS_TARGET_FACTOR = 1.1
+ENTITY_TARGET_FACTOR = Decimal("1.1")
+SALES_TARGET_FACTOR = Decimal("1.05")
+JOBS_TARGET_FACTOR = Decimal("1.1")
+TARGET_TYPE = "decimal(38,2)"
 HOURS_PER_TRAINING_DAY = 8
 
 
@@ -87,8 +89,9 @@ def build_model(gold: Mapping[str, DataFrame]) -> StarModel:
     return StarModel(gold, RELATIONSHIPS, calendar_tables=CALENDAR_TABLES)
 
 
-def _times(factor: float):
-    return lambda v: v.cast("double") * F.lit(factor)
+def _times(factor: Decimal):
+    """Exact decimal product: a target never depends on floating-point rounding."""
+    return lambda v: v.cast("decimal(38,0)") * F.lit(factor)
 
 
 # Measures whose bodies the model keeps in an external model are defined here from their
@@ -137,9 +140,9 @@ NET_JOBS = Derived(
     "bigint",
 )
 
-MSME_TARGET = Derived("msme_target", ("total_msmes",), _times(ENTITY_TARGET_FACTOR), "double")
-SALES_TARGET = Derived("sales_target", ("total_sales",), _times(SALES_TARGET_FACTOR), "double")
-JOBS_TARGET = Derived("jobs_target", ("total_jobs",), _times(JOBS_TARGET_FACTOR), "double")
+MSME_TARGET = Derived("msme_target", ("total_msmes",), _times(ENTITY_TARGET_FACTOR), TARGET_TYPE)
+SALES_TARGET = Derived("sales_target", ("total_sales",), _times(SALES_TARGET_FACTOR), TARGET_TYPE)
+JOBS_TARGET = Derived("jobs_target", ("total_jobs",), _times(JOBS_TARGET_FACTOR), TARGET_TYPE)
 TRAINING_DAYS = Derived(
     "training_days", ("training_hours",), lambda h: h.cast("double") / F.lit(float(HOURS_PER_TRAINING_DAY)), "double"
 )

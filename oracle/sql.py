@@ -326,16 +326,16 @@ PERF_MEASURES = {
     "total_sales": f"(SELECT {_sum('domestic_sale')} FROM perf_sales)",
     "current_month_sales": f"(SELECT {_sum('domestic_sale')} FROM sales_fact_g WHERE date_sales_id IN (SELECT date_sales_id FROM mtd_sales_dates))",
     "last_month_sales": f"(SELECT {_sum('domestic_sale')} FROM sales_fact_g WHERE date_sales_id IN (SELECT date_sales_id FROM prev_sales_dates))",
-    "sales_target": f"(SELECT CAST({_sum('domestic_sale')} AS DOUBLE) * CAST(1.05 AS DOUBLE) FROM perf_sales)",
+    "sales_target": f"(SELECT CAST(CAST({_sum('domestic_sale')} AS DECIMAL(38,0)) * 1.05 AS DECIMAL(38,2)) FROM perf_sales)",
     "total_jobs": f"(SELECT {_sum('total_hired_employee')} FROM perf_jobs)",
     "current_month_jobs": f"(SELECT {_sum('total_hired_employee')} FROM job_fact_g WHERE date_job_id IN (SELECT date_job_id FROM mtd_job_dates))",
     "last_month_jobs": f"(SELECT {_sum('total_hired_employee')} FROM job_fact_g WHERE date_job_id IN (SELECT date_job_id FROM prev_job_dates))",
-    "jobs_target": f"(SELECT CAST({_sum('total_hired_employee')} AS DOUBLE) * CAST(1.1 AS DOUBLE) FROM perf_jobs)",
+    "jobs_target": f"(SELECT CAST(CAST({_sum('total_hired_employee')} AS DECIMAL(38,0)) * 1.1 AS DECIMAL(38,2)) FROM perf_jobs)",
 }
 
 REG_MEASURES = {
     "total_msmes": f"(SELECT {TOTAL_MSMES} FROM reg_profile)",
-    "msme_target": f"(SELECT CAST({TOTAL_MSMES} AS DOUBLE) * CAST(1.1 AS DOUBLE) FROM reg_profile)",
+    "msme_target": f"(SELECT CAST(CAST({TOTAL_MSMES} AS DECIMAL(38,0)) * 1.1 AS DECIMAL(38,2)) FROM reg_profile)",
 }
 
 ACT_MEASURES = {
@@ -529,7 +529,7 @@ for _key, _names in {
 
 ALL_REG_MEASURES = {
     "total_msmes": f"(SELECT {TOTAL_MSMES} FROM success_profile_g)",
-    "msme_target": f"(SELECT CAST({TOTAL_MSMES} AS DOUBLE) * CAST(1.1 AS DOUBLE) FROM success_profile_g)",
+    "msme_target": f"(SELECT CAST(CAST({TOTAL_MSMES} AS DECIMAL(38,0)) * 1.1 AS DECIMAL(38,2)) FROM success_profile_g)",
 }
 for _key, _names in {
     "total_entities": ["total_msmes"],
@@ -674,15 +674,18 @@ SQL["format_dates"] = q("SELECT date_job_id, strftime(date_job_id, '%-m/%-d/%Y')
 
 
 def _fmt(v: str, kind: str) -> str:
-    """SQL twin of the display formats (integer, currency0, currency)."""
+    """SQL twin of the display formats (integer, currency0, currency), built from exact integer
+    and fraction parts (DuckDB's format() would pass a DECIMAL through a double)."""
     dec = f"CAST({v} AS DECIMAL(38,6))"
     if kind == "integer":
-        body = f"replace(format('{{:,.0f}}', round(abs({dec}), 0)), ',', '')"
+        body = f"CAST(CAST(round(abs({dec}), 0) AS BIGINT) AS VARCHAR)"
         return f"CASE WHEN {v} IS NULL THEN NULL WHEN {v} < 0 THEN '-' || {body} ELSE {body} END"
     places = 0 if kind == "currency0" else 6
-    digits = f"format('{{:,.{places}f}}', round(abs({dec}), {places}))"
+    r = f"round(abs({dec}), {places})"
+    digits = f"format('{{:,}}', CAST(trunc({r}) AS BIGINT))"
     if kind == "currency":
-        digits = f"regexp_replace({digits}, '\\.?0+$', '')"
+        frac = f"CAST(({r} - trunc({r})) * 1000000 AS BIGINT)"
+        digits = f"{digits} || CASE WHEN {frac} = 0 THEN '' ELSE '.' || rtrim(lpad(CAST({frac} AS VARCHAR), 6, '0'), '0') END"
     body = f"'$' || {digits}"
     return f"CASE WHEN {v} IS NULL THEN NULL WHEN round({dec}, {places}) < 0 THEN '(' || {body} || ')' ELSE {body} END"
 

@@ -523,6 +523,13 @@ def page_activity(spark, sf_dir):
     return D.page(model(spark, sf_dir), D.activity_context(), "activity")
 
 
+@query("page_performance_micro")
+def page_performance_micro(spark, sf_dir):
+    """The performance page with the category slicer on Micro: the month sets replace only the
+    calendar filters, the category still filters every card."""
+    return D.page(model(spark, sf_dir), D.performance_context(categories=["Micro"]), "performance")
+
+
 @query("page_performance_text")
 def page_performance_text(spark, sf_dir):
     """The performance page's cards as text in their display formats."""

@@ -734,6 +734,11 @@ def _split_top(select_list: str) -> list[str]:
     return out
 
 
+_MICRO = "msme_key IN (SELECT msme_key FROM success_profile_g WHERE msme_category IN ('Micro'))"
+_PERF_MICRO = {
+    k: (v[:-1] + (" AND " if " WHERE " in v else " WHERE ") + _MICRO + ")") for k, v in PERF_MEASURES.items()
+}
+SQL["page_performance_micro"] = q(_select(_PERF_MICRO, list(PERF_MEASURES)), PERF_CTX)
 SQL["page_performance_text"] = _text_of("page_performance")
 SQL["page_activity_text"] = _text_of("page_activity")
 

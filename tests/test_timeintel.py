@@ -110,3 +110,56 @@ def test_literal_range_gives_same_results_as_opaque_predicate(model, lo, hi):
     assert a == b
     for n in names:
         assert evaluate(model, ranged, [n], CATALOG).first()[n] == b[n]
+
+
+def _month_end(d):
+    nxt = (d.replace(day=28) + dt.timedelta(days=4)).replace(day=1)
+    return nxt - dt.timedelta(days=1)
+
+
+def _add_months(d, n):
+    y, m = divmod(d.month - 1 + n, 12)
+    first = D(d.year + y, m + 1, 1)
+    return first.replace(day=min(d.day, _month_end(first).day))
+
+
+@pytest.mark.parametrize("seed", [11, 12, 13, 14])
+def test_date_sets_match_brute_force_on_random_calendars(spark, seed):
+    import random
+
+    from kpi_lake.operators.model import Relationship, StarModel
+
+    rnd = random.Random(seed)
+    start = D(2023, 11, 1)
+    days = sorted({start + dt.timedelta(days=rnd.randint(0, 250)) for _ in range(90)})
+    days += [D(2024, 2, 29), D(2024, 1, 31), D(2024, 3, 31), D(2024, 1, 29)]
+    days = sorted(set(days))
+    cal = spark.createDataFrame([(d,) for d in days], "d date")
+    fact = spark.createDataFrame([(d, 1) for d in days], "d date, v long")
+    m = StarModel({"cal": cal, "fact": fact}, [Relationship("fact", "d", "cal", "d")], calendar_tables=["cal"])
+    for _ in range(3):
+        lo = start + dt.timedelta(days=rnd.randint(0, 200))
+        hi = lo + dt.timedelta(days=rnd.randint(1, 90))
+        if rnd.random() < 0.3:  # whole months
+            lo = lo.replace(day=1)
+            hi = _month_end(hi) + dt.timedelta(days=1)
+        ctx = C.EMPTY.where_range("cal", "d", lo, hi)
+        vis = [d for d in days if lo <= d < hi]
+        # month to date
+        want_mtd = [d for d in days if vis and max(vis).replace(day=1) <= d <= max(vis)]
+        assert dates(month_to_date_dates(m, ctx, "cal", "d"), "d") == want_mtd
+        # shift by -1 month, with whole-month extension
+        want = {_add_months(d, -1) for d in vis} & set(days)
+        if vis and vis[0].day == 1 and vis[-1] == _month_end(vis[-1]):
+            end = _add_months(vis[-1], -1)
+            want |= {d for d in days if end < d <= _month_end(end)}
+        assert dates(shifted_dates(m, ctx, "cal", "d", -1), "d") == sorted(want)
+        # the folded single-scan evaluation agrees with the brute-force sets
+        from kpi_lake.operators.measures import Measure
+        from kpi_lake.operators.timeintel import month_to_date, shift_months
+
+        base = Measure("n", "fact", "sum", column="v")
+        row = evaluate(m, ctx, [base, month_to_date(base, "cal", "d", "mtd"), shift_months(base, "cal", "d", "prev")]).first()
+        assert row["n"] == (len(vis) or None)
+        assert row["mtd"] == (len(want_mtd) or None)
+        assert row["prev"] == (len(want) or None)

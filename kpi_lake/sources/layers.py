@@ -131,12 +131,13 @@ def write_table(
     spark = df.sparkSession
     path = lake.path(layer, name)
     writer_df = df
-    if lake.fmt != "delta" and mode == "overwrite" and schema_mode != "replace":
+    if lake.fmt != "delta" and schema_mode != "replace" and mode in ("overwrite", "append"):
         old = _existing_schema(spark, lake, layer, name)
         if old is not None:
-            if schema_mode == "merge":
+            if schema_mode == "merge" and mode == "overwrite":
                 writer_df = _merge_frame(df, old)
             else:
+                # appended files must not disagree with the stored ones on a column's type
                 _check_compatible(df, old, path)
     if sort_within:
         writer_df = writer_df.sortWithinPartitions(*sort_within)

@@ -112,3 +112,12 @@ def test_atomic_overwrite_keeps_old_table_on_failure_and_allows_self_overwrite(s
     write_table(cur.withColumn("id", F.col("id") + 1), lake, "gold", "t")
     assert [tuple(r) for r in read_table(spark, lake, "gold", "t").collect()] == [(2, "a")]
     assert os.listdir(os.path.join(scratch_dir, "gold")) == ["t"]  # no staging or retired folders left
+
+
+def test_append_checks_types(spark, scratch_dir):
+    lake = Lake(root=scratch_dir)
+    write_table(spark.createDataFrame([(1, "a")], "id int, v string"), lake, "bronze", "t")
+    write_table(spark.createDataFrame([(2, "b")], "id int, v string"), lake, "bronze", "t", mode="append")
+    assert read_table(spark, lake, "bronze", "t").count() == 2
+    with pytest.raises(SchemaConflictError):
+        write_table(spark.createDataFrame([("x", "c")], "id string, v string"), lake, "bronze", "t", mode="append")

@@ -14,6 +14,10 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Semi joins on a filtered dimension pre-filter the fact before the shuffle (Bloom filter)
+    # or prune its date partitions (dynamic partition pruning).
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.dynamicPartitionPruning.enabled": "true",
     "spark.sql.ansi.enabled": "true",
     "spark.ui.enabled": "false",
 }

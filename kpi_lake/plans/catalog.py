@@ -26,7 +26,7 @@ from kpi_lake.operators.measures import evaluate, evaluate_by, implicit_aggregat
 from kpi_lake.plans import dashboard as D
 from kpi_lake.plans import pipelines as P
 from kpi_lake.plans.semantic import CATALOG, SUMMARIZE_BY, build_model
-from kpi_lake.session import lake_root
+from kpi_lake.session import lake_root, session_key
 from kpi_lake.sources.layers import Lake, read_table, source_lake, write_many, write_table
 from kpi_lake.sources.standins import bronze_from_sources
 
@@ -47,11 +47,11 @@ def query(name: str):
 
 # Layer frames are immutable lazy plans: queries of one session over one folder share them, so
 # each table is analysed once, not once per query.
-_LAYERS: dict[tuple[int, str, str], object] = {}
+_LAYERS: dict[tuple, object] = {}
 
 
 def _memo(spark: SparkSession, sf_dir: str, layer: str, build):
-    key = (id(spark._jsparkSession), sf_dir, layer)  # noqa: SLF001
+    key = (session_key(spark), sf_dir, layer)
     if key not in _LAYERS:
         _LAYERS[key] = build()
     return _LAYERS[key]

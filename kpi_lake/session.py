@@ -68,12 +68,18 @@ def lake_root(spark: SparkSession) -> str:
     return checkpoint_dir(spark).rstrip("/") + "/lake"
 
 
+def session_key(spark: SparkSession) -> tuple[str, str]:
+    """A stable identity of a session: application id and Spark's own session UUID (a Python
+    object id could be reused once a stopped session is garbage collected)."""
+    return spark.sparkContext.applicationId, str(spark._jsparkSession.sessionUUID())  # noqa: SLF001
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme (used only by tests that inspect written files)."""
     return path[5:] if path.startswith("file:") else path
 
 
-__all__ = ["RECOMMENDED_CONF", "get_spark", "checkpoint_dir", "lake_root", "local_path"]
+__all__ = ["RECOMMENDED_CONF", "get_spark", "checkpoint_dir", "lake_root", "local_path", "session_key"]
 
 if __name__ == "__main__":  # pragma: no cover
     print(lake_root(get_spark(os.environ.get("SPARK_MASTER", "local[2]"))))

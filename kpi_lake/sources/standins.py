@@ -221,13 +221,15 @@ def success_activity_monitoring(events: DataFrame) -> DataFrame:
     )
 
 
-_SOURCE_SCANS: dict[tuple[int, str, str], DataFrame] = {}
+_SOURCE_SCANS: dict[tuple, DataFrame] = {}
 
 
 def source_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Scan of one shared (read-only) table; the scan frame is reused across queries of the
     same session, so the file listing and footer read happen once."""
-    key = (id(spark._jsparkSession), sf_dir, name)  # noqa: SLF001
+    from kpi_lake.session import session_key
+
+    key = (session_key(spark), sf_dir, name)
     if key not in _SOURCE_SCANS:
         _SOURCE_SCANS[key] = read_table(spark, source_lake(sf_dir), "", name)
     return _SOURCE_SCANS[key]

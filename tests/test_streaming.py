@@ -29,3 +29,18 @@ def test_command_line_refresh_and_page(spark, scratch_dir):
     assert main(["refresh", "--sf-dir", "/root/testdata/sf0.001", "--lake", scratch_dir, "--parallelism", "2"]) == 0
     assert main(["page", "performance", "--lake", scratch_dir]) == 0
     assert main(["page", "registration", "--lake", scratch_dir, "--year", "1996"]) == 0
+
+
+def test_command_line_layer_by_layer(spark, scratch_dir):
+    from kpi_lake.__main__ import main
+    from kpi_lake.sources.layers import Lake
+    from kpi_lake.sources.standins import bronze_from_sources
+
+    lake = Lake(root=scratch_dir)
+    bronze = bronze_from_sources(spark, "/root/testdata/sf0.001")
+    for name in bronze:
+        write_table(bronze[name], lake, "bronze", name)
+    assert main(["silver", "--lake", scratch_dir, "--parallelism", "2"]) == 0
+    assert main(["gold", "--lake", scratch_dir, "--parallelism", "2"]) == 0
+    assert read_table(spark, lake, "gold", "sales_fact").count() == read_table(spark, lake, "bronze", "success_sales").count()
+    assert main(["page", "activity", "--lake", scratch_dir]) == 0

@@ -541,6 +541,13 @@ def page_activity_text(spark, sf_dir):
     return D.page_text(model(spark, sf_dir), D.activity_context(), "activity")
 
 
+@query("page_registration_cross_filter")
+def page_registration_cross_filter(spark, sf_dir):
+    """The registration page after picking the Agribusiness slice of the industry donut."""
+    ctx = D.cross_filter(D.registration_context(), "success_profile", "industry", "Agribusiness")
+    return D.page(model(spark, sf_dir), ctx, "registration")
+
+
 @query("page_activity_q1")
 def page_activity_q1(spark, sf_dir):
     """The activity page with the first quarter of 2024 picked in the activity-period slicer."""

@@ -130,6 +130,11 @@ def performance_context(
     return _profile_slicers(ctx, categories)
 
 
+def cross_filter(ctx: FilterContext, table: str, column: str, value: object) -> FilterContext:
+    """Selecting one category in a chart filters the page's other visuals by that value."""
+    return ctx.where(table, C.equals(column, value), column, f"selection:{table}.{column}")
+
+
 # Visual -> slicers that do not filter it (interaction exceptions of the pages).
 INTERACTION_EXCEPTIONS = {"loan_by_category": (SL_ACTIVITY_PERIOD,)}
 
@@ -221,6 +226,7 @@ __all__ = [
     "activity_context",
     "attendance_by_support",
     "card",
+    "cross_filter",
     "for_visual",
     "gauge",
     "loan_by_category",

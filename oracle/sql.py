@@ -538,6 +538,10 @@ for _key, _names in {
     "page_registration": ["total_msmes", "msme_target"],
 }.items():
     SQL[_key] = q(_select(ALL_REG_MEASURES, _names))
+SQL["page_registration_cross_filter"] = q(
+    f"SELECT {TOTAL_MSMES} AS total_msmes, CAST(CAST({TOTAL_MSMES} AS DECIMAL(38,0)) * 1.1 AS DECIMAL(38,2)) AS msme_target "
+    "FROM success_profile_g WHERE industry = 'Agribusiness'"
+)
 SQL["page_registration_by_year"] = q(_select(REG_MEASURES, ["total_msmes", "msme_target"]), REG_CTX)
 
 for _key, _names in {

@@ -99,3 +99,45 @@ def shift_month(d, n):
     y, m = divmod(d.month - 1 + n, 12)
     first = D(d.year + y, m + 1, 1)
     return first.replace(day=min(d.day, month_end(first).day))
+
+
+@pytest.mark.parametrize("seed", [21, 22, 23])
+def test_propagation_and_grouping_match_pandas(spark, seed):
+    rnd = random.Random(seed)
+    t = star_tables(spark)
+    cats, inds = ["Micro", "Small", "Medium"], ["Services", "Commerce", "Agribusiness"]
+    profiles = [(f"k{i}", rnd.choice(cats), rnd.choice(inds)) for i in range(12)]
+    t["success_profile"] = spark.createDataFrame(
+        [(k, "P", "D", "yes", "F", 30, "no", c, ind, None) for k, c, ind in profiles],
+        "msme_key string, business_partner string, departement string, financial_institution string, "
+        "business_owner_sex string, business_owner_age long, msme_productive string, msme_category string, "
+        "industry string, savings_group string",
+    )
+    days = [D(2024, 1, 1) + dt.timedelta(days=rnd.randint(0, 120)) for _ in range(30)]
+    keys = [k for k, _, _ in profiles] + ["orphan", None]
+    sales = [(f"s{i}", rnd.choice(keys), rnd.choice(days + [None]), rnd.randint(1, 100), "0") for i in range(300)]
+    t["sales_fact"] = spark.createDataFrame(sales, "sales_key string, msme_key string, date_sales_id date, domestic_sale long, international_sale string")
+    uniq = sorted({s[2] for s in sales if s[2] is not None})
+    t["date_sales"] = spark.createDataFrame(
+        [(d, d.day, d.month, (d.month - 1) // 3 + 1, d.year) for d in uniq],
+        "date_sales_id date, day_sales_reporting int, month_sales_reporting int, quarter_sales_reporting int, year_sales_reporting int",
+    )
+    model = build_model(t)
+    pdf = pd.DataFrame(sales, columns=["k", "m", "d", "v", "x"])
+    prof = pd.DataFrame(profiles, columns=["m", "cat", "ind"])
+    picked = rnd.sample(cats, 2)
+    lo, hi = D(2024, 1, 15), D(2024, 3, 20)
+    ctx = C.EMPTY.where("success_profile", C.in_list("msme_category", picked), "msme_category").where_range(
+        "date_sales", "date_sales_id", lo, hi
+    )
+    keep_keys = set(prof[prof.cat.isin(picked)].m)
+    vis = pdf[pdf.m.isin(keep_keys) & pdf.d.map(lambda d: d is not None and lo <= d < hi)]
+    row = evaluate(model, ctx, ["total_sales", "total_msmes"], CATALOG).first()
+    assert row["total_sales"] == (int(vis.v.sum()) if len(vis) else None)
+    assert row["total_msmes"] == len(keep_keys)  # the sales range does not reach the profile
+    # grouped by industry without a profile filter: orphans and null keys form the blank group
+    ctx2 = C.EMPTY.where_range("date_sales", "date_sales_id", lo, hi)
+    got = {r["industry"]: r["total_sales"] for r in evaluate_by(model, ctx2, "success_profile", ["industry"], ["total_sales"], CATALOG).collect()}
+    vis2 = pdf[pdf.d.map(lambda d: d is not None and lo <= d < hi)].merge(prof, on="m", how="left")
+    want = {(None if pd.isna(k) else k): int(v) for k, v in vis2.groupby("ind", dropna=False)["v"].sum().items()}
+    assert got == want

@@ -39,7 +39,7 @@ BRONZE_TABLES = (
     "success_activity_monitoring",
 )
 
-# Fixed values used to derive the stand-in bronze tables (kept in step with oracle/sql.py).
+# Fixed values used to derive the stand-in bronze tables (kept in step with kpi_oracle/sql.py).
 PARTNER_NAMES = ["ACME", "ACME 2", "ACME 3", "AIDE 2", "CAPUC 2", "CEDEL"]
 DEPARTEMENT_VARIANTS = ["NIPPES", "Sud-EST", "ARTIBONITE", "artibonite", "Nippes", None]
 FINANCIAL_ANSWERS = ["Oui", "Non", "NON", "OUI", None, "yes"]

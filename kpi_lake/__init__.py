@@ -11,6 +11,11 @@ Sub-packages
 ``streaming``  Incremental (availableNow) variant of the row-local bronze -> silver step.
 
 Everything returns lazy DataFrames; nothing in the library collects data to the driver.
+
+Main entry points: ``plans.pipelines.run_all`` (refresh the layers), ``plans.catalog.gold_model``
+(the model over written gold tables), ``operators.context.FilterContext`` (slicer selections),
+``operators.measures.evaluate`` / ``evaluate_by`` (cards and charts), ``plans.dashboard.page``
+(a whole report page), ``python -m kpi_lake`` (command line).
 """
 
 from kpi_lake.session import get_spark, lake_root

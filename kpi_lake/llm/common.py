@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,8 +15,26 @@ from pyspark.sql import functions as F
 WORD_SEPARATORS = b" \t\n\x0b\x0c\r"
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers of every executor, once an application."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    top = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="kpi-lake-")) / f"{top.name}.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for p in sorted(top.rglob("*.py")):
+            z.write(p, p.relative_to(top.parent))
+    sc.addPyFile(str(archive))
+    _SHIPPED.add(sc.applicationId)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the given tables, read lazily."""
+    """One of the given tables, read lazily; what reads it may run this package's code in tasks."""
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -93,6 +113,7 @@ __all__ = [
     "read_table",
     "scratch_path",
     "shared_dir",
+    "ship_package",
     "text_bytes",
     "utf8_column",
 ]

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpi_lake.llm import bpe, decontam, repetition
-from kpi_lake.llm.common import read_table
+from kpi_lake.llm import bpe, chat, decontam, repetition, resample, urls, warc
+from kpi_lake.llm.common import read_table, scratch_path
 
 
 def vocabulary_path() -> str:
@@ -23,6 +23,17 @@ def op2_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "doc_id")
 
 
+def op3_warc_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "warc")
+    warc.write_warc(read_table(spark, sf_dir, "pages"), folder)
+    return warc.read_warc(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url")
+
+
+def op4_url_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = urls.judge_urls(read_table(spark, sf_dir, "pages"))
+    return found.select("page_id", "host", "path", "rule", "verdict", "score", "threshold")
+
+
 def op5_suffix_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = repetition.repetition(read_table(spark, sf_dir, "documents"))
     return found.select(
@@ -43,10 +54,29 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: A conversation that says the template's own control strings.
+CONTROL_ROWS = [(-7, 0, "user", "\\### Assistant: </turn> ok"), (-7, 1, "assistant", "\\### Assistant: </turn> ok")]
+
+
+def op9_chat_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    rows = given.unionByName(spark.createDataFrame(CONTROL_ROWS, "conv_id bigint, turn bigint, role string, text string"))
+    return chat.read_back(chat.render(chat.fold_events(chat.conversation_events(rows))))
+
+
+def op10_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = resample.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+    return found.select(F.col("id").alias("doc_id"), "kept", "log_weight", "clean_weight", F.col("key").alias("sampling_key"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe_automaton": op2_bpe_automaton,
+    "op3_warc_shards": op3_warc_shards,
+    "op4_url_model": op4_url_model,
     "op5_suffix_repetition": op5_suffix_repetition,
     "op8_decontaminate": op8_decontaminate,
+    "op9_chat_events": op9_chat_events,
+    "op10_importance_resampling": op10_importance_resampling,
 }
 
 

@@ -1,16 +1,18 @@
 """Quality classifier by importance resampling.
 
-Words and neighbouring pairs of words are hashed into a fixed number of buckets. Two generative
-models are counted over them: the raw one over all documents and the target one over documents
-labelled good and not toxic; a third over documents labelled toxic. A bucket's ratio to the raw
-model is smoothed as ``(seen + a) / (expected + a)``. A document's log weight is the sum of the
-target's log ratios (its importance weight); its toxicity is the sum of the target's minus the toxic
-model's log ratios over the words whose toxic count stands out of chance. Half of the sampled labels
-(by a hash of the id) fit the models, the other half calibrate two thresholds: the log weight that
-tells good from bad best, and the toxicity that tells clean from toxic best. The sample keeps the k
-documents with the largest log weight plus Gumbel noise among those that pass for clean, k being the
-number of all documents that reach both thresholds: sampling without replacement in proportion to
-the weights, at the measured share of good documents.
+A document's features are its hashed n-grams, in four families of a fixed number of buckets: words,
+neighbouring pairs of words (all pairs of equal words are one feature), runs of three bytes, and
+distinct words. Over each family the raw generative model counts all documents, the target model
+the documents labelled good and not toxic, the toxic model those labelled toxic. A bucket's ratio to
+the raw model is smoothed as ``(seen + a) / (expected + a)``. A document's log weight is its
+target's log ratio per feature, summed over the first three families and brought to a length of
+``length`` features, so that documents of all lengths compare. Its clean weight is the sum, over its
+distinct words whose toxic count stands out of chance, of the target's minus the toxic model's log
+ratio. Half of the sampled labels (by a hash of the id) fit the models, the other half calibrate two
+thresholds: the log weight that tells good from bad best, and the clean weight that tells clean from
+toxic best. The sample keeps the k documents with the largest log weight plus Gumbel noise among
+those that pass for clean, k being the number of all documents that reach both thresholds: sampling
+without replacement in proportion to the weights, at the measured share of good documents.
 
 Scale: labels are sampled up to ``max_labelled`` rows (the smallest hashes of the id); everything
 else covers all documents. Counting adds tables of fixed size; scoring writes two numbers per
@@ -27,6 +29,7 @@ from __future__ import annotations
 
 import math
 import zlib
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -37,21 +40,25 @@ from kpi_lake.llm.common import materialise, utf8_column
 
 BUCKETS = 1 << 16
 MAX_LABELLED = 200_000
-PRIOR = 1.0
+PRIOR = 4.0
+#: Features to whose length log weights are brought.
+LENGTH = 100
 #: Standard deviations by which a toxic count must exceed its expectation.
 STANDS_OUT = 5.0
+#: How much more a rejected good document weighs than a kept bad one when thresholds are set.
+CARE = 5.0
 SEED = 17
 _REMEMBERED = 500_000
 
 
 class Hasher:
-    """Bucket numbers of a text's words and pairs; remembers words (memory only)."""
+    """Bucket numbers of a text's features by family; remembers words (memory only)."""
 
     def __init__(self, buckets: int):
         self.buckets, self.known = buckets, {}
 
-    def __call__(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
-        words, known = text.split(), self.known
+    def __call__(self, text: bytes) -> list[np.ndarray]:
+        words, known, n = text.split(), self.known, np.uint64(self.buckets)
         if len(known) > _REMEMBERED:
             known.clear()
         try:
@@ -60,9 +67,13 @@ class Hasher:
             for word in set(words).difference(known):
                 known[word] = zlib.crc32(word)
             hashes = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-        pairs = (hashes[:-1] * np.uint64(0x9E3779B97F4A7C15) + hashes[1:] * np.uint64(0xC2B2AE3D27D4EB4F)) >> np.uint64(29)
-        n = np.uint64(self.buckets)
-        return (hashes % n).astype(np.int64), (pairs % n).astype(np.int64)
+        first, second = hashes[:-1], hashes[1:]
+        pairs = (first * np.uint64(0x9E3779B97F4A7C15) + second * np.uint64(0xC2B2AE3D27D4EB4F)) >> np.uint64(29)
+        pairs[first == second] = 0
+        at = np.frombuffer(text, np.uint8).astype(np.uint32)
+        runs = ((at[:-2] * 65536 + at[1:-1] * 256 + at[2:]) * np.uint32(0x9E3779B1)) >> np.uint32(7)
+        found = [(hashes % n).astype(np.int64), (pairs % n).astype(np.int64), (runs % np.uint32(self.buckets)).astype(np.int64)]
+        return [*found, np.unique(found[0])]
 
 
 def labelled_sample(labels: DataFrame, limit: int, id_col: str = "doc_id", quality_col: str = "quality", toxic_col: str = "toxic") -> dict[int, tuple[int, int]]:
@@ -77,52 +88,49 @@ def fits(doc_id: int) -> bool:
     return zlib.crc32(f"half {doc_id}".encode()) & 1 == 0
 
 
-def _counts(docs: DataFrame, shared, buckets: int):
-    """Counts per bucket: raw, target, toxic; words first, then pairs."""
+def _counts(docs: DataFrame, shared, buckets: int) -> np.ndarray:
+    """Counts by model (raw, target, toxic), family and bucket."""
 
     def run(batches):
-        hasher, table = Hasher(buckets), np.zeros((3, 2 * buckets), np.int64)
+        hasher, table = Hasher(buckets), np.zeros((3, 4 * buckets), np.int64)
         sample = shared.value
         for batch in batches:
             for doc, raw in zip(batch.column(0).to_pylist(), utf8_column(batch.column(1)), strict=True):
-                words, pairs = hasher(raw)
-                found = np.concatenate((words, pairs + buckets))
+                found = np.concatenate([x + k * buckets for k, x in enumerate(hasher(raw))])
                 good, toxic = sample.get(doc, (0, 0)) if doc is not None and fits(doc) else (0, 0)
-                for row, counted in enumerate((True, good and not toxic, toxic)):
-                    if counted:
-                        np.add.at(table[row], found, 1)
+                at, n = np.unique(found, return_counts=True)
+                table[0, at] += n
+                if good and not toxic:
+                    table[1, at] += n
+                if toxic:
+                    table[2, at] += n
         at = np.flatnonzero(table[0])
         yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (at, *table[:, at])], names=["bucket", "raw", "target", "toxic"])
 
     parts = docs.mapInArrow(run, "bucket bigint, raw bigint, target bigint, toxic bigint")
-    total = parts.groupBy("bucket").agg(*[F.sum(c).alias(c) for c in ("raw", "target", "toxic")])
-    out = np.zeros((3, 2 * buckets))
-    for r in total.collect():  # at most 2 * buckets rows
-        out[:, r.bucket] = r.raw, r.target, r.toxic
-    return out
+    total = parts.groupBy("bucket").agg(*[F.sum(c).alias(c) for c in ("raw", "target", "toxic")]).toArrow()  # at most 4 * buckets rows
+    out = np.zeros((3, 4 * buckets))
+    out[:, total["bucket"].to_numpy()] = [total[c].to_numpy() for c in ("raw", "target", "toxic")]
+    return out.reshape(3, 4, buckets)
 
 
-def log_ratios(counts: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """Per bucket: the target's log ratio to the raw model; and, of words, what speaks against
-    toxicity (target's minus toxic's log ratio where the toxic count stands out)."""
+def log_ratios(counts: np.ndarray) -> np.ndarray:
+    """By family and bucket: the target's log ratio to the raw model; of distinct words, what speaks
+    against toxicity (the target's minus the toxic's log ratio where the toxic count stands out)."""
     raw, target, toxic = counts
-    share = np.concatenate([part / max(part.sum(), 1) for part in (raw[:buckets], raw[buckets:])])
+    share = raw / np.maximum(raw.sum(axis=1, keepdims=True), 1)
+    in_target, in_toxic = (x.sum(axis=1, keepdims=True) * share for x in (target, toxic))
+    good = np.log((target + PRIOR) / (in_target + PRIOR)) if target.sum() else np.zeros_like(raw)
+    bad = np.log((toxic + PRIOR) / (in_toxic + PRIOR))
+    stands_out = toxic - in_toxic > STANDS_OUT * np.sqrt(in_toxic + 1)
+    good[3] = np.where(stands_out, good - bad, 0.0)[3]
+    return good
 
-    def ratio(seen):
-        total = np.concatenate([np.full(buckets, part.sum()) for part in (seen[:buckets], seen[buckets:])])
-        expected = total * share
-        return np.where(total > 0, np.log((seen + PRIOR) / (expected + PRIOR)), 0.0), expected
 
-    good, _ = ratio(target)
-    bad, expected = ratio(toxic)
-    stands_out = toxic - expected > STANDS_OUT * np.sqrt(expected + 1)
-    return good, np.where(stands_out, good - bad, 0.0)[:buckets]
-
-
-def _score(hasher: Hasher, weights, raw: bytes) -> tuple[float, float]:
-    good, clean = weights
-    words, pairs = hasher(raw)
-    return float(good[words].sum() + good[pairs + hasher.buckets].sum()), float(clean[words].sum())
+def _score(hasher: Hasher, weights: np.ndarray, raw: bytes, length: int) -> tuple[float, float]:
+    *families, distinct = hasher(raw)
+    mean = sum(float(weights[k][found].mean()) for k, found in enumerate(families) if len(found))
+    return length * mean, float(weights[3][distinct].sum())
 
 
 def gumbel(doc_id: Column, seed: int = SEED) -> Column:
@@ -131,18 +139,19 @@ def gumbel(doc_id: Column, seed: int = SEED) -> Column:
     return -F.log(-F.log(uniform))
 
 
-def best_cut(scores: list[tuple[float, bool]]) -> float:
-    """The threshold at which the shares of good at or above and of bad below are largest on
-    average, halfway between the scores it parts; minus infinity without both kinds."""
+def best_cut(scores: list[tuple[float, bool]], care: float = CARE) -> float:
+    """The threshold at which the share of good at or above it, ``care`` times, and the share of bad
+    below it are largest together, halfway between the scores it parts; minus infinity without both
+    kinds."""
     n_good = sum(good for _, good in scores)
     n_bad = len(scores) - n_good
     if not n_good or not n_bad:
         return -math.inf
     scores = sorted(scores)
-    best, cut, good_below, bad_below = 1.0, -math.inf, 0, 0
+    best, cut, good_below, bad_below = care, -math.inf, 0, 0
     for (score, good), (after, _) in zip(scores, [*scores[1:], (math.inf, True)], strict=True):
         good_below, bad_below = good_below + good, bad_below + (not good)
-        if after > score and (worth := (n_good - good_below) / n_good + bad_below / n_bad) > best:
+        if after > score and (worth := care * (n_good - good_below) / n_good + bad_below / n_bad) > best:
             best, cut = worth, (score + after) / 2 if after < math.inf else math.inf
     return cut
 
@@ -170,34 +179,36 @@ def kth_largest(frame: DataFrame, column: str, k: int, bins: int = 4096) -> floa
     return low
 
 
-class Classifier:
+class Classifier(NamedTuple):
     """The fitted models, thresholds and cut."""
 
-    def __init__(self, weights, weight_cut: float, clean_cut: float, key_cut: float, buckets: int):
-        self.weights, self.weight_cut, self.clean_cut, self.key_cut, self.buckets = weights, weight_cut, clean_cut, key_cut, buckets
+    weights: np.ndarray
+    weight_cut: float
+    clean_cut: float
+    key_cut: float
 
 
-def score_documents(docs: DataFrame, shared_weights, buckets: int) -> DataFrame:
+def score_documents(docs: DataFrame, shared_weights, buckets: int, length: int) -> DataFrame:
     """``id, log_weight, clean_weight`` per row of ``id, text``."""
     schema = pa.schema([("id", pa.int64()), ("log_weight", pa.float64()), ("clean_weight", pa.float64())])
 
     def run(batches):
         hasher, weights = Hasher(buckets), shared_weights.value
         for batch in batches:
-            found = [_score(hasher, weights, raw) for raw in utf8_column(batch.column(1))]
+            found = [_score(hasher, weights, raw, length) for raw in utf8_column(batch.column(1))]
             columns = list(zip(*found, strict=True)) or [(), ()]
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), *(pa.array(c, pa.float64()) for c in columns)], schema=schema)
 
     return docs.mapInArrow(run, "id bigint, log_weight double, clean_weight double")
 
 
-def fit(documents: DataFrame, labels: DataFrame, id_col: str, text_col: str, buckets: int, max_labelled: int, seed: int) -> tuple[Classifier, DataFrame]:
+def fit(documents: DataFrame, labels: DataFrame, id_col: str, text_col: str, buckets: int, max_labelled: int, seed: int, length: int) -> tuple[Classifier, DataFrame]:
     """The classifier, and the scored documents (``id, log_weight, clean_weight, key``)."""
     spark: SparkSession = documents.sparkSession
     docs = documents.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
     sample = labelled_sample(labels, max_labelled)
-    weights = log_ratios(_counts(docs, spark.sparkContext.broadcast(sample), buckets), buckets)
-    scored = score_documents(docs, spark.sparkContext.broadcast(weights), buckets)
+    weights = log_ratios(_counts(docs, spark.sparkContext.broadcast(sample), buckets))
+    scored = score_documents(docs, spark.sparkContext.broadcast(weights), buckets, length)
     scored = materialise(scored.withColumn("key", F.col("log_weight") + gumbel(F.col("id"), seed)), "resample_scores")
     held = {i: x for i, x in sample.items() if not fits(i)}
     known = spark.createDataFrame([(i, *x) for i, x in held.items()], "id bigint, good int, toxic int")
@@ -206,7 +217,7 @@ def fit(documents: DataFrame, labels: DataFrame, id_col: str, text_col: str, buc
     clean_cut = best_cut([(r.c, not r.toxic) for r in rows])
     clean = scored.where(F.col("clean_weight") >= clean_cut)
     k = clean.where(F.col("log_weight") >= weight_cut).count()
-    return Classifier(weights, weight_cut, clean_cut, kth_largest(clean, "key", k), buckets), scored
+    return Classifier(weights, weight_cut, clean_cut, kth_largest(clean, "key", k)), scored
 
 
 def classify(
@@ -217,9 +228,10 @@ def classify(
     buckets: int = BUCKETS,
     max_labelled: int = MAX_LABELLED,
     seed: int = SEED,
+    length: int = LENGTH,
 ) -> DataFrame:
     """Per row ``id, log_weight, clean_weight, key, kept``."""
-    model, scored = fit(documents, labels, id_col, text_col, buckets, max_labelled, seed)
+    model, scored = fit(documents, labels, id_col, text_col, buckets, max_labelled, seed, length)
     return scored.withColumn("kept", (F.col("clean_weight") >= model.clean_cut) & (F.col("key") >= model.key_cut))
 
 
@@ -231,9 +243,10 @@ def resample(
     buckets: int = BUCKETS,
     max_labelled: int = MAX_LABELLED,
     seed: int = SEED,
+    length: int = LENGTH,
 ) -> DataFrame:
     """The documents (all their columns) that the sample keeps."""
-    model, _ = fit(documents, labels, id_col, text_col, buckets, max_labelled, seed)
+    model, _ = fit(documents, labels, id_col, text_col, buckets, max_labelled, seed, length)
     names = documents.columns
     noisy = documents.withColumn("__noise", gumbel(F.col(id_col).cast("bigint"), seed))
     place, last = names.index(text_col), len(names)
@@ -244,7 +257,7 @@ def resample(
         for batch in batches:
             kept = []
             for raw, noise in zip(utf8_column(batch.column(place)), batch.column(last).to_pylist(), strict=True):
-                weight, clean = _score(hasher, weights, raw)
+                weight, clean = _score(hasher, weights, raw, length)
                 kept.append(clean >= model.clean_cut and weight + noise >= model.key_cut)
             yield batch.select(list(range(last))).filter(pa.array(kept, pa.bool_()))
 

@@ -32,8 +32,8 @@ from kpi_lake.llm.common import materialise, utf8_column
 
 WINDOW = 13
 MAX_BROADCAST_BYTES = 64 << 20
-# Fixed value: a word of the contract.
-WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
+# Fixed value: a word, before A-Z are lower-cased.
+WORD = re.compile("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
 _NORMAL = bytes(
     (c + 32) if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32
     for c in range(256)

@@ -52,6 +52,8 @@ HELD_ROWS = 1_000_000
 # Odd bases of the two polynomial hashes, and a mixing constant.
 _BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
+#: Bits of a place in a batch; a batch is at most one piece longer than PIECE by an overlap.
+_PLACE_BITS = PIECE.bit_length()
 _POWERS: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
 
 
@@ -96,7 +98,7 @@ def anchors(data: np.ndarray, stops: np.ndarray, length: int = LENGTH):
     table = PrefixHashes(data)
     at = np.arange(n - k + 1)
     grams = _mixed(table.of(at, at + k))
-    bits = np.uint64(max(1, int(n).bit_length()))
+    bits = np.uint64(_PLACE_BITS)  # the same for every batch, so that equal windows choose alike
     low = ((grams >> bits) << bits) | at.astype(np.uint64)  # ties: the leftmost
     span = 1
     while span * 2 <= width:
@@ -230,7 +232,7 @@ def gather(occurrences: DataFrame) -> DataFrame:
 
     def run(batches):
         gatherer = _Gatherer()
-        for batch in [*()] or batches:
+        for batch in batches:
             found = gatherer.take(np.array([c.to_numpy().astype(np.int64) for c in batch.columns]))
             if found is not None:
                 yield _batch([*found[0][:5], *found[0][5:].astype(np.int32), found[1].astype(np.int32)], _GATHERED)
@@ -394,56 +396,36 @@ def _sort_contexts(rows: DataFrame, docs: DataFrame, length: int) -> DataFrame:
     return dealt.mapInArrow(run, "k1 bigint, k2 bigint, start bigint, end bigint")
 
 
-def _halved(rows: DataFrame, docs: DataFrame, length: int) -> DataFrame:
-    """Occurrences of hot keys with their windows halved by offset; the new key is the hash of the
-    bytes that all windows of a half share, with the old key and the half."""
+def _split(rows: DataFrame, docs: DataFrame, length: int, size: int) -> DataFrame:
+    """Occurrences of hot keys, split into blocks of ``size`` neighbouring offsets; the new key is
+    the hash of the bytes that all windows of a block share, with the old key and the block."""
+    widest = length - length // 2
 
     def run(batches):
         for batch in batches:
             for k1, k2, packed, found in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 data = np.frombuffer(unpack(packed), np.uint8)
-                tables, out = [PrefixHashes(data, b) for b in _BASES], []
+                parts = []
                 for x in found:
-                    # the halves are cut at offsets that don't depend on this occurrence's windows
-                    low, high, key = 0, length, np.uint64(x["key"] & (2**64 - 1))
-                    del low, high
-                    middle = _cut(x["far"], x["near"], length)
-                    for far, near in ((x["far"], middle + 1), (middle, x["near"])):
-                        if far < near:
-                            continue
-                        block = _block(far, near, length)
-                        start, end = x["place"] - block[0], x["place"] - block[1] + length
-                        share = tables[0].of(np.array([start]), np.array([end]))
-                        whole = tables[1].of(np.array([x["place"] - far]), np.array([x["place"] - near + length]))
-                        new = _mixed(share ^ _mixed(np.array([key ^ np.uint64(block[0] * 1024 + block[1])])))
-                        shape = np.array([far * 1024 + near], np.uint64) * _MIX
-                        out.append((new.view(np.int64)[0], _mixed(whole ^ shape).view(np.int64)[0], k1, k2, x["place"], far, near))
-                if out:
-                    yield _batch(zip(*out, strict=True))
+                    for low in range(x["near"] // size * size, x["far"] + 1, size):
+                        parts.append((x["key"], x["place"], min(x["far"], low + size - 1), max(x["near"], low), low))
+                key, place, far, near, low = (np.array(c, np.int64) for c in zip(*parts, strict=True))
+                share = PrefixHashes(data).of(place - low, place - np.minimum(low + size - 1, widest) + length)
+                whole = PrefixHashes(data, _BASES[1]).of(place - far, place - near + length)
+                new = _mixed(share ^ _mixed(key.view(np.uint64) + low.astype(np.uint64) * _MIX))
+                context = _mixed(whole ^ ((far * 1024 + near).astype(np.uint64) * _MIX))
+                names = (np.full(len(key), k, np.int64) for k in (k1, k2))
+                yield _batch([new.view(np.int64), context.view(np.int64), *names, place, far.astype(np.int32), near.astype(np.int32)])
 
     return _with_text(rows, docs).select("k1", "k2", "packed", "found").mapInArrow(run, _KINDS)
 
 
-def _cut(far: int, near: int, length: int) -> int:
-    """The offset at which the smallest dyadic block that holds both offsets is halved."""
-    del length
-    size = 1 << (far ^ near).bit_length()
-    return near // size * size + size // 2 - 1 if far != near else near
-
-
-def _block(far: int, near: int, length: int) -> tuple[int, int]:
-    """The offsets whose windows share the keyed bytes: the smallest dyadic block with both."""
-    size = 1 << (far ^ near).bit_length()
-    low = near // size * size
-    high = min(low + size - 1, length)
-    return low, high
-
-
 def repeated_spans(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, max_contexts: int = MAX_CONTEXTS) -> DataFrame:
     """``k1, k2, spans`` of the documents (named by two hashes of id and text) that hold repeats:
     half-open byte intervals, not united."""
     docs = documents.select(*_identified(documents, id_col, text_col))
     spans, occurrences = [], _find_anchors(docs, length)
+    size = 1 << (length - length // 2).bit_length()
     while True:
         found = materialise(gather(occurrences), f"suffix_{uuid.uuid4().hex[:6]}")
         whole = found.where("kind = 0")
@@ -454,7 +436,8 @@ def repeated_spans(documents: DataFrame, id_col: str = "doc_id", text_col: str =
             spans.append(_sort_contexts(single, docs, length))
             break
         spans.append(_sort_contexts(single.join(hot, "key", "left_anti"), docs, length))
-        occurrences = _halved(single.join(hot, "key", "left_semi"), docs, length)
+        size = max(1, size // 2)
+        occurrences = _split(single.join(hot, "key", "left_semi"), docs, length, size)
     every = spans[0]
     for more in spans[1:]:
         every = every.unionByName(more)
@@ -481,60 +464,58 @@ def cut(text: bytes, runs: list[tuple[int, int]]) -> bytes:
     return b"".join([*kept, text[at:]])
 
 
-def remove_repeats(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, max_contexts: int = MAX_CONTEXTS) -> DataFrame:
-    """The documents with ``__kept`` (the bytes that are left), ``__n_bytes, __runs`` besides."""
+_RUNS = "array<struct<start:bigint,end:bigint>>"
+
+
+def remove_repeats(
+    documents: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    length: int = LENGTH,
+    max_contexts: int = MAX_CONTEXTS,
+    digests: bool = False,
+) -> DataFrame:
+    """The documents (all their columns) with the text cut. A document that the cut leaves without a
+    word is dropped. With ``digests``, instead, every document's ``id, n_bytes, n_removed, n_spans,
+    kept_sha256, runs`` (the removed runs of bytes)."""
     spans = repeated_spans(documents, id_col, text_col, length, max_contexts)
+    schema = documents.select(id_col).schema if digests else documents.schema
+    names = [id_col] if digests else [c for c in documents.columns if c != text_col]
     k1, k2, text = _identified(documents, id_col, text_col)
-    others = [c for c in documents.columns if c != text_col]
-    docs = documents.select(k1.alias("__k1"), k2.alias("__k2"), *others, text)
-    packed = _packed(docs)
-    joined = packed.join(spans.select(F.col("k1").alias("__k1"), F.col("k2").alias("__k2"), F.col("spans").alias("__spans")), ["__k1", "__k2"], "left")
-    joined = joined.select(*others, "packed", "__spans")
-    kinds = ", ".join(f"`{c}` {documents.schema[c].dataType.simpleString()}" for c in others)
+    held = documents.select(k1, k2, *[F.col(c).alias(f"c{i}") for i, c in enumerate(names)], text, F.col(text_col).isNull().alias("blank"))
+    inner = [f"c{i}" for i in range(len(names))]
+    joined = _packed(held).join(spans, ["k1", "k2"], "left").select(*inner, "blank", "packed", "spans")
+    kinds = [f"c{i} {schema[c].dataType.simpleString()}" for i, c in enumerate(names)]
+    if digests:
+        kinds += ["n_bytes bigint", "n_removed bigint", "n_spans bigint", "kept_sha256 string", f"runs {_RUNS}"]
+    else:
+        kinds.append("text string")
+    shape = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches):
         for batch in batches:
-            kept, sizes, runs = [], [], []
-            for packed, found in zip(batch.column(len(others)).to_pylist(), batch.column(len(others) + 1).to_pylist(), strict=True):
-                text = unpack(packed)
-                runs.append(united(found))
-                kept.append(cut(text, runs[-1]))
-                sizes.append(len(text))
-            shape = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-            extra = [pa.array(kept, pa.binary()), pa.array(sizes, pa.int64()), pa.array([[{"start": a, "end": b} for a, b in r] for r in runs], shape)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(others)], *extra], names=[*others, "__kept", "__n_bytes", "__runs"])
-
-    extra = "__kept binary, __n_bytes bigint, __runs array<struct<start:bigint,end:bigint>>"
-    return joined.mapInArrow(run, ", ".join(x for x in (kinds, extra) if x))
-
-
-def digests(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, max_contexts: int = MAX_CONTEXTS) -> DataFrame:
-    """Per document ``id, n_bytes, n_removed, n_spans, kept_sha256``."""
-    given = documents.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    found = remove_repeats(given, "id", "text", length, max_contexts)
-    return found.select(
-        "id",
-        F.col("__n_bytes").alias("n_bytes"),
-        (F.col("__n_bytes") - F.octet_length("__kept")).alias("n_removed"),
-        F.size("__runs").cast("bigint").alias("n_spans"),
-        F.sha2("__kept", 256).alias("kept_sha256"),
-    )
-
-
-def deduplicate(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, max_contexts: int = MAX_CONTEXTS) -> DataFrame:
-    """The documents (all their columns) without repeated bytes; a document that the cut leaves
-    without any word is dropped."""
-    found = remove_repeats(documents, id_col, text_col, length, max_contexts)
-    blank = F.col(text_col).isNull() | ~F.col(text_col).rlike(r"[^\x20\x09-\x0D]")
-    kept = found.withColumn(text_col, F.decode("__kept", "UTF-8") if False else _text_of(F.col("__kept")))
-    kept = kept.where((F.size("__runs") == 0) | ~blank)
-    return kept.select(*documents.columns)
-
-
-def _text_of(kept: Column) -> Column:
-    """Bytes as text, broken characters dropped (a cut may part a character)."""
-    return F.replace(F.try_validate_utf8(kept.cast("string")), F.lit("�"), F.lit("")) if False else F.make_valid_utf8(kept.cast("string"))
-
-
-def sha256_hex(data: bytes) -> str:
-    return hashlib.sha256(data).hexdigest()
+            columns = batch.columns[: len(inner)]
+            texts = [unpack(p) for p in batch.column("packed").to_pylist()]
+            runs = [united(x) for x in batch.column("spans").to_pylist()]
+            kept = [cut(t, r) for t, r in zip(texts, runs, strict=True)]
+            if digests:
+                extra = [
+                    pa.array([len(t) for t in texts], pa.int64()),
+                    pa.array([len(t) - len(k) for t, k in zip(texts, kept, strict=True)], pa.int64()),
+                    pa.array([len(r) for r in runs], pa.int64()),
+                    pa.array([hashlib.sha256(k).hexdigest() for k in kept], pa.string()),
+                    pa.array([[{"start": a, "end": b} for a, b in r] for r in runs], shape),
+                ]
+                yield pa.RecordBatch.from_arrays([*columns, *extra], names=[*inner, "n_bytes", "n_removed", "n_spans", "kept_sha256", "runs"])
+            else:
+                # a cut may part a character: what is left of it goes
+                cut_texts = [None if null and not k else k.decode("utf-8", "ignore") for k, null in zip(kept, batch.column("blank").to_pylist(), strict=True)]
+                stays = pa.array([not r or bool(k.split()) for k, r in zip(kept, runs, strict=True)], pa.bool_())
+                out = pa.RecordBatch.from_arrays([*columns, pa.array(cut_texts, pa.string())], names=[*inner, "text"])
+                yield out.filter(stays)
+
+    found = joined.mapInArrow(run, ", ".join(kinds))
+    if digests:
+        return found.withColumnRenamed("c0", "id")
+    order = [F.col("text" if c == text_col else f"c{names.index(c)}").alias(c) for c in documents.columns]
+    return found.select(*order)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpi_lake.llm import bpe, chat, decontam, repetition, resample, suffix_dedup, urls, warc
+from kpi_lake.llm import bpe, chat, decontam, minhash, repetition, resample, suffix_dedup, urls, warc
 from kpi_lake.llm.common import read_table, scratch_path
 
 
@@ -42,6 +42,11 @@ def op5_suffix_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
 def op7_suffix_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents"), digests=True)
     return found.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
@@ -79,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_warc_shards": op3_warc_shards,
     "op4_url_model": op4_url_model,
     "op5_suffix_repetition": op5_suffix_repetition,
+    "op6_bbit_minhash": op6_bbit_minhash,
     "op7_suffix_sort": op7_suffix_sort,
     "op8_decontaminate": op8_decontaminate,
     "op9_chat_events": op9_chat_events,

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpi_lake.llm import bpe, chat, decontam, minhash, repetition, resample, suffix_dedup, urls, warc
+from kpi_lake.llm import bpe, chat, decontam, minhash, repetition, resample, suffix_dedup, suffix_tree, urls, warc
 from kpi_lake.llm.common import read_table, scratch_path
 
 
@@ -18,6 +18,10 @@ def vocabulary_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree.score_documents(read_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op2_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = bpe.encode_decode(read_table(spark, sf_dir, "documents"), vocabulary_path(), with_ids=False, with_text=False)
     return found.withColumnRenamed("id", "doc_id")
@@ -80,6 +84,7 @@ def op10_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_tree": op1_suffix_tree,
     "op2_bpe_automaton": op2_bpe_automaton,
     "op3_warc_shards": op3_warc_shards,
     "op4_url_model": op4_url_model,

@@ -318,9 +318,14 @@ def near_duplicates(
 def deduplicate(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """The documents (all their columns) whose id is their component's smallest, and those whose
     component has no id; of rows that repeat an id and text one stays."""
-    found = near_duplicates(documents, id_col, text_col, words, percent)
-    stays = found.where(F.col("id").eqNullSafe(F.col("component_id"))).select(F.col("k1").alias("__k1"), F.col("k2").alias("__k2")).distinct()
+    found = materialise(near_duplicates(documents, id_col, text_col, words, percent).select("id", "k1", "k2", "component_id"), "near_duplicates")
+    stays = found.where(F.col("id").eqNullSafe(F.col("component_id"))).groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n"))
+    stays = stays.select(F.col("k1").alias("__k1"), F.col("k2").alias("__k2"), "n")
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     name = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
     keyed = documents.withColumn("__k1", F.xxhash64(name, text)).withColumn("__k2", F.xxhash64(text, F.lit(1), name))
-    return keyed.join(stays, ["__k1", "__k2"]).dropDuplicates(["__k1", "__k2"]).select(*documents.columns)
+    repeated = stays.where("n > 1").drop("n")
+    single = keyed.join(stays.where("n = 1").drop("n"), ["__k1", "__k2"], "left_semi")
+    if not repeated.isEmpty():
+        single = single.unionByName(keyed.join(repeated, ["__k1", "__k2"], "left_semi").dropDuplicates(["__k1", "__k2"]))
+    return single.select(*documents.columns)

@@ -1,37 +1,37 @@
 """Language-model scoring by a probabilistic suffix tree.
 
-A text is a sequence of tokens: its words, A-Z lower-cased, and one end. The tree's symbols are
-bytes: a word is its bytes and an end-of-word symbol, read from a word-begin mark; after the last
-word comes the end symbol. A state is a context of up to ``DEPTH`` symbols before the next one,
-inside the word. Contexts of one symbol are always states; a longer one is a state if its
-next-symbol distribution diverges from that of the context without its first symbol by at least
-``GAIN`` nats per different next symbol (its count times the Kullback-Leibler divergence), or if a
-longer context that ends in it is one. A state's distribution is smoothed by its parent's
-(Witten-Bell), down to a uniform one, so it sums to one. Each symbol is scored by the longest state
-that its context ends in. A token as a whole is the tree's longest state, back to its begin mark: its
-count among all tokens, smoothed, again by Witten-Bell, with what the tree gives its symbols, so
-that words that were never seen are spelled. A text's score is the sum of its tokens' base-10
-logarithms. Beside it stand unigram counts and an add-one unigram score of the same tokens.
+A text is a sequence of tokens: its words, A-Z lower-cased, and one end. The model predicts each
+token from the bytes before it: the tree's states are suffixes, of up to two bytes, of the previous
+word (a mark stands for the bytes before a word's first, and before the first word). A suffix is a
+state if its next-token distribution diverges from that of the suffix one byte shorter by at least
+``GAIN`` nats per different next token (its count times the Kullback-Leibler divergence) or if a
+longer suffix that ends in it is a state; the empty suffix always is one. A state's distribution is
+smoothed by its parent's (Witten-Bell: the parent weighs as much as there are different next
+tokens), the root's by one symbol for all tokens that training texts don't have, so that the
+probabilities of the training tokens and of that symbol sum to one in every state. A token is scored
+by the longest state that its history ends in; a text's score is the sum of the base-10 logarithms.
+Beside it stand unigram counts and an add-one unigram score over the same symbols.
 
 The held-out documents (a hash of the id) take no part in any count.
 
-Scale. Texts are read once, in blocks of bounded size, each written as a dictionary of its words and
-a list of numbers; all counting and scoring works on dictionaries. Their words are dealt by hash to
-buckets (as many as the dictionaries' sizes ask for), where counts over all documents are summed.
-Contexts are dealt by their last two symbols, so that a context and its parents meet, with one entry
-per bucket and different context; the counts of single symbols and of pairs, at most 65 536, are the
-only thing that is broadcast. Scores of words go back to the buckets, and from there to the blocks.
-A frequent word, or a word that fills a third of all texts, is one entry per block.
+Scale. Texts are read once, in blocks of bounded size, each written as a dictionary of its words,
+its pairs of word and suffix, and a list of pair numbers; all counting works on dictionaries. Their
+words are dealt by hash to buckets (as many as the dictionaries' sizes ask for), where the counts of
+words, and of words after suffixes, are summed over all documents and go back to the blocks. The
+sums that the divergence tests take are additive over buckets, so the tree itself is a table by
+suffix, 65 536 rows at most whatever the corpus, and the only thing that is broadcast. A frequent
+word, or one that fills a third of all texts, is one entry per block and suffix.
 
 Defined cases: a null, empty or blank text is one end; a null id counts as an empty one (not held
-out); repeated rows count and are scored each for itself; without training texts all distributions
-are uniform and the base score is that of unknown tokens; an empty table gives no rows; other
-columns are ignored, whatever their names.
+out); repeated rows count and are scored each for itself; without training texts every token is the
+unknown symbol, whose probability is one, and the base score is 0; an empty table gives no rows;
+other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
 import zlib
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -40,15 +40,14 @@ from pyspark.sql import functions as F
 
 from kpi_lake.llm.common import materialise, utf8_column
 
-DEPTH = 5
 GAIN = 2.0
 HELD_OUT = (7, 2)
 BLOCK_BYTES = 8 << 20
-BUCKET_WORDS = 300_000
-# Symbols that are no bytes of UTF-8.
-PAD, BEGIN, WORD_END, END = 0xFF, 0xFE, 0xFD, 0xFC
-END_TOKEN = bytes([END])
-_SYMBOLS = 256
+BUCKET_PAIRS = 1_000_000
+# Bytes that no UTF-8 text has, as mark before a word's first byte, and as end token.
+MARK = 0xFE
+END_TOKEN = b"\xfc"
+_SUFFIXES = 1 << 16
 
 
 def held_out(doc_id: int | None, rule: tuple[int, int] = HELD_OUT) -> bool:
@@ -56,15 +55,18 @@ def held_out(doc_id: int | None, rule: tuple[int, int] = HELD_OUT) -> bool:
 
 
 def pack(values: np.ndarray) -> bytes:
+    """An array as compressed bytes, all lowest bytes first."""
     import zstandard
 
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(values).tobytes())
+    planes = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.itemsize).T
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
 
 
 def unpack(packed: bytes, kind) -> np.ndarray:
     import zstandard
 
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), kind)
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8)
+    return np.ascontiguousarray(raw.reshape(np.dtype(kind).itemsize, -1).T).view(kind).reshape(-1)
 
 
 def _pack_words(words: list[bytes]) -> bytes:
@@ -75,295 +77,225 @@ def _unpack_words(packed: bytes) -> list[bytes]:
     return unpack(packed, np.uint8).tobytes().split(b" ")
 
 
-# --- blocks of documents
+def suffix_of(word: bytes) -> int:
+    """A word's last two bytes as a number."""
+    return (word[-2] if len(word) > 1 else MARK) << 8 | word[-1]
+
+
+def _rows(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+
 
+def _kinds(schema: pa.Schema) -> str:
+    names = {pa.int64(): "bigint", pa.string(): "string", pa.binary(): "binary", pa.list_(pa.int64()): "array<bigint>"}
+    return ", ".join(f"{f.name} {names[f.type]}" for f in schema)
+
+
+# --- blocks of documents
 
 _BLOCK = pa.schema(
-    [("block", pa.string()), ("ids", pa.list_(pa.int64())), ("n_words", pa.binary()), ("tokens", pa.binary()), ("words", pa.binary()), ("train", pa.binary()), ("size", pa.int64())]
+    [
+        ("block", pa.string()),
+        ("ids", pa.list_(pa.int64())),
+        ("lengths", pa.binary()),  # tokens per document
+        ("tokens", pa.binary()),  # pair numbers
+        ("words", pa.binary()),
+        ("n_pairs", pa.binary()),  # per word; pairs are in order of words
+        ("suffixes", pa.binary()),  # per pair
+        ("train", pa.binary()),  # per pair, its count in training documents
+        ("size", pa.int64()),
+    ]
 )
-_BLOCK_KINDS = "block string, ids array<bigint>, n_words binary, tokens binary, words binary, train binary, size bigint"
-
 
-def blocks_of(docs: DataFrame, rule: tuple[int, int]) -> DataFrame:
-    """Blocks of documents: ids, words per document, word numbers, the block's dictionary (the end
-    token first) and how often each of its words occurs in training documents."""
 
+def blocks_of(docs: DataFrame, rule: tuple[int, int] = HELD_OUT) -> DataFrame:
     def run(batches):
         from pyspark import TaskContext
 
         part, number = TaskContext.get().partitionId(), 0
-        ids, counts, tokens, table, train, held = [], [], [], {END_TOKEN: 0}, [], 0
+        ids, parts, table, held = [], [], {END_TOKEN: 0}, 0
 
         def flush():
-            at = np.concatenate(tokens)
-            seen = np.bincount(np.concatenate(train) if train else np.zeros(0, np.int64), minlength=len(table))
-            seen[0] = sum(not held_out(i, rule) for i in ids)
-            columns = [[f"{part}-{number}"], [ids], [pack(np.array(counts, np.int64))], [pack(at.astype(np.uint32))], [_pack_words(list(table))], [pack(seen.astype(np.int64))], [len(table)]]
-            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _BLOCK, strict=True)], schema=_BLOCK)
+            words = list(table)
+            last = np.fromiter((suffix_of(w) for w in words), np.int64, len(words))
+            lengths = np.array([len(p) for p in parts])
+            token = np.concatenate(parts)
+            before = np.concatenate(([0], last[token[:-1]]))
+            before[np.cumsum(lengths)[:-1]] = before[0] = MARK << 8 | MARK
+            pairs, tokens = np.unique(token * _SUFFIXES + before, return_inverse=True)
+            training = np.repeat([not held_out(i, rule) for i in ids], lengths)
+            counts = np.bincount(tokens[training], minlength=len(pairs))
+            row = (
+                f"{part}-{number}",
+                ids,
+                pack(lengths.astype(np.uint32)),
+                pack(tokens.astype(np.uint32)),
+                _pack_words(words),
+                pack(np.bincount(pairs // _SUFFIXES, minlength=len(words)).astype(np.uint32)),
+                pack((pairs % _SUFFIXES).astype(np.uint16)),
+                pack(counts.astype(np.uint32)),
+                len(pairs),
+            )
+            return _rows([row], _BLOCK)
 
         for batch in batches:
             for doc, raw in zip(batch.column(0).to_pylist(), utf8_column(batch.column(1)), strict=True):
                 words = raw.lower().split()
+                words.append(END_TOKEN)
                 try:
                     found = np.fromiter(map(table.__getitem__, words), np.int64, len(words))
                 except KeyError:
                     found = np.fromiter((table.setdefault(w, len(table)) for w in words), np.int64, len(words))
                 ids.append(doc)
-                counts.append(len(words))
-                tokens.append(found)
-                if not held_out(doc, rule):
-                    train.append(found)
+                parts.append(found)
                 held += len(raw)
                 if held > BLOCK_BYTES:
                     yield flush()
                     number += 1
-                    ids, counts, tokens, table, train, held = [], [], [], {END_TOKEN: 0}, [], 0
+                    ids, parts, table, held = [], [], {END_TOKEN: 0}, 0
         if ids:
             yield flush()
 
-    return docs.mapInArrow(run, _BLOCK_KINDS)
+    return docs.mapInArrow(run, _kinds(_BLOCK))
 
 
-# --- the vocabulary in buckets
+# --- words in buckets
 
-
-_PART = pa.schema([("bucket", pa.int64()), ("block", pa.string()), ("words", pa.binary()), ("places", pa.binary()), ("train", pa.binary())])
-_BUCKET = pa.schema(
-    [
-        ("bucket", pa.int64()),
-        ("words", pa.binary()),
-        ("counts", pa.binary()),
-        ("n_tokens", pa.int64()),
-        ("n_types", pa.int64()),
-        ("blocks", pa.list_(pa.struct([("block", pa.string()), ("places", pa.binary()), ("numbers", pa.binary())]))),
-    ]
+_PART = pa.schema(
+    [("bucket", pa.int64()), ("block", pa.string()), ("words", pa.binary()), ("n_pairs", pa.binary()), ("starts", pa.binary()), ("suffixes", pa.binary()), ("train", pa.binary())]
 )
-_BUCKET_KINDS = "bucket bigint, words binary, counts binary, n_tokens bigint, n_types bigint, blocks array<struct<block:string,places:binary,numbers:binary>>"
+_COUNTED = pa.schema([("bucket", pa.int64()), ("block", pa.string()), ("n_pairs", pa.binary()), ("starts", pa.binary()), ("counts", pa.binary()), ("sums", pa.binary())])
+
+
+def _places(starts: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The numbers of runs of ``n`` from ``starts`` on."""
+    stops = np.cumsum(n)
+    return np.arange(stops[-1] if len(n) else 0) + np.repeat(starts - (stops - n), n)
 
 
-def buckets_of(blocks: DataFrame, n_buckets: int) -> DataFrame:
-    """The words of all blocks, dealt by hash: per bucket its words, their counts over all training
-    documents, and where in which block's dictionary each stands."""
+def deal_words(blocks: DataFrame, n_buckets: int) -> DataFrame:
+    """The words of each block, by hash, with their pairs' suffixes and counts."""
 
-    def deal(batches):
+    def run(batches):
         for batch in batches:
-            for block, packed, train in zip(*(batch.column(c).to_pylist() for c in ("block", "words", "train")), strict=True):
-                words, seen = _unpack_words(packed), unpack(train, np.int64)
+            for block, packed, n_pairs, suffixes, train in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                words, n = _unpack_words(packed), unpack(n_pairs, np.uint32).astype(np.int64)
+                starts, suffix, seen = np.cumsum(n) - n, unpack(suffixes, np.uint16), unpack(train, np.uint32)
                 bucket = np.fromiter((zlib.crc32(w) for w in words), np.int64, len(words)) % n_buckets
-                order = np.argsort(bucket, kind="stable")
-                cuts = np.flatnonzero(np.diff(bucket[order])) + 1
-                rows = []
-                for at in np.split(order, cuts):
-                    rows.append((int(bucket[at[0]]), block, _pack_words([words[i] for i in at.tolist()]), pack(at.astype(np.uint32)), pack(seen[at])))
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _PART, strict=True)], schema=_PART)
+                order, rows = np.argsort(bucket, kind="stable"), []
+                for at in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
+                    places = _places(starts[at], n[at])
+                    mine = _pack_words([words[i] for i in at.tolist()])
+                    rows.append((int(bucket[at[0]]), block, mine, pack(n[at].astype(np.uint32)), pack(starts[at].astype(np.uint32)), pack(suffix[places]), pack(seen[places])))
+                yield _rows(rows, _PART)
+
+    return blocks.select("block", "words", "n_pairs", "suffixes", "train").mapInArrow(run, _kinds(_PART))
+
 
-    def unite(batches):
-        key, table, counts, blocks = None, {}, [], []
+def count_words(parts: DataFrame) -> DataFrame:
+    """Per bucket and block: of each pair the counts, over all training documents, of its word, of
+    its word after its suffix's last byte, and after its suffix. A bucket's first row has its sums
+    for the tree as well: of the tokens, and by suffix (see ``Tree``)."""
+
+    def run(batches):
+        key, table, held = None, {}, []
 
         def flush():
-            total = np.zeros(len(table), np.int64)
-            for numbers, seen in counts:
-                np.add.at(total, numbers, seen)
-            columns = [[key], [_pack_words(list(table))], [pack(total)], [int(total.sum())], [int((total > 0).sum())], [blocks]]
-            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _BUCKET, strict=True)], schema=_BUCKET)
+            pairs = np.concatenate([p for _, _, _, p, _ in held])
+            unique, inverse = np.unique(pairs, return_inverse=True)
+            two = np.bincount(inverse, weights=np.concatenate([c for *_, c in held]), minlength=len(unique))
+            shorter = unique // _SUFFIXES * 256 + unique % 256
+            singles, of_single = np.unique(shorter, return_inverse=True)
+            one = np.bincount(of_single, weights=two)
+            word = singles // 256
+            none = np.bincount(word, weights=one, minlength=len(table))
+            table_of_sums = np.concatenate(([[none.sum(), (none > 0).sum(), 0.0]], _sums(singles % 256, one, none[word], 256), _sums(unique % _SUFFIXES, two, one[of_single], _SUFFIXES)))
+            counts = np.stack([none[unique // _SUFFIXES], one[of_single], two]).astype(np.int64)
+            cuts = np.cumsum([len(p) for _, _, _, p, _ in held])[:-1]
+            for k, ((block, n_pairs, starts, _, _), at) in enumerate(zip(held, np.split(inverse, cuts), strict=True)):
+                sums = pack(table_of_sums.reshape(-1)) if k == 0 else b""
+                yield _rows([(key, block, n_pairs, starts, pack(counts[:, at].reshape(-1)), sums)], _COUNTED)
 
         for batch in batches:
-            for bucket, block, words, places, train in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for bucket, block, packed, n_pairs, starts, suffixes, train in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if bucket != key:
-                    if key is not None:
-                        yield flush()
-                    key, table, counts, blocks = bucket, {}, [], []
-                numbers = np.fromiter((table.setdefault(w, len(table)) for w in _unpack_words(words)), np.int64)
-                counts.append((numbers, unpack(train, np.int64)))
-                blocks.append({"block": block, "places": places, "numbers": pack(numbers.astype(np.uint32))})
-        if key is not None:
-            yield flush()
+                    if held:
+                        yield from flush()
+                    key, table, held = bucket, {}, []
+                numbers = np.fromiter((table.setdefault(w, len(table)) for w in _unpack_words(packed)), np.int64)
+                pairs = np.repeat(numbers, unpack(n_pairs, np.uint32)) * _SUFFIXES + unpack(suffixes, np.uint16)
+                held.append((block, n_pairs, starts, pairs, unpack(train, np.uint32)))
+        if held:
+            yield from flush()
 
-    parts = blocks.select("block", "words", "train").mapInArrow(deal, "bucket bigint, block string, words binary, places binary, train binary")
-    return parts.repartition(F.col("bucket")).sortWithinPartitions("bucket", "block").mapInArrow(unite, _BUCKET_KINDS)
+    return parts.repartition(F.col("bucket")).sortWithinPartitions("bucket", "block").mapInArrow(run, _kinds(_COUNTED))
 
 
 # --- the tree
 
 
-def codes_of(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Of the symbols of all words, one after another: the symbol (lowest byte) with the ``DEPTH``
-    before it; and the place after each word's last symbol."""
-    lead = bytes([PAD] * (DEPTH - 1) + [BEGIN])
-    parts = [lead + (w if w == END_TOKEN else w + bytes([WORD_END])) for w in words]
-    stops = np.cumsum([len(p) for p in parts])
-    data = np.frombuffer(b"".join(parts), np.uint8).astype(np.uint64)
-    codes = data[DEPTH:].copy()
-    for k in range(1, DEPTH + 1):
-        codes |= data[DEPTH - k : len(data) - k] << np.uint64(8 * k)
-    inside = np.ones(len(data), bool)
-    starts = np.concatenate(([0], stops[:-1]))
-    for k in range(DEPTH):
-        inside[starts + k] = False
-    return codes[inside[DEPTH:]], stops - DEPTH * np.arange(1, len(words) + 1)
-
+def _sums(state: np.ndarray, n: np.ndarray, n_parent: np.ndarray, size: int) -> np.ndarray:
+    """By state: all its tokens, its different tokens, and the sum of ``n log(n / n_parent)``."""
+    with np.errstate(divide="ignore", invalid="ignore"):
+        terms = np.where(n > 0, n * (np.log(n) - np.log(n_parent)), 0.0)
+    return np.stack([np.bincount(state, weights=w, minlength=size) for w in (n, n > 0, terms)], axis=1)
 
-_REQUEST = pa.schema([("last", pa.int64()), ("bucket", pa.int64()), ("codes", pa.binary()), ("counts", pa.binary())])
 
+class Tree(NamedTuple):
+    """Of the root, of suffixes of one byte, and of two: all tokens, different tokens; and which
+    suffixes are states."""
 
-def _requests(buckets: DataFrame) -> DataFrame:
-    """Per bucket and last two symbols of the context: the different contexts with their next
-    symbol, and their counts."""
-
-    def run(batches):
-        for batch in batches:
-            for bucket, packed, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                words, seen = _unpack_words(packed), unpack(counts, np.int64)
-                codes, stops = codes_of(words)
-                unique, inverse = np.unique(codes, return_inverse=True)
-                total = np.bincount(inverse, weights=np.repeat(seen, np.diff(stops, prepend=0)), minlength=len(unique)).astype(np.int64)
-                last = (unique >> np.uint64(8)) & np.uint64(0xFFFF)
-                order = np.argsort(last, kind="stable")
-                rows = []
-                for at in np.split(order, np.flatnonzero(np.diff(last[order])) + 1):
-                    rows.append((int(last[at[0]]), bucket, pack(unique[at]), pack(total[at])))
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _REQUEST, strict=True)], schema=_REQUEST)
-
-    return buckets.select("bucket", "words", "counts").mapInArrow(run, "last bigint, bucket bigint, codes binary, counts binary")
+    n_tokens: int
+    n_types: int
+    totals: tuple[np.ndarray, np.ndarray]
+    types: tuple[np.ndarray, np.ndarray]
+    states: tuple[np.ndarray, np.ndarray]
 
+    def log_probabilities(self, suffix: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """Base-10 logarithms for pairs, from the counts of their word, of it after the suffix's
+        last byte, and after the suffix."""
+        total = max(self.n_tokens + self.n_types, 1)
+        p = np.where(counts[0] > 0, counts[0], max(self.n_types, 1)) / total
+        for level, at in enumerate((suffix & 0xFF, suffix)):
+            n, weight = self.totals[level][at], np.maximum(self.types[level][at], 1)
+            p = np.where(self.states[level][at], (counts[level + 1] + weight * p) / (n + weight), p)
+        return np.log10(p)
 
-def _pairs(buckets: DataFrame) -> np.ndarray:
-    """Counts of next symbols after single symbols, over all training documents: a table of 256 by
-    256, whatever the corpus."""
 
-    def run(batches):
-        table = np.zeros(_SYMBOLS * _SYMBOLS, np.int64)
-        for batch in batches:
-            for packed, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                codes, stops = codes_of(_unpack_words(packed))
-                weights = np.repeat(unpack(counts, np.int64), np.diff(stops, prepend=0))
-                table += np.bincount((codes & np.uint64(0xFFFF)).astype(np.int64), weights=weights, minlength=len(table)).astype(np.int64)
-        at = np.flatnonzero(table)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(table[at])], names=["pair", "n"])
-
-    counted = buckets.select("words", "counts").mapInArrow(run, "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(_SYMBOLS * _SYMBOLS, np.int64)
-    out[counted["pair"].to_numpy()] = counted["n"].to_numpy()
-    return out.reshape(_SYMBOLS, _SYMBOLS)
-
-
-def _smooth(n: np.ndarray, total: np.ndarray, types: np.ndarray, parent: np.ndarray) -> np.ndarray:
-    """Witten-Bell: the parent weighs as much as there are different next symbols."""
-    weight = np.maximum(types, 1)
-    return (n + weight * parent) / (total + weight)
-
-
-def symbol_probabilities(codes: np.ndarray, counts: np.ndarray, pairs: np.ndarray, gain: float = GAIN) -> np.ndarray:
-    """Of distinct codes whose contexts end in the same two symbols, all there are of the corpus:
-    the next symbol's probability in the longest state."""
-    following = pairs.sum(axis=0)
-    p0 = _smooth(following, following.sum(), (following > 0).sum(), np.full(_SYMBOLS, 1.0 / _SYMBOLS))
-    p1 = _smooth(pairs, pairs.sum(axis=1, keepdims=True), (pairs > 0).sum(axis=1, keepdims=True), p0)
-    symbol = (codes & np.uint64(0xFF)).astype(np.int64)
-    before = ((codes >> np.uint64(8)) & np.uint64(0xFF)).astype(np.int64)
-    p = p1[before, symbol]
-    n_parent, total_parent = pairs[before, symbol].astype(float), pairs.sum(axis=1)[before].astype(float)
-    levels = []
-    for depth in range(2, DEPTH + 1):
-        event = codes & np.uint64((1 << (8 * depth + 8)) - 1)
-        events, of_event = np.unique(event, return_inverse=True)
-        n = np.bincount(of_event, weights=counts)
-        contexts, of_context = np.unique(events >> np.uint64(8), return_inverse=True)
-        total = np.bincount(of_context, weights=n)
-        types = np.bincount(of_context, weights=n > 0)
-        sample = np.zeros(len(events), np.int64)
-        sample[of_event] = np.arange(len(codes))
-        with np.errstate(divide="ignore", invalid="ignore"):
-            terms = np.where(n > 0, n * (np.log(n / total[of_context]) - np.log(n_parent[sample] / total_parent[sample])), 0.0)
-        passes = np.bincount(of_context, weights=terms) >= gain * np.maximum(types, 1)
-        passes &= total > 0
-        context = of_context[of_event]
-        levels.append((passes, context, n[of_event], total[context], types[context]))
-        n_parent, total_parent = n[of_event], total[context]
-    kept_below = np.zeros(len(codes), bool)  # of each code: whether its next longer context is a state
+def grow_tree(sums: np.ndarray, gain: float = GAIN) -> Tree:
+    """The tree from the sums over all buckets."""
+    root, one, two = sums[0], sums[1:257], sums[257:]
+    parents = (np.full(256, root[0]), one[:, 0][np.arange(_SUFFIXES) & 0xFF])
     states = []
-    for passes, context, *_ in reversed(levels):
-        kept = passes.copy()
-        np.logical_or.at(kept, context, kept_below)
-        kept_below = kept[context]
-        states.append(kept_below)
-    for (_, _, n, total, types), kept in zip(levels, reversed(states), strict=True):
-        p = np.where(kept, _smooth(n, total, types, p), p)
-    return p
-
-
-_ANSWER = pa.schema([("bucket", pa.int64()), ("codes", pa.binary()), ("scores", pa.binary())])
+    for (n, types, terms), parent in zip((one.T, two.T), parents, strict=True):
+        with np.errstate(divide="ignore", invalid="ignore"):
+            divergence = terms - n * (np.log(n) - np.log(parent))  # n times the Kullback-Leibler divergence
+        states.append((n > 0) & (divergence >= gain * types))
+    states[0] |= np.bincount(np.arange(_SUFFIXES) & 0xFF, weights=states[1], minlength=256) > 0
+    return Tree(int(root[0]), int(root[1]), (one[:, 0], two[:, 0]), (one[:, 1], two[:, 1]), tuple(states))
 
 
-def _answers(requests: DataFrame, pairs: np.ndarray, gain: float) -> DataFrame:
-    """Per bucket: contexts with next symbol, and the logarithm of its probability."""
-    shared = requests.sparkSession.sparkContext.broadcast(pairs)
+def _all_sums(counted: DataFrame) -> np.ndarray:
+    size = 1 + 256 + _SUFFIXES
+    schema = pa.schema([("at", pa.int64()), ("n", pa.float64()), ("types", pa.float64()), ("terms", pa.float64())])
 
     def run(batches):
-        key, held = None, []
-
-        def flush():
-            codes = np.concatenate([c for _, c, _ in held])
-            unique, inverse = np.unique(codes, return_inverse=True)
-            total = np.bincount(inverse, weights=np.concatenate([n for *_, n in held]), minlength=len(unique))
-            scores = np.log10(symbol_probabilities(unique, total, shared.value, gain))[inverse]
-            cuts = np.cumsum([len(c) for _, c, _ in held])[:-1]
-            rows = [(bucket, pack(c), pack(s)) for (bucket, c, _), s in zip(held, np.split(scores, cuts), strict=True)]
-            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _ANSWER, strict=True)], schema=_ANSWER)
-
+        total = np.zeros((size, 3))
         for batch in batches:
-            for last, bucket, codes, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if last != key:
-                    if held:
-                        yield flush()
-                    key, held = last, []
-                held.append((bucket, unpack(codes, np.uint64), unpack(counts, np.int64)))
-        if held:
-            yield flush()
+            for packed in batch.column(0).to_pylist():
+                total += unpack(packed, np.float64).reshape(size, 3)
+        at = np.flatnonzero(total[:, 0])
+        yield pa.RecordBatch.from_arrays([pa.array(at), *(pa.array(total[at, k]) for k in range(3))], schema=schema)
 
-    ordered = requests.repartition(F.col("last")).sortWithinPartitions("last", "bucket")
-    return ordered.mapInArrow(run, "bucket bigint, codes binary, scores binary")
+    parts = counted.where("sums <> X''").select("sums").mapInArrow(run, "at bigint, n double, types double, terms double")
+    found = parts.groupBy("at").agg(*[F.sum(c).alias(c) for c in ("n", "types", "terms")]).toArrow()  # at most ``size`` rows
+    out = np.zeros((size, 3))
+    out[found["at"].to_numpy()] = np.stack([found[c].to_numpy() for c in ("n", "types", "terms")], axis=1)
+    return out
 
 
 # --- scores
 
-
-_LOOKED_UP = pa.schema([("block", pa.string()), ("places", pa.binary()), ("counts", pa.binary()), ("scores", pa.binary())])
-
-
-def token_scores(counts: np.ndarray, spelled: np.ndarray, n_tokens: int, n_types: int) -> np.ndarray:
-    """Base-10 logarithms of tokens' probabilities, from their counts and those of their symbols."""
-    if not n_tokens:
-        return spelled
-    with np.errstate(divide="ignore"):
-        seen = np.log(counts)
-    return (np.logaddexp(seen, np.log(n_types) + spelled * np.log(10)) - np.log(n_tokens + n_types)) / np.log(10)
-
-
-def _word_scores(buckets: DataFrame, answers: DataFrame, n_tokens: int, n_types: int) -> DataFrame:
-    """Per block: places in its dictionary, their words' counts and scores."""
-    collected = answers.groupBy("bucket").agg(F.collect_list(F.struct("codes", "scores")).alias("answers"))
-    joined = buckets.join(collected, "bucket").select("words", "counts", "blocks", "answers")
-
-    def run(batches):
-        for batch in batches:
-            for packed, counts, blocks, answers in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                seen = unpack(counts, np.int64)
-                codes, stops = codes_of(_unpack_words(packed))
-                known = np.concatenate([unpack(a["codes"], np.uint64) for a in answers])
-                order = np.argsort(known)
-                found = np.concatenate([unpack(a["scores"], np.float64) for a in answers])[order]
-                symbols = found[np.searchsorted(known[order], codes)]
-                scores = token_scores(seen, np.add.reduceat(symbols, np.concatenate(([0], stops[:-1]))), n_tokens, n_types)
-                rows = []
-                for x in blocks:
-                    numbers = unpack(x["numbers"], np.uint32)
-                    rows.append((x["block"], x["places"], pack(seen[numbers]), pack(scores[numbers])))
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _LOOKED_UP, strict=True)], schema=_LOOKED_UP)
-
-    return joined.mapInArrow(run, "block string, places binary, counts binary, scores binary")
-
-
 _SCORED = pa.schema(
     [
         ("id", pa.int64()),
@@ -383,42 +315,32 @@ def score_documents(
     text_col: str = "text",
     gain: float = GAIN,
     rule: tuple[int, int] = HELD_OUT,
-    bucket_words: int = BUCKET_WORDS,
+    bucket_pairs: int = BUCKET_PAIRS,
 ) -> DataFrame:
     """Per row ``id, held_out, n_tokens, n_known, train_tokens, base_score, score``."""
     docs = documents.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
     blocks = materialise(blocks_of(docs, rule), "blocks")
-    words = blocks.agg(F.sum("size")).first()[0] or 0
-    buckets = materialise(buckets_of(blocks, int(max(1, -(-words // bucket_words)))), "buckets")
-    n_tokens, n_types = buckets.agg(F.sum("n_tokens"), F.sum("n_types")).first()
-    n_tokens, n_types = n_tokens or 0, n_types or 0
-    answers = _answers(_requests(buckets), _pairs(buckets), gain)
-    looked_up = _word_scores(buckets, answers, n_tokens, n_types).groupBy("block").agg(F.collect_list(F.struct("places", "counts", "scores")).alias("found"))
-    joined = blocks.select("block", "ids", "n_words", "tokens", "size").join(looked_up, "block").select("ids", "n_words", "tokens", "size", "found")
+    pairs = blocks.agg(F.sum("size")).first()[0] or 0
+    counted = materialise(count_words(deal_words(blocks, int(max(1, -(-pairs // bucket_pairs))))), "counted")
+    tree = grow_tree(_all_sums(counted), gain)
+    shared = documents.sparkSession.sparkContext.broadcast(tree)
+    found = counted.groupBy("block").agg(F.collect_list(F.struct("n_pairs", "starts", "counts")).alias("found"))
+    joined = blocks.select("block", "ids", "lengths", "tokens", "suffixes", "size").join(found, "block").select("ids", "lengths", "tokens", "suffixes", "size", "found")
 
     def run(batches):
+        model: Tree = shared.value
         for batch in batches:
-            for ids, n_words, tokens, size, found in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                counts, scores = np.zeros(size, np.int64), np.zeros(size)
-                for x in found:
-                    places = unpack(x["places"], np.uint32)
-                    counts[places], scores[places] = unpack(x["counts"], np.int64), unpack(x["scores"], np.float64)
-                base = np.log10((counts + 1) / (n_tokens + n_types + 1))
-                lengths, at = unpack(n_words, np.int64), unpack(tokens, np.uint32)
+            for ids, packed, tokens, suffixes, size, parts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                counts = np.zeros((3, size), np.int64)
+                for x in parts:
+                    places = _places(unpack(x["starts"], np.uint32).astype(np.int64), unpack(x["n_pairs"], np.uint32).astype(np.int64))
+                    counts[:, places] = unpack(x["counts"], np.int64).reshape(3, -1)
+                scores = model.log_probabilities(unpack(suffixes, np.uint16).astype(np.int64), counts)
+                base = np.log10((counts[0] + 1) / (model.n_tokens + model.n_types + 1))
+                lengths, at = unpack(packed, np.uint32).astype(np.int64), unpack(tokens, np.uint32)
                 doc = np.repeat(np.arange(len(ids)), lengths)
-
-                def per_doc(values, doc=doc, at=at, n=len(ids)):
-                    return np.bincount(doc, weights=values[at], minlength=n) + values[0]
-
-                columns = [
-                    ids,
-                    [held_out(i, rule) for i in ids],
-                    lengths + 1,
-                    per_doc((counts > 0).astype(np.int64)).astype(np.int64),
-                    np.full(len(ids), n_tokens, np.int64),
-                    per_doc(base),
-                    per_doc(scores),
-                ]
+                known, of_base, of_model = (np.bincount(doc, weights=values[at], minlength=len(ids)) for values in (counts[0] > 0, base, scores))
+                columns = [ids, [held_out(i, rule) for i in ids], lengths, known.astype(np.int64), np.full(len(ids), model.n_tokens), of_base, of_model]
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _SCORED, strict=True)], schema=_SCORED)
 
     return joined.mapInArrow(run, "id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")

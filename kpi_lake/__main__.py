@@ -4,7 +4,12 @@
   python -m kpi_lake silver  --lake /shared/lake          (bronze -> silver only)
   python -m kpi_lake gold    --lake /shared/lake          (silver -> gold only)
   python -m kpi_lake page performance --lake /shared/lake [--sales-from D --sales-to D]
-                                       [--jobs-until D] [--category C ...]
+                                       [--jobs-until D] [--saved-slicers]
+                                       [--category C ...] [--departement D ...] [--partner P ...]
+  python -m kpi_lake page activity --lake /shared/lake [--activity-period 2024 | 2024/1 ...]
+                                    [--registration-period 2024/1 ...]
+
+Slicers that aren't given don't filter; ``--saved-slicers`` applies the report's saved selections.
 
 ``--master`` is only needed outside spark-submit.
 """
@@ -18,6 +23,10 @@ from kpi_lake.session import get_spark
 from kpi_lake.sources.layers import Lake
 
 
+def _period(text: str) -> tuple[int, ...]:
+    return tuple(int(part) for part in text.split("/"))
+
+
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="python -m kpi_lake")
     p.add_argument("--master", default=None)
@@ -39,6 +48,11 @@ def _parser() -> argparse.ArgumentParser:
     g.add_argument("--jobs-until", help="exclusive")
     g.add_argument("--year", type=int, action="append", default=[])
     g.add_argument("--category", action="append", default=[])
+    g.add_argument("--departement", action="append", default=[])
+    g.add_argument("--partner", action="append", default=[])
+    g.add_argument("--activity-period", type=_period, action="append", default=[], help="year or year/quarter")
+    g.add_argument("--registration-period", type=_period, action="append", default=[], help="year or year/quarter")
+    g.add_argument("--saved-slicers", action="store_true", help="the sales and job dates saved in the report")
     return p
 
 
@@ -63,13 +77,17 @@ def main(argv: list[str] | None = None) -> int:
         from kpi_lake.plans import dashboard as D
         from kpi_lake.plans.catalog import gold_model
 
+        profile = {"categories": args.category, "departements": args.departement, "partners": args.partner}
         if args.name == "performance":
-            sales = (args.sales_from, args.sales_to) if (args.sales_from or args.sales_to) else None
-            ctx = D.performance_context(sales, args.jobs_until, args.category)
+            sales, jobs_until = (args.sales_from, args.sales_to), args.jobs_until
+            if args.saved_slicers:
+                sales = sales if any(sales) else D.REPORT_SALES_RANGE
+                jobs_until = jobs_until or D.REPORT_JOBS_UNTIL
+            ctx = D.performance_context(sales if any(sales) else None, jobs_until, **profile)
         elif args.name == "registration":
-            ctx = D.registration_context(years=args.year, categories=args.category)
+            ctx = D.registration_context(years=args.year, period=args.registration_period, **profile)
         else:
-            ctx = D.activity_context(categories=args.category)
+            ctx = D.activity_context(args.activity_period, args.registration_period, **profile)
         row = D.page(gold_model(spark, lake), ctx, args.name).first()
         for k, v in (row.asDict() if row else {}).items():
             print(f"{k}\t{v}")

@@ -102,8 +102,7 @@ def label(c: ColumnOrName, labels: Mapping[str, str], default: str) -> Column:
 def map_lookup(c: ColumnOrName, mapping: Mapping[str, int], value_type: str = "bigint") -> Column:
     """Literal map lookup; unknown keys and null give null.
 
-    The map is a foldable literal, evaluated per row without a join. For maps too large to inline,
-    join against a table instead (see ``operators.star.lookup_join``).
+    The map is a foldable literal, evaluated per row without a join.
     """
     if not mapping:
         return F.lit(None).cast(value_type)
@@ -146,6 +145,12 @@ def fill_null(df: DataFrame, defaults: Mapping[str, object], nan_as_null: bool =
 NUMERIC_TEXT = r"^\s*[+-]?\d+(\.\d*)?\s*$"
 
 
+def numeric_text(c: ColumnOrName, dtype: str = "decimal(38,10)") -> Column:
+    """Text that reads as a plain number as an exact decimal; other text -> null."""
+    col = _col(c)
+    return F.when(col.rlike(NUMERIC_TEXT), F.trim(col).try_cast(dtype))
+
+
 def numeric_view(df: DataFrame, name: str) -> Column:
     """The column as a number for comparisons.
 
@@ -157,8 +162,7 @@ def numeric_view(df: DataFrame, name: str) -> Column:
     dtype = column_type(df, name)
     if isinstance(dtype, NumericType):
         return F.col(name)
-    col = F.col(name)
-    return F.when(col.rlike(NUMERIC_TEXT), F.trim(col).try_cast("decimal(38,10)"))
+    return numeric_text(name)
 
 
 def floor_below(df: DataFrame, name: str, threshold: float, value: object = 0) -> DataFrame:
@@ -192,10 +196,17 @@ def clamp_open_range(
 
 
 def to_int_trunc(c: ColumnOrName, dtype: str = "bigint") -> Column:
-    """Truncate toward zero (7.6 -> 7, -7.6 -> -7); text that is not a number -> null."""
-    return _col(c).try_cast(dtype)
+    """Truncate toward zero (7.6 -> 7, -7.6 -> -7), text numbers too; other text -> null.
+
+    A plain cast of text to an integer type refuses a fraction, so numeric text goes through an
+    exact decimal.
+    """
+    text = _col(c).cast("string")
+    exact = F.when(text.rlike(NUMERIC_TEXT), F.trim(text).try_cast("decimal(38,10)")).try_cast(dtype)
+    return F.coalesce(_col(c).try_cast(dtype), exact)
 
 
+# Fixed value: plain decimal text.
 DECIMAL_TEXT = r"^-?\d+(\.\d+)?$"
 
 
@@ -252,6 +263,7 @@ __all__ = [
     "label",
     "map_lookup",
     "normalize",
+    "numeric_text",
     "numeric_view",
     "project",
     "recode",

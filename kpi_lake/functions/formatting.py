@@ -9,9 +9,14 @@ from pyspark.sql import functions as F
 DISPLAY_UNITS = {1: "", 1000: "K", 1000000: "M"}
 
 
+# Optional decimals of the ``currency`` format, and the type that holds them.
+MAX_DECIMALS = 15
+EXACT = "decimal(38,15)"
+
+
 def _number_text(value: Column, decimals: int) -> Column:
     """Grouped digits of |value|, rounded half away from zero to ``decimals`` places."""
-    rounded = F.round(F.abs(value).cast("decimal(38,6)"), decimals)
+    rounded = F.round(F.abs(value).cast(EXACT), decimals)
     return F.format_number(rounded, decimals)
 
 
@@ -19,7 +24,7 @@ def format_kpi(value: Column | str, pattern: str = "integer", unit: int = 1) ->
     """Text of a KPI value.
 
     pattern: ``integer`` ("0"), ``currency0`` ("$#,0;($#,0)"), ``currency2`` ("$#,0.00;($#,0.00)"),
-    ``currency`` ("$#,0.###...": decimals only as needed, here up to 6), ``date`` ("m/d/yyyy").
+    ``currency`` ("$#,0.###...": up to 15 decimals, only as needed), ``date`` ("m/d/yyyy").
     ``unit`` divides the value and appends K / M. Null stays null (blank).
     """
     col = F.col(value) if isinstance(value, str) else value
@@ -27,21 +32,21 @@ def format_kpi(value: Column | str, pattern: str = "integer", unit: int = 1) ->
         return F.date_format(col, "M/d/yyyy")
     if unit not in DISPLAY_UNITS:
         raise ValueError(f"unit must be one of {sorted(DISPLAY_UNITS)}")
-    scaled = col.cast("decimal(38,6)") / F.lit(unit) if unit != 1 else col
+    scaled = (col.cast("decimal(30,8)") / F.lit(unit)).cast(EXACT) if unit != 1 else col.cast(EXACT)
     suffix = F.lit(DISPLAY_UNITS[unit])
     if pattern == "integer":
         body = F.concat(_number_text(scaled, 0), suffix)
         body = F.regexp_replace(body, ",", "")
-        return F.when(col.isNull(), F.lit(None)).when(scaled < 0, F.concat(F.lit("-"), body)).otherwise(body)
+        return F.when(col.isNull(), F.lit(None)).when(F.round(scaled, 0) < 0, F.concat(F.lit("-"), body)).otherwise(body)
     if pattern in ("currency0", "currency2", "currency"):
-        decimals = {"currency0": 0, "currency2": 2, "currency": 6}[pattern]
+        decimals = {"currency0": 0, "currency2": 2, "currency": MAX_DECIMALS}[pattern]
         digits = _number_text(scaled, decimals)
         if pattern == "currency":
             digits = F.regexp_replace(digits, r"\.?0+$", "")
         body = F.concat(F.lit("$"), digits, suffix)
         return (
             F.when(col.isNull(), F.lit(None))
-            .when(F.round(scaled.cast("decimal(38,6)"), decimals) < 0, F.concat(F.lit("("), body, F.lit(")")))
+            .when(F.round(scaled, decimals) < 0, F.concat(F.lit("("), body, F.lit(")")))
             .otherwise(body)
         )
     raise ValueError(f"unknown pattern {pattern!r}")

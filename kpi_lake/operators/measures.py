@@ -129,9 +129,14 @@ class Measure:
         return F.count(F.when(self.condition(), F.lit(1)))  # type: ignore[misc]
 
     def partial(self, df: DataFrame, key: str) -> DataFrame:
-        """Per join key: partial aggregate in ``__p`` (or distinct values for count_distinct)."""
+        """Per join key: partial aggregate in ``__p``. For count_distinct, the values: where the
+        counted column is the key itself, each once (grouped by the key, as the join wants them);
+        else as they are, since the count after the join removes repeats in its map-side step."""
         if self.kind == "count_distinct":
-            return df.select(F.col(key).alias("__k"), F.col(self.column).alias("__p")).distinct()  # type: ignore[arg-type]
+            if self.column == key:
+                keys = df.select(F.col(key).alias("__k")).distinct()
+                return keys.select("__k", F.col("__k").alias("__p"))
+            return df.select(F.col(key).alias("__k"), F.col(self.column).alias("__p"))  # type: ignore[arg-type]
         return df.groupBy(F.col(key).alias("__k")).agg(self.partial_agg().alias("__p"))
 
     def final(self, partial_col: str = "__p") -> Column:
@@ -248,7 +253,7 @@ def _date_set_frame(model: StarModel, ctx: FilterContext, table: str, date_table
     pred = range_predicate(fact_col, bounds) if bounds else None  # type: ignore[arg-type]
     if pred is not None:
         rows = rows.filter(pred)
-    joined = rows.join(F.broadcast(flags), F.col(fact_col) == F.col("__d"))  # type: ignore[arg-type]
+    joined = rows.join(model.bounded(date_table, cal_col, flags, "__d"), F.col(fact_col) == F.col("__d"))  # type: ignore[arg-type]
     return joined.agg(*[m.aggregate(where=F.col(f"__f{i}")) for i, (m, _) in enumerate(members)])
 
 
@@ -359,6 +364,12 @@ def evaluate_by(
         if head.table == group_table:
             parts.append(rows.groupBy(*group_cols).agg(*[m.aggregate() for m in batch]))
             continue
+        if model.path(group_table, head.table) is None:
+            # No filter flows from the group table to this one: every member shows the same total.
+            total = evaluate(model, ctx, batch)
+            members = model.scoped(group_table, ctx).select(*group_cols).distinct()
+            parts.append(members.select("*", *[total.select(m.name).scalar().alias(m.name) for m in batch]))
+            continue
         join_col, mapping = model.group_mapping(group_table, group_cols, head.table, ctx)
         if len(batch) == 1:
             partial = head.partial(rows, join_col)
@@ -367,6 +378,11 @@ def evaluate_by(
             partial = rows.groupBy(F.col(join_col).alias("__k")).agg(*[m.partial_agg().alias(f"__p{i}") for i, m in enumerate(batch)])
             finals = [m.final(f"__p{i}") for i, m in enumerate(batch)]
         joined = partial.join(mapping, F.col("__k") == F.col("__gkey"), "left")
+        if not head.decomposable:
+            # Rows without a key aren't grouped before the join: keep them out of it, so that they
+            # don't meet in one partition, and put them back as the blank group.
+            keyed = partial.filter(F.col("__k").isNotNull()).join(mapping, F.col("__k") == F.col("__gkey"), "left")
+            joined = keyed.unionByName(partial.filter(F.col("__k").isNull()), allowMissingColumns=True)
         parts.append(joined.groupBy(*group_cols).agg(*finals))
     out = parts[0]
     for nxt in parts[1:]:

@@ -6,10 +6,10 @@ under a context by its own predicates plus one ``left_semi`` join per relationsh
 which some filter arrives. Semi joins never multiply rows, so a measure over a scoped table is
 never inflated by a join.
 
-Join strategy is left to Spark: calendar dimensions get a broadcast hint. Their size is bounded
-by construction: one row per distinct day, and a date column has at most ~3.65 million distinct
-values (years 1-9999), i.e. tens of MB even when the source holds garbage dates; in practice a
-few thousand rows; every other dimension is left to AQE, which broadcasts a
+Join strategy is left to Spark: the distinct keys of calendar dimensions get a broadcast hint.
+Their type is checked: a DATE key has at most ~3.65 million distinct values (years 1-9999), i.e.
+tens of MB even when the source holds garbage dates, and in practice a few thousand; a calendar
+with any other key type is refused. Every other dimension is left to AQE, which broadcasts a
 side only after measuring it below ``spark.sql.autoBroadcastJoinThreshold`` and otherwise keeps
 a shuffle join (with skewed partitions split).
 """
@@ -20,8 +20,9 @@ from collections import deque
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType
 
 from kpi_lake.operators.context import FilterContext, range_predicate
 
@@ -33,6 +34,7 @@ class Relationship:
     one: str
     one_col: str
     both_directions: bool = False
+    one_unique: bool = True  # the one side's key is declared unique
 
     def __str__(self) -> str:
         arrow = "<->" if self.both_directions else "->"
@@ -123,7 +125,15 @@ class StarModel:
 
     def _key_frame(self, hop: Hop, ctx: FilterContext, seen: frozenset) -> DataFrame:
         keys = self._scoped(hop.src, ctx, hop.rel, seen | {hop.rel}).select(F.col(hop.src_col).alias("__key"))
-        return F.broadcast(keys) if hop.src in self.calendar_tables else keys
+        return self.bounded(hop.src, hop.src_col, keys.distinct(), "__key") if hop.src in self.calendar_tables else keys
+
+    def bounded(self, calendar: str, key: str, frame: DataFrame, name: str) -> DataFrame:
+        """A frame with one row per key of a calendar table, to be broadcast. Only a DATE key bounds
+        its size (a timestamp could differ in every row), so other types are refused."""
+        kind = frame.schema[name].dataType
+        if not isinstance(kind, DateType):
+            raise TypeError(f"calendar {calendar}.{key} must be a date, not {kind.simpleString()}")
+        return F.broadcast(frame)
 
     def _scoped(self, table: str, ctx: FilterContext, came_by: Relationship | None, seen: frozenset) -> DataFrame:
         df = self.tables[table]
@@ -154,10 +164,11 @@ class StarModel:
     def group_mapping(self, group_table: str, group_cols: Sequence[str], target: str, ctx: FilterContext) -> tuple[str, DataFrame]:
         """Map rows of ``target`` to group values of ``group_table``.
 
-        Returns (target join column, frame of [__gkey, *group_cols]). Each hop of the path goes
-        to a table on which the previous key is unique (the one side, or a 1:1 pair), so the
-        mapping never multiplies target rows. Only the group table is scoped here: any filter
-        that reaches a table on the path also reaches the target, which the caller scopes.
+        Returns (target join column, frame of [__gkey, *group_cols]). Where a key isn't declared
+        unique, each of its different group values appears once, so a target row counts once in
+        every group that it belongs to, as it does under a filter on that group. Only the group
+        table is scoped here: any filter that reaches a table on the path also reaches the target,
+        which the caller scopes.
         """
         hops = self.path(group_table, target)
         if hops is None:
@@ -165,28 +176,31 @@ class StarModel:
         if not hops:
             raise ValueError("group table and target are the same table")
         mapping = self.scoped(group_table, ctx).select(F.col(hops[0].src_col).alias("__gkey"), *group_cols)
+        unique = self._unique(hops[0])
+        if not unique:
+            mapping = _distinct_per_key(mapping, group_cols)
         if group_table in self.calendar_tables:
-            mapping = F.broadcast(mapping)
+            mapping = self.bounded(group_table, hops[0].src_col, mapping, "__gkey")
         for prev, hop in zip(hops, hops[1:]):
             # Rows of hop.src hold the key coming from the previous hop and the key of the next.
             step = self.tables[hop.src].select(F.col(prev.dst_col).alias("__prev"), F.col(hop.src_col).alias("__next"))
             mapping = step.join(mapping, F.col("__prev") == F.col("__gkey")).select(F.col("__next").alias("__gkey"), *group_cols)
+            if not (unique and self._unique(hop)):
+                unique, mapping = False, _distinct_per_key(mapping, group_cols)
         return hops[-1].dst_col, mapping
 
-
-def semi_join(df: DataFrame, col: str, keys: DataFrame, key_col: str, broadcast: bool = False) -> DataFrame:
-    k = keys.select(F.col(key_col).alias("__key"))
-    if broadcast:
-        k = F.broadcast(k)
-    return df.join(k, F.col(col) == F.col("__key"), "left_semi")
+    @staticmethod
+    def _unique(hop: Hop) -> bool:
+        """Whether the key that a hop leaves by is declared unique in its source table."""
+        return hop.rel.one_unique and hop.src == hop.rel.one
 
 
-def null_safe_on(cols: Sequence[str], left: str, right: str) -> Column:
-    cond = None
-    for c in cols:
-        term = F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}"))
-        cond = term if cond is None else cond & term
-    return cond  # type: ignore[return-value]
+def _distinct_per_key(mapping: DataFrame, group_cols: Sequence[str]) -> DataFrame:
+    """Each different group value of a key once. Grouping by the key alone leaves the frame
+    partitioned for the join that follows."""
+    values = F.collect_set(F.struct(*group_cols)).alias("__values")
+    exploded = mapping.groupBy("__gkey").agg(values).select("__gkey", F.explode("__values").alias("__value"))
+    return exploded.select("__gkey", *[F.col(f"__value.{c}").alias(c) for c in group_cols])
 
 
-__all__ = ["Hop", "Relationship", "StarModel", "null_safe_on", "semi_join"]
+__all__ = ["Hop", "Relationship", "StarModel"]

@@ -44,8 +44,15 @@ def attribute_dimension(df: DataFrame, code_col: str, id_name: str, name_col: st
 
 
 def surrogate_key(df: DataFrame, cols: Sequence[str], name: str = "sk") -> DataFrame:
-    """Stable hash key of the natural key columns: no shuffle, same value on every rerun."""
-    return df.withColumn(name, F.xxhash64(*[F.col(c) for c in cols]))
+    """Stable key of the natural key columns: no shuffle, same value on every rerun. The SHA-256 of
+    an encoding that keeps nulls, empty texts and column borders apart (``-`` for a null, else the
+    text's length, a colon and the text), as 64 hexadecimal digits."""
+
+    def encoded(c: str) -> Column:
+        text = F.col(c).cast("string")
+        return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-"))
+
+    return df.withColumn(name, F.sha2(F.concat(*[encoded(c) for c in cols]), 256))
 
 
 def sequence_key(df: DataFrame, order_cols: Sequence[Column | str], name: str = "sk") -> DataFrame:
@@ -61,6 +68,10 @@ def sequence_key(df: DataFrame, order_cols: Sequence[Column | str], name: str =
     reliable ``checkpoint`` into the shared checkpoint folder: both reads then see the same
     partition ids, whatever AQE decides, and a lost executor re-reads files instead of
     recomputing a sort. ``order_cols`` must order rows totally for the key to be reproducible.
+
+    The sort and the checkpoint run when this function is called: a batch step, not a lazy plan.
+    Set ``spark.cleaner.referenceTracking.cleanCheckpoints`` so that the checkpoint's files go
+    when the frame is no longer referenced.
     """
     from kpi_lake.session import checkpoint_dir
 
@@ -110,18 +121,11 @@ def null_keys(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.agg(*[F.count(F.when(F.col(c).isNull(), 1)).alias(f"{c}_nulls") for c in cols])
 
 
-def lookup_join(df: DataFrame, code_col: str, lookup: DataFrame, key_col: str, value_col: str, out: str) -> DataFrame:
-    """Table-driven code lookup (for maps too large to inline); unknown codes give null."""
-    lk = lookup.select(F.col(key_col).alias("__lk"), F.col(value_col).alias(out))
-    return df.join(lk, F.col(code_col) == F.col("__lk"), "left").drop("__lk")
-
-
 __all__ = [
     "attribute_dimension",
     "date_dimension",
     "duplicate_keys",
     "fact_table",
-    "lookup_join",
     "null_keys",
     "orphan_keys",
     "profile_dimension",

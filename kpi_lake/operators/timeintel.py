@@ -33,7 +33,7 @@ def _restrict(
     pred = range_predicate(_fact_date_column(model, date_table, fact), bounds) if bounds else None
     if pred is not None:
         rows = rows.filter(pred)
-    keys = F.broadcast(dates.select(F.col(date_col).alias("__d")))
+    keys = model.bounded(date_table, date_col, dates.select(F.col(date_col).alias("__d")).distinct(), "__d")
     return rows.join(keys, F.col(_fact_date_column(model, date_table, fact)) == F.col("__d"), "left_semi")
 
 

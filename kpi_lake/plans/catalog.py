@@ -9,6 +9,7 @@ checkpoint folder) and return what they read back.
 
 from __future__ import annotations
 
+import datetime as dt
 import hashlib
 import uuid
 from collections.abc import Callable
@@ -42,6 +43,39 @@ def query(name: str):
     return register
 
 
+# --- the report's saved slicers, on the stand-in tables
+
+# The stand-in registration, sales and job dates (from the shared order tables) lie 26 years
+# before the programme's; activity dates (from the event table) are in the programme's years.
+STANDIN_YEAR_SHIFT = -26
+
+
+def shift_years(day: str, years: int) -> str:
+    d = dt.date.fromisoformat(day)
+    try:
+        return d.replace(year=d.year + years).isoformat()
+    except ValueError:  # 29 February into a common year
+        return d.replace(year=d.year + years, day=28).isoformat()
+
+
+def standin_years() -> list[int]:
+    return [y + STANDIN_YEAR_SHIFT for y in D.REPORT_REGISTRATION_YEARS]
+
+
+def standin_sales_range() -> tuple[str, str]:
+    start, end = D.REPORT_SALES_RANGE
+    return shift_years(start, STANDIN_YEAR_SHIFT), shift_years(end, STANDIN_YEAR_SHIFT)
+
+
+def standin_jobs_until() -> str:
+    return shift_years(D.REPORT_JOBS_UNTIL, STANDIN_YEAR_SHIFT)
+
+
+def saved_performance_context(**slicers) -> C.FilterContext:
+    """The performance page with the report's saved selections, moved to the stand-ins' years."""
+    return D.performance_context(**{"sales_range": standin_sales_range(), "jobs_until": standin_jobs_until(), **slicers})
+
+
 # --- layers as lazy frames -------------------------------------------------------------------------
 
 
@@ -147,7 +181,7 @@ def copy_table_query(spark, sf_dir):
 
     lake = scratch_lake(spark, sf_dir, "copy_table")
     write_table(silver(spark, sf_dir)["participant_updated"], lake, "silver", "participant_updated")
-    copy_table(spark, lake, "silver", "participant_updated", lake, "gold", columns=["activity_id", "msme_key"])
+    copy_table(spark, lake, "silver", "participant_updated", lake, "gold")
     return read_table(spark, lake, "gold", "participant_updated")
 
 
@@ -322,6 +356,13 @@ def surrogate_key(spark, sf_dir):
     return star.sequence_key(sales, [F.col("date_sales_id").asc_nulls_first(), F.col("sales_key")], "sales_sk")
 
 
+@query("surrogate_hash_key")
+def surrogate_hash_key(spark, sf_dir):
+    """Hash key over a natural key with nulls: partner and support of each activity."""
+    a = gold(spark, sf_dir)["activity_fact"].select("activity_id", "partner_id", "support_id")
+    return star.surrogate_key(a, ["partner_id", "support_id", "activity_id"], "activity_sk")
+
+
 @query("orphan_keys")
 def orphan_keys(spark, sf_dir):
     """Participants whose activity is not in the activity fact (it was dropped for missing attendance)."""
@@ -433,21 +474,21 @@ def bridge_count(spark, sf_dir):
 _MEASURE_QUERIES = {
     "total_entities": (["total_msmes"], D.registration_context),
     "target_entities": (["msme_target"], D.registration_context),
-    "total_jobs": (["total_jobs"], D.performance_context),
-    "total_sales": (["total_sales"], D.performance_context),
+    "total_jobs": (["total_jobs"], saved_performance_context),
+    "total_sales": (["total_sales"], saved_performance_context),
     "total_loan": (["total_loan"], D.activity_context),
     "total_attendance": (["total_attendance"], D.activity_context),
     "training_days": (["training_days"], D.activity_context),
     "count_where": (["loan_approved"], D.activity_context),
-    "mtd_sales": (["current_month_sales"], D.performance_context),
-    "prev_month_sales": (["last_month_sales"], D.performance_context),
-    "target_sales": (["sales_target"], D.performance_context),
-    "target_jobs": (["jobs_target"], D.performance_context),
-    "mtd_jobs": (["current_month_jobs"], D.performance_context),
-    "prev_month_jobs": (["last_month_jobs"], D.performance_context),
+    "mtd_sales": (["current_month_sales"], saved_performance_context),
+    "prev_month_sales": (["last_month_sales"], saved_performance_context),
+    "target_sales": (["sales_target"], saved_performance_context),
+    "target_jobs": (["jobs_target"], saved_performance_context),
+    "mtd_jobs": (["current_month_jobs"], saved_performance_context),
+    "prev_month_jobs": (["last_month_jobs"], saved_performance_context),
     "gauge_entities": (["total_msmes", "msme_target"], D.registration_context),
-    "gauge_sales": (["total_sales", "sales_target"], D.performance_context),
-    "gauge_jobs": (["total_jobs", "jobs_target"], D.performance_context),
+    "gauge_sales": (["total_sales", "sales_target"], saved_performance_context),
+    "gauge_jobs": (["total_jobs", "jobs_target"], saved_performance_context),
 }
 
 for _name, (_measures, _ctx) in _MEASURE_QUERIES.items():
@@ -456,16 +497,16 @@ for _name, (_measures, _ctx) in _MEASURE_QUERIES.items():
 
 @query("sales_channels")
 def sales_channels(spark, sf_dir):
-    """Domestic, international (text column through try_cast) and both, on the performance page."""
+    """Domestic, international (numeric text, fractions kept) and both, on the performance page."""
     return evaluate(
-        model(spark, sf_dir), D.performance_context(), ["total_sales", "total_international_sales", "total_sales_all_channels"], CATALOG
+        model(spark, sf_dir), saved_performance_context(), ["total_sales", "total_international_sales", "total_sales_all_channels"], CATALOG
     )
 
 
 @query("jobs_net")
 def jobs_net(spark, sf_dir):
     """Jobs created, dismissals and the net, on the performance page."""
-    return evaluate(model(spark, sf_dir), D.performance_context(), ["total_jobs", "total_fired", "net_jobs"], CATALOG)
+    return evaluate(model(spark, sf_dir), saved_performance_context(), ["total_jobs", "total_fired", "net_jobs"], CATALOG)
 
 
 @query("default_aggregates")
@@ -527,13 +568,13 @@ def page_activity(spark, sf_dir):
 def page_performance_micro(spark, sf_dir):
     """The performance page with the category slicer on Micro: the month sets replace only the
     calendar filters, the category still filters every card."""
-    return D.page(model(spark, sf_dir), D.performance_context(categories=["Micro"]), "performance")
+    return D.page(model(spark, sf_dir), saved_performance_context(categories=["Micro"]), "performance")
 
 
 @query("page_performance_text")
 def page_performance_text(spark, sf_dir):
     """The performance page's cards as text in their display formats."""
-    return D.page_text(model(spark, sf_dir), D.performance_context(), "performance")
+    return D.page_text(model(spark, sf_dir), saved_performance_context(), "performance")
 
 
 @query("page_activity_text")
@@ -557,17 +598,17 @@ def page_activity_q1(spark, sf_dir):
 @query("page_registration_by_year")
 def page_registration_by_year(spark, sf_dir):
     """The registration page with every year the year slicer offers selected."""
-    return D.page(model(spark, sf_dir), D.registration_context(years=D.standin_years()), "registration")
+    return D.page(model(spark, sf_dir), D.registration_context(years=standin_years()), "registration")
 
 
 @query("trend_entities_by_year")
 def trend_entities_by_year(spark, sf_dir):
-    return D.trend_entities(model(spark, sf_dir), D.registration_context(years=D.standin_years()))
+    return D.trend_entities(model(spark, sf_dir), D.registration_context(years=standin_years()))
 
 
 @query("page_performance")
 def page_performance(spark, sf_dir):
-    return D.page(model(spark, sf_dir), D.performance_context(), "performance")
+    return D.page(model(spark, sf_dir), saved_performance_context(), "performance")
 
 
 # --- 2.I slicers and filter context --------------------------------------------------------------------
@@ -586,7 +627,7 @@ def slicer_values_departement(spark, sf_dir):
 @query("slicer_in_list")
 def slicer_in_list(spark, sf_dir):
     m = model(spark, sf_dir)
-    years = D.standin_years()
+    years = standin_years()
     return m.tables["date_success"].filter(C.in_list("year_success", years)).select("year_success").distinct().orderBy("year_success")
 
 
@@ -598,22 +639,22 @@ def slicer_hierarchy(spark, sf_dir):
 @query("slicer_between")
 def slicer_between(spark, sf_dir):
     m = model(spark, sf_dir)
-    lo, hi = D.standin_sales_range()
+    lo, hi = standin_sales_range()
     days = m.tables["date_sales"].filter(C.between("date_sales_id", lo, hi)).agg(F.count(F.lit(1)).alias("days"))
-    return one_row(days, evaluate(m, D.performance_context(jobs_until=""), ["total_sales"], CATALOG))
+    return one_row(days, evaluate(m, D.performance_context(standin_sales_range()), ["total_sales"], CATALOG))
 
 
 @query("slicer_until")
 def slicer_until(spark, sf_dir):
     m = model(spark, sf_dir)
-    days = m.tables["date_job"].filter(C.until("date_job_id", D.standin_jobs_until())).agg(F.count(F.lit(1)).alias("days"))
-    return one_row(days, evaluate(m, D.performance_context(sales_range=()), ["total_jobs"], CATALOG))
+    days = m.tables["date_job"].filter(C.until("date_job_id", standin_jobs_until())).agg(F.count(F.lit(1)).alias("days"))
+    return one_row(days, evaluate(m, D.performance_context(jobs_until=standin_jobs_until()), ["total_jobs"], CATALOG))
 
 
 @query("filter_context")
 def filter_context(spark, sf_dir):
     """Sales range, job range and a category picked in a chart, all at once."""
-    ctx = D.performance_context(categories=["Micro"])
+    ctx = saved_performance_context(categories=["Micro"])
     return evaluate(model(spark, sf_dir), ctx, ["total_sales", "total_jobs"], CATALOG)
 
 
@@ -625,11 +666,35 @@ def filter_exception(spark, sf_dir):
 
 
 
+@query("jobs_by_hiring_sex")
+def jobs_by_hiring_sex(spark, sf_dir):
+    """Jobs by the sex of the hired: each group is the total under a filter on that sex."""
+    return evaluate_by(model(spark, sf_dir), C.EMPTY, "hiring", ["sex"], ["total_jobs"], CATALOG)
+
+
+@query("sales_by_industry_repeated_profile")
+def sales_by_industry_repeated_profile(spark, sf_dir):
+    """Sales by industry where registrations repeat: every profile row twice, every third one a
+    third time under another industry."""
+    tables = dict(gold(spark, sf_dir).items())
+    profile = tables["success_profile"]
+    moved = profile.filter(F.pmod(F.col("msme_key").cast("bigint"), F.lit(3)) == 0).withColumn("industry", F.lit("Moved"))
+    tables["success_profile"] = profile.unionByName(profile).unionByName(moved)
+    return evaluate_by(build_model(tables), C.EMPTY, "success_profile", ["industry"], ["total_sales"], CATALOG)
+
+
+@query("attendance_by_category")
+def attendance_by_category(spark, sf_dir):
+    """Attendance by business category: no filter flows from the profile to the activities, so
+    every category shows the total."""
+    return evaluate_by(model(spark, sf_dir), C.EMPTY, "success_profile", ["msme_category"], ["total_attendance"], CATALOG)
+
+
 @query("sales_by_industry")
 def sales_by_industry(spark, sf_dir):
     """Flagship: total sales by industry inside the sales date range (largest first)."""
     m = model(spark, sf_dir)
-    return evaluate_by(m, D.performance_context(), "success_profile", ["industry"], ["total_sales"], CATALOG).orderBy(
+    return evaluate_by(m, saved_performance_context(), "success_profile", ["industry"], ["total_sales"], CATALOG).orderBy(
         F.desc("total_sales"), "industry"
     )
 

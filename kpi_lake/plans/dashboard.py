@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -21,10 +20,6 @@ REPORT_REGISTRATION_YEARS = (2021, 2022, 2023, 2024, 2025)
 REPORT_SALES_RANGE = ("2022-03-30", "2024-10-10")  # shown end 2024-10-09, end exclusive
 REPORT_JOBS_UNTIL = "2024-10-01"  # exclusive
 
-# The stand-in registration, sales and job dates (from the shared order tables) lie 26 years
-# before the programme's; activity dates (from the event table) are in the programme's years.
-STANDIN_YEAR_SHIFT = -26
-
 # Slicer names (used by interaction exceptions).
 SL_REG_YEAR = "registration_year"
 SL_REG_PERIOD = "registration_period"
@@ -36,26 +31,6 @@ SL_SALES_RANGE = "sales_period"
 SL_JOBS_UNTIL = "jobs_period"
 
 
-def shift_years(day: str, years: int) -> str:
-    d = dt.date.fromisoformat(day)
-    try:
-        return d.replace(year=d.year + years).isoformat()
-    except ValueError:  # 29 February into a common year
-        return d.replace(year=d.year + years, day=28).isoformat()
-
-
-def standin_years(years: Sequence[int] = REPORT_REGISTRATION_YEARS) -> list[int]:
-    return [y + STANDIN_YEAR_SHIFT for y in years]
-
-
-def standin_sales_range() -> tuple[str, str]:
-    return shift_years(REPORT_SALES_RANGE[0], STANDIN_YEAR_SHIFT), shift_years(REPORT_SALES_RANGE[1], STANDIN_YEAR_SHIFT)
-
-
-def standin_jobs_until() -> str:
-    return shift_years(REPORT_JOBS_UNTIL, STANDIN_YEAR_SHIFT)
-
-
 # --- contexts of the pages ------------------------------------------------------------------------
 
 
@@ -94,8 +69,10 @@ def activity_context(
     activity_period: Sequence[Sequence[int]] = (),
     registration_period: Sequence[Sequence[int]] = (),
     categories: Sequence[str] = (),
+    departements: Sequence[str] = (),
+    partners: Sequence[str] = (),
 ) -> FilterContext:
-    """Activity page: activity year/quarter, registration year/quarter, category."""
+    """Activity page: activity year/quarter, registration year/quarter, profile slicers."""
     ctx = C.EMPTY
     if activity_period:
         ctx = ctx.where(
@@ -111,23 +88,27 @@ def activity_context(
             ("year_success", "quarter_success"),
             SL_REG_PERIOD,
         )
-    return _profile_slicers(ctx, categories)
+    return _profile_slicers(ctx, categories, departements, partners)
 
 
 def performance_context(
-    sales_range: tuple[str, str] | None = None,
+    sales_range: tuple[str | None, str | None] | None = None,
     jobs_until: str | None = None,
     categories: Sequence[str] = (),
+    departements: Sequence[str] = (),
+    partners: Sequence[str] = (),
 ) -> FilterContext:
-    """Performance page: sales date range, job date upper bound, category."""
-    sales_range = standin_sales_range() if sales_range is None else sales_range
-    jobs_until = standin_jobs_until() if jobs_until is None else jobs_until
+    """Performance page: sales date range, job date upper bound, profile slicers.
+
+    A slicer that isn't given doesn't filter; ``REPORT_SALES_RANGE`` and ``REPORT_JOBS_UNTIL`` are
+    the selections saved in the report.
+    """
     ctx = C.EMPTY
     if sales_range:
         ctx = ctx.where_range("date_sales", "date_sales_id", sales_range[0], sales_range[1], SL_SALES_RANGE)
     if jobs_until:
         ctx = ctx.where_range("date_job", "date_job_id", None, jobs_until, SL_JOBS_UNTIL)
-    return _profile_slicers(ctx, categories)
+    return _profile_slicers(ctx, categories, departements, partners)
 
 
 def cross_filter(ctx: FilterContext, table: str, column: str, value: object) -> FilterContext:
@@ -237,8 +218,5 @@ __all__ = [
     "share_by_category",
     "slicer_hierarchy",
     "slicer_values",
-    "standin_jobs_until",
-    "standin_sales_range",
-    "standin_years",
     "trend_entities",
 ]

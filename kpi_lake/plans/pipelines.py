@@ -322,9 +322,9 @@ def gold_people(hiring_updated: DataFrame, firing_updated: DataFrame) -> dict[st
     }
 
 
-def gold_participants(participant_updated: DataFrame) -> DataFrame:
-    """The bridge table passes through; the model needs only its two keys."""
-    return participant_updated.select("activity_id", "msme_key")
+def gold_participants(participant_updated: DataFrame, confidential: Sequence[str] = ()) -> DataFrame:
+    """The bridge table passes through whole, but for columns named as confidential."""
+    return participant_updated.drop(*confidential)
 
 
 def gold_from_silver(silver: Mapping[str, DataFrame]) -> LazyFrames:
@@ -450,7 +450,7 @@ def silver_to_gold_tasks(spark: SparkSession, lake: Lake, partition_facts: bool
             )
     for name, df in people.items():
         tasks.append(lambda name=name, df=df: write_table(df, lake, "gold", name))
-    tasks.append(lambda: copy_table(spark, lake, "silver", "participant_updated", lake, "gold", columns=["activity_id", "msme_key"]))
+    tasks.append(lambda: copy_table(spark, lake, "silver", "participant_updated", lake, "gold"))
     return tasks
 
 

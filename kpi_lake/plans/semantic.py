@@ -8,24 +8,26 @@ from decimal import Decimal
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kpi_lake.functions.clean import numeric_text
 from kpi_lake.operators.measures import Catalog, Derived, Measure
 from kpi_lake.operators.model import Relationship, StarModel
 from kpi_lake.operators.timeintel import month_to_date, shift_months
 
-# The model's relationships (many side -> one side).
+# The model's relationships (many side -> one side). Several people belong to one
+# job, and registrations aren't de-duplicated, so those keys are not declared unique.
 RELATIONSHIPS = [
     Relationship("success_fact", "registration_date_id", "date_success", "registration_date_id"),
-    Relationship("success_fact", "msme_key", "success_profile", "msme_key", both_directions=True),
-    Relationship("job_fact", "job_key", "hiring", "job_key"),
+    Relationship("success_fact", "msme_key", "success_profile", "msme_key", both_directions=True, one_unique=False),
+    Relationship("job_fact", "job_key", "hiring", "job_key", one_unique=False),
     Relationship("job_fact", "date_job_id", "date_job", "date_job_id"),
-    Relationship("job_fact", "job_key", "firing", "job_key"),
-    Relationship("job_fact", "msme_key", "success_profile", "msme_key"),
+    Relationship("job_fact", "job_key", "firing", "job_key", one_unique=False),
+    Relationship("job_fact", "msme_key", "success_profile", "msme_key", one_unique=False),
     Relationship("sales_fact", "date_sales_id", "date_sales", "date_sales_id"),
-    Relationship("sales_fact", "msme_key", "success_profile", "msme_key"),
+    Relationship("sales_fact", "msme_key", "success_profile", "msme_key", one_unique=False),
     Relationship("activity_fact", "activity_date_id", "date_activity", "activity_date_id"),
     Relationship("activity_fact", "support_id", "support_activity", "support_id"),
     Relationship("participant_updated", "activity_id", "activity_fact", "activity_id"),
-    Relationship("participant_updated", "msme_key", "success_profile", "msme_key"),
+    Relationship("participant_updated", "msme_key", "success_profile", "msme_key", one_unique=False),
 ]
 
 CALENDAR_TABLES = ("date_success", "date_job", "date_sales", "date_activity")
@@ -89,9 +91,10 @@ def build_model(gold: Mapping[str, DataFrame]) -> StarModel:
     return StarModel(gold, RELATIONSHIPS, calendar_tables=CALENDAR_TABLES)
 
 
-def _times(factor: Decimal):
-    """Exact decimal product: a target never depends on floating-point rounding."""
-    return lambda v: v.cast("decimal(38,0)") * F.lit(factor)
+def _times(factor: Decimal, exact: str = "decimal(30,6)"):
+    """Exact decimal product: a target never depends on floating-point rounding. ``exact`` holds
+    the input, fractions included."""
+    return lambda v: v.cast(exact) * F.lit(factor)
 
 
 # Measures whose bodies the model keeps in an external model are defined here from their
@@ -99,7 +102,7 @@ def _times(factor: Decimal):
 TOTAL_MSMES = Measure("total_msmes", "success_profile", "count_distinct", column="msme_key", result_type="bigint")
 TOTAL_JOBS = Measure("total_jobs", "job_fact", "sum", column="total_hired_employee", result_type="bigint")
 TOTAL_SALES = Measure("total_sales", "sales_fact", "sum", column="domestic_sale", result_type="bigint")
-TOTAL_LOAN = Measure("total_loan", "success_fact", "sum", column="loan_amount", cast="decimal(18,2)", result_type="decimal(18,2)")
+TOTAL_LOAN = Measure("total_loan", "success_fact", "sum", column="loan_amount", cast="decimal(38,6)", result_type="double")
 TOTAL_ATTENDANCE = Measure("total_attendance", "activity_fact", "sum", column="attendance_number", result_type="bigint")
 TRAINING_HOURS = Measure("training_hours", "activity_fact", "sum", column="activity_duration", result_type="bigint")
 LOAN_APPROVED = Measure(
@@ -117,21 +120,22 @@ CURRENT_MONTH_JOBS = month_to_date(TOTAL_JOBS, "date_job", "date_job_id", "curre
 LAST_MONTH_JOBS = shift_months(TOTAL_JOBS, "date_job", "date_job_id", "last_month_jobs", -1)
 
 # Parameters of the inferred bodies: the international sales column is text (it summarises as
-# nothing in the model), so it enters only through ``try_cast``; jobs may be counted net of
-# dismissals.
+# nothing in the model), so it enters through the exact decimal of numeric text; jobs may be counted
+# net of dismissals.
+SALES_TEXT_TYPE = "decimal(38,10)"
 TOTAL_INTERNATIONAL_SALES = Measure(
     "total_international_sales",
     "sales_fact",
     "sum",
-    value=lambda: F.col("international_sale").try_cast("bigint"),
-    result_type="bigint",
+    value=lambda: numeric_text("international_sale", SALES_TEXT_TYPE),
+    result_type=SALES_TEXT_TYPE,
 )
 TOTAL_FIRED = Measure("total_fired", "job_fact", "sum", column="total_fired_employee", result_type="bigint")
 SALES_ALL_CHANNELS = Derived(
     "total_sales_all_channels",
     ("total_sales", "total_international_sales"),
     lambda d, i: F.when(d.isNull() & i.isNull(), F.lit(None)).otherwise(F.coalesce(d, F.lit(0)) + F.coalesce(i, F.lit(0))),
-    "bigint",
+    SALES_TEXT_TYPE,
 )
 NET_JOBS = Derived(
     "net_jobs",

@@ -24,10 +24,10 @@ RECOMMENDED_CONF = {
 
 
 def get_spark(master: str | None = None, app_name: str = "kpi_lake", **conf: str) -> SparkSession:
-    """Return the active session or build one with the library defaults.
+    """Return the active session as it is, or build one with the library defaults.
 
-    On a cluster the session normally exists already; then only settings that are unset are
-    filled in, so cluster-wide choices (shuffle partitions, checkpoint folder) stay untouched.
+    On a cluster the session normally exists already and its settings are the operator's; see
+    ``RECOMMENDED_CONF`` for those the library is written for.
     """
     active = SparkSession.getActiveSession()
     if active is not None:
@@ -43,7 +43,9 @@ def get_spark(master: str | None = None, app_name: str = "kpi_lake", **conf: str
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
-    Only when the session has none (local tests) a folder of our own is set.
+    Only a local session that has none (tests) gets a folder of its own. On any other master that
+    would be a folder of the driver's machine, which executors don't see, so the setting is asked
+    for instead.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -51,6 +53,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors share (master {sc.master})")
         configured = tempfile.mkdtemp(prefix="kpi-lake-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

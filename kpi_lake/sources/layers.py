@@ -12,6 +12,7 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -19,8 +20,14 @@ from pyspark.sql.types import StructType
 LAYERS = ("bronze", "silver", "gold")
 
 
+# Name parts of folders that a write leaves behind if it is cut off.
+STAGING, REPLACED = ".__staging-", ".__replaced-"
+# A hidden file in each table folder that names its last full refresh (see ``refresh_id``).
+REFRESH_FILE = "_refresh_id"
+
+
 class SchemaConflictError(ValueError):
-    """Overwrite without schema replacement would change the type of an existing column."""
+    """A write that isn't to replace the schema would change a stored column's type or drop it."""
 
 
 @dataclass(frozen=True)
@@ -47,20 +54,24 @@ def source_lake(sf_dir: str) -> Lake:
 
 def read_table(spark: SparkSession, lake: Lake, layer: str, name: str) -> DataFrame:
     """Lazy scan of one table; projections and filters applied later reach the file scan."""
+    if lake.fmt != "delta":
+        _recover(spark, lake.path(layer, name))
     return spark.read.format(lake.fmt).load(lake.path(layer, name))
 
 
 def _existing_schema(spark: SparkSession, lake: Lake, layer: str, name: str) -> StructType | None:
+    """Schema of the stored table; None where there is no folder or no file in it. Any other
+    failure to read it is raised: a table that can't be read must not be taken for none."""
     path = lake.path(layer, name)
-    jvm = spark._jvm  # noqa: SLF001 - Hadoop FileSystem check, no data is read
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark._jsc.hadoopConfiguration())  # noqa: SLF001
+    hpath, fs = _fs_path(spark, path)
     if not fs.exists(hpath):
         return None
     try:
         return spark.read.format(lake.fmt).load(path).schema
-    except Exception:  # noqa: BLE001 - an empty or foreign folder counts as no table
-        return None
+    except AnalysisException as e:
+        if e.getCondition() == "UNABLE_TO_INFER_SCHEMA":
+            return None
+        raise
 
 
 def _fs_path(spark: SparkSession, path: str):
@@ -69,11 +80,48 @@ def _fs_path(spark: SparkSession, path: str):
     return hpath, hpath.getFileSystem(spark._jsc.hadoopConfiguration())  # noqa: SLF001
 
 
+def _recover(spark: SparkSession, path: str) -> None:
+    """Put back a table that a crash between the two renames of a swap left under its retired name."""
+    dst, fs = _fs_path(spark, path)
+    parent = dst.getParent()
+    if parent is None or fs.exists(dst) or not fs.exists(parent):
+        return
+    retired = [f.getPath() for f in fs.listStatus(parent) if f.getPath().getName().startswith(dst.getName() + REPLACED)]
+    if len(retired) == 1 and not fs.rename(retired[0], dst):
+        raise OSError(f"could not put {retired[0]} back to {path}")
+    if len(retired) > 1:
+        raise OSError(f"{path} is missing and there are several retired versions of it: {sorted(map(str, retired))}")
+
+
+def refresh_id(spark: SparkSession, lake: Lake, layer: str, name: str) -> str | None:
+    """Names the last full refresh of a table by this library; appends keep it. None for folders
+    that others wrote."""
+    hpath, fs = _fs_path(spark, f"{lake.path(layer, name)}/{REFRESH_FILE}")
+    if not fs.exists(hpath):
+        return None
+    stream = fs.open(hpath)
+    try:
+        return stream.readUTF()
+    finally:
+        stream.close()
+
+
+def write_mark(spark: SparkSession, path: str, text: str) -> None:
+    hpath, fs = _fs_path(spark, path)
+    stream = fs.create(hpath, True)
+    stream.writeUTF(text)
+    stream.close()
+
+
 def _swap_into_place(spark: SparkSession, staged: str, path: str) -> None:
-    """Replace ``path`` by the fully written ``staged`` folder (two renames, then cleanup)."""
+    """Replace ``path`` by the fully written ``staged`` folder (two renames, then cleanup).
+
+    Between the renames the table is missing for a moment; after a crash there the next read or
+    write puts the old version back. Only Delta replaces a table in one step, and on an object
+    store, where a rename copies, Delta is the format to use."""
     dst, fs = _fs_path(spark, path)
     src, _ = _fs_path(spark, staged)
-    retired, _ = _fs_path(spark, f"{path}.__replaced-{uuid.uuid4().hex[:12]}")
+    retired, _ = _fs_path(spark, f"{path}{REPLACED}{uuid.uuid4().hex[:12]}")
     had_old = fs.exists(dst)
     if had_old and not fs.rename(dst, retired):
         raise OSError(f"could not move {path} aside")
@@ -91,6 +139,12 @@ def _merge_frame(df: DataFrame, old: StructType) -> DataFrame:
     return df.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in extra])
 
 
+def _check_columns(df: DataFrame, old: StructType, path: str) -> None:
+    dropped = [f.name for f in old.fields if f.name not in df.columns]
+    if dropped:
+        raise SchemaConflictError(f"{path}: the new data lacks the stored columns {dropped}; write with schema_mode='replace' or 'merge'")
+
+
 def _check_compatible(df: DataFrame, old: StructType, path: str) -> None:
     old_types = {f.name: f.dataType for f in old.fields}
     for f in df.schema.fields:
@@ -115,30 +169,35 @@ def write_table(
     """Full-refresh write of one table; returns its path.
 
     With ``atomic`` (file formats, overwrite), the job writes into a staging folder next to the
-    table and the staging folder replaces the table only after the job has committed: a failed
-    job leaves the previous table intact, and a frame may overwrite the table it reads from.
+    table and the staging folder replaces the table, by two renames, only after the job has
+    committed: a failed job leaves the previous table intact, a crash between the renames is put
+    right by the next read or write, and a frame may overwrite the table it reads from.
 
     ``sort_within`` sorts each task's rows before writing (no shuffle): row groups then cover
     narrow key ranges, so a later filter on that key skips most of them from parquet statistics.
 
     schema_mode:
-      ``keep``    overwrite; the stored column types must not change (parquet check).
+      ``keep``    overwrite; stored columns must not be dropped nor change their type.
       ``replace`` overwrite and take the new schema as it is.
-      ``merge``   overwrite; columns of the stored table that the new data lacks survive as null.
+      ``merge``   overwrite; columns of the stored table that the new data lacks survive as null,
+                  shared ones must not change their type.
     """
     if schema_mode not in ("keep", "replace", "merge"):
         raise ValueError(f"schema_mode must be keep, replace or merge, not {schema_mode!r}")
     spark = df.sparkSession
     path = lake.path(layer, name)
     writer_df = df
+    if lake.fmt != "delta":
+        _recover(spark, path)
     if lake.fmt != "delta" and schema_mode != "replace" and mode in ("overwrite", "append"):
         old = _existing_schema(spark, lake, layer, name)
         if old is not None:
-            if schema_mode == "merge" and mode == "overwrite":
+            # appended files must not disagree with the stored ones on a column's type either
+            _check_compatible(df, old, path)
+            if mode == "overwrite" and schema_mode == "merge":
                 writer_df = _merge_frame(df, old)
-            else:
-                # appended files must not disagree with the stored ones on a column's type
-                _check_compatible(df, old, path)
+            elif mode == "overwrite":
+                _check_columns(df, old, path)
     if sort_within:
         writer_df = writer_df.sortWithinPartitions(*sort_within)
     writer = writer_df.write.mode(mode).format(lake.fmt)
@@ -150,7 +209,7 @@ def write_table(
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if atomic and mode == "overwrite" and lake.fmt != "delta":
-        staged = f"{path}.__staging-{uuid.uuid4().hex[:12]}"
+        staged = f"{path}{STAGING}{uuid.uuid4().hex[:12]}"
         try:
             writer.save(staged)
         except Exception:
@@ -158,6 +217,7 @@ def write_table(
             if fs.exists(staged_path):
                 fs.delete(staged_path, True)
             raise
+        write_mark(spark, f"{staged}/{REFRESH_FILE}", uuid.uuid4().hex)
         _swap_into_place(spark, staged, path)
     else:
         writer.save(path)
@@ -203,6 +263,7 @@ __all__ = [
     "SchemaConflictError",
     "copy_table",
     "read_table",
+    "refresh_id",
     "source_lake",
     "write_many",
     "write_table",

@@ -155,6 +155,7 @@ def success_sales(orders: DataFrame) -> DataFrame:
         F.when(k % 43 == 0, F.lit(BAD_DATE_TEXT)).otherwise(date_text(F.to_date("o_orderdate"))).alias("sales_reporting_date"),
         F.when(k % 31 == 0, F.lit(None).cast("bigint")).otherwise(price.cast("bigint")).alias("domestic_sale"),
         F.when(k % 7 == 0, F.lit(None).cast("string"))
+        .when(k % 5 == 0, price.cast("decimal(18,2)").cast("string"))
         .otherwise((price / F.lit(10.0)).cast("bigint").cast("string"))
         .alias("international_sale"),
     )
@@ -165,6 +166,7 @@ def success_participant_list(events: DataFrame) -> DataFrame:
     return events.select(
         F.col("event_id").cast("string").alias("activity_key"),
         F.col("user_id").cast("string").alias("msme_key"),
+        F.col("event_type").alias("participation"),
     )
 
 
@@ -183,7 +185,7 @@ def success_hired_employee(lineitem: DataFrame) -> DataFrame:
         _key_text("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("employee_key"),
         *_employee_columns(),
         (F.lit(18) + F.col("l_partkey") % 45).cast("bigint").alias("age"),
-        (F.col("l_quantity") / F.lit(4.0)).alias("duree_contrat"),
+        (F.col("l_quantity").cast("decimal(12,2)") / F.lit(4)).cast("decimal(12,2)").cast("string").alias("duree_contrat"),
         F.when(F.col("l_linestatus") == "O", F.lit("Oui")).otherwise(F.lit("non")).alias("contrat_temps_plein"),
         pick(F.col("l_suppkey"), ["Oui", "Non", "oui", "non"]).alias("est_assure"),
         pick(F.col("l_partkey"), ["Oui", "non", None]).alias("grace_support_meda"),

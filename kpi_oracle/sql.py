@@ -84,11 +84,12 @@ b_success_sales AS (
          CASE WHEN o_orderkey % 43 = 0 THEN '13/45/2024' ELSE {_mdy('CAST(o_orderdate AS DATE)')} END AS sales_reporting_date,
          CASE WHEN o_orderkey % 31 = 0 THEN NULL ELSE CAST(trunc(o_totalprice) AS BIGINT) END AS domestic_sale,
          CASE WHEN o_orderkey % 7 = 0 THEN NULL
+              WHEN o_orderkey % 5 = 0 THEN CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR)
               ELSE CAST(CAST(trunc(o_totalprice / CAST(10 AS DOUBLE)) AS BIGINT) AS VARCHAR) END AS international_sale
   FROM orders
 ),
 b_participants AS (
-  SELECT CAST(event_id AS VARCHAR) AS activity_key, CAST(user_id AS VARCHAR) AS msme_key FROM events
+  SELECT CAST(event_id AS VARCHAR) AS activity_key, CAST(user_id AS VARCHAR) AS msme_key, event_type AS participation FROM events
 ),
 b_hired AS (
   SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS employee_key,
@@ -96,7 +97,7 @@ b_hired AS (
          CASE WHEN l_linenumber % 2 = 0 THEN 'F' ELSE 'M' END AS sexe,
          'employee ' || concat_ws('-', l_orderkey, l_linenumber) AS nom_employe,
          CAST(18 + l_partkey % 45 AS BIGINT) AS age,
-         l_quantity / CAST(4 AS DOUBLE) AS duree_contrat,
+         CAST(CAST(CAST(l_quantity AS DECIMAL(12,2)) / 4 AS DECIMAL(12,2)) AS VARCHAR) AS duree_contrat,
          CASE WHEN l_linestatus = 'O' THEN 'Oui' ELSE 'non' END AS contrat_temps_plein,
          CASE l_suppkey % 4 WHEN 0 THEN 'Oui' WHEN 1 THEN 'Non' WHEN 2 THEN 'oui' ELSE 'non' END AS est_assure,
          CASE l_partkey % 3 WHEN 0 THEN 'Oui' WHEN 1 THEN 'non' ELSE NULL END AS grace_support_meda,
@@ -173,11 +174,11 @@ s_sales AS (
   FROM b_success_sales
 ),
 s_participants AS (
-  SELECT activity_key AS activity_id, msme_key FROM b_participants
+  SELECT activity_key AS activity_id, msme_key, participation FROM b_participants
 ),
 s_hiring AS (
   SELECT employee_key, job_key, sexe AS sex, nom_employe, age,
-         CAST(trunc(duree_contrat) AS BIGINT) AS contract_duration,
+         CAST(trunc(CAST(duree_contrat AS DECIMAL(38,10))) AS BIGINT) AS contract_duration,
          CASE contrat_temps_plein WHEN 'Oui' THEN 'yes' WHEN 'Non' THEN 'no' WHEN 'oui' THEN 'yes' WHEN 'non' THEN 'no' ELSE contrat_temps_plein END AS is_full_time,
          CASE est_assure WHEN 'Oui' THEN 'yes' WHEN 'Non' THEN 'no' WHEN 'oui' THEN 'yes' WHEN 'non' THEN 'no' ELSE est_assure END AS have_insurance,
          CASE grace_support_meda WHEN 'Oui' THEN 'yes' WHEN 'Non' THEN 'no' WHEN 'oui' THEN 'yes' WHEN 'non' THEN 'no' ELSE grace_support_meda END AS thanks_to_project_support,
@@ -263,7 +264,7 @@ hiring_g AS (
   FROM s_hiring
 ),
 firing_g AS (SELECT lic_key, job_key, sex, age FROM s_firing),
-participant_g AS (SELECT activity_id, msme_key FROM s_participants)
+participant_g AS (SELECT * FROM s_participants)
 """
 
 
@@ -341,7 +342,7 @@ REG_MEASURES = {
 ACT_MEASURES = {
     "total_attendance": f"(SELECT {_sum('attendance_number')} FROM activity_fact_g)",
     "training_days": f"(SELECT CAST({_sum('activity_duration')} AS DOUBLE) / CAST(8 AS DOUBLE) FROM activity_fact_g)",
-    "total_loan": "(SELECT CAST(sum(CAST(loan_amount AS DECIMAL(18,2))) AS DECIMAL(18,2)) FROM success_fact_g)",
+    "total_loan": "(SELECT CAST(sum(CAST(loan_amount AS DECIMAL(38,6))) AS DOUBLE) FROM success_fact_g)",
     "loan_approved": "(SELECT CAST(NULLIF(count(CASE WHEN lower(financial_institution) = 'yes' THEN 1 END), 0) AS BIGINT) FROM success_profile_g)",
 }
 
@@ -366,7 +367,7 @@ SQL["sink_two_layers"] = q(
     "SELECT support_id, support_name, 'silver' AS layer FROM support_activity_g "
     "UNION ALL SELECT support_id, support_name, 'gold' AS layer FROM support_activity_g"
 )
-SQL["copy_table"] = q("SELECT activity_id, msme_key FROM s_participants")
+SQL["copy_table"] = q("SELECT * FROM s_participants")
 
 # --- 2.B / 2.C ----------------------------------------------------------------------------------------
 SQL["filter_not_null"] = q("SELECT activity_key, attendance_number FROM b_activity WHERE attendance_number IS NOT NULL")
@@ -408,7 +409,7 @@ SQL["repair_values"] = q(
     "SELECT f.lic_key, f.age AS age_raw, CASE WHEN f.age = 1518 THEN 17 WHEN f.age = 1935 THEN 27 "
     "WHEN f.age = 3665 THEN 51 ELSE f.age END AS age FROM b_fired f"
 )
-SQL["truncate_to_int"] = q("SELECT employee_key, duree_contrat, CAST(trunc(duree_contrat) AS BIGINT) AS contract_duration FROM b_hired")
+SQL["truncate_to_int"] = q("SELECT employee_key, duree_contrat, CAST(trunc(CAST(duree_contrat AS DECIMAL(38,10))) AS BIGINT) AS contract_duration FROM b_hired")
 SQL["parse_date"] = q(f"SELECT sales_key, sales_reporting_date, {_parse('sales_reporting_date')} AS sales_date FROM b_success_sales")
 SQL["calendar_parts"] = q(
     f"SELECT sales_key, {_parse('sales_reporting_date')} AS sales_date, "
@@ -442,8 +443,38 @@ SQL["surrogate_key"] = q(
     "SELECT sales_key, date_sales_id, row_number() OVER (ORDER BY date_sales_id ASC NULLS FIRST, sales_key ASC) AS sales_sk "
     "FROM sales_fact_g"
 )
+def _hash_part(column: str) -> str:
+    return f"coalesce(length(CAST({column} AS VARCHAR)) || ':' || CAST({column} AS VARCHAR), '-')"
+
+
+SQL["surrogate_hash_key"] = q(
+    "SELECT activity_id, partner_id, support_id, "
+    f"sha256({_hash_part('partner_id')} || {_hash_part('support_id')} || {_hash_part('activity_id')}) AS activity_sk FROM activity_fact_g"
+)
+SQL["jobs_by_hiring_sex"] = q(
+    "SELECT s.sex, (SELECT CAST(sum(total_hired_employee) AS BIGINT) FROM job_fact_g j WHERE EXISTS "
+    "(SELECT 1 FROM hiring_g h WHERE h.job_key = j.job_key AND h.sex = s.sex)) AS total_jobs "
+    "FROM (SELECT DISTINCT sex FROM hiring_g) s "
+    "UNION ALL SELECT NULL, CAST(sum(total_hired_employee) AS BIGINT) FROM job_fact_g j "
+    "WHERE NOT EXISTS (SELECT 1 FROM hiring_g h WHERE h.job_key = j.job_key) HAVING sum(total_hired_employee) IS NOT NULL"
+)
+SQL["sales_by_industry_repeated_profile"] = q(
+    "SELECT i.industry, (SELECT CAST(sum(domestic_sale) AS BIGINT) FROM sales_fact_g f WHERE EXISTS "
+    "(SELECT 1 FROM twice p WHERE p.msme_key = f.msme_key AND p.industry IS NOT DISTINCT FROM i.industry)) AS total_sales "
+    "FROM (SELECT DISTINCT industry FROM twice) i "
+    "UNION ALL SELECT NULL, CAST(sum(domestic_sale) AS BIGINT) FROM sales_fact_g f "
+    "WHERE NOT EXISTS (SELECT 1 FROM twice p WHERE p.msme_key = f.msme_key) HAVING sum(domestic_sale) IS NOT NULL",
+    """
+twice AS (SELECT msme_key, industry FROM success_profile_g UNION ALL SELECT msme_key, industry FROM success_profile_g
+          UNION ALL SELECT msme_key, 'Moved' FROM success_profile_g WHERE CAST(msme_key AS BIGINT) % 3 = 0)
+""",
+)
+SQL["attendance_by_category"] = q(
+    "SELECT c.msme_category, (SELECT CAST(sum(attendance_number) AS BIGINT) FROM activity_fact_g) AS total_attendance "
+    "FROM (SELECT DISTINCT msme_category FROM success_profile_g) c"
+)
 SQL["orphan_keys"] = q(
-    "SELECT p.activity_id, p.msme_key FROM participant_g p WHERE p.activity_id IS NOT NULL "
+    "SELECT p.* FROM participant_g p WHERE p.activity_id IS NOT NULL "
     "AND NOT EXISTS (SELECT 1 FROM activity_fact_g a WHERE a.activity_id = p.activity_id)"
 )
 SQL["duplicate_keys"] = q("SELECT job_key, count(*) AS n_rows FROM hiring_g GROUP BY job_key HAVING count(*) > 1")
@@ -566,8 +597,8 @@ SQL["page_activity_q1"] = q(
 )
 SQL["sales_channels"] = q(
     "SELECT d AS total_sales, i AS total_international_sales, "
-    "CAST(CASE WHEN d IS NULL AND i IS NULL THEN NULL ELSE coalesce(d, 0) + coalesce(i, 0) END AS BIGINT) AS total_sales_all_channels "
-    f"FROM (SELECT {_sum('domestic_sale')} AS d, {_sum('TRY_CAST(international_sale AS BIGINT)')} AS i FROM perf_sales) t",
+    "CAST(CASE WHEN d IS NULL AND i IS NULL THEN NULL ELSE coalesce(d, 0) + coalesce(i, 0) END AS DECIMAL(38,10)) AS total_sales_all_channels "
+    f"FROM (SELECT {_sum('domestic_sale')} AS d, sum(CAST(international_sale AS DECIMAL(38,10))) AS i FROM perf_sales) t",
     PERF_CTX,
 )
 SQL["jobs_net"] = q(
@@ -621,8 +652,8 @@ SQL["share_by_category"] = q(
     "HAVING count(DISTINCT msme_key) > 0) t"
 )
 _LOAN_BY = (
-    "SELECT m.industry, CAST(sum(p.s) AS DECIMAL(18,2)) AS total_loan "
-    "FROM (SELECT msme_key, sum(CAST(loan_amount AS DECIMAL(18,2))) AS s FROM {fact} GROUP BY msme_key) p "
+    "SELECT m.industry, CAST(sum(p.s) AS DOUBLE) AS total_loan "
+    "FROM (SELECT msme_key, sum(CAST(loan_amount AS DECIMAL(38,6))) AS s FROM {fact} GROUP BY msme_key) p "
     "LEFT JOIN (SELECT msme_key, industry FROM success_profile_g) m ON p.msme_key = m.msme_key "
     "GROUP BY m.industry HAVING sum(p.s) IS NOT NULL"
 )

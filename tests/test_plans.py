@@ -9,6 +9,7 @@ import __spark_entry__ as E
 from kpi_lake.operators import context as C
 from kpi_lake.operators.measures import evaluate
 from kpi_lake.plans import dashboard as Dsh
+from kpi_lake.plans.catalog import saved_performance_context
 from kpi_lake.plans.semantic import CATALOG, MODEL_TABLES, build_model
 from kpi_lake.sources.layers import Lake, read_table
 
@@ -38,7 +39,7 @@ def gold_lake(spark, tmp_path_factory):
 
 def test_slicer_range_is_pushed_to_gold_scan(spark, gold_lake):
     model = build_model({t: read_table(spark, gold_lake, "gold", t) for t in MODEL_TABLES})
-    df = evaluate(model, Dsh.performance_context(), ["total_sales"], CATALOG)
+    df = evaluate(model, saved_performance_context(), ["total_sales"], CATALOG)
     plan = plan_text(df)
     assert "PushedFilters: [IsNotNull(date_sales_id), GreaterThanOrEqual(date_sales_id,1996-03-30)" in plan
     # the calendar side of the semi join is broadcast; the fact scan reads two columns only
@@ -48,7 +49,7 @@ def test_slicer_range_is_pushed_to_gold_scan(spark, gold_lake):
 
 def test_page_over_gold_equals_page_over_sources(spark, gold_lake):
     gold_model = build_model({t: read_table(spark, gold_lake, "gold", t) for t in MODEL_TABLES})
-    a = Dsh.page(gold_model, Dsh.performance_context(), "performance").collect()
+    a = Dsh.page(gold_model, saved_performance_context(), "performance").collect()
     b = E.queries()["page_performance"](spark, SF).collect()
     assert a == b
 
@@ -73,9 +74,9 @@ def test_date_partitioned_facts_prune_and_agree(spark, tmp_path_factory, gold_la
     run_all(spark, SF, lake, partition_facts=True)
     part_model = build_model({t: read_table(spark, lake, "gold", t) for t in MODEL_TABLES})
     flat_model = build_model({t: read_table(spark, gold_lake, "gold", t) for t in MODEL_TABLES})
-    a = Dsh.page(part_model, Dsh.performance_context(), "performance")
-    assert a.collect() == Dsh.page(flat_model, Dsh.performance_context(), "performance").collect()
-    plan = plan_text(evaluate(part_model, Dsh.performance_context(), ["total_sales"], CATALOG))
+    a = Dsh.page(part_model, saved_performance_context(), "performance")
+    assert a.collect() == Dsh.page(flat_model, saved_performance_context(), "performance").collect()
+    plan = plan_text(evaluate(part_model, saved_performance_context(), ["total_sales"], CATALOG))
     import re
 
     part_filters = plan.split("PartitionFilters: [")[1].split("]")[0]

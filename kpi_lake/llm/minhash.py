@@ -97,7 +97,7 @@ def minima(sets: list[np.ndarray]) -> np.ndarray:
 
 def signatures(low: np.ndarray) -> np.ndarray:
     """The low bits of the minima, packed: 64-bit words of ``64 / BITS`` minima each."""
-    nibbles = (low & np.uint32((1 << BITS) - 1)).astype(np.uint64).reshape(len(low), -1, 64 // BITS)
+    nibbles = (low & np.uint32((1 << BITS) - 1)).astype(np.uint64).reshape(len(low), HASHES * BITS // 64, 64 // BITS)
     shifts = np.arange(0, 64, BITS, dtype=np.uint64)
     return np.bitwise_or.reduce(nibbles << shifts, axis=2)
 

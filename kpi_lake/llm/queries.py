@@ -30,7 +30,7 @@ def op2_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_warc_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "warc")
     warc.write_warc(read_table(spark, sf_dir, "pages"), folder)
-    return warc.read_warc(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url")
+    return warc.read_warc(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op4_url_model(spark: SparkSession, sf_dir: str) -> DataFrame:

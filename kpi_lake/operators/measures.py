@@ -21,7 +21,7 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kpi_lake.operators.context import FilterContext, range_predicate
@@ -41,8 +41,10 @@ class DateSet:
     # The set lies within [first of month of the range start - months_before months, range end)
     # of a literal date range on the calendar; None when no such bound holds.
     months_before: int | None = 0
-    # Optional row-wise membership test over the calendar's own columns (no join needed).
-    flag: Callable[[StarModel, FilterContext], Column] | None = None
+    # Optional row-wise test of a calendar date: (date, is it visible, first, last visible date).
+    member: Callable[[Column, Column, Column, Column], Column] | None = None
+    # Besides, the visible dates moved by so many months are in the set.
+    moved: int | None = None
 
 
 def date_set_bounds(ctx: FilterContext, sets: Sequence[DateSet]) -> tuple | None:
@@ -224,30 +226,60 @@ def _direct_date_column(model: StarModel, date_table: str, table: str) -> str |
     return hops[0].dst_col if hops and len(hops) == 1 else None
 
 
+def _date_flags(model: StarModel, ctx: FilterContext, date_table: str, cal_col: str, sets: Sequence[DateSet]) -> DataFrame:
+    """One row per calendar date that is in any of the sets: ``__d`` and a flag ``__f<i>`` per set.
+
+    Where the calendar is filtered by its own predicate only, all flags come from one pass over it:
+    the first and last visible date are a window over its distinct dates, tests on a date are
+    row-wise, and a set moved by months sends each visible date to its moved one, where an
+    aggregation by date puts the flags together (and drops dates that the calendar doesn't have).
+    """
+    names = [f"__f{i}" for i in range(len(sets))]
+    any_flag = reduce(lambda a, b: a | b, [F.col(n) for n in names])
+    if model.inbound(date_table) or any(s.member is None for s in sets):
+        flags = model.tables[date_table].select(F.col(cal_col).alias("__d")).distinct()
+        for name, ds in zip(names, sets, strict=True):
+            dates = ds.dates(model, ctx).select(F.col(ds.date_col).alias("__s")).distinct()
+            flags = flags.join(dates, F.col("__d") == F.col("__s"), "left").withColumn(name, F.col("__s").isNotNull()).drop("__s")
+        return flags.filter(any_flag)
+    predicate = ctx.predicate_for(date_table)
+    visible = F.lit(True) if predicate is None else F.coalesce(predicate, F.lit(False))
+    # The window's one partition is the calendar: its size is bounded by the DATE key.
+    whole = Window.partitionBy(F.lit(0))
+    seen = F.when(F.col("__v"), F.col("__d"))
+    days = (
+        model.tables[date_table]
+        .select(F.col(cal_col).alias("__d"), visible.alias("__v"))
+        .groupBy("__d")
+        .agg(F.bool_or("__v").alias("__v"))
+        .select("__d", "__v", F.min(seen).over(whole).alias("__lo"), F.max(seen).over(whole).alias("__hi"))
+    )
+    day, v, lo, hi = (F.col(c) for c in ("__d", "__v", "__lo", "__hi"))
+
+    def entry(date: Column, values: Sequence[Column], listed: bool) -> Column:
+        flags = [F.coalesce(x, F.lit(False)).alias(n) for n, x in zip(names, values, strict=True)]
+        return F.struct(date.alias("__d"), F.lit(listed).alias("__listed"), *flags)
+
+    entries = [entry(day, [s.member(day, v, lo, hi) for s in sets], True)]  # type: ignore[misc]
+    for months in sorted({s.moved for s in sets if s.moved is not None}):
+        entries.append(entry(F.add_months(day, months), [v if s.moved == months else F.lit(False) for s in sets], False))
+    each = days.select(F.explode(F.array(*entries)).alias("__e")).select("__e.*")
+    merged = each.groupBy("__d").agg(*[F.bool_or(c).alias(c) for c in ("__listed", *names)])
+    return merged.filter(F.col("__listed") & any_flag).drop("__listed")
+
+
 def _date_set_frame(model: StarModel, ctx: FilterContext, table: str, date_table: str, members: list[tuple[Measure, DateSet]]) -> DataFrame:
-    """Several measures of one fact over different date sets of one calendar, in ONE fact scan.
+    """Several measures of one fact over different date sets of one calendar, in ONE fact scan and
+    ONE calendar scan.
 
     Each date set is a subset of the calendar (bounded by its number of days); a per-date flag
-    frame (date, in set 1, in set 2, ...) is built from them and broadcast into a single join
-    with the fact, scoped by every filter except the calendar's own. Each measure then sums only
-    the rows whose date carries its flag.
+    frame (date, in set 1, in set 2, ...) is broadcast into a single join with the fact, scoped by
+    every filter except the calendar's own. Each measure then sums only the rows whose date carries
+    its flag.
     """
     fact_col = _direct_date_column(model, date_table, table)
     cal_col = members[0][1].date_col
-    calendar = model.tables[date_table]
-    flag_cols: list[Column] = []
-    joined_sets: list[tuple[int, DataFrame]] = []
-    for i, (_, ds) in enumerate(members):
-        if ds.flag is not None:
-            flag_cols.append(F.coalesce(ds.flag(model, ctx), F.lit(False)).alias(f"__f{i}"))
-        else:
-            joined_sets.append((i, ds.dates(model, ctx).select(F.col(ds.date_col).alias(f"__s{i}")).distinct()))
-    flags = calendar.select(F.col(cal_col).alias("__d"), *flag_cols).distinct()
-    for i, dates in joined_sets:
-        flags = flags.join(dates, F.col("__d") == F.col(f"__s{i}"), "left").withColumn(
-            f"__f{i}", F.col(f"__s{i}").isNotNull()
-        ).drop(f"__s{i}")
-    flags = flags.filter(reduce(lambda a, b: a | b, [F.col(f"__f{i}") for i in range(len(members))]))
+    flags = _date_flags(model, ctx, date_table, cal_col, [ds for _, ds in members])
     rows = model.scoped(table, ctx.removing_table(date_table))
     bounds = date_set_bounds(ctx, [ds for _, ds in members])
     pred = range_predicate(fact_col, bounds) if bounds else None  # type: ignore[arg-type]
@@ -302,7 +334,7 @@ def evaluate(model: StarModel, ctx: FilterContext, measures: Sequence[Item | str
                     dt,
                     col,
                     lambda model, ctx, dt=dt, col=col: model.scoped(dt, ctx).select(col),
-                    flag=lambda model, ctx, dt=dt: ctx.predicate_for(dt),
+                    member=lambda day, visible, lo, hi: visible,
                 )
                 dated[target].append((m, visible))
                 continue

@@ -1,9 +1,10 @@
 """Time intelligence over a calendar dimension: month to date and month shifts.
 
 The date argument is a calendar *column*, so the filter on that calendar table is replaced by
-the computed date set while every other filter of the context stays. The bounds come from
-scalar subqueries over the visible calendar rows (a few thousand days at most); the resulting
-date set is bounded by the calendar as well, so it is broadcast into a semi join with the fact.
+the computed date set while every other filter of the context stays. In ``evaluate`` all date sets
+of a calendar are flags of one pass over it (``measures._date_flags``). Alone, a set's bounds come
+from scalar subqueries over the visible calendar rows; the resulting date set is bounded by the
+calendar as well, so it is broadcast into a semi join with the fact.
 """
 
 from __future__ import annotations
@@ -85,15 +86,13 @@ def month_to_date(base: Measure, date_table: str, date_col: str, name: str) -> M
     def dates(model: StarModel, ctx: FilterContext) -> DataFrame:
         return month_to_date_dates(model, ctx, date_table, date_col)
 
-    def flag(model: StarModel, ctx: FilterContext) -> Column:
-        _, hi = visible_bounds(model, ctx, date_table, date_col)
-        c = F.col(date_col)
-        return (c >= F.trunc(hi, "month")) & (c <= hi)
+    def member(day: Column, visible: Column, lo: Column, hi: Column) -> Column:
+        return (day >= F.trunc(hi, "month")) & (day <= hi)
 
     def scope(model: StarModel, ctx: FilterContext) -> DataFrame:
         return _restrict(model, ctx, base.table, date_table, dates(model, ctx), date_col, 0)
 
-    return dataclasses.replace(base, name=name, scope=scope, date_set=DateSet(date_table, date_col, dates, 0, flag))
+    return dataclasses.replace(base, name=name, scope=scope, date_set=DateSet(date_table, date_col, dates, 0, member))
 
 
 def shift_months(base: Measure, date_table: str, date_col: str, name: str, months: int = -1, extend_month_end: bool = True) -> Measure:
@@ -102,13 +101,20 @@ def shift_months(base: Measure, date_table: str, date_col: str, name: str, month
     def dates(model: StarModel, ctx: FilterContext) -> DataFrame:
         return shifted_dates(model, ctx, date_table, date_col, months, extend_month_end)
 
+    def member(day: Column, visible: Column, lo: Column, hi: Column) -> Column:
+        """The tail of a whole-month selection; the moved dates themselves are ``moved``."""
+        if not extend_month_end:
+            return F.lit(False)
+        whole_months = (lo == F.trunc(lo, "month")) & (hi == F.last_day(hi))
+        return whole_months & (day > F.add_months(hi, months)) & (day <= F.last_day(F.add_months(hi, months)))
+
     # Backward shifts stay below the range end and start at most |months| months earlier.
     back = -months if months <= 0 else None
 
     def scope(model: StarModel, ctx: FilterContext) -> DataFrame:
         return _restrict(model, ctx, base.table, date_table, dates(model, ctx), date_col, back)
 
-    return dataclasses.replace(base, name=name, scope=scope, date_set=DateSet(date_table, date_col, dates, back))
+    return dataclasses.replace(base, name=name, scope=scope, date_set=DateSet(date_table, date_col, dates, back, member, months))
 
 
 __all__ = ["month_to_date", "month_to_date_dates", "shift_months", "shifted_dates", "visible_bounds"]

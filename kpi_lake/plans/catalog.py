@@ -29,7 +29,7 @@ from kpi_lake.plans import pipelines as P
 from kpi_lake.plans.semantic import CATALOG, SUMMARIZE_BY, build_model
 from kpi_lake.session import lake_root, session_key
 from kpi_lake.sources.layers import Lake, read_table, source_lake, write_many, write_table
-from kpi_lake.sources.standins import bronze_from_sources
+from kpi_lake.sources.standins import bronze_from_sources, folder_state, forget_stopped
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -80,15 +80,17 @@ def saved_performance_context(**slicers) -> C.FilterContext:
 
 
 # Layer frames are immutable lazy plans: queries of one session over one folder share them, so
-# each table is analysed once, not once per query.
-_LAYERS: dict[tuple, object] = {}
+# each table is analysed once, not once per query, until the folder changes.
+_LAYERS: dict[tuple, tuple] = {}
 
 
 def _memo(spark: SparkSession, sf_dir: str, layer: str, build):
-    key = (session_key(spark), sf_dir, layer)
-    if key not in _LAYERS:
-        _LAYERS[key] = build()
-    return _LAYERS[key]
+    session, state = session_key(spark), folder_state(spark, sf_dir)
+    key = (session, sf_dir, layer)
+    if key not in _LAYERS or _LAYERS[key][0] != state:
+        forget_stopped(_LAYERS, session)
+        _LAYERS[key] = (state, build())
+    return _LAYERS[key][1]
 
 
 def bronze(spark: SparkSession, sf_dir: str):

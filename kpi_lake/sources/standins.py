@@ -223,18 +223,33 @@ def success_activity_monitoring(events: DataFrame) -> DataFrame:
     )
 
 
-_SOURCE_SCANS: dict[tuple, DataFrame] = {}
+_SOURCE_SCANS: dict[tuple, tuple[object, DataFrame]] = {}
+
+
+def folder_state(spark: SparkSession, sf_dir: str) -> tuple:
+    """Names, sizes and times of what lies in a folder: changes when a table is refreshed."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(sf_dir)  # noqa: SLF001 - listing only
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())  # noqa: SLF001
+    return tuple((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in fs.listStatus(path))
+
+
+def forget_stopped(memo: dict[tuple, object], session: tuple) -> None:
+    """Drop what other sessions left in a memo whose keys begin with the session."""
+    for key in [k for k in memo if k[0] != session]:
+        del memo[key]
 
 
 def source_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Scan of one shared (read-only) table; the scan frame is reused across queries of the
-    same session, so the file listing and footer read happen once."""
+    same session, so the file listing and footer read happen once, until the folder changes."""
     from kpi_lake.session import session_key
 
-    key = (session_key(spark), sf_dir, name)
-    if key not in _SOURCE_SCANS:
-        _SOURCE_SCANS[key] = read_table(spark, source_lake(sf_dir), "", name)
-    return _SOURCE_SCANS[key]
+    session, state = session_key(spark), folder_state(spark, sf_dir)
+    key = (session, sf_dir, name)
+    if key not in _SOURCE_SCANS or _SOURCE_SCANS[key][0] != state:
+        forget_stopped(_SOURCE_SCANS, session)
+        _SOURCE_SCANS[key] = (state, read_table(spark, source_lake(sf_dir), "", name))
+    return _SOURCE_SCANS[key][1]
 
 
 def bronze_from_sources(spark: SparkSession, sf_dir: str) -> LazyFrames:

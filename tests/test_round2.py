@@ -204,3 +204,28 @@ def test_performance_page_without_dates_does_not_filter():
     assert D.performance_context().same_as(C.EMPTY)
     saved = D.performance_context(D.REPORT_SALES_RANGE, D.REPORT_JOBS_UNTIL)
     assert saved.key_bounds("date_sales", "date_sales_id")[0] == dt.date(2022, 3, 30)
+
+
+def test_a_refreshed_source_folder_is_read_anew(spark, scratch_dir):
+    from kpi_lake.sources.standins import source_table
+
+    spark.range(3).write.parquet(f"{scratch_dir}/nation.parquet")
+    assert source_table(spark, scratch_dir, "nation").count() == 3
+    spark.range(5).write.mode("overwrite").parquet(f"{scratch_dir}/nation.parquet")
+    assert source_table(spark, scratch_dir, "nation").count() == 5
+
+
+def test_moved_and_whole_month_sets_come_from_one_calendar_scan(spark):
+    from kpi_lake.operators.measures import Measure, one_row
+    from kpi_lake.operators.timeintel import month_to_date, shift_months
+
+    days = [dt.date(2024, 1, 1) + dt.timedelta(n) for n in range(120)]
+    cal = spark.createDataFrame([(d, d.month) for d in days], "d date, m int")
+    fact = spark.createDataFrame([(d, 1 << (i % 20)) for i, d in enumerate(days)], "d date, v long")
+    model = StarModel({"fact": fact, "cal": cal}, [Relationship("fact", "d", "cal", "d")], calendar_tables=["cal"])
+    total = Measure("total", "fact", "sum", column="v")
+    measures = [total, month_to_date(total, "cal", "d", "mtd"), shift_months(total, "cal", "d", "prev", -1)]
+    for ctx in (C.EMPTY, C.EMPTY.where("cal", C.equals("m", 3), "m"), C.EMPTY.where_range("cal", "d", "2024-02-10", "2024-03-31", "p")):
+        got = evaluate(model, ctx, measures).first()
+        want = one_row(*[m.rows(model, ctx).agg(m.aggregate()) for m in measures]).first()
+        assert tuple(got) == tuple(want)

@@ -140,7 +140,7 @@ def fill_null(df: DataFrame, defaults: Mapping[str, object], nan_as_null: bool =
     )
 
 
-# Text that reads as a number when compared with one: optional blanks and sign, digits, an
+# Fixed value: text that reads as a number when compared with one: optional blanks and sign, digits, an
 # optional fraction. Exponents, thousands separators and other text are not numbers.
 NUMERIC_TEXT = r"^\s*[+-]?\d+(\.\d*)?\s*$"
 

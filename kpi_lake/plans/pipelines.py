@@ -117,6 +117,36 @@ PROFILE_COLUMNS = [
     "savings_group",
 ]
 
+JOB_RENAMES = {
+    "nbre_employe_embauche": "total_hired_employee",
+    "nombre_employe_licencie": "total_fired_employee",
+    "date_collecte": "collecting_date",
+}
+HIRING_RENAMES = {
+    "sexe": "sex",
+    "contrat_temps_plein": "is_full_time",
+    "est_assure": "have_insurance",
+    "grace_support_meda": "thanks_to_project_support",
+    "est_decent_work": "is_decent_work",
+    "duree_contrat": "contract_duration",
+}
+SUCCESS_FACT_COLUMNS = ["msme_key", "registration_date", "annual_income", "employee_number", "loan_amount"]
+DATE_PARTS = ["day", "month", "quarter", "year"]
+DATE_SUCCESS_PARTS = {"day": "day_success", "month": "month_success", "quarter": "quarter_success", "year": "year_success"}
+ACTIVITY_FACT_COLUMNS = [
+    "activity_id",
+    "activity_date",
+    "support_type",
+    "partner_id",
+    "activity_theme",
+    "activity_duration",
+    "attendance_number",
+]
+DATE_ACTIVITY_PARTS = ["day_activity", "month_activity", "quarter_activity", "year_activity"]
+SALES_FACT_COLUMNS = ["sales_key", "msme_key", "sales_reporting_date", "domestic_sale", "international_sale"]
+DATE_SALES_PARTS = ["day_sales_reporting", "month_sales_reporting", "quarter_sales_reporting", "year_sales_reporting"]
+JOB_FACT_COLUMNS = ["job_key", "msme_key", "collecting_date", "total_hired_employee", "total_fired_employee"]
+
 INDUSTRY_RULES = [Rule("eq", "Service", DEFAULT_INDUSTRY), Rule("null", None, DEFAULT_INDUSTRY)]
 PRODUCTIVE_RULES = [Rule("null", None, "no"), Rule("ieq", "oui", "yes"), Rule("ieq", "non", "no")]
 AGRIBUSINESS_RULES = [Rule("ieq", "agribusiness", "Agribusiness")]
@@ -157,14 +187,7 @@ def silver_jobs(success_job: DataFrame) -> DataFrame:
     df = require_not_null(success_job, "date_collecte")
     df = fill_null(df, {"nbre_employe_embauche": 0, "nombre_employe_licencie": 0})
     df = add_calendar(df.withColumn("date_collecte", parse_date("date_collecte")), "date_collecte")
-    return rename(
-        df,
-        {
-            "nbre_employe_embauche": "total_hired_employee",
-            "nombre_employe_licencie": "total_fired_employee",
-            "date_collecte": "collecting_date",
-        },
-    )
+    return rename(df, JOB_RENAMES)
 
 
 def silver_sales(success_sales: DataFrame) -> DataFrame:
@@ -181,17 +204,7 @@ def silver_participants(participants: DataFrame) -> DataFrame:
 def silver_hiring(hired: DataFrame) -> DataFrame:
     df = recode(hired, YES_NO_RECODE_ANY_CASE, HIRING_YES_NO_COLUMNS)
     df = df.withColumn("duree_contrat", to_int_trunc("duree_contrat"))
-    return rename(
-        df,
-        {
-            "sexe": "sex",
-            "contrat_temps_plein": "is_full_time",
-            "est_assure": "have_insurance",
-            "grace_support_meda": "thanks_to_project_support",
-            "est_decent_work": "is_decent_work",
-            "duree_contrat": "contract_duration",
-        },
-    )
+    return rename(df, HIRING_RENAMES)
 
 
 def silver_firing(fired: DataFrame) -> DataFrame:
@@ -248,16 +261,16 @@ def gold_success(success_updated: DataFrame) -> dict[str, DataFrame]:
     return {
         "success_fact": fact_table(
             s,
-            ["msme_key", "registration_date", "annual_income", "employee_number", "loan_amount"],
+            SUCCESS_FACT_COLUMNS,
             {"registration_date": "registration_date_id"},
         ),
         "success_profile": profile_dimension(s, PROFILE_COLUMNS),
         "date_success": date_dimension(
             s,
             "registration_date",
-            ["day", "month", "quarter", "year"],
+            DATE_PARTS,
             id_name="registration_date_id",
-            part_names={"day": "day_success", "month": "month_success", "quarter": "quarter_success", "year": "year_success"},
+            part_names=DATE_SUCCESS_PARTS,
         ),
     }
 
@@ -272,13 +285,13 @@ def gold_activity(activity_updated: DataFrame) -> dict[str, DataFrame]:
     return {
         "activity_fact": fact_table(
             a,
-            ["activity_id", "activity_date", "support_type", "partner_id", "activity_theme", "activity_duration", "attendance_number"],
+            ACTIVITY_FACT_COLUMNS,
             {"support_type": "support_id", "activity_date": "activity_date_id"},
         ),
         "date_activity": date_dimension(
             activity_updated,
             "activity_date",
-            ["day_activity", "month_activity", "quarter_activity", "year_activity"],
+            DATE_ACTIVITY_PARTS,
             id_name="activity_date_id",
         ),
         "support_activity": attribute_dimension(
@@ -291,13 +304,13 @@ def gold_sales(sales_updated: DataFrame) -> dict[str, DataFrame]:
     return {
         "sales_fact": fact_table(
             sales_updated,
-            ["sales_key", "msme_key", "sales_reporting_date", "domestic_sale", "international_sale"],
+            SALES_FACT_COLUMNS,
             {"sales_reporting_date": "date_sales_id"},
         ),
         "date_sales": date_dimension(
             sales_updated,
             "sales_reporting_date",
-            ["day_sales_reporting", "month_sales_reporting", "quarter_sales_reporting", "year_sales_reporting"],
+            DATE_SALES_PARTS,
             id_name="date_sales_id",
         ),
     }
@@ -307,10 +320,10 @@ def gold_jobs(job_updated: DataFrame) -> dict[str, DataFrame]:
     return {
         "job_fact": fact_table(
             job_updated,
-            ["job_key", "msme_key", "collecting_date", "total_hired_employee", "total_fired_employee"],
+            JOB_FACT_COLUMNS,
             {"collecting_date": "date_job_id"},
         ),
-        "date_job": date_dimension(job_updated, "collecting_date", ["day", "month", "quarter", "year"], id_name="date_job_id"),
+        "date_job": date_dimension(job_updated, "collecting_date", DATE_PARTS, id_name="date_job_id"),
     }
 
 

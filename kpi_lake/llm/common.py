@@ -19,7 +19,8 @@ _SHIPPED: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Make this package importable in the Python workers of every executor, once an application."""
+    """Make this package importable in the Python workers of every executor, once an application:
+    the driver zips it and Spark hands the archive out (no executor reads the driver's folder)."""
     sc = spark.sparkContext
     if sc.applicationId in _SHIPPED:
         return
@@ -55,8 +56,8 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder."""
-    return f"{shared_dir(spark)}/kpi_lake_llm/{uuid.uuid4().hex}/{name}"
+    """A new path below the shared folder, in a folder of this application's own."""
+    return f"{shared_dir(spark)}/kpi_lake_llm/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}/{name}"
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
@@ -82,11 +83,6 @@ def lower_ascii(column: Column) -> Column:
     return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def text_bytes(value) -> bytes:
-    """UTF-8 bytes of an Arrow string scalar; null counts as empty."""
-    return b"" if value is None else value.encode("utf-8", "surrogatepass")
-
-
 def utf8_column(array):
     """The texts of an Arrow string array as a list of ``bytes`` (null: empty)."""
     import pyarrow as pa
@@ -95,26 +91,15 @@ def utf8_column(array):
     return [b"" if x is None else x for x in array.cast(kind).to_pylist()]
 
 
-def is_local_path(path: str) -> bool:
-    return path.startswith(("/", "file:"))
-
-
-def join_path(*parts: str) -> str:
-    return "/".join(p.rstrip("/") for p in parts)
-
-
 __all__ = [
     "WORD_SEPARATORS",
     "drop_table",
-    "is_local_path",
-    "join_path",
     "lower_ascii",
     "materialise",
     "read_table",
     "scratch_path",
     "shared_dir",
     "ship_package",
-    "text_bytes",
     "utf8_column",
 ]
 

@@ -170,7 +170,7 @@ def _parts(benchmark: DataFrame, item_col: str, text_col: str, window: int, limi
     if not total:
         return []
     if total <= limit:
-        return [[(r.item, text_bytes_of(r.text)) for r in rows.collect()]]
+        return [[(r.item, r.text.encode("utf-8")) for r in rows.collect()]]
     n = max(2, -(-2 * total // limit))
     dealt = rows.withColumn("part", F.pmod(F.xxhash64("item", "text"), F.lit(int(n))))
     sizes = {r.part: r.size for r in dealt.groupBy("part").agg(F.sum(F.octet_length("text")).alias("size")).collect()}
@@ -178,14 +178,10 @@ def _parts(benchmark: DataFrame, item_col: str, text_col: str, window: int, limi
     for part in sorted(sizes):
         if longest > limit or sizes[part] > limit:
             raise ValueError(f"a benchmark item or part exceeds {limit} bytes; raise max_broadcast_bytes")
-        out.append([(r.item, text_bytes_of(r.text)) for r in dealt.where(F.col("part") == part).collect()])
+        out.append([(r.item, r.text.encode("utf-8")) for r in dealt.where(F.col("part") == part).collect()])
     return out
 
 
-def text_bytes_of(text: str) -> bytes:
-    return text.encode("utf-8")
-
-
 def find_contamination(
     documents: DataFrame,
     benchmark: DataFrame,

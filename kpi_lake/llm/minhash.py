@@ -113,12 +113,6 @@ def estimates(one: np.ndarray, others: np.ndarray) -> np.ndarray:
     return ((HASHES - unequal) / HASHES - chance) / (1 - chance)
 
 
-def linked(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
-    """Whether two full sets have the similarity."""
-    common = len(np.intersect1d(a, b, assume_unique=True))
-    return 100 * common >= percent * (len(a) + len(b) - common)
-
-
 def trees(sets: list[np.ndarray], packed: np.ndarray, left: np.ndarray | None = None, percent: int = PERCENT) -> list[tuple[int, int]]:
     """Links that join the members into their components: for every member the later ones that
     might be linked and aren't in its component yet, best estimate first, confirmed on full sets.

@@ -1,14 +1,14 @@
 """Quality classifier by importance resampling.
 
-A document's features are its hashed n-grams, in four families of a fixed number of buckets: words,
-neighbouring pairs of words (all pairs of equal words are one feature), runs of three bytes, and
-distinct words. Over each family the raw generative model counts all documents, the target model
+A document's features are its hashed n-grams, in five families of a fixed number of buckets: words,
+neighbouring pairs of words (all pairs of equal words are one feature), runs of three bytes, and,
+by two hashes, distinct words. Over each family the raw generative model counts all documents, the target model
 the documents labelled good and not toxic, the toxic model those labelled toxic. A bucket's ratio to
 the raw model is smoothed as ``(seen + a) / (expected + a)``. A document's log weight is its
 target's log ratio per feature, summed over the first three families and brought to a length of
 ``length`` features, so that documents of all lengths compare. Its clean weight is the sum, over its
-distinct words whose toxic count stands out of chance, of the target's minus the toxic model's log
-ratio. Half of the sampled labels (by a hash of the id) fit the models, the other half calibrate two
+distinct words whose toxic count stands out under both hashes (so that a word that only shares a
+bucket doesn't count), of the target's minus the toxic model's log ratio. Half of the sampled labels (by a hash of the id) fit the models, the other half calibrate two
 thresholds: the log weight that tells good from bad best, and the clean weight that tells clean from
 toxic best. The sample keeps the k documents with the largest log weight plus Gumbel noise among
 those that pass for clean, k being the number of all documents that reach both thresholds: sampling
@@ -45,6 +45,9 @@ PRIOR = 4.0
 LENGTH = 100
 #: Standard deviations by which a toxic count must exceed its expectation.
 STANDS_OUT = 5.0
+#: Times its expectation that a toxic count must be, besides.
+LEAST_RATIO = 3.0
+FAMILIES = 5
 #: How much more a rejected good document weighs than a kept bad one when thresholds are set.
 CARE = 5.0
 SEED = 17
@@ -73,7 +76,8 @@ class Hasher:
         at = np.frombuffer(text, np.uint8).astype(np.uint32)
         runs = ((at[:-2] * 65536 + at[1:-1] * 256 + at[2:]) * np.uint32(0x9E3779B1)) >> np.uint32(7)
         found = [(hashes % n).astype(np.int64), (pairs % n).astype(np.int64), (runs % np.uint32(self.buckets)).astype(np.int64)]
-        return [*found, np.unique(found[0])]
+        distinct = np.unique(hashes)
+        return [*found, (distinct % n).astype(np.int64), ((distinct * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)).astype(np.int64) % self.buckets]
 
 
 def labelled_sample(labels: DataFrame, limit: int, id_col: str = "doc_id", quality_col: str = "quality", toxic_col: str = "toxic") -> dict[int, tuple[int, int]]:
@@ -92,7 +96,7 @@ def _counts(docs: DataFrame, shared, buckets: int) -> np.ndarray:
     """Counts by model (raw, target, toxic), family and bucket."""
 
     def run(batches):
-        hasher, table = Hasher(buckets), np.zeros((3, 4 * buckets), np.int64)
+        hasher, table = Hasher(buckets), np.zeros((3, FAMILIES * buckets), np.int64)
         sample = shared.value
         for batch in batches:
             for doc, raw in zip(batch.column(0).to_pylist(), utf8_column(batch.column(1)), strict=True):
@@ -108,29 +112,30 @@ def _counts(docs: DataFrame, shared, buckets: int) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (at, *table[:, at])], names=["bucket", "raw", "target", "toxic"])
 
     parts = docs.mapInArrow(run, "bucket bigint, raw bigint, target bigint, toxic bigint")
-    total = parts.groupBy("bucket").agg(*[F.sum(c).alias(c) for c in ("raw", "target", "toxic")]).toArrow()  # at most 4 * buckets rows
-    out = np.zeros((3, 4 * buckets))
+    total = parts.groupBy("bucket").agg(*[F.sum(c).alias(c) for c in ("raw", "target", "toxic")]).toArrow()  # at most FAMILIES * buckets rows
+    out = np.zeros((3, FAMILIES * buckets))
     out[:, total["bucket"].to_numpy()] = [total[c].to_numpy() for c in ("raw", "target", "toxic")]
-    return out.reshape(3, 4, buckets)
+    return out.reshape(3, FAMILIES, buckets)
 
 
 def log_ratios(counts: np.ndarray) -> np.ndarray:
     """By family and bucket: the target's log ratio to the raw model; of distinct words, what speaks
-    against toxicity (the target's minus the toxic's log ratio where the toxic count stands out)."""
+    against toxicity (the target's minus the toxic's log ratio where the toxic count stands out of
+    chance and is several times its expectation)."""
     raw, target, toxic = counts
     share = raw / np.maximum(raw.sum(axis=1, keepdims=True), 1)
     in_target, in_toxic = (x.sum(axis=1, keepdims=True) * share for x in (target, toxic))
     good = np.log((target + PRIOR) / (in_target + PRIOR)) if target.sum() else np.zeros_like(raw)
     bad = np.log((toxic + PRIOR) / (in_toxic + PRIOR))
-    stands_out = toxic - in_toxic > STANDS_OUT * np.sqrt(in_toxic + 1)
-    good[3] = np.where(stands_out, good - bad, 0.0)[3]
+    stands_out = (toxic - in_toxic > STANDS_OUT * np.sqrt(in_toxic + 1)) & (bad > np.log(LEAST_RATIO))
+    good[3:] = np.where(stands_out, good - bad, 0.0)[3:]
     return good
 
 
 def _score(hasher: Hasher, weights: np.ndarray, raw: bytes, length: int) -> tuple[float, float]:
-    *families, distinct = hasher(raw)
+    *families, one, other = hasher(raw)
     mean = sum(float(weights[k][found].mean()) for k, found in enumerate(families) if len(found))
-    return length * mean, float(weights[3][distinct].sum())
+    return length * mean, float(np.maximum(weights[3][one], weights[4][other]).sum())
 
 
 def gumbel(doc_id: Column, seed: int = SEED) -> Column:

@@ -33,6 +33,8 @@ SMOOTHING = 4.0
 #: Probability that every order-0 model gives any character before counting.
 FLOOR = 1.0 / 1024
 BINS = 2000
+#: Different urls whose n-grams one task makes.
+TASK_URLS = 4000
 RULES = [("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"), ("net/fr/", "block")]
 
 
@@ -99,7 +101,6 @@ def judge_urls(
     smoothing: float = SMOOTHING,
 ) -> DataFrame:
     """Per row ``page_id, host, path, rule, verdict, score, threshold``."""
-    spark = pages.sparkSession
     urls = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).cast("string").alias("url"))
     judged = urls.select(
         "page_id", "url", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), model_text(F.col("url")).alias("text")
@@ -114,6 +115,8 @@ def judge_urls(
         F.xxhash64("text").alias("key"), "text", F.coalesce("accepted", F.lit(0)).alias("accepted"), F.coalesce("rejected", F.lit(0)).alias("rejected")
     ).withColumn("fitted", F.pmod("key", F.lit(2)) == 0)
     texts = materialise(texts, "url_texts")
+    # A url makes many n-grams: urls are dealt by number, not by their few bytes.
+    texts = texts.repartition(1 + texts.count() // TASK_URLS, "key")
     use = F.when(F.col("fitted"), F.lit(1)).otherwise(F.lit(0))
     grams = texts.select(F.explode(ngrams(F.col("text"), order)).alias("gram"), (F.col("accepted") * use).alias("accepted"), (F.col("rejected") * use).alias("rejected"))
     counts = materialise(grams.groupBy("gram").agg(F.sum("accepted").alias("accepted"), F.sum("rejected").alias("rejected")), "url_grams")
@@ -129,7 +132,6 @@ def judge_urls(
     both = scored.agg(F.sum(F.col("accepted") * use), F.sum(F.col("rejected") * use)).first()
     if not both[0] or not both[1]:
         scored, threshold = scored.withColumn("score", F.lit(0.0)), 0.0
-    del spark
     return judged.join(scored.select("text", "score"), "text").select(
         "page_id",
         "host",

@@ -30,12 +30,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpi_lake.llm.common import utf8_column
+from kpi_lake.llm.common import slices, utf8_column, worker_cache
 
 # Fixed value: the byte-level pre-splitting pattern.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Words that one Python worker remembers at a time (memory only; the result doesn't depend on it).
-REMEMBERED_WORDS = 1_000_000
+REMEMBERED_WORDS = 600_000
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -222,18 +222,16 @@ class TokenAutomaton:
         return raw.decode("utf-8", "replace").encode("utf-8")
 
 
-_AUTOMATA: dict[str, TokenAutomaton] = {}
-
-
 def shared_automaton(spark: SparkSession, path: str):
     """A function that gives the automaton, compiled once per Python worker."""
     shared, key = spark.sparkContext.broadcast(load_vocabulary(path)), uuid.uuid4().hex
 
     def get() -> TokenAutomaton:
-        if key not in _AUTOMATA:
-            _AUTOMATA.clear()
-            _AUTOMATA[key] = TokenAutomaton(**shared.value)
-        return _AUTOMATA[key]
+        kept = worker_cache("bpe")
+        if key not in kept:
+            kept.clear()
+            kept[key] = TokenAutomaton(**shared.value)
+        return kept[key]
 
     return get
 
@@ -263,7 +261,7 @@ def encode_decode(
 
     def run(batches):
         automaton = get()
-        for batch in batches:
+        for batch in slices(batches):
             out: dict[str, list] = {name: [] for name in schema.names}
             for doc, raw in zip(batch.column(0).to_pylist(), utf8_column(batch.column(1)), strict=True):
                 ids = automaton.encode(raw.decode("utf-8", "replace"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import re
 import tempfile
 import uuid
@@ -83,6 +84,27 @@ def lower_ascii(column: Column) -> Column:
     return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+_CACHES: dict[str, dict] = {}
+
+
+def worker_cache(owner: str) -> dict:
+    """What a Python worker keeps from task to task of one operator. Claiming it drops what other
+    operators left, so that a worker that serves many holds one operator's memory at a time."""
+    others = [k for k in _CACHES if k != owner]
+    for other in others:
+        _CACHES.pop(other).clear()
+    if others:
+        gc.collect()
+    return _CACHES.setdefault(owner, {})
+
+
+def slices(batches, rows: int = 1000):
+    """Arrow batches in parts of at most ``rows`` rows, so that few texts are Python objects at once."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def utf8_column(array):
     """The texts of an Arrow string array as a list of ``bytes`` (null: empty)."""
     import pyarrow as pa
@@ -100,6 +122,8 @@ __all__ = [
     "scratch_path",
     "shared_dir",
     "ship_package",
+    "slices",
     "utf8_column",
+    "worker_cache",
 ]
 

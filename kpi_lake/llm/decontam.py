@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kpi_lake.llm.common import materialise, utf8_column
+from kpi_lake.llm.common import materialise, slices, utf8_column, worker_cache
 
 WINDOW = 13
 MAX_BROADCAST_BYTES = 64 << 20
@@ -39,7 +39,6 @@ _NORMAL = bytes(
     for c in range(256)
 )
 
-_AUTOMATA: dict[str, tuple] = {}
 
 
 def normalise(raw: bytes) -> list[bytes]:
@@ -121,10 +120,11 @@ def _shared_automaton(spark, items: list[tuple[str, bytes]], window: int):
     shared, key = spark.sparkContext.broadcast(items), uuid.uuid4().hex
 
     def get():
-        if key not in _AUTOMATA:
-            _AUTOMATA.clear()
-            _AUTOMATA[key] = (build_automaton(shared.value, window),)
-        return _AUTOMATA[key][0]
+        kept = worker_cache("decontam")
+        if key not in kept:
+            kept.clear()
+            kept[key] = build_automaton(shared.value, window)
+        return kept[key]
 
     return get
 
@@ -134,7 +134,7 @@ def _scan_part(docs: DataFrame, items: list[tuple[str, bytes]], window: int) ->
 
     def run(batches):
         automaton = get()
-        for batch in batches:
+        for batch in slices(batches):
             out: dict[str, list] = {name: [] for name in _ARROW.names}
             for doc, raw in zip(batch.column(0).to_pylist(), utf8_column(batch.column(1)), strict=True):
                 words = normalise(raw)
@@ -262,7 +262,7 @@ def remove_contaminated(
 
         def keep(batches):
             automaton = get()
-            for batch in batches:
+            for batch in slices(batches):
                 kept = []
                 for raw in utf8_column(batch.column(place)):
                     words = normalise(raw)

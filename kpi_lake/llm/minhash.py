@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kpi_lake.llm.common import materialise, utf8_column
+from kpi_lake.llm.common import materialise, slices, utf8_column, worker_cache
 from kpi_lake.llm.components import connected_components
 
 WORDS = 5
@@ -41,11 +41,10 @@ BANDS, ROWS = 25, 5
 HASHES, BITS = 128, 4
 MARGIN = 0.17
 MAX_BLOCK = 2_000_000
-_REMEMBERED = 500_000
+_REMEMBERED = 300_000
 _SEED = 20_231
 _MIX = np.uint64(0xBF58476D1CE4E5B9)  # fixed value: a mixing constant
 _FOLD = np.uint64(0x9E3779B97F4A7C15)  # fixed value: a mixing constant
-_KNOWN: dict[bytes, int] = {}
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -56,14 +55,15 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 def word_hashes(words: list[bytes]) -> np.ndarray:
     import xxhash
 
-    if len(_KNOWN) > _REMEMBERED:
-        _KNOWN.clear()
+    known = worker_cache("minhash")
+    if len(known) > _REMEMBERED:
+        known.clear()
     try:
-        return np.fromiter(map(_KNOWN.__getitem__, words), np.uint64, len(words))
+        return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
     except KeyError:
-        for word in set(words).difference(_KNOWN):
-            _KNOWN[word] = xxhash.xxh64_intdigest(word)
-        return np.fromiter(map(_KNOWN.__getitem__, words), np.uint64, len(words))
+        for word in set(words).difference(known):
+            known[word] = xxhash.xxh64_intdigest(word)
+        return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
 
 
 def shingle_set(text: bytes, words: int = WORDS) -> np.ndarray:
@@ -190,7 +190,7 @@ def sketches(docs: DataFrame, words: int = WORDS, bands: int = BANDS, rows: int
         )
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             held, sets, n = ([], [], []), [], 0
             for id_, k1, k2, raw in zip(*(batch.column(i).to_pylist() for i in range(3)), utf8_column(batch.column(3)), strict=True):
                 for part, value in zip(held, (id_, k1, k2), strict=True):
@@ -233,7 +233,7 @@ def _confirmed(members: DataFrame, docs: DataFrame, words: int, percent: int, ma
     texts = docs.join(dealt, ["k1", "k2"]).select("root", "node", "signature", "blocks", "text")
 
     def as_sets(batches):
-        for batch in batches:
+        for batch in slices(batches):
             sets = [shingle_set(t, words).view(np.int64) for t in utf8_column(batch.column(4))]
             size = [0, *np.cumsum([len(s) for s in sets])]
             packed = pa.ListArray.from_arrays(pa.array(size, pa.int32()), pa.array(np.concatenate(sets) if sets else np.zeros(0, np.int64)))

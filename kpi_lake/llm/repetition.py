@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kpi_lake.llm.common import WORD_SEPARATORS, utf8_column
+from kpi_lake.llm.common import WORD_SEPARATORS, slices, utf8_column
 
 # Fixed value: the symbols that are counted.
 SYMBOLS = b"#*$%&|<>"
@@ -169,7 +169,7 @@ def repetition(
         return pa.RecordBatch.from_arrays([pa.array(found[name], pa.int64()) for name in schema.names], schema=schema)
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             ids, texts, held = [], [], 0
             for doc, raw in zip(batch.column(0).to_pylist(), utf8_column(batch.column(1)), strict=True):
                 ids.append(doc)

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpi_lake.llm.common import materialise, utf8_column
+from kpi_lake.llm.common import materialise, slices, utf8_column, worker_cache
 
 BUCKETS = 1 << 16
 MAX_LABELLED = 200_000
@@ -51,14 +51,14 @@ FAMILIES = 5
 #: How much more a rejected good document weighs than a kept bad one when thresholds are set.
 CARE = 5.0
 SEED = 17
-_REMEMBERED = 500_000
+_REMEMBERED = 300_000
 
 
 class Hasher:
     """Bucket numbers of a text's features by family; remembers words (memory only)."""
 
     def __init__(self, buckets: int):
-        self.buckets, self.known = buckets, {}
+        self.buckets, self.known = buckets, worker_cache("resample")
 
     def __call__(self, text: bytes) -> list[np.ndarray]:
         words, known, n = text.split(), self.known, np.uint64(self.buckets)
@@ -98,7 +98,7 @@ def _counts(docs: DataFrame, shared, buckets: int) -> np.ndarray:
     def run(batches):
         hasher, table = Hasher(buckets), np.zeros((3, FAMILIES * buckets), np.int64)
         sample = shared.value
-        for batch in batches:
+        for batch in slices(batches):
             for doc, raw in zip(batch.column(0).to_pylist(), utf8_column(batch.column(1)), strict=True):
                 found = np.concatenate([x + k * buckets for k, x in enumerate(hasher(raw))])
                 good, toxic = sample.get(doc, (0, 0)) if doc is not None and fits(doc) else (0, 0)
@@ -199,7 +199,7 @@ def score_documents(docs: DataFrame, shared_weights, buckets: int, length: int)
 
     def run(batches):
         hasher, weights = Hasher(buckets), shared_weights.value
-        for batch in batches:
+        for batch in slices(batches):
             found = [_score(hasher, weights, raw, length) for raw in utf8_column(batch.column(1))]
             columns = list(zip(*found, strict=True)) or [(), ()]
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), *(pa.array(c, pa.float64()) for c in columns)], schema=schema)
@@ -259,7 +259,7 @@ def resample(
 
     def keep(batches):
         hasher, weights = Hasher(buckets), shared.value
-        for batch in batches:
+        for batch in slices(batches):
             kept = []
             for raw, noise in zip(utf8_column(batch.column(place)), batch.column(last).to_pylist(), strict=True):
                 weight, clean = _score(hasher, weights, raw, length)

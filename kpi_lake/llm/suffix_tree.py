@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kpi_lake.llm.common import materialise, utf8_column
+from kpi_lake.llm.common import materialise, slices, utf8_column
 
 GAIN = 2.0
 HELD_OUT = (7, 2)
@@ -138,7 +138,7 @@ def blocks_of(docs: DataFrame, rule: tuple[int, int] = HELD_OUT) -> DataFrame:
             )
             return _rows([row], _BLOCK)
 
-        for batch in batches:
+        for batch in slices(batches):
             for doc, raw in zip(batch.column(0).to_pylist(), utf8_column(batch.column(1)), strict=True):
                 words = raw.lower().split()
                 words.append(END_TOKEN)

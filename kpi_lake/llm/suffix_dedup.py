@@ -7,8 +7,9 @@ bytes that such strings cover are removed, all at once, from every place.
    smallest polynomial hash is the window's anchor (the leftmost of equals), so equal windows have
    equal anchors at equal offsets. Prefix hashes give any run's hash in two look-ups. An anchor
    stands for the windows that chose it; about one place in fifty is an anchor.
-2. Gathering. Anchors are shuffled by hash and streamed in order of their whole context (the bytes
-   of all their windows). Anchors that occur once are dropped. Contexts that occur twice or more are
+2. Gathering. Contexts (the bytes of all windows of an anchor) that repeat inside one batch of a task
+   are known to be repeated: their bytes are united per document there, and one of them goes on with
+   that mark. Anchors are shuffled by hash and streamed in order of their context. Anchors that occur once are dropped. Contexts that occur twice or more are
    repeated as a whole. Where an anchor has several different contexts, one of each goes on.
 3. Suffix sort. For each such anchor the suffixes at all its windows' starts are sorted by
    mergesort; two suffixes are compared by a binary search for their longest common prefix over the
@@ -41,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kpi_lake.llm.common import materialise, utf8_column
+from kpi_lake.llm.common import materialise, slices, utf8_column, worker_cache
 
 LENGTH = 200
 MAX_CONTEXTS = 20_000
@@ -54,20 +55,20 @@ _BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 #: Bits of a place in a batch; a batch is at most one piece longer than PIECE by an overlap.
 _PLACE_BITS = PIECE.bit_length()
-_POWERS: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
 
 
 def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of a base and of its inverse, modulo 2**64."""
     size = max(1 << 16, 1 << (n - 1).bit_length())
-    if (base, size) not in _POWERS:
+    known = worker_cache("powers")
+    if (base, size) not in known:
         both = []
         for b in (base, pow(base, -1, 1 << 64)):
             p = np.full(size, b, np.uint64)
             p[0] = 1
             both.append(np.cumprod(p, dtype=np.uint64))
-        _POWERS[base, size] = tuple(both)
-    up, down = _POWERS[base, size]
+        known[base, size] = tuple(both)
+    up, down = known[base, size]
     return up[:n], down[:n]
 
 
@@ -139,7 +140,9 @@ def _pieces(texts: list[bytes], length: int):
         yield batch
 
 
-_OCCURRENCE = [("key", "bigint"), ("context", "bigint"), ("k1", "bigint"), ("k2", "bigint"), ("place", "bigint"), ("far", "int"), ("near", "int")]
+_OCCURRENCE = [("key", "bigint"), ("context", "bigint"), ("k1", "bigint"), ("k2", "bigint"), ("place", "bigint"), ("far", "int"), ("near", "int"), ("known", "int")]
+#: ``known``: 1 for a context that is repeated already, 2 for a span of repeated bytes that only passes.
+ALONE, REPEATED, SPAN = 0, 1, 2
 _KINDS = ", ".join(f"{a} {b}" for a, b in _OCCURRENCE)
 _ARROW = pa.schema([(a, pa.int32() if b == "int" else pa.int64()) for a, b in _OCCURRENCE])
 
@@ -159,7 +162,7 @@ def _find_anchors(docs: DataFrame, length: int) -> DataFrame:
     """``place`` is the anchor's offset in its text; its windows start ``far`` to ``near`` before."""
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             k1, k2 = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             for part in _pieces(utf8_column(batch.column(2)), length):
                 data = np.frombuffer(b"".join(p for *_, p in part), np.uint8)
@@ -169,17 +172,52 @@ def _find_anchors(docs: DataFrame, length: int) -> DataFrame:
                 begin = np.concatenate(([0], stops[:-1]))[at]
                 number = np.array([x for x, *_ in part])[at]
                 offset = np.array([x for _, x, _ in part])[at]
-                yield _batch([key, context, k1[number], k2[number], place - begin + offset, (place - first).astype(np.int32), (place - last).astype(np.int32)])
+                rows = np.stack([key, context, k1[number], k2[number], place - begin + offset, place - first, place - last, np.zeros_like(key)])
+                yield _rows(_combined(rows, at, length))
 
     return docs.mapInArrow(run, _KINDS)
 
 
+def _rows(rows: np.ndarray, schema=_ARROW) -> pa.RecordBatch:
+    return _batch([r.astype(np.int32) if pa.types.is_int32(f.type) else r for r, f in zip(rows, schema, strict=True)], schema)
+
+
+def _combined(rows: np.ndarray, doc: np.ndarray, length: int) -> np.ndarray:
+    """Map-side combine of a batch's occurrences: of a context that repeats, one occurrence, marked;
+    and the bytes of all its occurrences, united per document, as spans under the document's key."""
+    if not rows.shape[1]:
+        return rows
+    by = np.lexsort((rows[1], rows[0]))
+    rows, doc = rows[:, by], doc[by]
+    new = np.concatenate(([True], (rows[0, 1:] != rows[0, :-1]) | (rows[1, 1:] != rows[1, :-1])))
+    starts = np.flatnonzero(new)
+    sizes = np.diff(np.append(starts, rows.shape[1]))
+    several = np.repeat(sizes >= 2, sizes)
+    rows[7, starts[sizes >= 2]] = REPEATED
+    single = rows[:, new]
+    if not several.any():
+        return single
+    begin, end, doc = (rows[4] - rows[5])[several], (rows[4] - rows[6])[several] + length, doc[several]
+    names = rows[2:4, several]
+    by = np.lexsort((begin, doc))
+    begin, end, doc, names = begin[by], end[by], doc[by], names[:, by]
+    # reach: the running end within a document (places of later documents are put beyond all others)
+    apart = (doc - doc[0]) * (int(end.max()) + 1)
+    reach = np.maximum.accumulate(end + apart)
+    fresh = np.concatenate(([True], (begin + apart)[1:] > reach[:-1]))
+    last = np.append(np.flatnonzero(fresh)[1:] - 1, len(doc) - 1)
+    start, stop, names = begin[fresh], (reach - apart)[last], names[:, fresh]
+    zero = np.zeros_like(start)
+    spans = np.stack([names[0], zero, names[0], names[1], start, zero, length - (stop - start), zero + SPAN])
+    return np.concatenate((single, spans), axis=1)
+
+
 class _Gatherer:
     """Reads occurrences in order of key and context; gives those of repeated contexts (kind 0) and,
     of keys with several contexts, one occurrence of each (kind 1, or 2 if it is repeated)."""
 
     def __init__(self):
-        self.rows = np.zeros((7, 0), np.int64)
+        self.rows = np.zeros((8, 0), np.int64)
         self.several: int | None = None  # the key of the held rows, if it is known to have several contexts
 
     def take(self, rows: np.ndarray | None):
@@ -211,7 +249,9 @@ class _Gatherer:
         size = np.diff(np.append(group, stop))
         if not end and stop < n and not new[-1:].all() and rows[0, stop] == rows[0, stop - 1] and rows[1, stop] == rows[1, stop - 1]:
             size[-1] += 2  # the held-back rows of the same context
-        repeated = np.repeat(size >= 2, np.diff(np.append(group, stop)))
+        marked = np.maximum.reduceat(held[7], group) == REPEATED
+        repeated = np.repeat((size >= 2) | marked, np.diff(np.append(group, stop)))
+        told = repeated & (held[7] == ALONE)  # the bytes of marked ones have been told already
         first_of_key = np.flatnonzero(new_key)
         contexts = np.add.reduceat(new.astype(np.int64), first_of_key)
         many = np.repeat(contexts >= 2, np.diff(np.append(first_of_key, stop)))
@@ -220,8 +260,8 @@ class _Gatherer:
                 many |= key == known
         self.several = forced if forced is not None else (self.several if self.rows.shape[1] and self.several == self.rows[0, 0] else None)
         representative = new & many
-        kinds = np.concatenate((np.zeros(int(repeated.sum()), np.int64), np.where(repeated[representative], 2, 1)))
-        return np.concatenate((held[:, repeated], held[:, representative]), axis=1), kinds
+        kinds = np.concatenate((np.zeros(int(told.sum()), np.int64), np.where(repeated[representative], 2, 1)))
+        return np.concatenate((held[:, told], held[:, representative]), axis=1), kinds
 
 
 _GATHERED = _ARROW.append(pa.field("kind", pa.int32()))
@@ -232,13 +272,19 @@ def gather(occurrences: DataFrame) -> DataFrame:
 
     def run(batches):
         gatherer = _Gatherer()
+
+        def told(found):
+            return _rows(np.concatenate((found[0], found[1][None])), _GATHERED)
+
         for batch in batches:
-            found = gatherer.take(np.array([c.to_numpy().astype(np.int64) for c in batch.columns]))
-            if found is not None:
-                yield _batch([*found[0][:5], *found[0][5:].astype(np.int32), found[1].astype(np.int32)], _GATHERED)
-        found = gatherer.take(None)
-        if found is not None:
-            yield _batch([*found[0][:5], *found[0][5:].astype(np.int32), found[1].astype(np.int32)], _GATHERED)
+            rows = np.array([c.to_numpy().astype(np.int64) for c in batch.columns])
+            spans = rows[:, rows[7] == SPAN]
+            if spans.shape[1]:
+                yield told((spans, np.zeros(spans.shape[1], np.int64)))
+            if (found := gatherer.take(rows[:, rows[7] != SPAN])) is not None:
+                yield told(found)
+        if (found := gatherer.take(None)) is not None:
+            yield told(found)
 
     ordered = occurrences.repartition(F.col("key")).sortWithinPartitions("key", "context")
     return ordered.mapInArrow(run, _KINDS + ", kind int")
@@ -335,7 +381,7 @@ def _packed(docs: DataFrame) -> DataFrame:
         import zstandard
 
         pack = zstandard.ZstdCompressor(level=3).compress
-        for batch in batches:
+        for batch in slices(batches):
             packed = pa.array([pack(t) for t in utf8_column(batch.column(place))], pa.binary())
             kept = [batch.column(i) for i in range(batch.num_columns) if i != place]
             yield pa.RecordBatch.from_arrays([*kept, packed], names=[*names, "packed"])
@@ -415,7 +461,7 @@ def _split(rows: DataFrame, docs: DataFrame, length: int, size: int) -> DataFram
                 new = _mixed(share ^ _mixed(key.view(np.uint64) + low.astype(np.uint64) * _MIX))
                 context = _mixed(whole ^ ((far * 1024 + near).astype(np.uint64) * _MIX))
                 names = (np.full(len(key), k, np.int64) for k in (k1, k2))
-                yield _batch([new.view(np.int64), context.view(np.int64), *names, place, far.astype(np.int32), near.astype(np.int32)])
+                yield _rows(np.stack([new.view(np.int64), context.view(np.int64), *names, place, far, near, np.zeros_like(place)]))
 
     return _with_text(rows, docs).select("k1", "k2", "packed", "found").mapInArrow(run, _KINDS)
 
@@ -493,7 +539,7 @@ def remove_repeats(
     shape = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             columns = batch.columns[: len(inner)]
             texts = [unpack(p) for p in batch.column("packed").to_pylist()]
             runs = [united(x) for x in batch.column("spans").to_pylist()]

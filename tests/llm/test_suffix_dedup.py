@@ -95,7 +95,7 @@ def test_small_memory_settings_change_nothing(documents, rows, monkeypatch):
 def test_the_gathering_stream_holds_little_and_loses_nothing(monkeypatch):
     made = random.Random(3)
     rows = sorted((made.choice([1, 1, 1, 1, 2, 3, made.randrange(100)]), made.choice([5, 5, 5, made.randrange(1000)])) for _ in range(4000))
-    table = np.array([(k, c, i, 0, 0, 0, 0) for i, (k, c) in enumerate(rows)], np.int64).T
+    table = np.array([(k, c, i, 0, 0, 0, 0, 0) for i, (k, c) in enumerate(rows)], np.int64).T
 
     def run(held, step):
         monkeypatch.setattr(suffix_dedup, "HELD_ROWS", held)

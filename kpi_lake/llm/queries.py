@@ -19,7 +19,7 @@ def vocabulary_path() -> str:
 
 
 def op1_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_tree.score_documents(read_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+    return suffix_tree.score_documents(read_table(spark, sf_dir, "documents"), depth=suffix_tree.DEPTH).withColumnRenamed("id", "doc_id")
 
 
 def op2_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,15 +12,27 @@ probabilities of the training tokens and of that symbol sum to one in every stat
 by the longest state that its history ends in; a text's score is the sum of the base-10 logarithms.
 Beside it stand unigram counts and an add-one unigram score over the same symbols.
 
+Below the byte suffixes the tree goes on word by word: the next-older symbols are the whole previous
+word, the word before that, and so on, up to ``depth`` words (one mark stands for what lies before
+the text). All contexts that training texts hold at least ``least`` times are counted and tested
+against the context one symbol shorter; those that diverge by ``gain`` are states, smoothed by the
+longest state that ends them. A context that isn't a state is passed over, and longer ones that end
+in it are counted and tested all the same. The registered query takes ``DEPTH`` words.
+
 The held-out documents (a hash of the id) take no part in any count.
 
 Scale. Texts are read once, in blocks of bounded size, each written as a dictionary of its words,
 its pairs of word and suffix, and a list of pair numbers; all counting works on dictionaries. Their
 words are dealt by hash to buckets (as many as the dictionaries' sizes ask for), where the counts of
 words, and of words after suffixes, are summed over all documents and go back to the blocks. The
-sums that the divergence tests take are additive over buckets, so the tree itself is a table by
-suffix, 65 536 rows at most whatever the corpus, and the only thing that is broadcast. A frequent
-word, or one that fills a third of all texts, is one entry per block and suffix.
+sums that the divergence tests take are additive over buckets, so the tree's part of two bytes is a
+table by suffix, 65 536 rows at most whatever the corpus, and the only thing that is broadcast. A frequent
+word, or one that fills a third of all texts, is one entry per block and suffix. Contexts of whole
+words grow with the corpus and are never gathered: level by level, each block asks for the totals of
+its distinct (context, token) and of its contexts, by 64-bit hash (two that collide would share their
+counts), from buckets that sum what the blocks have summed already. A context is extended if its
+count, which is that of the (context, token) one symbol shorter, is large enough. The blocks are
+dealt by name once and stay there.
 
 Defined cases: a null, empty or blank text is one end; a null id counts as an empty one (not held
 out); repeated rows count and are scored each for itself; without training texts every token is the
@@ -35,12 +47,15 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import xxhash
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kpi_lake.llm.common import materialise, slices, utf8_column
 
 GAIN = 2.0
+DEPTH, LEAST = 5, 8
 HELD_OUT = (7, 2)
 BLOCK_BYTES = 8 << 20
 BUCKET_PAIRS = 1_000_000
@@ -48,6 +63,9 @@ BUCKET_PAIRS = 1_000_000
 MARK = 0xFE
 END_TOKEN = b"\xfc"
 _SUFFIXES = 1 << 16
+_START = np.uint64(0x94D049BB133111EB)  # fixed value: the hash of the mark before a text
+_MIX = np.uint64(0xBF58476D1CE4E5B9)  # fixed value: a mixing constant
+_FOLD = np.uint64(0x9E3779B97F4A7C15)  # fixed value: a mixing constant
 
 
 def held_out(doc_id: int | None, rule: tuple[int, int] = HELD_OUT) -> bool:
@@ -294,6 +312,134 @@ def _all_sums(counted: DataFrame) -> np.ndarray:
     return out
 
 
+# --- contexts of whole words
+
+_ASKED = pa.schema([("bucket", pa.int64()), ("block", pa.string()), ("keys", pa.binary()), ("values", pa.binary())])
+_TOLD = pa.schema([("level", pa.int64()), ("bucket", pa.int64()), ("block", pa.string()), ("totals", pa.binary()), ("size", pa.int64())])
+
+
+def _extended(context: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Hashes of contexts with one more word."""
+    x = context * _FOLD + word
+    x = (x ^ (x >> np.uint64(30))) * _MIX
+    return x ^ (x >> np.uint64(27))
+
+
+def _after(values: np.ndarray, first: np.ndarray, at_first) -> np.ndarray:
+    """What stands one token earlier; ``at_first`` for a text's first token."""
+    out = np.empty_like(values)
+    out[1:] = values[:-1]
+    out[first] = at_first
+    return out
+
+
+def _dealt(keys: np.ndarray, n_buckets: int) -> list[tuple[int, np.ndarray]]:
+    """Bucket numbers, and which of the keys each has."""
+    if not len(keys):
+        return []
+    bucket = keys % np.uint64(n_buckets)
+    order = np.argsort(bucket, kind="stable")
+    return [(int(bucket[at[0]]), at) for at in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1)]
+
+
+class Asked(NamedTuple):
+    """Sums of a block, by key, of which it needs the totals; kind 0: counts of (context, token);
+    kind 1, by context: different tokens, and the divergence from the context one symbol shorter."""
+
+    kind: int
+    keys: np.ndarray
+    values: np.ndarray
+
+
+class Texts(NamedTuple):
+    """A block's words (their hashes and counts) and its tokens: word, whether it is its text's first,
+    whether it trains, its count after the suffix of two bytes, that suffix's count, and the
+    probability after byte suffixes."""
+
+    hashes: np.ndarray
+    counts: np.ndarray
+    word: np.ndarray
+    first: np.ndarray
+    train: np.ndarray
+    n_after: np.ndarray
+    n_suffix: np.ndarray
+    p: np.ndarray
+
+
+def follow(texts: Texts, n_texts: int, depth: int, least: int, told) -> tuple[np.ndarray, list[Asked]]:
+    """Follows the tokens' histories word by word, as far as ``told(level, kind, keys)`` has totals
+    (else it gives None): the tokens' probabilities by then, and what is to be asked next."""
+    p, asked, n_words = texts.p.copy(), [], len(texts.hashes)
+    # What contexts can be, by number: their hashes and counts; the last but one is the mark before a
+    # text, the last stands for all that are too rare.
+    pair, hashes, counts = texts.word, texts.hashes, texts.counts
+    n_shorter, n_parent = texts.n_after, texts.n_suffix
+    for level in range(1, depth + 1):
+        hashes, counts = np.concatenate((hashes, [_START, np.uint64(0)])), np.concatenate((counts, [n_texts, 0])).astype(np.float64)
+        context = _after(pair, texts.first, len(hashes) - 2)
+        at = np.flatnonzero((counts >= least)[context])
+        mine, of_pair = np.unique(context[at] * n_words + texts.word[at], return_inverse=True)
+        context_of, some = mine // n_words, np.zeros(len(mine), np.int64)
+        some[of_pair] = at  # a token of each pair
+        keys = _extended(hashes[context_of], texts.hashes[mine % n_words])
+        seen = np.bincount(of_pair, weights=texts.train[at], minlength=len(mine))
+        totals = told(level, 0, keys)
+        if totals is None:
+            asked.append(Asked(0, keys, seen[None]))
+            break
+        used = np.zeros(len(hashes), bool)
+        used[context_of] = True
+        contexts, place = np.flatnonzero(used), np.cumsum(used) - 1
+        n, here = counts[context_of], np.maximum(totals, 1)
+        weights = told(level, 1, hashes[contexts])
+        if weights is None:
+            terms = np.log(here) - np.log(np.maximum(n_shorter[some], 1)) - np.log(n) + np.log(np.maximum(n_parent[some], 1))
+            sums = [np.bincount(place[context_of], weights=seen * x, minlength=len(contexts)) for x in (1 / here, terms)]
+            asked.append(Asked(1, hashes[contexts], np.stack(sums)))
+        else:
+            weight = weights[place[context_of]]
+            p[at] = np.where(weight > 0, (totals + weight * p[some]) / (n + weight), p[some])[of_pair]
+        n_shorter, n_parent = np.zeros(len(pair)), np.zeros(len(pair))
+        n_shorter[at], n_parent[at] = totals[of_pair], n[of_pair]
+        pair = np.full(len(pair), len(mine) + 1)
+        pair[at] = of_pair
+        hashes, counts = keys, totals
+    return p, asked
+
+
+def tally(asked: DataFrame, level: int, n_buckets: int, gain: float) -> DataFrame:
+    """The totals of what blocks ask for: counts, or a context's weight (its different tokens if it is
+    a state, else 0)."""
+
+    def run(batches):
+        key, held = None, []
+
+        def flush():
+            unique, inverse = np.unique(np.concatenate([k for _, k, _ in held]), return_inverse=True)
+            values = np.concatenate([v for *_, v in held], axis=1)
+            totals = [np.bincount(inverse, weights=v, minlength=len(unique)) for v in values]
+            if key >= n_buckets:
+                types = np.rint(totals[0])
+                out = np.where(totals[1] >= gain * np.maximum(types, 1), types, 0.0)
+            else:
+                out = totals[0]
+            for (block, _, _), at in zip(held, np.split(inverse, np.cumsum([len(k) for _, k, _ in held])[:-1]), strict=True):
+                yield _rows([(level, key, block, pack(out[at].astype(np.int64)), len(at))], _TOLD)
+
+        for batch in batches:
+            for bucket, block, keys, values in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if bucket != key:
+                    if held:
+                        yield from flush()
+                    key, held = bucket, []
+                keys = unpack(keys, np.uint64)
+                held.append((block, keys, unpack(values, np.float64).reshape(-1, len(keys))))
+        if held:
+            yield from flush()
+
+    return asked.repartition(F.col("bucket")).sortWithinPartitions("bucket", "block").mapInArrow(run, _kinds(_TOLD))
+
+
 # --- scores
 
 _SCORED = pa.schema(
@@ -316,31 +462,105 @@ def score_documents(
     gain: float = GAIN,
     rule: tuple[int, int] = HELD_OUT,
     bucket_pairs: int = BUCKET_PAIRS,
+    depth: int = 0,
+    least: int = LEAST,
 ) -> DataFrame:
-    """Per row ``id, held_out, n_tokens, n_known, train_tokens, base_score, score``."""
+    """Per row ``id, held_out, n_tokens, n_known, train_tokens, base_score, score``. ``depth``: how
+    many whole words the contexts reach back, beyond the previous word's last two bytes."""
+    spark = documents.sparkSession
     docs = documents.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
     blocks = materialise(blocks_of(docs, rule), "blocks")
     pairs = blocks.agg(F.sum("size")).first()[0] or 0
     counted = materialise(count_words(deal_words(blocks, int(max(1, -(-pairs // bucket_pairs))))), "counted")
     tree = grow_tree(_all_sums(counted), gain)
-    shared = documents.sparkSession.sparkContext.broadcast(tree)
+    shared = spark.sparkContext.broadcast(tree)
     found = counted.groupBy("block").agg(F.collect_list(F.struct("n_pairs", "starts", "counts")).alias("found"))
-    joined = blocks.select("block", "ids", "lengths", "tokens", "suffixes", "size").join(found, "block").select("ids", "lengths", "tokens", "suffixes", "size", "found")
+    columns = ["block", "ids", "lengths", "tokens", "words", "n_pairs", "suffixes", "size"]
+    joined = blocks.select(*columns)
+    if depth:  # stays dealt by block: in each round only the totals travel
+        joined = joined.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "block")
+    joined = joined.join(found, "block")
+    dealt: list[int] = []  # buckets by level
+    told = None
+    if depth:
+        joined = joined.persist(StorageLevel.DISK_ONLY)
+    columns = ["block", "ids", "lengths", "tokens", "words", "n_pairs", "suffixes", "size", "found"]
+
+    def read(row, more, n_buckets):
+        """Of a block: the counts of its pairs, its texts' tokens, and what it was told."""
+        _, ids, packed, tokens, words, n_pairs, suffixes, size, parts = row
+        model: Tree = shared.value
+        counts = np.zeros((3, size), np.int64)
+        for x in parts:
+            places = _places(unpack(x["starts"], np.uint32).astype(np.int64), unpack(x["n_pairs"], np.uint32).astype(np.int64))
+            counts[:, places] = unpack(x["counts"], np.int64).reshape(3, -1)
+        suffix, at, lengths = unpack(suffixes, np.uint16).astype(np.int64), unpack(tokens, np.uint32), unpack(packed, np.uint32).astype(np.int64)
+        scores = model.log_probabilities(suffix, counts)
+        if not depth:
+            return counts, lengths, at, scores[at], []
+        hashes = np.array([xxhash.xxh64_intdigest(w) for w in _unpack_words(words)], np.uint64)
+        first = np.zeros(len(at), bool)
+        first[np.cumsum(lengths) - lengths] = True
+        train = np.repeat([not held_out(i, rule) for i in ids], lengths)
+        of_word = unpack(n_pairs, np.uint32).astype(np.int64)
+        of_pair = (np.repeat(np.arange(len(hashes)), of_word), counts[2].astype(np.float64), model.totals[1][suffix], 10.0**scores)
+        word, n_after, n_suffix, p = (x[at] for x in of_pair)
+        totals = {(x["level"], x["bucket"]): x["totals"] for x in more or []}
+
+        def told_of(level, kind, keys):
+            if level + kind > len(n_buckets):
+                return None
+            out = np.zeros(len(keys))
+            n = n_buckets[level + kind - 1]
+            for bucket, mine in _dealt(keys, n):
+                out[mine] = unpack(totals[level + kind, kind * n + bucket], np.int64)
+            return out
+
+        ends = model.totals[1][MARK << 8 | MARK]  # training texts
+        p, asked = follow(Texts(hashes, counts[0][np.cumsum(of_word) - of_word], word, first, train, n_after, n_suffix, p), int(ends), depth, least, told_of)
+        return counts, lengths, at, np.log10(p), asked
+
+    def with_told():
+        if told is None:
+            return joined.select(*columns, F.lit(None).cast("array<struct<level:bigint,bucket:bigint,totals:binary>>").alias("more"))
+        more = told.groupBy("block").agg(F.collect_list(F.struct("level", "bucket", "totals")).alias("more"))
+        return joined.join(more.hint("shuffle_hash"), "block", "left").select(*columns, "more")
+
+    def ask(n_buckets, n_next):
+        def run(batches):
+            for batch in batches:
+                for i in range(batch.num_rows):
+                    *row, more = (c.to_pylist()[0] for c in batch.slice(i, 1).columns)
+                    for kind, keys, values in read(row, more, n_buckets)[4]:
+                        for bucket, at in _dealt(keys, n_next):
+                            yield _rows([(kind * n_next + bucket, row[0], pack(keys[at]), pack(np.ascontiguousarray(values[:, at]).reshape(-1)))], _ASKED)
+
+        return run
+
+    keys = pairs
+    for level in range(1, depth + 2 if depth else 1):
+        n_next = int(max(1, -(-keys // bucket_pairs)))
+        asked = with_told().mapInArrow(ask(tuple(dealt), n_next), _kinds(_ASKED))
+        one = materialise(tally(asked, level, n_next, gain), "totals")
+        del asked
+        spark._jvm.System.gc()  # noqa: SLF001 -- Spark removes the files of shuffles that are done
+        told = one if told is None else told.unionByName(one)
+        dealt.append(n_next)
+        keys = one.agg(F.sum("size")).first()[0] or 0
+        if not keys:
+            break
 
     def run(batches):
         model: Tree = shared.value
         for batch in batches:
-            for ids, packed, tokens, suffixes, size, parts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                counts = np.zeros((3, size), np.int64)
-                for x in parts:
-                    places = _places(unpack(x["starts"], np.uint32).astype(np.int64), unpack(x["n_pairs"], np.uint32).astype(np.int64))
-                    counts[:, places] = unpack(x["counts"], np.int64).reshape(3, -1)
-                scores = model.log_probabilities(unpack(suffixes, np.uint16).astype(np.int64), counts)
+            for i in range(batch.num_rows):
+                *row, more = (c.to_pylist()[0] for c in batch.slice(i, 1).columns)
+                ids = row[1]
+                counts, lengths, at, scores, _ = read(row, more, tuple(dealt))
                 base = np.log10((counts[0] + 1) / (model.n_tokens + model.n_types + 1))
-                lengths, at = unpack(packed, np.uint32).astype(np.int64), unpack(tokens, np.uint32)
                 doc = np.repeat(np.arange(len(ids)), lengths)
-                known, of_base, of_model = (np.bincount(doc, weights=values[at], minlength=len(ids)) for values in (counts[0] > 0, base, scores))
-                columns = [ids, [held_out(i, rule) for i in ids], lengths, known.astype(np.int64), np.full(len(ids), model.n_tokens), of_base, of_model]
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _SCORED, strict=True)], schema=_SCORED)
+                known, of_base, of_model = (np.bincount(doc, weights=values, minlength=len(ids)) for values in ((counts[0] > 0)[at], base[at], scores))
+                out = [ids, [held_out(i, rule) for i in ids], lengths, known.astype(np.int64), np.full(len(ids), model.n_tokens), of_base, of_model]
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, _SCORED, strict=True)], schema=_SCORED)
 
-    return joined.mapInArrow(run, "id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")
+    return with_told().mapInArrow(run, "id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")

@@ -1,15 +1,17 @@
 """Near-duplicate detection by b-bit MinHash.
 
 A document's set is its distinct word shingles, as 64-bit hashes. Documents with equal sets are one
-class, and only classes are compared. Each class has ``HASHES`` minima; bands of ``rows`` minima
-give the candidates, and the low ``BITS`` bits of all minima, packed, give a signature. Classes that
+class, and only classes are compared. Each class has ``HASHES`` minima; bands of them give the candidates, and the low ``BITS`` bits of all minima, packed, give a signature. Classes that
 share a band are joined into candidate clusters; within a cluster, signatures are compared by bit
 counts, the similarity is corrected for chance collisions of the low bits, and pairs whose estimate
-lies within ``MARGIN`` of the threshold or above are confirmed on their full sets. Confirmed links
-give the components.
+reaches a floor below the threshold are confirmed on their full sets. Confirmed links give the
+components.
 
-With 25 bands of 5 minima a pair at similarity 0.85 shares no band with probability 4e-7; the
-margin is five standard deviations of the estimate.
+``settings`` derives the bands, the minima and the floor from the threshold: a pair at the threshold
+is missed with a probability of ``MISS`` at most, half of it for sharing no band, half for an estimate
+below the floor (exact binomial tail), if the minima are independent. At 0.85 it takes 25 bands of 5
+(4.3e-7, and 1.8e-7 for the
+floor), at 0.80 32 bands of 4 (4.7e-8, and 2.0e-7); thresholds below 0.11 take more than ``HASHES`` minima.
 
 Scale: equal sets are aggregated first, so a group of copies is one class however large. Bands are
 shuffled as hash and name only; a band's classes are linked to its smallest one, never pairwise. Of
@@ -27,6 +29,10 @@ isn't null, if any; an empty table gives no rows; other columns are ignored, wha
 
 from __future__ import annotations
 
+import functools
+import math
+from typing import NamedTuple
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -37,9 +43,8 @@ from kpi_lake.llm.components import connected_components
 
 WORDS = 5
 PERCENT = 85
-BANDS, ROWS = 25, 5
 HASHES, BITS = 128, 4
-MARGIN = 0.17
+MISS = 1e-6
 MAX_BLOCK = 2_000_000
 _REMEMBERED = 300_000
 _SEED = 20_231
@@ -47,6 +52,50 @@ _MIX = np.uint64(0xBF58476D1CE4E5B9)  # fixed value: a mixing constant
 _FOLD = np.uint64(0x9E3779B97F4A7C15)  # fixed value: a mixing constant
 
 
+class Settings(NamedTuple):
+    bands: int
+    rows: int
+    hashes: int
+    floor: float  # of the estimate
+
+    def misses(self, similarity: float) -> tuple[float, float]:
+        """Probabilities that a pair shares no band, and that its estimate is below the floor."""
+        chance = 2.0**-BITS
+        equal = similarity + (1 - similarity) * chance
+        least = round((self.floor * (1 - chance) + chance) * self.hashes)
+        return (1 - similarity**self.rows) ** self.bands, _binomial_below(least, self.hashes, equal)
+
+
+def _binomial_below(least: int, n: int, p: float) -> float:
+    return math.fsum(math.exp(_log_term(k, n, p)) for k in range(least))
+
+
+@functools.cache
+def settings(percent: int) -> Settings:
+    """For a threshold: the longest bands, and the highest floor, that keep to ``MISS``."""
+    if not 0 < percent <= 100:
+        raise ValueError("percent must be above 0 and at most 100")
+    similarity, chance, hashes = percent / 100, 2.0**-BITS, HASHES
+    while (1 - similarity) ** hashes > MISS / 2:
+        hashes += 64 // BITS
+    rows = max(r for r in range(1, hashes + 1) if (1 - similarity**r) ** (hashes // r) <= MISS / 2)
+    equal = similarity + (1 - similarity) * chance
+    least, below = 0, 0.0
+    while least < hashes and (below := below + math.exp(_log_term(least, hashes, equal))) <= MISS / 2:
+        least += 1
+    return Settings(hashes // rows, rows, hashes, (least / hashes - chance) / (1 - chance))
+
+
+def _log_term(k: int, n: int, p: float) -> float:
+    if p >= 1:
+        return 0.0 if k == n else -math.inf
+    return math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1) + k * math.log(p) + (n - k) * math.log1p(-p)
+
+
+#: How far estimates at the default threshold may lie below it.
+MARGIN = PERCENT / 100 - settings(PERCENT).floor
+
+
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * _MIX
     return x ^ (x >> np.uint64(27))
@@ -79,25 +128,25 @@ def shingle_set(text: bytes, words: int = WORDS) -> np.ndarray:
     return np.unique(folded)
 
 
-def _permutations() -> tuple[np.ndarray, np.ndarray]:
+def _permutations(hashes: int) -> tuple[np.ndarray, np.ndarray]:
     made = np.random.default_rng(_SEED)
-    return made.integers(0, 1 << 31, HASHES, np.uint32) * np.uint32(2) + np.uint32(1), made.integers(0, 1 << 32, HASHES, np.uint32)
+    return made.integers(0, 1 << 31, hashes, np.uint32) * np.uint32(2) + np.uint32(1), made.integers(0, 1 << 32, hashes, np.uint32)
 
 
-def minima(sets: list[np.ndarray]) -> np.ndarray:
-    """The ``HASHES`` minima of each set that isn't empty."""
+def minima(sets: list[np.ndarray], hashes: int = HASHES) -> np.ndarray:
+    """The ``hashes`` minima of each set that isn't empty."""
     small = np.concatenate(sets)
     small = (small ^ (small >> np.uint64(32))).astype(np.uint32)
     starts = np.concatenate(([0], np.cumsum([len(s) for s in sets])[:-1]))
-    out = np.empty((len(sets), HASHES), np.uint32)
-    for k, (a, b) in enumerate(zip(*_permutations(), strict=True)):
+    out = np.empty((len(sets), hashes), np.uint32)
+    for k, (a, b) in enumerate(zip(*_permutations(hashes), strict=True)):
         out[:, k] = np.minimum.reduceat(small * a + b, starts)
     return out
 
 
 def signatures(low: np.ndarray) -> np.ndarray:
     """The low bits of the minima, packed: 64-bit words of ``64 / BITS`` minima each."""
-    nibbles = (low & np.uint32((1 << BITS) - 1)).astype(np.uint64).reshape(len(low), HASHES * BITS // 64, 64 // BITS)
+    nibbles = (low & np.uint32((1 << BITS) - 1)).astype(np.uint64).reshape(len(low), low.shape[1] * BITS // 64, 64 // BITS)
     shifts = np.arange(0, 64, BITS, dtype=np.uint64)
     return np.bitwise_or.reduce(nibbles << shifts, axis=2)
 
@@ -109,8 +158,8 @@ def estimates(one: np.ndarray, others: np.ndarray) -> np.ndarray:
         differ = differ | (differ >> np.uint64(shift))
     ones = np.uint64(sum(1 << i for i in range(0, 64, BITS)))
     unequal = np.bitwise_count(differ & ones).sum(axis=-1, dtype=np.int64)
-    chance = 2.0**-BITS
-    return ((HASHES - unequal) / HASHES - chance) / (1 - chance)
+    chance, hashes = 2.0**-BITS, one.shape[-1] * 64 // BITS
+    return ((hashes - unequal) / hashes - chance) / (1 - chance)
 
 
 def trees(sets: list[np.ndarray], packed: np.ndarray, left: np.ndarray | None = None, percent: int = PERCENT) -> list[tuple[int, int]]:
@@ -119,7 +168,7 @@ def trees(sets: list[np.ndarray], packed: np.ndarray, left: np.ndarray | None =
     ``left``: compare only members of different sides (two blocks of a cluster)."""
     n = len(sets)
     size, label, out = np.array([len(s) for s in sets]), np.arange(n), []
-    floor = percent / 100 - MARGIN
+    floor = settings(percent).floor - 1e-9  # estimates are multiples of far more
     hashed = [None] * n
     for i in range(n - 1):
         rest = slice(i + 1, n)
@@ -160,12 +209,13 @@ _SKETCH = pa.schema(
 _SKETCH_KINDS = "id bigint, k1 bigint, k2 bigint, n bigint, node binary, bands array<bigint>, signature binary"
 
 
-def sketches(docs: DataFrame, words: int = WORDS, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+def sketches(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """Per document the size and name of its set, band hashes and packed signature."""
+    bands, rows, hashes, _ = settings(percent)
 
     def flush(columns, sets):
         full = [s for s in sets if len(s)]
-        low = minima(full) if full else np.zeros((0, HASHES), np.uint32)
+        low = minima(full, hashes) if full else np.zeros((0, hashes), np.uint32)
         packed = signatures(low)
         keys = np.empty((len(full), bands), np.uint64)
         for k in range(bands):
@@ -285,7 +335,7 @@ def near_duplicates(
     docs = documents.select(
         F.col(id_col).cast("bigint").alias("id"), F.xxhash64(name, text).alias("k1"), F.xxhash64(text, F.lit(1), name).alias("k2"), text.alias("text")
     )
-    sketched = materialise(sketches(docs, words), "sketches")
+    sketched = materialise(sketches(docs, words, percent), "sketches")
     classes = (
         sketched.where("n > 0")
         .groupBy("node")

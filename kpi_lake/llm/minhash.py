@@ -330,6 +330,11 @@ def near_duplicates(
     max_block: int = MAX_BLOCK,
 ) -> DataFrame:
     """Per row ``id, k1, k2, n_shingles, node`` (the name of its set), ``component_id``."""
+    return _in_components(documents, id_col, text_col, words, percent, max_block).drop("root")
+
+
+def _in_components(documents: DataFrame, id_col: str, text_col: str, words: int, percent: int, max_block: int = MAX_BLOCK) -> DataFrame:
+    """``near_duplicates``, and the component's ``root`` (null for empty sets)."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     name = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
     docs = documents.select(
@@ -354,16 +359,21 @@ def near_duplicates(
     roots = connected_components(links)
     of_class = classes.select("node", "id").join(roots, "node", "left").select("node", "id", F.coalesce("root", "node").alias("root"))
     least = of_class.groupBy("root").agg(F.min("id").alias("component_id"))
-    named = of_class.select("node", "root").join(least, "root").select("node", "component_id")
+    named = of_class.select("node", "root").join(least, "root").select("node", "root", "component_id")
     found = sketched.select("id", "k1", "k2", F.col("n").alias("n_shingles"), "node").join(named, "node", "left")
     return found.withColumn("component_id", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("id")))
 
 
 def deduplicate(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """The documents (all their columns) whose id is their component's smallest, and those whose
-    component has no id; of rows that repeat an id and text one stays."""
-    found = materialise(near_duplicates(documents, id_col, text_col, words, percent).select("id", "k1", "k2", "component_id"), "near_duplicates")
-    stays = found.where(F.col("id").eqNullSafe(F.col("component_id"))).groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n"))
+    """One document (all its columns) of each component: the one with the smallest id (null last;
+    of several, by hashes of id and text). An empty text is a component of its own; of rows that
+    repeat an id and text one stays."""
+    found = _in_components(documents, id_col, text_col, words, percent).select("id", "k1", "k2", "n_shingles", "root")
+    empty = F.col("n_shingles") == 0
+    found = found.select("id", "k1", "k2", "root", F.when(empty, F.col("k1")).alias("e1"), F.when(empty, F.col("k2")).alias("e2"))
+    rows = materialise(found.groupBy("root", "e1", "e2", "id", "k1", "k2").agg(F.count(F.lit(1)).alias("n")), "near_duplicates")
+    order = F.struct(F.col("id").isNull().alias("unnamed"), "id", "k1", "k2", "n")
+    stays = materialise(rows.groupBy("root", "e1", "e2").agg(F.min(order).alias("first")).select("first.*"), "stays")
     stays = stays.select(F.col("k1").alias("__k1"), F.col("k2").alias("__k2"), "n")
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     name = F.coalesce(F.col(id_col).cast("string"), F.lit(""))

@@ -7,10 +7,10 @@ once. A match gives a run of word positions; words are mapped back to code-point
 original text.
 
 Scale: the documents are never shuffled; the automaton is built once per Python worker from the
-broadcast windows. The benchmark's size is measured first: while its normalised text is at most
-``max_broadcast_bytes`` there is one automaton; a larger benchmark is dealt into parts of at most
-that size, the documents are scanned once
-per part, and the hits of one document are united. One item longer than that is an error.
+broadcast windows. The benchmark's size is measured first, without wordless items and repeated rows:
+while its text is at most ``max_broadcast_bytes`` there is one automaton; a larger benchmark is dealt
+by running size into parts of at most that size, the documents are scanned once per part, and the hits
+of one document are united. One item longer than that is an error.
 
 Defined cases: a null or wordless text has no words and no hits; a null or wordless item has no
 windows; repeated items count as items of their own; a null item id is listed as ``null``; an empty
@@ -25,7 +25,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kpi_lake.llm.common import materialise, slices, utf8_column, worker_cache
@@ -34,6 +34,9 @@ WINDOW = 13
 MAX_BROADCAST_BYTES = 64 << 20
 # Fixed value: a word, before A-Z are lower-cased.
 WORD = re.compile("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
+_A_WORD = r"[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]"
+#: Parts that one task deals out, about.
+_GROUPED = 16
 _NORMAL = bytes(
     (c + 32) if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32
     for c in range(256)
@@ -160,26 +163,38 @@ def _scan_part(docs: DataFrame, items: list[tuple[str, bytes]], window: int) ->
 
 
 def _parts(benchmark: DataFrame, item_col: str, text_col: str, window: int, limit: int) -> list[list[tuple[str, bytes]]]:
-    """The benchmark in parts of at most ``limit`` bytes of text each. The size is measured before
-    anything is brought to the driver, and one part is brought at a time."""
+    """The benchmark's distinct items that have words, in parts of at most ``limit`` bytes of text
+    each. The size is measured before anything is brought to the driver, and one part is brought at
+    a time."""
     rows = benchmark.select(
         F.coalesce(F.col(item_col).cast("string"), F.lit("null")).alias("item"),
         F.col(text_col).cast("string").alias("text"),
-    ).where(F.col("text").isNotNull())
-    total, longest = rows.agg(F.sum(F.octet_length("text")), F.max(F.octet_length("text"))).first()
+    )
+    rows = rows.where(F.col("text").rlike(_A_WORD)).distinct().withColumn("size", F.octet_length("text").cast("bigint"))
+    total, longest = rows.agg(F.sum("size"), F.max("size")).first()
     if not total:
         return []
     if total <= limit:
         return [[(r.item, r.text.encode("utf-8")) for r in rows.collect()]]
-    n = max(2, -(-2 * total // limit))
-    dealt = rows.withColumn("part", F.pmod(F.xxhash64("item", "text"), F.lit(int(n))))
-    sizes = {r.part: r.size for r in dealt.groupBy("part").agg(F.sum(F.octet_length("text")).alias("size")).collect()}
-    out: list[list[tuple[str, bytes]]] = []
-    for part in sorted(sizes):
-        if longest > limit or sizes[part] > limit:
-            raise ValueError(f"a benchmark item or part exceeds {limit} bytes; raise max_broadcast_bytes")
-        out.append([(r.item, r.text.encode("utf-8")) for r in dealt.where(F.col("part") == part).collect()])
-    return out
+    if longest > limit:
+        raise ValueError(f"a benchmark item exceeds {limit} bytes; raise max_broadcast_bytes")
+    # By running size: an item that crosses a multiple of the limit is a part by itself, the items
+    # between two multiples are one. Groups of many parts, each summed by one task.
+    group = F.pmod(F.xxhash64("item", "text"), F.lit(int(-(-total // (_GROUPED * limit)))))
+    stop = F.sum("size").over(Window.partitionBy("group").orderBy("item", "text").rowsBetween(Window.unboundedPreceding, 0))
+    dealt = rows.withColumn("group", group).withColumn("stop", stop)
+    first, last = (F.floor((F.col("stop") - x) / F.lit(limit)) for x in (F.col("size"), F.lit(1)))
+    part = F.concat_ws("-", "group", first.cast("string"), (first < last).cast("string"))
+    dealt = materialise(dealt.select("item", "text", "size", part.alias("part")), "benchmark_parts")
+    joined: list[list[str]] = []
+    room = 0
+    for r in dealt.groupBy("part").agg(F.sum("size").alias("size")).orderBy("part").collect():
+        if not joined or r["size"] > room:
+            joined.append([])
+            room = limit
+        joined[-1].append(r["part"])
+        room -= r["size"]
+    return [[(r.item, r.text.encode("utf-8")) for r in dealt.where(F.col("part").isin(parts)).collect()] for parts in joined]
 
 
 def find_contamination(

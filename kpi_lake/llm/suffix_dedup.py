@@ -16,7 +16,8 @@ bytes that such strings cover are removed, all at once, from every place.
    prefix hashes, so a comparison takes a logarithmic number of look-ups. Only suffixes at the same
    offset from the same anchor can be equal windows, so these are the sorted lists, and all lists
    of a batch are merged together. Neighbours with a common prefix of ``length`` are repeated; their
-   bytes are compared, so a hash collision can't remove anything.
+   bytes are compared, so a hash collision can't remove anything here. Contexts that step 2 takes for
+   repeated aren't verified: they are equal on two 64-bit hashes only (both polynomial modulo 2^64).
 4. Spans of a document are united and cut out.
 
 Scale: texts are shuffled compressed, twice; anchors once. An anchor whose different contexts are

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpi_lake.llm import bpe, chat, dac, decontam, minhash, repetition, resample, suffix_dedup, suffix_tree, urls, warc
+from kpi_lake.llm import bpe, chat, dac, decontam, minhash, repetition, resample, suffix_dedup, suffix_tree, urls, variants, warc
 from kpi_lake.llm.common import read_table, scratch_path
 
 
@@ -83,6 +83,10 @@ def op10_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "kept", "log_weight", "clean_weight", F.col("key").alias("sampling_key"))
 
 
+def op11_frequency_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.group_variants(variants.count_words(read_table(spark, sf_dir, "documents"), typo_every=199))
+
+
 def op13_direct_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "token_ids")
     dac.write_tokens(read_table(spark, sf_dir, "documents"), folder, vocabulary_path())
@@ -100,6 +104,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontaminate": op8_decontaminate,
     "op9_chat_events": op9_chat_events,
     "op10_importance_resampling": op10_importance_resampling,
+    "op11_frequency_trie": op11_frequency_trie,
     "op13_direct_codes": op13_direct_codes,
 }
 

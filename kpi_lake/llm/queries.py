@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpi_lake.llm import bpe, chat, dac, decontam, minhash, repetition, resample, suffix_dedup, suffix_tree, urls, variants, warc
+from kpi_lake.llm import bpe, chat, dac, decontam, minhash, repetition, resample, suffix_dedup, suffix_tree, treap, urls, variants, warc
 from kpi_lake.llm.common import read_table, scratch_path
 
 
@@ -87,6 +87,11 @@ def op11_frequency_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants.group_variants(variants.count_words(read_table(spark, sf_dir, "documents"), typo_every=199))
 
 
+def op12_k2_treap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = treap.search(treap.build_index(read_table(spark, sf_dir, "documents")), read_table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("query").alias("item_id"), "rank", F.col("doc").alias("doc_id"), "score")
+
+
 def op13_direct_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "token_ids")
     dac.write_tokens(read_table(spark, sf_dir, "documents"), folder, vocabulary_path())
@@ -105,6 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_chat_events": op9_chat_events,
     "op10_importance_resampling": op10_importance_resampling,
     "op11_frequency_trie": op11_frequency_trie,
+    "op12_k2_treap": op12_k2_treap,
     "op13_direct_codes": op13_direct_codes,
 }
 

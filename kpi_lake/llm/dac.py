@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import json
 import os
+import struct
 import uuid
 import zlib
 
@@ -49,42 +50,50 @@ RANGE_BYTES = 32 << 20
 RANK_BITS = 512
 #: Most tasks of a read.
 READ_TASKS = 50_000
-#: Pieces of text that a Python worker remembers, and the longest that it does (memory only).
-REMEMBERED_PIECES, LONGEST_PIECE = 800_000, 48
-_SLICE = 1 << 16
+#: Words that a Python worker remembers, and the longest that it does (memory only).
+REMEMBERED_WORDS, LONGEST_WORD = 1_000_000, 48
 
 
 def pack(values: np.ndarray, width: int) -> bytes:
-    """The low ``width`` bits of each value, one after another, lowest bit first."""
+    """The low ``width`` bits of each value, one after another, lowest bit first: eight values are
+    ``width`` bytes, and the ``k``-th of them begins at bit ``k * width``."""
     if width in (8, 16, 32):
         return values.astype(f"<u{width // 8}").tobytes()
-    out = []
-    for start in range(0, len(values), _SLICE):
-        raw = np.ascontiguousarray(values[start : start + _SLICE], "<u4").view(np.uint8).reshape(-1, 4)
-        bits = np.unpackbits(raw[:, : -(-width // 8)], axis=1, bitorder="little")[:, :width]
-        out.append(np.packbits(bits, bitorder="little").tobytes())
-    return b"".join(out)
+    n = len(values)
+    eights = np.zeros((-(-n // 8), 8), np.uint64)
+    eights.ravel()[:n] = values
+    eights &= np.uint64((1 << width) - 1)
+    out = np.zeros((len(eights), width), np.uint8)
+    for k in range(8):
+        byte, bit = divmod(k * width, 8)
+        moved = eights[:, k] << np.uint64(bit)
+        for j in range((bit + width + 7) // 8):
+            out[:, byte + j] |= (moved >> np.uint64(8 * j)).astype(np.uint8)
+    return out.tobytes()[: -(-n * width // 8)]
 
 
 def unpack(data: bytes, width: int, n: int) -> np.ndarray:
     """The inverse of ``pack``: ``n`` values."""
     if width in (8, 16, 32):
         return np.frombuffer(data, f"<u{width // 8}", n).astype(np.uint32)
-    found, size = np.empty(n, np.uint32), 16 if width <= 16 else 32
-    for start in range(0, n, _SLICE):
-        m = min(_SLICE, n - start)
-        raw = np.frombuffer(data, np.uint8, -(-m * width // 8), start * width // 8)
-        bits = np.zeros((m, size), np.uint8)
-        bits[:, :width] = np.unpackbits(raw, count=m * width, bitorder="little").reshape(m, width)
-        found[start : start + m] = np.packbits(bits, axis=1, bitorder="little").view(f"<u{size // 8}").ravel()
-    return found
+    eights = -(-n // 8)
+    raw = np.frombuffer(data + bytes(eights * width - len(data)), np.uint8).reshape(eights, width)
+    found = np.empty((eights, 8), np.uint32)
+    for k in range(8):
+        byte, bit = divmod(k * width, 8)
+        size = (bit + width + 7) // 8
+        value = raw[:, byte].astype(np.uint64 if size > 4 else np.uint32)
+        for j in range(1, size):
+            value |= raw[:, byte + j].astype(value.dtype) << value.dtype.type(8 * j)
+        found[:, k] = value >> value.dtype.type(bit) & value.dtype.type((1 << width) - 1)
+    return found.ravel()[:n]
 
 
 def best_widths(ids: np.ndarray) -> list[int]:
     """Chunk widths of least total size for these ids: ``longer[b]`` ids need more than ``b`` bits, so
     a level from bit ``i`` to bit ``j`` holds ``longer[i]`` chunks, and a bitmap unless it is the last."""
     top = max(1, int(ids.max()).bit_length()) if len(ids) else 1
-    longer = [len(ids)] + [int(np.count_nonzero(ids >> np.uint32(b))) for b in range(1, top)]
+    longer = [len(ids)] + [int(np.count_nonzero(ids >= np.uint32(1 << b))) for b in range(1, top)]
     marks = 1 + 64 / RANK_BITS
     best: list[tuple[float, list[int]]] = [(0.0, [])] * (top + 1)
     for i in range(top - 1, -1, -1):
@@ -207,38 +216,53 @@ class Encoder:
         plain = model["type"] == "BPE" and pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True)
         self.by_words = plain and not known.get("normalizer") and not model.get("dropout")
         self.specials = [t["content"] for t in known.get("added_tokens", [])]
-        self.pieces: dict[str, bytes] = {}
+        self.starts: dict[str, bytes] = {}  # of words at a line's start
+        self.inner: dict[str, bytes] = {}  # of words after a blank
+        self.line_end = self._library(["\n"])[0]
 
     def _library(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+        return [struct.pack(f"<{len(ids)}I", *ids) for ids in (e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False))]
 
-    def _split(self, text: str) -> list[str] | None:
-        """The pieces, each with the blank before it; None if the text doesn't split that way."""
+    def _lines(self, text: str) -> list[list[str]] | None:
+        """The words by line; None if the text doesn't split that way."""
         if not self.by_words or any(s in text for s in self.specials):
             return None
-        found: list[str] = []
-        for k, line in enumerate(text.split("\n")):
-            parts = line.split(" ")
-            if parts != line.split():
+        found = []
+        for line in text.split("\n"):
+            words = line.split(" ")
+            if words != line.split():
                 return None
-            if k:
-                found.append("\n")
-            found.append(parts[0])
-            found += [" " + p for p in parts[1:]]
+            found.append(words)
         return found
 
+    def _look_up(self, lines: list[list[str]]) -> list[bytes | None]:
+        found: list[bytes | None] = []
+        for words in lines:
+            found += (self.line_end, self.starts.get(words[0]))
+            found += map(self.inner.get, words[1:])
+        return found[1:]
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Per text its ids as little-endian unsigned 32-bit integers."""
-        split = [self._split(t) for t in texts]
-        if len(self.pieces) > REMEMBERED_PIECES:
-            self.pieces.clear()
-        new = list({p for s in split if s is not None for p in s if p not in self.pieces})
-        fresh = dict(zip(new, self._library(new), strict=True))
-        long = {p: v for p, v in fresh.items() if len(p) > LONGEST_PIECE}
-        self.pieces.update((p, v) for p, v in fresh.items() if p not in long)
-        whole = iter(self._library([t for t, s in zip(texts, split, strict=True) if s is None]))
-        get = self.pieces.__getitem__ if not long else lambda p: long.get(p) or self.pieces[p]
-        return [next(whole) if s is None else b"".join(map(get, s)) for s in split]
+        if len(self.starts) + len(self.inner) > REMEMBERED_WORDS:
+            self.starts.clear()
+            self.inner.clear()
+        lines = [self._lines(t) for t in texts]
+        found = [None if x is None else self._look_up(x) for x in lines]
+        gaps = [i for i, f in enumerate(found) if f is not None and None in f]
+        starts = list({words[0] for i in gaps for words in lines[i]}.difference(self.starts))
+        inner = list({w for i in gaps for words in lines[i] for w in words[1:]}.difference(self.inner))
+        fresh = self._library(starts + [" " + w for w in inner])
+        self.starts.update(zip(starts, fresh, strict=False))
+        self.inner.update(zip(inner, fresh[len(starts) :], strict=True))
+        for i in gaps:
+            found[i] = self._look_up(lines[i])
+        for table, words in ((self.starts, starts), (self.inner, inner)):
+            for w in words:
+                if len(w) > LONGEST_WORD:
+                    del table[w]
+        whole = iter(self._library([t for t, f in zip(texts, found, strict=True) if f is None]))
+        return [next(whole) if f is None else b"".join(f) for f in found]
 
 
 def shared_encoder(spark: SparkSession, path: str):

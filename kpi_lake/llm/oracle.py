@@ -1,7 +1,7 @@
 """DuckDB SQL of the registered queries that SQL can express.
 
 None is given for the suffix tree, the tokenization automaton, the url model, the suffix-array
-verdict and the resampling: their tests hold them against plain versions of the same computation.
+verdict, the resampling and the token files: their tests hold them against plain versions.
 """
 
 from __future__ import annotations
@@ -117,10 +117,74 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
 FROM c GROUP BY conv_id
 """
 
+SPELLING = r"""
+WITH RECURSIVE poly AS (
+  SELECT list_transform(range(0, 256), lambda i: list_reduce(range(0, 8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, CAST(i AS BIGINT))) AS t
+),
+runs AS (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')) AS run FROM documents WHERE text IS NOT NULL),
+lowered AS (SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n FROM runs GROUP BY ALL),
+bytes AS (
+  SELECT doc_id, run, n, hex(encode(CAST(doc_id AS VARCHAR) || ':' || run)) AS x FROM lowered
+),
+hashed AS (
+  SELECT run, n, xor(list_reduce(list_transform(range(0, len(x) // 2), lambda i: CAST(('0x' || substr(x, 2 * i + 1, 2)) AS BIGINT)),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) AS h
+  FROM bytes, poly
+),
+words AS (
+  SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, sum(n) AS n FROM hashed GROUP BY 1
+),
+v AS (SELECT word, CAST(n AS BIGINT) AS n FROM words WHERE length(word) >= 6 AND n >= 5),
+cut AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM v)),
+pairs AS (
+  SELECT a.word AS a, b.word AS b FROM cut a JOIN cut b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, b.word FROM cut a JOIN v b ON a.rest = b.word
+  UNION SELECT b.word, a.word FROM cut a JOIN v b ON a.rest = b.word
+),
+near AS (
+  SELECT a AS word, count(*) AS n_near, min(struct_pack(m := -v.n, w := encode(b))) AS best FROM pairs JOIN v ON v.word = b GROUP BY a
+),
+formed AS (
+  SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN -best.m >= 5 * v.n THEN decode(best.w) END AS form, CASE WHEN -best.m >= 5 * v.n THEN -best.m END AS form_n
+  FROM v LEFT JOIN near ON near.word = v.word
+),
+steps AS (
+  SELECT word, word AS at FROM formed
+  UNION ALL SELECT steps.word, formed.form FROM steps JOIN formed ON formed.word = steps.at WHERE formed.form IS NOT NULL
+),
+ends AS (SELECT steps.word, steps.at AS root FROM steps JOIN formed ON formed.word = steps.at WHERE formed.form IS NULL)
+SELECT formed.word, form, root, n, n_near, form_n FROM formed JOIN ends ON ends.word = formed.word
+"""
+
+RANKED = r"""
+WITH terms AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents
+),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM terms GROUP BY ALL),
+sizes AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM tf GROUP BY doc_id),
+totals AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM sizes),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+asked AS (
+  SELECT item_id, term, count(*) AS times FROM (
+    SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+  ) GROUP BY ALL
+),
+weights AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / (2 * df + 1))) AS BIGINT) AS w FROM df, totals),
+scores AS (
+  SELECT item_id, tf.doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+  FROM asked JOIN tf ON tf.term = asked.term JOIN weights ON weights.term = asked.term JOIN sizes ON sizes.doc_id = tf.doc_id, totals
+  GROUP BY item_id, tf.doc_id
+),
+ranked AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM scores WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
+
 ORACLE: dict[str, str] = {
     "op3_warc_shards": WARC,
     "op6_bbit_minhash": NEAR_DUPLICATES,
     "op7_suffix_sort": SUFFIX_SORT,
     "op8_decontaminate": DECONTAMINATE,
     "op9_chat_events": CHAT,
+    "op11_frequency_trie": SPELLING,
+    "op12_k2_treap": RANKED,
 }

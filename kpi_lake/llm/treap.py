@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from kpi_lake.llm.common import materialise, slices, utf8_column
 
 #: Cells of a shard, and bytes of query text in a block.
-CELLS, BLOCK_BYTES = 1 << 20, 4 << 20
+CELLS, BLOCK_BYTES = 2 << 20, 4 << 20
 #: States that are taken at a time.
 BATCH = 128
 # Fixed value: bytes of terms, A-Z lower-cased; all else separates. Bytes from 128 on are letters.
@@ -156,24 +156,24 @@ class Tree:
     def search(self, rows: np.ndarray, weights: np.ndarray, n_columns: int, k: int, floor: int) -> tuple[np.ndarray, np.ndarray]:
         """Columns and scores of all that can be among the ``k`` best for a query whose terms have
         these rows and weights, if only scores of at least ``floor`` (and 1) count."""
-        height = self.height
+        height, base = self.height, max(0, n_columns - 1).bit_length()
         score = np.zeros(n_columns, np.int64)
-        best = [np.zeros(((n_columns - 1) >> (height - level)) + 1, np.int64) for level in range(height + 1)]  # largest score in each range
+        best = np.zeros(2 << base, np.int64)  # largest score in each range: a heap over the columns
+        steps = np.arange(base + 1)
 
         def meet(nodes, ok):
             """Add the cells of the own rows to their documents' scores."""
             at = np.nonzero(ok & (self.row[nodes] == rows))
             if len(at[0]):
-                columns = self.column[nodes[at]]
-                np.add.at(score, columns, weights[at[1]] * self.impact[nodes[at]])
-                columns = np.unique(columns)
-                for level in range(height + 1):
-                    np.maximum.at(best[level], columns >> (height - level), score[columns])
+                cells = nodes[at]
+                columns = self.column[cells]
+                np.add.at(score, columns, weights[at[1]] * self.impact[cells])
+                np.maximum.at(best, columns[:, None] + (1 << base) >> steps, score[columns, None])
 
         nodes = np.zeros((1, len(rows)), np.int64)
         meet(nodes, np.ones_like(nodes, bool))
         levels, ranges = np.zeros(1, np.int64), np.zeros(1, np.int64)
-        bounds = (self.impact[nodes] * weights).sum(axis=1) + best[0][0]
+        bounds = (self.impact[nodes] * weights).sum(axis=1) + best[1]
         limit = max(1, floor)
         while True:
             found = score[score >= limit]
@@ -202,8 +202,8 @@ class Tree:
                 below = np.where(has, self.first[h] + _ONES[m & (1 << q) - 1], -1)
                 meet(below, has)
                 deeper, narrower = level[some] + 1, 2 * range_[some] + side
-                held = np.array([best[d][r] for d, r in zip(deeper.tolist(), narrower.tolist(), strict=True)], np.int64)
-                bound = (np.where(has, self.impact[below], 0) * weights).sum(axis=1) + held
+                depth = np.maximum(deeper - (height - base), 0)  # of the range in the heap
+                bound = (np.where(has, self.impact[below], 0) * weights).sum(axis=1) + best[(1 << depth) + narrower]
                 more = (bound >= limit) & (deeper < height)
                 parts.append((below[more], deeper[more], narrower[more], bound[more]))
             nodes, levels, ranges, bounds = (np.concatenate(c) for c in zip(*parts, strict=True))
@@ -211,39 +211,51 @@ class Tree:
         return columns, score[columns]
 
 
-def build_shard(docs: list[int | None], counted: list[Counter], lengths: list[int], n_docs: int, n_terms: int) -> dict:
-    """A row of the index from the term counts of some documents (each with a term)."""
-    df: Counter = Counter()
-    for c in counted:
-        df.update(c.keys())
-    names = list(df)
-    hashes = np.array([xxhash.xxh3_64_intdigest(t) for t in names], np.uint64)
-    frequency = np.array([df[t] for t in names], np.int64)
-    order = np.lexsort((np.array(names, object), hashes, -frequency))
-    row = dict(zip([names[i] for i in order.tolist()], range(len(names)), strict=True))
-    sizes = np.array([len(c) for c in counted])
-    cell_rows = np.fromiter((row[t] for c in counted for t in c), np.int64, int(sizes.sum()))
-    tf = np.fromiter((n for c in counted for n in c.values()), np.int64, len(cell_rows))
-    owner = np.repeat(np.arange(len(docs)), sizes)
-    m = 75 + np.array([25 * n * n_docs // n_terms for n in lengths], np.int64)
-    impacts = 1_000_000_000 * tf // (1000 * tf + 12 * m[owner])
-    by_doc = np.lexsort((cell_rows, -tf, owner))
-    common = cell_rows[by_doc][np.concatenate(([0], np.cumsum(sizes)[:-1]))]  # each document's most frequent term
-    columns = np.lexsort((np.array([d is not None for d in docs]), np.array([d or 0 for d in docs]), lengths, common))
-    place = np.empty(len(docs), np.int64)
-    place[columns] = np.arange(len(docs))
-    by_hash = np.lexsort((np.array(names, object), hashes))
-    rank = np.empty(len(names), np.int64)
-    rank[order] = np.arange(len(names))
-    sorted_names = [names[i] for i in by_hash.tolist()]
-    dictionary = _join({}, [hashes[by_hash].astype("<u8").tobytes(), _planes(rank[by_hash]), _planes(frequency[by_hash]), _planes(np.array([len(t) for t in sorted_names])), b"".join(sorted_names)])
-    return {
-        "n_docs": n_docs,
-        "n_terms": n_terms,
-        "docs": [docs[i] for i in columns.tolist()],
-        "dictionary": dictionary,
-        "tree": build_tree(cell_rows, place[owner], impacts),
-    }
+class Numbers(dict):
+    """Numbers of terms, in order of first sight."""
+
+    def __missing__(self, term: bytes) -> int:
+        self[term] = n = len(self)
+        return n
+
+
+class ShardBuilder:
+    """Collects the cells of some documents (each with a term) into a row of the index."""
+
+    def __init__(self, n_docs: int, n_terms: int):
+        self.n_docs, self.n_terms = n_docs, n_terms
+        self.numbers, self.docs, self.lengths, self.sizes, self.cells, self.tf = Numbers(), [], [], [], [], []
+
+    def add(self, doc: int | None, found: list[bytes]) -> None:
+        counted = Counter(found)
+        self.docs.append(doc)
+        self.lengths.append(len(found))
+        self.sizes.append(len(counted))
+        self.cells.extend(map(self.numbers.__getitem__, counted))
+        self.tf.extend(counted.values())
+
+    def build(self) -> dict:
+        names, docs, n = list(self.numbers), self.docs, len(self.docs)
+        cells, tf, sizes = np.array(self.cells, np.int64), np.array(self.tf, np.int64), np.array(self.sizes)
+        hashes = np.array(list(map(xxhash.xxh3_64_intdigest, names)), np.uint64)
+        frequency = np.bincount(cells, minlength=len(names))
+        order = np.lexsort((hashes, -frequency))
+        row = np.empty(len(names), np.int64)
+        row[order] = np.arange(len(names))
+        cell_rows, owner = row[cells], np.repeat(np.arange(n), sizes)
+        m = 75 + np.array([25 * length * self.n_docs // self.n_terms for length in self.lengths], np.int64)
+        impacts = 1_000_000_000 * tf // (1000 * tf + 12 * m[owner])
+        starts = np.cumsum(sizes) - sizes
+        common = len(names) - 1 - (np.maximum.reduceat(tf << 32 | (len(names) - 1 - cell_rows), starts) & 0xFFFFFFFF)  # each document's most frequent term
+        columns = np.lexsort((self.lengths, common))
+        place = np.empty(n, np.int64)
+        place[columns] = np.arange(n)
+        by_hash = np.argsort(hashes, kind="stable")
+        sorted_names = [names[i] for i in by_hash.tolist()]
+        sections = [hashes[by_hash].astype("<u8").tobytes(), _planes(row[by_hash]), _planes(frequency[by_hash])]
+        sections += [_planes(np.array([len(t) for t in sorted_names])), b"".join(sorted_names)]
+        tree = build_tree(cell_rows, place[owner], impacts)
+        return {"n_docs": self.n_docs, "n_terms": self.n_terms, "docs": [docs[i] for i in columns.tolist()], "dictionary": _join({}, sections), "tree": tree}
 
 
 class Dictionary:
@@ -281,21 +293,18 @@ def build_index(documents: DataFrame, id_col: str = "doc_id", text_col: str = "t
     n_docs, n_terms = docs.select("text").mapInArrow(measure, "n bigint, l bigint").agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("l"), F.lit(0))).first()
 
     def build(batches):
-        ids, counted, lengths, size = [], [], [], 0
+        shard = ShardBuilder(n_docs, n_terms)
         for batch in batches:
             for part in slices([batch]):
                 for doc, raw in zip(part.column(0).to_pylist(), utf8_column(part.column(1)), strict=True):
                     found = terms(raw)
                     if found:
-                        ids.append(doc)
-                        counted.append(Counter(found))
-                        lengths.append(len(found))
-                        size += len(counted[-1])
-                    if size >= cells:
-                        yield pa.RecordBatch.from_pylist([build_shard(ids, counted, lengths, n_docs, n_terms)], schema=_SHARD)
-                        ids, counted, lengths, size = [], [], [], 0
-        if ids:
-            yield pa.RecordBatch.from_pylist([build_shard(ids, counted, lengths, n_docs, n_terms)], schema=_SHARD)
+                        shard.add(doc, found)
+                    if len(shard.cells) >= cells:
+                        yield pa.RecordBatch.from_pylist([shard.build()], schema=_SHARD)
+                        shard = ShardBuilder(n_docs, n_terms)
+        if shard.docs:
+            yield pa.RecordBatch.from_pylist([shard.build()], schema=_SHARD)
 
     return materialise(docs.mapInArrow(build, _SHARD_KINDS), "treap")
 

@@ -46,7 +46,7 @@ from kpi_lake.llm.common import materialise, slices, utf8_column
 GROUPS = 16
 #: Words of one node that a task holds, and the most nodes of a level that are split; the first
 #: grows with the vocabulary if the second is reached.
-SHARE, MOST_NODES = 8192, 10_000
+SHARE, MOST_NODES = 2048, 10_000
 #: Distinct words that a counting task holds before it hands them on.
 HELD_WORDS = 400_000
 #: Words that ask at a time, pairs that are verified at a time, longest word verified in a matrix.
@@ -248,16 +248,16 @@ def split_nodes(keyed: DataFrame, total: int, share: int = SHARE) -> set[bytes]:
     share = max(share, total // MOST_NODES)
     if total <= share:
         return set()
-    found, above = {b""}, [bytearray()]
+    spark = keyed.sparkSession
+    found, above = {b""}, [b""]
     for level in range(1, _LEVELS + _DEALT + 1):
-        spark = keyed.sparkSession
-        parents = spark.createDataFrame([(p,) for p in above], "parent binary")
+        parents = spark.createDataFrame(pa.table({"parent": pa.array(above, pa.binary())}))
         prefix = F.expr(f"substring(vector, 1, {level})")
         inside = keyed if level == 1 else keyed.join(F.broadcast(parents), F.expr(f"substring(vector, 1, {level - 1})") == parents["parent"], "left_semi")
-        above = [r.node for r in inside.groupBy(prefix.alias("node")).count().where(F.col("count") > share).collect()]
+        above = [bytes(r.node) for r in inside.groupBy(prefix.alias("node")).count().where(F.col("count") > share).collect()]
         if not above:
             break
-        found |= {bytes(p) for p in above}
+        found |= set(above)
     return {n for n in found if len(n) < _LEVELS + _DEALT}
 
 
@@ -349,7 +349,7 @@ def near_words(vocabulary: DataFrame, share: int = SHARE) -> DataFrame:
             yield from answers()
 
     dealt = keyed.mapInArrow(deal, "node binary, visits boolean, word string, n bigint, vector binary")
-    tasks = max(1, 4 * total // max(share, total // MOST_NODES))
+    tasks = max(1, 2 * total // max(share, total // MOST_NODES))
     return dealt.repartition(tasks, "node").sortWithinPartitions("node", "visits").mapInArrow(search, "word string, n bigint, other string, other_n bigint")
 
 

@@ -38,6 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from kpi_lake.llm.bpe import byte_alphabet
 from kpi_lake.llm.common import utf8_column, worker_cache
 from kpi_lake.llm.warc import _filesystem as filesystem
 
@@ -50,8 +51,10 @@ RANGE_BYTES = 32 << 20
 RANK_BITS = 512
 #: Most tasks of a read.
 READ_TASKS = 50_000
-#: Words that a Python worker remembers, and the longest that it does (memory only).
-REMEMBERED_WORDS, LONGEST_WORD = 1_000_000, 48
+#: New words after which a Python worker forgets those that it hasn't met for as long, and the longest
+#: word that it remembers (memory only).
+REMEMBERED_WORDS, LONGEST_WORD = 350_000, 48
+_SLICE = 1 << 16
 
 
 def pack(values: np.ndarray, width: int) -> bytes:
@@ -59,34 +62,40 @@ def pack(values: np.ndarray, width: int) -> bytes:
     ``width`` bytes, and the ``k``-th of them begins at bit ``k * width``."""
     if width in (8, 16, 32):
         return values.astype(f"<u{width // 8}").tobytes()
-    n = len(values)
-    eights = np.zeros((-(-n // 8), 8), np.uint64)
-    eights.ravel()[:n] = values
-    eights &= np.uint64((1 << width) - 1)
-    out = np.zeros((len(eights), width), np.uint8)
-    for k in range(8):
-        byte, bit = divmod(k * width, 8)
-        moved = eights[:, k] << np.uint64(bit)
-        for j in range((bit + width + 7) // 8):
-            out[:, byte + j] |= (moved >> np.uint64(8 * j)).astype(np.uint8)
-    return out.tobytes()[: -(-n * width // 8)]
+    kind, out = np.uint32 if width <= 25 else np.uint64, []
+    for start in range(0, len(values), _SLICE):
+        part = values[start : start + _SLICE]
+        padded = np.zeros(-(-len(part) // 8) * 8, kind)
+        padded[: len(part)] = part
+        eights = np.ascontiguousarray((padded & kind((1 << width) - 1)).reshape(-1, 8).T)
+        rows = np.zeros((width, eights.shape[1]), np.uint8)
+        for k in range(8):
+            byte, bit = divmod(k * width, 8)
+            moved = eights[k] << kind(bit)
+            for j in range((bit + width + 7) // 8):
+                rows[byte + j] |= (moved >> kind(8 * j)).astype(np.uint8)
+        out.append(rows.T.tobytes())
+    return b"".join(out)[: -(-len(values) * width // 8)]
 
 
 def unpack(data: bytes, width: int, n: int) -> np.ndarray:
     """The inverse of ``pack``: ``n`` values."""
     if width in (8, 16, 32):
         return np.frombuffer(data, f"<u{width // 8}", n).astype(np.uint32)
-    eights = -(-n // 8)
-    raw = np.frombuffer(data + bytes(eights * width - len(data)), np.uint8).reshape(eights, width)
-    found = np.empty((eights, 8), np.uint32)
-    for k in range(8):
-        byte, bit = divmod(k * width, 8)
-        size = (bit + width + 7) // 8
-        value = raw[:, byte].astype(np.uint64 if size > 4 else np.uint32)
-        for j in range(1, size):
-            value |= raw[:, byte + j].astype(value.dtype) << value.dtype.type(8 * j)
-        found[:, k] = value >> value.dtype.type(bit) & value.dtype.type((1 << width) - 1)
-    return found.ravel()[:n]
+    kind, found = np.uint32 if width <= 25 else np.uint64, np.empty(n, np.uint32)
+    for start in range(0, n, _SLICE):
+        eights = -(-min(_SLICE, n - start) // 8)
+        part = data[start * width // 8 : start * width // 8 + eights * width]
+        rows = np.ascontiguousarray(np.frombuffer(part + bytes(eights * width - len(part)), np.uint8).reshape(eights, width).T)
+        values = np.empty((8, eights), np.uint32)
+        for k in range(8):
+            byte, bit = divmod(k * width, 8)
+            value = rows[byte].astype(kind)
+            for j in range(1, (bit + width + 7) // 8):
+                value |= rows[byte + j].astype(kind) << kind(8 * j)
+            values[k] = value >> kind(bit) & kind((1 << width) - 1)
+        found[start : start + _SLICE] = values.T.ravel()[: n - start]
+    return found
 
 
 def best_widths(ids: np.ndarray) -> list[int]:
@@ -198,6 +207,50 @@ class Shard:
         return [d if k else None for d, k in zip(ids, known, strict=True)], np.frombuffer(self._section(first + 2), "<i8")
 
 
+class _OtherSpace(Exception):
+    """A text that doesn't split at single blanks and line ends."""
+
+
+class _Words(dict):
+    """Ids of words, with ``before`` (a blank or nothing) before each, learned when first met. Plain
+    words are one piece of the pre-splitting, which the library's model encodes directly."""
+
+    def __init__(self, library, before: str):
+        self.library, self.before, self.model = library, before, library.model.tokenize
+        self.old: dict[str, bytes] = {}
+        alphabet = {b: c for c, b in byte_alphabet().items()}
+        self.printed = str.maketrans({chr(b): c for b, c in alphabet.items()})
+        self.marks = {c: _pack_ids(library.encode(c, add_special_tokens=False).ids) for c in ",."}
+
+    def age(self) -> None:
+        """Words that were not met since the last time are forgotten."""
+        self.old = dict(self)
+        self.clear()
+
+    def __missing__(self, word: str) -> bytes:
+        known = self.old.get(word)
+        if known is not None:
+            self[word] = known
+            return known
+        if word.split() != [word]:
+            raise _OtherSpace
+        last = word[-1]
+        if word.isalpha() and max(word) < "\u0250":
+            raw = (self.before + word).encode()
+            ids = _pack_ids([t.id for t in self.model(raw.decode("latin-1").translate(self.printed))])
+        elif last in self.marks and (stem := word[:-1]).isalpha() and max(stem) < "\u0250":
+            ids = self[stem] + self.marks[last]
+        else:
+            ids = _pack_ids(self.library.encode(self.before + word, add_special_tokens=False).ids)
+        if len(word) <= LONGEST_WORD:
+            self[word] = ids
+        return ids
+
+
+def _pack_ids(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class Encoder:
     """Ids of whole texts by the tokenizers library. In a text whose lines hold single blanks between
     their words and no other white space, no piece of byte-level pre-splitting spans a blank and what
@@ -216,53 +269,32 @@ class Encoder:
         plain = model["type"] == "BPE" and pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True)
         self.by_words = plain and not known.get("normalizer") and not model.get("dropout")
         self.specials = [t["content"] for t in known.get("added_tokens", [])]
-        self.starts: dict[str, bytes] = {}  # of words at a line's start
-        self.inner: dict[str, bytes] = {}  # of words after a blank
-        self.line_end = self._library(["\n"])[0]
+        if self.by_words:
+            self.starts, self.inner = _Words(self.library, ""), _Words(self.library, " ")
+            self.line_end = _pack_ids(self.library.encode("\n", add_special_tokens=False).ids)
 
-    def _library(self, texts: list[str]) -> list[bytes]:
-        return [struct.pack(f"<{len(ids)}I", *ids) for ids in (e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False))]
-
-    def _lines(self, text: str) -> list[list[str]] | None:
-        """The words by line; None if the text doesn't split that way."""
+    def _by_words(self, text: str) -> bytes | None:
+        """Ids word by word; None if the text has to go whole."""
         if not self.by_words or any(s in text for s in self.specials):
             return None
-        found = []
-        for line in text.split("\n"):
-            words = line.split(" ")
-            if words != line.split():
-                return None
-            found.append(words)
-        return found
-
-    def _look_up(self, lines: list[list[str]]) -> list[bytes | None]:
-        found: list[bytes | None] = []
-        for words in lines:
-            found += (self.line_end, self.starts.get(words[0]))
-            found += map(self.inner.get, words[1:])
-        return found[1:]
+        found, starts, inner = [], self.starts.__getitem__, self.inner.__getitem__
+        try:
+            for line in text.split("\n"):
+                words = line.split(" ")
+                found.append(starts(words[0]) + b"".join(map(inner, words[1:])))
+        except _OtherSpace:
+            return None
+        return self.line_end.join(found)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Per text its ids as little-endian unsigned 32-bit integers."""
-        if len(self.starts) + len(self.inner) > REMEMBERED_WORDS:
-            self.starts.clear()
-            self.inner.clear()
-        lines = [self._lines(t) for t in texts]
-        found = [None if x is None else self._look_up(x) for x in lines]
-        gaps = [i for i, f in enumerate(found) if f is not None and None in f]
-        starts = list({words[0] for i in gaps for words in lines[i]}.difference(self.starts))
-        inner = list({w for i in gaps for words in lines[i] for w in words[1:]}.difference(self.inner))
-        fresh = self._library(starts + [" " + w for w in inner])
-        self.starts.update(zip(starts, fresh, strict=False))
-        self.inner.update(zip(inner, fresh[len(starts) :], strict=True))
-        for i in gaps:
-            found[i] = self._look_up(lines[i])
-        for table, words in ((self.starts, starts), (self.inner, inner)):
-            for w in words:
-                if len(w) > LONGEST_WORD:
-                    del table[w]
-        whole = iter(self._library([t for t, f in zip(texts, found, strict=True) if f is None]))
-        return [next(whole) if f is None else b"".join(f) for f in found]
+        if self.by_words and len(self.starts) + len(self.inner) > REMEMBERED_WORDS:
+            self.starts.age()
+            self.inner.age()
+        found = [self._by_words(t) for t in texts]
+        rest = [t for t, f in zip(texts, found, strict=True) if f is None]
+        whole = iter(self.library.encode_batch_fast(rest, add_special_tokens=False))
+        return [_pack_ids(next(whole).ids) if f is None else f for f in found]
 
 
 def shared_encoder(spark: SparkSession, path: str):

@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from kpi_lake.llm.common import materialise, slices, utf8_column
 
 #: Cells of a shard, and bytes of query text in a block.
-CELLS, BLOCK_BYTES = 2 << 20, 4 << 20
+CELLS, BLOCK_BYTES = 1 << 20, 4 << 20
 #: States that are taken at a time.
 BATCH = 128
 # Fixed value: bytes of terms, A-Z lower-cased; all else separates. Bytes from 128 on are letters.
@@ -236,7 +236,8 @@ class ShardBuilder:
 
     def build(self) -> dict:
         names, docs, n = list(self.numbers), self.docs, len(self.docs)
-        cells, tf, sizes = np.array(self.cells, np.int64), np.array(self.tf, np.int64), np.array(self.sizes)
+        cells, tf, sizes = np.array(self.cells, np.int32), np.array(self.tf, np.int64), np.array(self.sizes)
+        self.cells, self.tf = [], []
         hashes = np.array(list(map(xxhash.xxh3_64_intdigest, names)), np.uint64)
         frequency = np.bincount(cells, minlength=len(names))
         order = np.lexsort((hashes, -frequency))

@@ -84,9 +84,30 @@ def lower_ascii(column: Column) -> Column:
     return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or with underscores after it a name that no column of the frame has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 _CACHES: dict[str, dict] = {}
 
 
+def _give_back() -> None:
+    """Return freed memory to the system, as far as the allocators can."""
+    import ctypes
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def worker_cache(owner: str) -> dict:
     """What a Python worker keeps from task to task of one operator. Claiming it drops what other
     operators left, so that a worker that serves many holds one operator's memory at a time."""
@@ -94,7 +115,7 @@ def worker_cache(owner: str) -> dict:
     for other in others:
         _CACHES.pop(other).clear()
     if others:
-        gc.collect()
+        _give_back()
     return _CACHES.setdefault(owner, {})
 
 
@@ -116,6 +137,7 @@ def utf8_column(array):
 __all__ = [
     "WORD_SEPARATORS",
     "drop_table",
+    "free_name",
     "lower_ascii",
     "materialise",
     "read_table",

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kpi_lake.llm.common import materialise, slices, utf8_column, worker_cache
+from kpi_lake.llm.common import free_name, materialise, slices, utf8_column, worker_cache
 
 WINDOW = 13
 MAX_BROADCAST_BYTES = 64 << 20
@@ -286,7 +286,8 @@ def remove_contaminated(
                 yield batch.filter(pa.array(kept, pa.bool_()))
 
         return documents.mapInArrow(keep, documents.schema)
-    rows = materialise(documents.withColumn("__row", F.monotonically_increasing_id()), "decontam_rows")
-    found = find_contamination(rows, benchmark, "__row", text_col, item_col, item_text_col, window, max_broadcast_bytes)
-    bad = found.where(contaminated(F.col("n_hit"), F.col("n_words"))).select(F.col("id").alias("__row"))
-    return rows.join(bad, "__row", "left_anti").drop("__row")
+    row = free_name(documents, "__row")
+    rows = materialise(documents.withColumn(row, F.monotonically_increasing_id()), "decontam_rows")
+    found = find_contamination(rows, benchmark, row, text_col, item_col, item_text_col, window, max_broadcast_bytes)
+    bad = found.where(contaminated(F.col("n_hit"), F.col("n_words"))).select(F.col("id").alias(row))
+    return rows.join(bad, row, "left_anti").drop(row)

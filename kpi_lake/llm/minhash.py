@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kpi_lake.llm.common import materialise, slices, utf8_column, worker_cache
+from kpi_lake.llm.common import free_name, materialise, slices, utf8_column, worker_cache
 from kpi_lake.llm.components import connected_components
 
 WORDS = 5
@@ -374,12 +374,13 @@ def deduplicate(documents: DataFrame, id_col: str = "doc_id", text_col: str = "t
     rows = materialise(found.groupBy("root", "e1", "e2", "id", "k1", "k2").agg(F.count(F.lit(1)).alias("n")), "near_duplicates")
     order = F.struct(F.col("id").isNull().alias("unnamed"), "id", "k1", "k2", "n")
     stays = materialise(rows.groupBy("root", "e1", "e2").agg(F.min(order).alias("first")).select("first.*"), "stays")
-    stays = stays.select(F.col("k1").alias("__k1"), F.col("k2").alias("__k2"), "n")
+    keys = [free_name(documents, "__k1"), free_name(documents, "__k2")]
+    stays = stays.select(F.col("k1").alias(keys[0]), F.col("k2").alias(keys[1]), F.col("n").alias("__n"))
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     name = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
-    keyed = documents.withColumn("__k1", F.xxhash64(name, text)).withColumn("__k2", F.xxhash64(text, F.lit(1), name))
-    repeated = stays.where("n > 1").drop("n")
-    single = keyed.join(stays.where("n = 1").drop("n"), ["__k1", "__k2"], "left_semi")
+    keyed = documents.withColumn(keys[0], F.xxhash64(name, text)).withColumn(keys[1], F.xxhash64(text, F.lit(1), name))
+    repeated = stays.where("__n > 1").select(*keys)
+    single = keyed.join(stays.where("__n = 1").select(*keys), keys, "left_semi")
     if not repeated.isEmpty():
-        single = single.unionByName(keyed.join(repeated, ["__k1", "__k2"], "left_semi").dropDuplicates(["__k1", "__k2"]))
+        single = single.unionByName(keyed.join(repeated, keys, "left_semi").dropDuplicates(keys))
     return single.select(*documents.columns)

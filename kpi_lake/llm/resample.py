@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpi_lake.llm.common import materialise, slices, utf8_column, worker_cache
+from kpi_lake.llm.common import free_name, materialise, slices, utf8_column, worker_cache
 
 BUCKETS = 1 << 16
 MAX_LABELLED = 200_000
@@ -253,7 +253,7 @@ def resample(
     """The documents (all their columns) that the sample keeps."""
     model, _ = fit(documents, labels, id_col, text_col, buckets, max_labelled, seed, length)
     names = documents.columns
-    noisy = documents.withColumn("__noise", gumbel(F.col(id_col).cast("bigint"), seed))
+    noisy = documents.withColumn(free_name(documents, "__noise"), gumbel(F.col(id_col).cast("bigint"), seed))
     place, last = names.index(text_col), len(names)
     shared = documents.sparkSession.sparkContext.broadcast(model.weights)
 

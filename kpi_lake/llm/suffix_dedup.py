@@ -42,34 +42,38 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructField, StructType
 
 from kpi_lake.llm.common import materialise, slices, utf8_column, worker_cache
 
 LENGTH = 200
 MAX_CONTEXTS = 20_000
-#: Bytes hashed at a time, contexts sorted at a time, rows of one anchor held (memory only).
-PIECE = 1 << 21
+#: Bytes hashed at a time, bytes whose anchors are combined at a time, contexts sorted at a time, rows
+#: of one anchor held (memory only).
+PIECE = 1 << 19
+COMBINED = 1 << 22
 SORTED_CONTEXTS = 4_000
 HELD_ROWS = 1_000_000
 # Odd bases of the two polynomial hashes, and a mixing constant.
 _BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
+#: Tables of powers grow by this many entries.
+_POWER_STEP = 1 << 16
 #: Bits of a place in a batch; a batch is at most one piece longer than PIECE by an overlap.
 _PLACE_BITS = PIECE.bit_length()
 
 
 def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of a base and of its inverse, modulo 2**64."""
-    size = max(1 << 16, 1 << (n - 1).bit_length())
     known = worker_cache("powers")
-    if (base, size) not in known:
-        both = []
+    if base not in known or len(known[base][0]) < n:
+        size, both = -(-n // _POWER_STEP) * _POWER_STEP, []
         for b in (base, pow(base, -1, 1 << 64)):
             p = np.full(size, b, np.uint64)
             p[0] = 1
             both.append(np.cumprod(p, dtype=np.uint64))
-        known[base, size] = tuple(both)
-    up, down = known[base, size]
+        known[base] = tuple(both)
+    up, down = known[base]
     return up[:n], down[:n]
 
 
@@ -163,6 +167,7 @@ def _find_anchors(docs: DataFrame, length: int) -> DataFrame:
     """``place`` is the anchor's offset in its text; its windows start ``far`` to ``near`` before."""
 
     def run(batches):
+        held, texts, size = [], 0, 0
         for batch in slices(batches):
             k1, k2 = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             for part in _pieces(utf8_column(batch.column(2)), length):
@@ -174,7 +179,16 @@ def _find_anchors(docs: DataFrame, length: int) -> DataFrame:
                 number = np.array([x for x, *_ in part])[at]
                 offset = np.array([x for _, x, _ in part])[at]
                 rows = np.stack([key, context, k1[number], k2[number], place - begin + offset, place - first, place - last, np.zeros_like(key)])
-                yield _rows(_combined(rows, at, length))
+                held.append((rows, at + texts))
+                texts, size = texts + len(part), size + len(data)
+                if size >= COMBINED:
+                    yield together(held)
+                    held, texts, size = [], 0, 0
+        if held:
+            yield together(held)
+
+    def together(held):
+        return _rows(_combined(np.concatenate([r for r, _ in held], axis=1), np.concatenate([a for _, a in held]), length))
 
     return docs.mapInArrow(run, _KINDS)
 
@@ -376,7 +390,7 @@ def _packed(docs: DataFrame) -> DataFrame:
     """``k1, k2, packed``: the text as compressed bytes; a document's columns come after."""
     names = [c for c in docs.columns if c != "text"]
     place = docs.columns.index("text")
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text")
+    kinds = StructType([StructField(f.name, f.dataType) for f in docs.schema if f.name != "text"]).add("packed", "binary")
 
     def run(batches):
         import zstandard
@@ -387,7 +401,7 @@ def _packed(docs: DataFrame) -> DataFrame:
             kept = [batch.column(i) for i in range(batch.num_columns) if i != place]
             yield pa.RecordBatch.from_arrays([*kept, packed], names=[*names, "packed"])
 
-    return docs.mapInArrow(run, f"{kinds}, packed binary")
+    return docs.mapInArrow(run, kinds)
 
 
 def unpack(packed: bytes) -> bytes:
@@ -511,7 +525,8 @@ def cut(text: bytes, runs: list[tuple[int, int]]) -> bytes:
     return b"".join([*kept, text[at:]])
 
 
-_RUNS = "array<struct<start:bigint,end:bigint>>"
+_DIGESTS = StructType().add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long").add("kept_sha256", "string")
+_DIGESTS.add("runs", ArrayType(StructType().add("start", "long").add("end", "long")))
 
 
 def remove_repeats(
@@ -532,11 +547,9 @@ def remove_repeats(
     held = documents.select(k1, k2, *[F.col(c).alias(f"c{i}") for i, c in enumerate(names)], text, F.col(text_col).isNull().alias("blank"))
     inner = [f"c{i}" for i in range(len(names))]
     joined = _packed(held).join(spans, ["k1", "k2"], "left").select(*inner, "blank", "packed", "spans")
-    kinds = [f"c{i} {schema[c].dataType.simpleString()}" for i, c in enumerate(names)]
-    if digests:
-        kinds += ["n_bytes bigint", "n_removed bigint", "n_spans bigint", "kept_sha256 string", f"runs {_RUNS}"]
-    else:
-        kinds.append("text string")
+    kinds = StructType([StructField(f"c{i}", schema[c].dataType) for i, c in enumerate(names)])
+    for f in _DIGESTS if digests else StructType().add("text", "string"):
+        kinds.add(f)
     shape = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches):
@@ -561,7 +574,7 @@ def remove_repeats(
                 out = pa.RecordBatch.from_arrays([*columns, pa.array(cut_texts, pa.string())], names=[*inner, "text"])
                 yield out.filter(stays)
 
-    found = joined.mapInArrow(run, ", ".join(kinds))
+    found = joined.mapInArrow(run, kinds)
     if digests:
         return found.withColumnRenamed("c0", "id")
     order = [F.col("text" if c == text_col else f"c{names.index(c)}").alias(c) for c in documents.columns]

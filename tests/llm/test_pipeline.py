@@ -17,7 +17,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_every_operator_and_the_pipeline_are_registered():
     names = entry.queries()
-    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 14)}
     assert names["pipeline"] is corpus_pipeline.run
     assert [f.__doc__.split(":")[0] for _, f in corpus_pipeline.STAGES] == [f"Operator {n}" for n in (10, 6, 7, 8, 2)]
 

@@ -220,6 +220,7 @@ class _Words(dict):
         self.old: dict[str, bytes] = {}
         alphabet = {b: c for c, b in byte_alphabet().items()}
         self.printed = str.maketrans({chr(b): c for b, c in alphabet.items()})
+        self.ahead = before.translate(self.printed)
         self.marks = {c: _pack_ids(library.encode(c, add_special_tokens=False).ids) for c in ",."}
 
     def age(self) -> None:
@@ -232,14 +233,13 @@ class _Words(dict):
         if known is not None:
             self[word] = known
             return known
-        if word.split() != [word]:
+        if _plain(word):
+            printed = self.ahead + (word if word.isascii() else word.encode().decode("latin-1").translate(self.printed))
+            ids = _pack_ids([t.id for t in self.model(printed)])
+        elif word[-1:] in self.marks and _plain(word[:-1]):
+            ids = self[word[:-1]] + self.marks[word[-1]]
+        elif word.split() != [word]:
             raise _OtherSpace
-        last = word[-1]
-        if word.isalpha() and max(word) < "\u0250":
-            raw = (self.before + word).encode()
-            ids = _pack_ids([t.id for t in self.model(raw.decode("latin-1").translate(self.printed))])
-        elif last in self.marks and (stem := word[:-1]).isalpha() and max(stem) < "\u0250":
-            ids = self[stem] + self.marks[last]
         else:
             ids = _pack_ids(self.library.encode(self.before + word, add_special_tokens=False).ids)
         if len(word) <= LONGEST_WORD:
@@ -247,8 +247,16 @@ class _Words(dict):
         return ids
 
 
+def _plain(word: str) -> bool:
+    """Whether a word is letters only, of blocks that no version of Unicode has changed."""
+    return word.isalpha() and (word.isascii() or max(word) < "\u0250")
+
+
+_PACKERS = [struct.Struct(f"<{n}I").pack for n in range(32)]
+
+
 def _pack_ids(ids: list[int]) -> bytes:
-    return struct.pack(f"<{len(ids)}I", *ids)
+    return _PACKERS[len(ids)](*ids) if len(ids) < 32 else struct.pack(f"<{len(ids)}I", *ids)
 
 
 class Encoder:

@@ -77,15 +77,21 @@ def _from_planes(data: bytes) -> np.ndarray:
 
 
 def _join(header: dict, parts: list[bytes]) -> bytes:
+    """Named sections as one compressed value (so that it's small wherever Spark holds it)."""
+    import zstandard
+
     text = json.dumps(header | {"sizes": [len(p) for p in parts]}).encode()
-    return len(text).to_bytes(8, "little") + text + b"".join(parts)
+    return zstandard.ZstdCompressor(level=3).compress(len(text).to_bytes(8, "little") + text + b"".join(parts))
 
 
 def _cut(data: bytes) -> tuple[dict, list[bytes]]:
-    size = int.from_bytes(data[:8], "little")
-    header, at, parts = json.loads(data[8 : 8 + size]), 8 + size, []
+    import zstandard
+
+    raw = memoryview(zstandard.ZstdDecompressor().decompress(data))
+    size = int.from_bytes(raw[:8], "little")
+    header, at, parts = json.loads(bytes(raw[8 : 8 + size])), 8 + size, []
     for n in header["sizes"]:
-        parts.append(data[at : at + n])
+        parts.append(raw[at : at + n])
         at += n
     return header, parts
 
@@ -273,7 +279,7 @@ class Dictionary:
         low, high = np.searchsorted(self.hashes, hashes), np.searchsorted(self.hashes, hashes, "right")
         for i in np.flatnonzero(high > low).tolist():
             for at in range(low[i], high[i]):
-                if self.text[self.ends[at - 1] if at else 0 : self.ends[at]] == wanted[i]:
+                if self.text[self.ends[at - 1] if at else 0 : self.ends[at]] == wanted[i]:  # bytes, not hashes
                     places[i] = at
         return places
 

@@ -27,6 +27,13 @@ class Filter:
     predicate: Column
     name: str | None = None
     bounds: tuple[dt.date | None, dt.date | None] | None = None
+    # For a selection of calendar periods: the date column and the same selection as date ranges.
+    period_column: str | None = None
+    periods: tuple[tuple[dt.date, dt.date], ...] = ()
+
+
+Range = tuple[dt.date | None, dt.date | None]
+_NO_DAY = dt.date(1900, 1, 1)  # both ends of an empty range
 
 
 @dataclass(frozen=True, eq=False)
@@ -49,19 +56,42 @@ class FilterContext:
         pred = reduce(lambda a, b: a & b, terms) if terms else F.lit(True)
         return FilterContext(self.filters + (Filter(table, (column,), pred, name, (lo, hi)),))
 
-    def key_bounds(self, table: str, column: str) -> tuple[dt.date | None, dt.date | None] | None:
-        """Intersection of the literal date ranges on ``table.column`` (None when there is none)."""
-        lo: dt.date | None = None
-        hi: dt.date | None = None
-        found = False
+    def where_periods(
+        self, table: str, date_column: str, levels: Sequence[str], selection: Sequence[Sequence[int]], name: str | None = None
+    ) -> FilterContext:
+        """Years, quarters or months picked on a calendar: ``levels`` are its year, quarter and month
+        columns, as far as picked. The filter stays a test on those columns; the same selection as
+        date ranges on ``date_column`` lets the model prune the fact's scan."""
+        selection = [tuple(s) for s in selection]
+        ranges = period_ranges(selection)
+        found = Filter(table, tuple(levels), hierarchy(levels, selection), name, None, date_column if ranges else None, ranges or ())
+        return FilterContext(self.filters + (found,))
+
+    def key_ranges(self, table: str, column: str) -> list[Range] | None:
+        """The dates of ``table.column`` that all literal ranges and period selections leave, as
+        separate half-open ranges (None where there is neither; empty where nothing is left)."""
+        found: list[Range] | None = None
         for f in self.filters:
-            if f.table == table and f.bounds is not None and f.columns == (column,):
-                found = True
-                if f.bounds[0] is not None:
-                    lo = f.bounds[0] if lo is None else max(lo, f.bounds[0])
-                if f.bounds[1] is not None:
-                    hi = f.bounds[1] if hi is None else min(hi, f.bounds[1])
-        return (lo, hi) if found else None
+            if f.table != table:
+                continue
+            if f.bounds is not None and f.columns == (column,):
+                own: list[Range] = [f.bounds]
+            elif f.period_column == column:
+                own = list(f.periods)
+            else:
+                continue
+            found = own if found is None else _intersect(found, own)
+        return found
+
+    def key_bounds(self, table: str, column: str) -> tuple[dt.date | None, dt.date | None] | None:
+        """The first and last end of the ranges on ``table.column`` (None when there is none)."""
+        ranges = self.key_ranges(table, column)
+        if ranges is None:
+            return None
+        if not ranges:
+            return (_NO_DAY, _NO_DAY)
+        lows, highs = [r[0] for r in ranges], [r[1] for r in ranges]
+        return (None if None in lows else min(lows), None if None in highs else max(highs))  # type: ignore[type-var]
 
     def merge(self, other: FilterContext) -> FilterContext:
         return FilterContext(self.filters + other.filters)
@@ -120,6 +150,53 @@ def range_predicate(column: str, bounds: tuple[dt.date | None, dt.date | None])
     return reduce(lambda a, b: a & b, terms) if terms else None
 
 
+def period_ranges(selection: Sequence[Sequence[int]]) -> tuple[tuple[dt.date, dt.date], ...] | None:
+    """Selected periods as merged half-open date ranges in order: ``(year,)``, ``(year, quarter)`` or
+    ``(year, quarter, month)``. None if nothing is selected or a period isn't one of the calendar's
+    (then the selection can't be told as ranges)."""
+    found: list[tuple[int, int]] = []  # in months
+    for member in selection:
+        if not 1 <= len(member) <= 3 or not all(isinstance(x, int) for x in member) or not 1 <= member[0] <= 9998:
+            return None
+        start, stop = member[0] * 12, member[0] * 12 + 12
+        if len(member) > 1:
+            if not 1 <= member[1] <= 4:
+                return None
+            start, stop = start + 3 * (member[1] - 1), start + 3 * member[1]
+        if len(member) > 2:
+            if not 1 <= member[2] <= 12 or (member[2] - 1) // 3 + 1 != member[1]:
+                return None
+            start, stop = member[0] * 12 + member[2] - 1, member[0] * 12 + member[2]
+        found.append((start, stop))
+    merged: list[list[int]] = []
+    for start, stop in sorted(found):
+        if merged and start <= merged[-1][1]:
+            merged[-1][1] = max(merged[-1][1], stop)
+        else:
+            merged.append([start, stop])
+    return tuple((dt.date(a // 12, a % 12 + 1, 1), dt.date(b // 12, b % 12 + 1, 1)) for a, b in merged) or None
+
+
+def _intersect(a: Sequence[Range], b: Sequence[Range]) -> list[Range]:
+    """What two lists of separate ranges have in common."""
+    found = []
+    for lo1, hi1 in a:
+        for lo2, hi2 in b:
+            lo = lo1 if lo2 is None else lo2 if lo1 is None else max(lo1, lo2)
+            hi = hi1 if hi2 is None else hi2 if hi1 is None else min(hi1, hi2)
+            if lo is None or hi is None or lo < hi:
+                found.append((lo, hi))
+    return found
+
+
+def ranges_predicate(column: str, ranges: Sequence[Range]) -> Column | None:
+    """``column`` lies in one of the ranges, as literals (None if one of them is open at both ends)."""
+    terms = [range_predicate(column, r) for r in ranges]
+    if any(t is None for t in terms):
+        return None
+    return reduce(lambda a, b: a | b, terms) if terms else F.lit(False)  # type: ignore[arg-type, return-value]
+
+
 def values_not_blank(column: str) -> Column:
     """``NOT (c IN (null))``: every non-blank value."""
     return F.col(column).isNotNull()
@@ -165,6 +242,8 @@ __all__ = [
     "range_predicate",
     "equals",
     "hierarchy",
+    "period_ranges",
+    "ranges_predicate",
     "in_list",
     "until",
     "values_not_blank",

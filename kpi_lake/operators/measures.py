@@ -60,7 +60,7 @@ def date_set_bounds(ctx: FilterContext, sets: Sequence[DateSet]) -> tuple | None
     if lo is not None:
         back = max(s.months_before for s in sets)  # type: ignore[type-var]
         y, m = divmod(lo.year * 12 + lo.month - 1 - back, 12)
-        lo = dt.date(y, m + 1, 1)
+        lo = dt.date(y, m + 1, 1) if y >= 1 else None
     return (lo, hi)
 
 

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType
 
-from kpi_lake.operators.context import FilterContext, range_predicate
+from kpi_lake.operators.context import FilterContext, ranges_predicate
 
 
 @dataclass(frozen=True)
@@ -146,10 +146,11 @@ class StarModel:
             if not self._filtered(hop.src, ctx, hop.rel, seen | {hop.rel}):
                 continue
             if hop.src in self.calendar_tables:
-                # A literal date range on the calendar key is repeated on the fact's date column:
-                # the scan can skip files / row groups; the semi join below keeps it exact.
-                bounds = ctx.key_bounds(hop.src, hop.src_col)
-                pred = range_predicate(hop.dst_col, bounds) if bounds else None
+                # Literal date ranges on the calendar key (or selected periods, as ranges) are repeated
+                # on the fact's date column: the scan can skip files / row groups; the semi join
+                # below keeps it exact.
+                ranges = ctx.key_ranges(hop.src, hop.src_col)
+                pred = ranges_predicate(hop.dst_col, ranges) if ranges is not None else None
                 if pred is not None:
                     df = df.filter(pred)
             keys = self._key_frame(hop, ctx, seen)
@@ -178,7 +179,7 @@ class StarModel:
         mapping = self.scoped(group_table, ctx).select(F.col(hops[0].src_col).alias("__gkey"), *group_cols)
         unique = self._unique(hops[0])
         if not unique:
-            mapping = _distinct_per_key(mapping, group_cols)
+            mapping = mapping.distinct()
         if group_table in self.calendar_tables:
             mapping = self.bounded(group_table, hops[0].src_col, mapping, "__gkey")
         for prev, hop in zip(hops, hops[1:]):
@@ -186,7 +187,7 @@ class StarModel:
             step = self.tables[hop.src].select(F.col(prev.dst_col).alias("__prev"), F.col(hop.src_col).alias("__next"))
             mapping = step.join(mapping, F.col("__prev") == F.col("__gkey")).select(F.col("__next").alias("__gkey"), *group_cols)
             if not (unique and self._unique(hop)):
-                unique, mapping = False, _distinct_per_key(mapping, group_cols)
+                unique, mapping = False, mapping.distinct()
         return hops[-1].dst_col, mapping
 
     @staticmethod
@@ -195,12 +196,4 @@ class StarModel:
         return hop.rel.one_unique and hop.src == hop.rel.one
 
 
-def _distinct_per_key(mapping: DataFrame, group_cols: Sequence[str]) -> DataFrame:
-    """Each different group value of a key once. Grouping by the key alone leaves the frame
-    partitioned for the join that follows."""
-    values = F.collect_set(F.struct(*group_cols)).alias("__values")
-    exploded = mapping.groupBy("__gkey").agg(values).select("__gkey", F.explode("__values").alias("__value"))
-    return exploded.select("__gkey", *[F.col(f"__value.{c}").alias(c) for c in group_cols])
-
-
 __all__ = ["Hop", "Relationship", "StarModel"]

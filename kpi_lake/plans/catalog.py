@@ -13,7 +13,7 @@ import datetime as dt
 import hashlib
 import uuid
 from collections.abc import Callable
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,10 +23,13 @@ from kpi_lake.functions.calendar import add_calendar, parse_date
 from kpi_lake.functions.formatting import format_kpi
 from kpi_lake.operators import context as C
 from kpi_lake.operators import star
+from kpi_lake.operators.keymap import KeyMap
 from kpi_lake.operators.measures import evaluate, evaluate_by, implicit_aggregates, one_row
+from kpi_lake.operators.quality import QualityCounters
+from kpi_lake.operators.rollup import distinct_count, distinct_rollup
 from kpi_lake.plans import dashboard as D
 from kpi_lake.plans import pipelines as P
-from kpi_lake.plans.semantic import CATALOG, SUMMARIZE_BY, build_model
+from kpi_lake.plans.semantic import CATALOG, NOT_NULL_COLUMNS, SUMMARIZE_BY, build_model
 from kpi_lake.session import lake_root, session_key
 from kpi_lake.sources.layers import Lake, read_table, source_lake, write_many, write_table
 from kpi_lake.sources.standins import bronze_from_sources, folder_state, forget_stopped
@@ -701,21 +704,6 @@ def sales_by_industry(spark, sf_dir):
     )
 
 
-# Columns the model declares not nullable, per gold table.
-NOT_NULL_COLUMNS = {
-    "success_fact": ["msme_key"],
-    "success_profile": ["msme_key"],
-    "activity_fact": ["activity_id"],
-    "support_activity": ["support_id"],
-    "date_success": ["registration_date_id"],
-    "date_activity": ["activity_date_id"],
-    "date_sales": ["date_sales_id"],
-    "date_job": ["date_job_id"],
-    "hiring": ["job_key"],
-    "firing": ["job_key"],
-}
-
-
 @query("not_null_check")
 def not_null_check(spark, sf_dir):
     """Null counts of the declared not-nullable columns (nothing enforces the declaration)."""
@@ -745,6 +733,81 @@ def silver_sales_incremental(spark, sf_dir):
     return read_table(spark, lake, "silver", "sales_updated")
 
 
+# --- durable keys, roll-ups, pages with charts, counters of a write ----------------------------------
+
+
+def _entity_keys(spark, sf_dir, *sources) -> DataFrame:
+    """A new map of business keys, refreshed once per source."""
+    lake = scratch_lake(spark, sf_dir, f"keys-{uuid.uuid4().hex[:8]}")
+    keys, known = KeyMap(lake, "gold", "msme_keys", ("msme_key",), "msme_sk"), None
+    for s in sources:
+        known = keys.refresh(s)
+    return known
+
+
+@query("durable_key")
+def durable_key(spark, sf_dir):
+    """Business keys after three refreshes: businesses with sales, participants, all registered ones.
+    Keys of earlier refreshes stay, new ones are numbered after them, in order of the natural key."""
+    g = gold(spark, sf_dir)
+    known = _entity_keys(spark, sf_dir, g["sales_fact"], g["participant_updated"], g["success_profile"])
+    return known.select("msme_key", "msme_sk", "load")
+
+
+@query("distinct_rollup")
+def distinct_rollup_query(spark, sf_dir):
+    """Businesses in total, by industry, by category and by registration year, all from one stored
+    roll-up of key bitmaps by date, industry and category."""
+    g = gold(spark, sf_dir)
+    groups = ["registration_date_id", "industry", "msme_category"]
+    known = _entity_keys(spark, sf_dir, g["success_profile"])
+    dates = g["success_fact"].select(F.col("msme_key").alias("__msme"), "registration_date_id")
+    rows = g["success_profile"].join(dates, F.col("msme_key") == F.col("__msme"), "left").select("msme_key", *groups)
+    keyed = rows.join(known.select(F.col("msme_key").alias("__key"), "msme_sk"), F.col("msme_key") == F.col("__key"), "left")
+    lake = scratch_lake(spark, sf_dir, f"rollup-{uuid.uuid4().hex[:8]}")
+    write_table(distinct_rollup(keyed, groups, "msme_sk"), lake, "gold", "businesses_by_day")
+    rollup = read_table(spark, lake, "gold", "businesses_by_day").withColumn("registration_year", F.year("registration_date_id"))
+    answers = [distinct_count(rollup, [], "total_msmes").select(F.lit("total").alias("axis"), F.lit(None).cast("string").alias("member"), "total_msmes")]
+    for axis in ("industry", "msme_category", "registration_year"):
+        counted = distinct_count(rollup, [axis], "total_msmes")
+        answers.append(counted.select(F.lit(axis).alias("axis"), F.col(axis).cast("string").alias("member"), "total_msmes"))
+    return reduce(lambda a, b: a.unionByName(b), answers)
+
+
+@query("page_registration_visuals")
+def page_registration_visuals(spark, sf_dir):
+    """The registration page, cards and charts, in one pass over each table."""
+    return D.page_visuals(model(spark, sf_dir), D.registration_context(), "registration")
+
+
+@query("page_registration_visuals_by_year")
+def page_registration_visuals_by_year(spark, sf_dir):
+    """The same with the slicer's years selected; the years reach the fact's scan as date ranges."""
+    return D.page_visuals(model(spark, sf_dir), D.registration_context(years=standin_years()), "registration")
+
+
+@query("page_activity_visuals")
+def page_activity_visuals(spark, sf_dir):
+    """The activity page, cards and charts, with the first quarter of 2024 picked."""
+    return D.page_visuals(model(spark, sf_dir), D.activity_context(activity_period=[(2024, 1)]), "activity")
+
+
+@query("write_quality")
+def write_quality(spark, sf_dir):
+    """Counters of the silver writes, taken by the writes themselves: rows read, written and dropped,
+    and values that a rule turned to null."""
+    lake = scratch_lake(spark, sf_dir, f"quality-{uuid.uuid4().hex[:8]}")
+    counters = QualityCounters()
+    source = bronze(spark, sf_dir)
+    for name, (src, step) in P.SILVER_STEPS.items():
+        write_table(counters.step(name, source[src], step), lake, "silver", name)
+    rows = []
+    for name, found in counters.report().items():
+        nulled = sum(v for k, v in found.items() if k.startswith("nulled_"))
+        rows.append((name, found["rows_in"], found["rows_out"], found["rows_dropped"], nulled))
+    return spark.createDataFrame(rows, "table_name string, rows_in bigint, rows_out bigint, rows_dropped bigint, values_nulled bigint")
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 

@@ -11,6 +11,7 @@ from kpi_lake.operators import context as C
 from kpi_lake.operators.context import FilterContext
 from kpi_lake.operators.measures import evaluate, evaluate_by, share_of_total
 from kpi_lake.operators.model import StarModel
+from kpi_lake.operators.visuals import Visual, evaluate_visuals
 from kpi_lake.plans.semantic import CATALOG
 
 # Slicer settings saved in the report. The year list restricts the items the
@@ -57,11 +58,9 @@ def registration_context(
     """
     ctx = C.EMPTY
     if years:
-        ctx = ctx.where("date_success", C.in_list("year_success", years), "year_success", SL_REG_YEAR)
+        ctx = ctx.where_periods("date_success", "registration_date_id", ["year_success"], [(y,) for y in years], SL_REG_YEAR)
     if period:
-        ctx = ctx.where(
-            "date_success", C.hierarchy(["year_success", "quarter_success"], period), ("year_success", "quarter_success"), SL_REG_PERIOD
-        )
+        ctx = ctx.where_periods("date_success", "registration_date_id", ["year_success", "quarter_success"], period, SL_REG_PERIOD)
     return _profile_slicers(ctx, categories, departements, partners)
 
 
@@ -75,19 +74,11 @@ def activity_context(
     """Activity page: activity year/quarter, registration year/quarter, profile slicers."""
     ctx = C.EMPTY
     if activity_period:
-        ctx = ctx.where(
-            "date_activity",
-            C.hierarchy(["year_activity", "quarter_activity"], activity_period),
-            ("year_activity", "quarter_activity"),
-            SL_ACTIVITY_PERIOD,
-        )
+        levels = ["year_activity", "quarter_activity"]
+        ctx = ctx.where_periods("date_activity", "activity_date_id", levels, activity_period, SL_ACTIVITY_PERIOD)
     if registration_period:
-        ctx = ctx.where(
-            "date_success",
-            C.hierarchy(["year_success", "quarter_success"], registration_period),
-            ("year_success", "quarter_success"),
-            SL_REG_PERIOD,
-        )
+        levels = ["year_success", "quarter_success"]
+        ctx = ctx.where_periods("date_success", "registration_date_id", levels, registration_period, SL_REG_PERIOD)
     return _profile_slicers(ctx, categories, departements, partners)
 
 
@@ -192,6 +183,25 @@ def page(model: StarModel, ctx: FilterContext, name: str) -> DataFrame:
     return evaluate(model, ctx, PAGE_MEASURES[name], CATALOG)
 
 
+PAGE_VISUALS = {
+    "registration": [
+        Visual("cards", ("total_msmes", "msme_target")),
+        Visual("trend", ("total_msmes",), "date_success", ("registration_date_id",)),
+        Visual("share", ("total_msmes",), "success_profile", ("industry",)),
+    ],
+    "activity": [
+        Visual("cards", ("total_attendance", "training_days", "total_loan", "loan_approved")),
+        Visual("loan", ("total_loan",), "success_profile", ("industry",), INTERACTION_EXCEPTIONS["loan_by_category"]),
+        Visual("attendance", ("total_attendance",), "support_activity", ("support_name",)),
+    ],
+}
+
+
+def page_visuals(model: StarModel, ctx: FilterContext, name: str) -> DataFrame:
+    """A page's cards and charts in one pass over each fact: a row per card set and chart member."""
+    return evaluate_visuals(model, ctx, PAGE_VISUALS[name], CATALOG)
+
+
 def page_text(model: StarModel, ctx: FilterContext, name: str) -> DataFrame:
     """The page's cards as displayed: each value in its measure's format (blank stays null)."""
     from kpi_lake.functions.formatting import format_kpi
@@ -213,6 +223,7 @@ __all__ = [
     "loan_by_category",
     "page",
     "page_text",
+    "page_visuals",
     "performance_context",
     "registration_context",
     "share_by_category",

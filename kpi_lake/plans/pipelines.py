@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,7 +30,10 @@ from kpi_lake.functions.clean import (
     require_not_null,
     to_int_trunc,
 )
+from kpi_lake.operators.keymap import KeyMap
+from kpi_lake.operators.quality import QualityCounters
 from kpi_lake.operators.star import attribute_dimension, date_dimension, fact_table, profile_dimension
+from kpi_lake.plans.semantic import NOT_NULL_COLUMNS
 from kpi_lake.sources.layers import Lake, copy_table, read_table, write_many, write_table
 from kpi_lake.sources.lazy import LazyFrames
 
@@ -387,7 +390,10 @@ def _for_date_partitions(df: DataFrame, date_key: Sequence[str], fact_key: str)
 
 @dataclass
 class RunReport:
+    """Paths written, and per table (``layer.name``) the counters that its write observed."""
+
     written: list[str]
+    quality: dict[str, dict[str, int]] = field(default_factory=dict)
 
 
 WriteTask = Callable[[], "str | list[str]"]
@@ -412,15 +418,28 @@ def run_writes(tasks: Sequence[WriteTask], parallelism: int = 4) -> list[str]:
     return out
 
 
-def bronze_to_silver_tasks(spark: SparkSession, lake: Lake) -> list[WriteTask]:
+def bronze_to_silver_tasks(spark: SparkSession, lake: Lake, counters: QualityCounters) -> list[WriteTask]:
     """Seven independent row-local jobs: read bronze, clean, overwrite silver."""
-    return [
-        (lambda name=name, src=src, step=step: write_table(step(read_table(spark, lake, "bronze", src)), lake, "silver", name))
-        for name, (src, step) in SILVER_STEPS.items()
-    ]
+
+    def write(name: str, src: str, step: Callable[[DataFrame], DataFrame]) -> str:
+        df = counters.step(f"silver.{name}", read_table(spark, lake, "bronze", src), step)
+        return write_table(df, lake, "silver", name)
+
+    return [(lambda name=name, src=src, step=step: write(name, src, step)) for name, (src, step) in SILVER_STEPS.items()]
+
+
+#: Gold tables that get the durable key of their business where ``durable_keys`` is asked for.
+KEYED_TABLES = ("success_fact", "success_profile", "sales_fact", "job_fact")
 
 
-def silver_to_gold_tasks(spark: SparkSession, lake: Lake, partition_facts: bool = False) -> list[WriteTask]:
+def entity_keys(lake: Lake) -> KeyMap:
+    """The stored map of business keys, beside the gold tables."""
+    return KeyMap(lake, "gold", "msme_keys", ("msme_key",), "msme_sk")
+
+
+def silver_to_gold_tasks(
+    spark: SparkSession, lake: Lake, partition_facts: bool = False, counters: QualityCounters | None = None, durable_keys: bool = False
+) -> list[WriteTask]:
     """Gold tables from silver. Each output reads silver again with only its own columns
     (column pruning beats caching the wide silver frame); the support dimension is written once
     and copied to the second layer from the written files.
@@ -428,7 +447,19 @@ def silver_to_gold_tasks(spark: SparkSession, lake: Lake, partition_facts: bool
     ``partition_facts`` writes the sales and job facts partitioned by their date key (one folder
     per day): a date slicer's literal range then prunes folders at planning time and the
     broadcast calendar semi join prunes them at run time (dynamic partition pruning). Meant for
-    cluster-size facts; on small data it only makes many small files."""
+    cluster-size facts; on small data it only makes many small files.
+
+    With ``durable_keys`` the map of business keys is refreshed first (a key that no table uses yet
+    does no harm if a later write fails), and ``KEYED_TABLES`` are written with ``msme_sk``."""
+    counters = counters or QualityCounters()
+    known, keys = None, entity_keys(lake)
+    if durable_keys:
+        known = keys.refresh(*[read_table(spark, lake, "silver", t) for t in ("success_updated", "sales_updated", "job_updated")])
+
+    def ready(name: str, df: DataFrame) -> DataFrame:
+        if known is not None and name in KEYED_TABLES:
+            df = keys.apply(df, known)
+        return counters.output(f"gold.{name}", df, [c for c in NOT_NULL_COLUMNS.get(name, []) if c in df.columns])
 
     def silver(name: str) -> DataFrame:
         return read_table(spark, lake, "silver", name)
@@ -438,22 +469,24 @@ def silver_to_gold_tasks(spark: SparkSession, lake: Lake, partition_facts: bool
     people = gold_people(silver("hiring_updated"), silver("firing_updated"))
     tasks: list[WriteTask] = [
         lambda: write_table(
-            success["success_fact"], lake, "gold", "success_fact", schema_mode="replace", sort_within=["registration_date_id"]
+            ready("success_fact", success["success_fact"]), lake, "gold", "success_fact", schema_mode="replace", sort_within=["registration_date_id"]
+        ),
+        lambda: write_table(ready("success_profile", success["success_profile"]), lake, "gold", "success_profile"),
+        lambda: write_table(ready("date_success", success["date_success"]), lake, "gold", "date_success"),
+        lambda: write_many(
+            ready("support_activity", activity["support_activity"]), [(lake, "silver", "support_activity"), (lake, "gold", "support_activity")]
         ),
-        lambda: write_table(success["success_profile"], lake, "gold", "success_profile"),
-        lambda: write_table(success["date_success"], lake, "gold", "date_success"),
-        lambda: write_many(activity["support_activity"], [(lake, "silver", "support_activity"), (lake, "gold", "support_activity")]),
         lambda: write_table(
-            activity["activity_fact"], lake, "gold", "activity_fact", schema_mode="merge", sort_within=["activity_date_id"]
+            ready("activity_fact", activity["activity_fact"]), lake, "gold", "activity_fact", schema_mode="merge", sort_within=["activity_date_id"]
         ),
-        lambda: write_table(activity["date_activity"], lake, "gold", "date_activity"),
+        lambda: write_table(ready("date_activity", activity["date_activity"]), lake, "gold", "date_activity"),
     ]
     for tables in (gold_sales(silver("sales_updated")), gold_jobs(silver("job_updated"))):
         for name, df in tables.items():
             date_key = FACT_DATE_COLUMNS.get(name, [])
             tasks.append(
                 lambda name=name, df=df, date_key=date_key: write_table(
-                    _for_date_partitions(df, date_key, FACT_KEYS[name]) if (partition_facts and date_key) else df,
+                    _for_date_partitions(ready(name, df), date_key, FACT_KEYS[name]) if (partition_facts and date_key) else ready(name, df),
                     lake,
                     "gold",
                     name,
@@ -462,20 +495,28 @@ def silver_to_gold_tasks(spark: SparkSession, lake: Lake, partition_facts: bool
                 )
             )
     for name, df in people.items():
-        tasks.append(lambda name=name, df=df: write_table(df, lake, "gold", name))
+        tasks.append(lambda name=name, df=df: write_table(ready(name, df), lake, "gold", name))
     tasks.append(lambda: copy_table(spark, lake, "silver", "participant_updated", lake, "gold"))
     return tasks
 
 
 def run_bronze_to_silver(spark: SparkSession, lake: Lake, parallelism: int = 4) -> RunReport:
-    return RunReport(run_writes(bronze_to_silver_tasks(spark, lake), parallelism))
+    counters = QualityCounters()
+    written = run_writes(bronze_to_silver_tasks(spark, lake, counters), parallelism)
+    return RunReport(written, counters.report())
 
 
-def run_silver_to_gold(spark: SparkSession, lake: Lake, parallelism: int = 4, partition_facts: bool = False) -> RunReport:
-    return RunReport(run_writes(silver_to_gold_tasks(spark, lake, partition_facts), parallelism))
+def run_silver_to_gold(
+    spark: SparkSession, lake: Lake, parallelism: int = 4, partition_facts: bool = False, durable_keys: bool = False
+) -> RunReport:
+    counters = QualityCounters()
+    written = run_writes(silver_to_gold_tasks(spark, lake, partition_facts, counters, durable_keys), parallelism)
+    return RunReport(written, counters.report())
 
 
-def run_all(spark: SparkSession, sf_dir: str, lake: Lake, parallelism: int = 4, partition_facts: bool = False) -> RunReport:
+def run_all(
+    spark: SparkSession, sf_dir: str, lake: Lake, parallelism: int = 4, partition_facts: bool = False, durable_keys: bool = False
+) -> RunReport:
     """Stand-in bronze from the shared tables, then silver, then gold (layers in order; the
     tables of one layer side by side)."""
     from kpi_lake.sources.standins import bronze_from_sources
@@ -485,9 +526,9 @@ def run_all(spark: SparkSession, sf_dir: str, lake: Lake, parallelism: int = 4,
         (lambda name=name: write_table(bronze[name], lake, "bronze", name)) for name in bronze
     ]
     written = run_writes(bronze_tasks, parallelism)
-    written += run_bronze_to_silver(spark, lake, parallelism).written
-    written += run_silver_to_gold(spark, lake, parallelism, partition_facts).written
-    return RunReport(written)
+    silver = run_bronze_to_silver(spark, lake, parallelism)
+    gold = run_silver_to_gold(spark, lake, parallelism, partition_facts, durable_keys)
+    return RunReport(written + silver.written + gold.written, silver.quality | gold.quality)
 
 
 __all__ = [

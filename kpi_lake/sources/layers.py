@@ -74,6 +74,13 @@ def _existing_schema(spark: SparkSession, lake: Lake, layer: str, name: str) ->
         raise
 
 
+def table_exists(spark: SparkSession, lake: Lake, layer: str, name: str) -> bool:
+    """Whether the table is there, with a file that gives its schema."""
+    if lake.fmt != "delta":
+        _recover(spark, lake.path(layer, name))
+    return _existing_schema(spark, lake, layer, name) is not None
+
+
 def _fs_path(spark: SparkSession, path: str):
     jvm = spark._jvm  # noqa: SLF001 - Hadoop FileSystem API for the swap, no data moves
     hpath = jvm.org.apache.hadoop.fs.Path(path)
@@ -265,6 +272,7 @@ __all__ = [
     "read_table",
     "refresh_id",
     "source_lake",
+    "table_exists",
     "write_many",
     "write_table",
 ]

@@ -778,6 +778,67 @@ SQL["page_performance_text"] = _text_of("page_performance")
 SQL["page_activity_text"] = _text_of("page_activity")
 
 
+# --- durable keys, roll-ups, pages with charts, counters of a write -----------------------------------
+SQL["durable_key"] = q(
+    "SELECT msme_key, CAST(row_number() OVER (ORDER BY load, msme_key NULLS FIRST) AS BIGINT) AS msme_sk, load FROM ("
+    "SELECT msme_key, CAST(min(load) AS INTEGER) AS load FROM (SELECT msme_key, 1 AS load FROM sales_fact_g "
+    "UNION ALL SELECT msme_key, 2 FROM participant_g UNION ALL SELECT msme_key, 3 FROM success_profile_g) a GROUP BY msme_key) b"
+)
+_ROLLED = "(SELECT p.msme_key, p.industry, p.msme_category, year(f.registration_date_id) AS y FROM success_profile_g p LEFT JOIN success_fact_g f ON p.msme_key = f.msme_key)"
+SQL["distinct_rollup"] = q(
+    f"SELECT 'total' AS axis, CAST(NULL AS VARCHAR) AS member, count(DISTINCT msme_key) AS total_msmes FROM {_ROLLED} r "
+    + " ".join(
+        f"UNION ALL SELECT '{axis}', CAST({column} AS VARCHAR), count(DISTINCT msme_key) FROM {_ROLLED} r GROUP BY {column}"
+        for axis, column in [("industry", "industry"), ("msme_category", "msme_category"), ("registration_year", "y")]
+    )
+)
+_TARGET = f"CAST(CAST({TOTAL_MSMES} AS DECIMAL(38,0)) * 1.1 AS DECIMAL(38,2))"
+
+
+def _registration_visuals(profile: str, dates: str) -> str:
+    return (
+        f"SELECT 'cards' AS visual, CAST(NULL AS DATE) AS registration_date_id, CAST(NULL AS VARCHAR) AS industry, {TOTAL_MSMES} AS total_msmes, {_TARGET} AS msme_target "
+        f"FROM {profile} UNION ALL SELECT 'trend', registration_date_id, NULL, total_msmes, NULL FROM ({_TREND.format(profile=profile, dates=dates)}) t "
+        f"UNION ALL SELECT 'share', NULL, industry, {TOTAL_MSMES}, NULL FROM {profile} GROUP BY industry HAVING count(DISTINCT msme_key) > 0"
+    )
+
+
+SQL["page_registration_visuals"] = q(_registration_visuals("success_profile_g", "date_success_g"))
+SQL["page_registration_visuals_by_year"] = q(_registration_visuals("reg_profile", "reg_dates"), REG_CTX)
+SQL["page_activity_visuals"] = q(
+    f"SELECT 'cards' AS visual, CAST(NULL AS VARCHAR) AS industry, CAST(NULL AS VARCHAR) AS support_name, (SELECT {_sum('attendance_number')} FROM act_fact) AS total_attendance, "
+    f"(SELECT CAST({_sum('activity_duration')} AS DOUBLE) / CAST(8 AS DOUBLE) FROM act_fact) AS training_days, "
+    f"{ACT_MEASURES['total_loan']} AS total_loan, {ACT_MEASURES['loan_approved']} AS loan_approved "
+    f"UNION ALL SELECT 'loan', industry, NULL, NULL, NULL, total_loan, NULL FROM ({_LOAN_BY.format(fact='success_fact_g')}) l "
+    f"UNION ALL SELECT 'attendance', NULL, s.support_name, {_sum('a.attendance_number')}, NULL, NULL, NULL FROM act_fact a "
+    "LEFT JOIN support_activity_g s ON a.support_id = s.support_id GROUP BY s.support_name HAVING sum(a.attendance_number) IS NOT NULL",
+    ACT_Q1_CTX,
+)
+
+
+def _quality(table: str, source: str, kept: str = "TRUE", text_date: str | None = None) -> str:
+    nulled = f"count(CASE WHEN {kept} AND {text_date} IS NOT NULL AND {_parse(text_date)} IS NULL THEN 1 END)" if text_date else "0"
+    return (
+        f"SELECT '{table}' AS table_name, count(*) AS rows_in, count(CASE WHEN {kept} THEN 1 END) AS rows_out, "
+        f"count(CASE WHEN NOT ({kept}) THEN 1 END) AS rows_dropped, CAST({nulled} AS BIGINT) AS values_nulled FROM {source}"
+    )
+
+
+SQL["write_quality"] = q(
+    " UNION ALL ".join(
+        [
+            _quality("success_updated", "b_success_spark", "TRUE", "date_enregistrement"),
+            _quality("job_updated", "b_success_job", "date_collecte IS NOT NULL", "date_collecte"),
+            _quality("sales_updated", "b_success_sales", "TRUE", "sales_reporting_date"),
+            _quality("participant_updated", "b_participants"),
+            _quality("hiring_updated", "b_hired"),
+            _quality("firing_updated", "b_fired"),
+            _quality("activity_updated", "b_activity", "attendance_number IS NOT NULL", "activity_date"),
+        ]
+    )
+)
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(SQL)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,6 +14,8 @@ DISPLAY_UNITS = {1: "", 1000: "K", 1000000: "M"}
 # Optional decimals of the ``currency`` format, and the type that holds them.
 MAX_DECIMALS = 15
 EXACT = "decimal(38,15)"
+# Twelve places before a display unit divides, so that the quotient's 15 are exact.
+WITH_UNIT = "decimal(33,12)"
 
 
 def _number_text(value: Column, decimals: int) -> Column:
@@ -32,12 +36,15 @@ def format_kpi(value: Column | str, pattern: str = "integer", unit: int = 1) ->
         return F.date_format(col, "M/d/yyyy")
     if unit not in DISPLAY_UNITS:
         raise ValueError(f"unit must be one of {sorted(DISPLAY_UNITS)}")
-    scaled = (col.cast("decimal(30,8)") / F.lit(unit)).cast(EXACT) if unit != 1 else col.cast(EXACT)
+    # A value beyond the decimal's 21 (23 without a unit) digits before the point shows as it is.
+    exact = col.try_cast(WITH_UNIT if unit != 1 else EXACT)
+    scaled = exact if unit == 1 else (exact * F.lit(Decimal(1) / unit)).cast(EXACT)
+    beyond = F.when(exact.isNull(), col.cast("string"))
     suffix = F.lit(DISPLAY_UNITS[unit])
     if pattern == "integer":
         body = F.concat(_number_text(scaled, 0), suffix)
         body = F.regexp_replace(body, ",", "")
-        return F.when(col.isNull(), F.lit(None)).when(F.round(scaled, 0) < 0, F.concat(F.lit("-"), body)).otherwise(body)
+        return F.when(exact.isNull(), beyond).when(F.round(scaled, 0) < 0, F.concat(F.lit("-"), body)).otherwise(body)
     if pattern in ("currency0", "currency2", "currency"):
         decimals = {"currency0": 0, "currency2": 2, "currency": MAX_DECIMALS}[pattern]
         digits = _number_text(scaled, decimals)
@@ -45,7 +52,7 @@ def format_kpi(value: Column | str, pattern: str = "integer", unit: int = 1) ->
             digits = F.regexp_replace(digits, r"\.?0+$", "")
         body = F.concat(F.lit("$"), digits, suffix)
         return (
-            F.when(col.isNull(), F.lit(None))
+            F.when(exact.isNull(), beyond)
             .when(F.round(scaled, decimals) < 0, F.concat(F.lit("("), body, F.lit(")")))
             .otherwise(body)
         )

@@ -17,6 +17,7 @@ Groups whose measures are all blank are not returned.
 
 from __future__ import annotations
 
+import dataclasses
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
@@ -45,6 +46,11 @@ class DateSet:
     member: Callable[[Column, Column, Column, Column], Column] | None = None
     # Besides, the visible dates moved by so many months are in the set.
     moved: int | None = None
+    # Whether visible dates that leave out a date of the calendar between them are refused.
+    contiguous: bool = False
+
+
+GAP_TEXT = "the dates selected on the calendar have a gap; a month shift needs a contiguous selection"
 
 
 def date_set_bounds(ctx: FilterContext, sets: Sequence[DateSet]) -> tuple | None:
@@ -122,13 +128,18 @@ class Measure:
         """Partial results per key add up to the group result (sums and counts)."""
         return self.kind in ("sum", "count_rows", "count_where")
 
-    def partial_agg(self) -> Column:
-        """Per-key partial aggregate of a decomposable measure."""
+    def partial_agg(self, where: Column | None = None) -> Column:
+        """Per-key partial aggregate of a decomposable measure, of all rows or of those where
+        ``where`` holds."""
+
+        def only(value: Column) -> Column:
+            return value if where is None else F.when(where, value)
+
         if self.kind == "sum":
-            return F.sum(self._value())
+            return F.sum(only(self._value()))
         if self.kind == "count_rows":
-            return F.count(F.lit(1))
-        return F.count(F.when(self.condition(), F.lit(1)))  # type: ignore[misc]
+            return F.count(only(F.lit(1)))
+        return F.count(only(F.when(self.condition(), F.lit(1))))  # type: ignore[misc]
 
     def partial(self, df: DataFrame, key: str) -> DataFrame:
         """Per join key: partial aggregate in ``__p``. For count_distinct, the values: where the
@@ -255,6 +266,9 @@ def _date_flags(model: StarModel, ctx: FilterContext, date_table: str, cal_col:
         .select("__d", "__v", F.min(seen).over(whole).alias("__lo"), F.max(seen).over(whole).alias("__hi"))
     )
     day, v, lo, hi = (F.col(c) for c in ("__d", "__v", "__lo", "__hi"))
+    if any(s.contiguous for s in sets):
+        gap = F.coalesce(F.bool_or(~v & (day > lo) & (day < hi)).over(whole), F.lit(False))
+        days = days.withColumn("__v", F.when(gap, F.raise_error(F.lit(GAP_TEXT)).cast("boolean")).otherwise(v))
 
     def entry(date: Column, values: Sequence[Column], listed: bool) -> Column:
         flags = [F.coalesce(x, F.lit(False)).alias(n) for n, x in zip(names, values, strict=True)]
@@ -330,13 +344,7 @@ def evaluate(model: StarModel, ctx: FilterContext, measures: Sequence[Item | str
             if target is not None:
                 dt = target[1]
                 col = dated[target][0][1].date_col
-                visible = DateSet(
-                    dt,
-                    col,
-                    lambda model, ctx, dt=dt, col=col: model.scoped(dt, ctx).select(col),
-                    member=lambda day, visible, lo, hi: visible,
-                )
-                dated[target].append((m, visible))
+                dated[target].append((m, _visible_set(dt, col)))
                 continue
         if m.scope is not None:
             groups.append((m, [m]))
@@ -356,6 +364,62 @@ def evaluate(model: StarModel, ctx: FilterContext, measures: Sequence[Item | str
     return row.select(*names)
 
 
+def _dated_groups(model: StarModel, ctx: FilterContext, group_table: str, base: list[Measure]) -> dict[tuple[str, str], list[tuple[Measure, DateSet | None]]]:
+    """The sums and counts over date sets that a chart shows, by fact and calendar, with the plain
+    measures of the same facts (their set: the visible dates, or no set where the calendar isn't
+    filtered). Not where the chart's axis is that calendar: a date set replaces its filter."""
+    dated: dict[tuple[str, str], list[tuple[Measure, DateSet | None]]] = {}
+    for m in base:
+        ds = m.date_set
+        if ds is None or not m.decomposable or not _direct_date_column(model, ds.date_table, m.table):
+            continue
+        if group_table in (ds.date_table, m.table) or model.path(group_table, m.table) is None or model.inbound(ds.date_table):
+            continue
+        dated.setdefault((m.table, ds.date_table), []).append((m, ds))
+    for m in base:
+        if m.scope is not None or m.context is not None or not m.decomposable:
+            continue
+        target = next((k for k in dated if k[0] == m.table), None)
+        if target is not None:
+            col = next(ds.date_col for _, ds in dated[target] if ds is not None)
+            dated[target].append((m, _visible_set(target[1], col) if ctx.predicate_for(target[1]) is not None else None))
+    return dated
+
+
+def _visible_set(date_table: str, date_col: str) -> DateSet:
+    return DateSet(
+        date_table,
+        date_col,
+        lambda model, ctx: model.scoped(date_table, ctx).select(date_col),
+        member=lambda day, visible, lo, hi: visible,
+    )
+
+
+def _dated_by(
+    model: StarModel, ctx: FilterContext, group_table: str, group_cols: Sequence[str], table: str, date_table: str, members: list[tuple[Measure, DateSet | None]]
+) -> DataFrame:
+    """Several measures of one fact over date sets of one calendar, per group, in ONE fact scan: the
+    date flags are broadcast into one join, and one pre-aggregation by the chart's join key sums each
+    measure's flagged rows."""
+    sets = [ds for _, ds in members if ds is not None]
+    fact_col = _direct_date_column(model, date_table, table)
+    flags = _date_flags(model, ctx, date_table, sets[0].date_col, sets)
+    rows = model.scoped(table, ctx.removing_table(date_table))
+    every = len(sets) == len(members)
+    bounds = date_set_bounds(ctx, sets) if every else None
+    pred = range_predicate(fact_col, bounds) if bounds else None  # type: ignore[arg-type]
+    if pred is not None:
+        rows = rows.filter(pred)
+    flagged = model.bounded(date_table, sets[0].date_col, flags, "__d")
+    joined = rows.join(flagged, F.col(fact_col) == F.col("__d"), "inner" if every else "left")  # type: ignore[arg-type]
+    join_col, mapping = model.group_mapping(group_table, group_cols, table, ctx)
+    where = [None if ds is None else F.col(f"__f{sets.index(ds)}") for _, ds in members]
+    partials = [m.partial_agg(w).alias(f"__p{i}") for i, ((m, _), w) in enumerate(zip(members, where, strict=True))]
+    partial = joined.groupBy(F.col(join_col).alias("__k")).agg(*partials)
+    finals = [m.final(f"__p{i}") for i, (m, _) in enumerate(members)]
+    return partial.join(mapping, F.col("__k") == F.col("__gkey"), "left").groupBy(*group_cols).agg(*finals)
+
+
 def evaluate_by(
     model: StarModel,
     ctx: FilterContext,
@@ -371,10 +435,14 @@ def evaluate_by(
     """
     base, derived, names = _as_items(catalog, measures)
     group_cols = list(group_cols)
+    dated = _dated_groups(model, ctx, group_table, base)
+    in_dated = {id(m) for members in dated.values() for m, _ in members}
     # Decomposable measures of one table under one effective context share a scan, a
     # pre-aggregation and a join; the others are evaluated one by one.
     batches: list[list[Measure]] = []
     for m in base:
+        if id(m) in in_dated:
+            continue
         for batch in batches:
             head = batch[0]
             if (
@@ -389,7 +457,7 @@ def evaluate_by(
                 break
         else:
             batches.append([m])
-    parts: list[DataFrame] = []
+    parts = [_dated_by(model, ctx, group_table, group_cols, t, dt, members) for (t, dt), members in dated.items()]
     for batch in batches:
         head = batch[0]
         rows = head.rows(model, ctx)
@@ -432,6 +500,50 @@ def evaluate_by(
     return out.select(*group_cols, *names)
 
 
+def highlight_by(
+    model: StarModel,
+    ctx: FilterContext,
+    selection: FilterContext,
+    group_table: str,
+    group_cols: Sequence[str],
+    measures: Sequence[Measure],
+) -> DataFrame:
+    """A chart while members are picked in another one: per group each measure under ``ctx`` and,
+    as ``<name>_highlighted``, the part under ``ctx`` and ``selection``, in one scan of each fact.
+    The selection marks rows (``StarModel.marked``) and doesn't filter them; groups without a
+    highlighted part stay, with a blank one."""
+    group_cols = list(group_cols)
+    flag, parts = F.col("__mark"), []
+    by_table: dict[str, list[Measure]] = {}
+    for m in measures:
+        if m.scope is not None or m.context is not None:
+            raise ValueError(f"{m.name} has a context of its own")
+        by_table.setdefault(m.table if m.decomposable else f"{m.table}.{m.column}", []).append(m)
+    for batch in by_table.values():
+        table = batch[0].table
+        rows = model.marked(table, ctx, selection, "__mark")
+        lit_up = [dataclasses.replace(m, name=f"{m.name}_highlighted") for m in batch]
+        if table == group_table:
+            parts.append(rows.groupBy(*group_cols).agg(*[m.aggregate() for m in batch], *[m.aggregate(flag) for m in lit_up]))
+            continue
+        join_col, mapping = model.group_mapping(group_table, group_cols, table, ctx)
+        keyed = rows.withColumn("__k", F.col(join_col))
+        if batch[0].decomposable:
+            partial = keyed.groupBy("__k").agg(
+                *[m.partial_agg().alias(f"__p{i}") for i, m in enumerate(batch)], *[m.partial_agg(flag).alias(f"__h{i}") for i, m in enumerate(batch)]
+            )
+            finals = [m.final(f"__p{i}") for i, m in enumerate(batch)] + [m.final(f"__h{i}") for i, m in enumerate(lit_up)]
+        else:
+            values = keyed.groupBy("__k", F.col(batch[0].column).alias("__p")).agg(F.bool_or(flag).alias("__m"))  # type: ignore[arg-type]
+            partial = values.withColumn("__h", F.when(F.col("__m"), F.col("__p")))
+            finals = [m.final("__p") for m in batch] + [m.final("__h") for m in lit_up]
+        parts.append(partial.join(mapping, F.col("__k") == F.col("__gkey"), "left").groupBy(*group_cols).agg(*finals))
+    names = [n for m in measures for n in (m.name, f"{m.name}_highlighted")]
+    every = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    out = every if len(parts) == 1 else every.groupBy(*group_cols).agg(*[F.first(F.col(n), ignorenulls=True).alias(n) for n in names])
+    return out.filter(F.coalesce(*[F.col(m.name) for m in measures]).isNotNull()).select(*group_cols, *names)
+
+
 def implicit_aggregates(df: DataFrame, summarize: Mapping[str, str], fields: Sequence[str]) -> DataFrame:
     """A visual's implicit query: fields whose default summary is ``sum`` are summed, the others
     are grouping columns."""
@@ -456,6 +568,7 @@ __all__ = [
     "Measure",
     "evaluate",
     "evaluate_by",
+    "highlight_by",
     "implicit_aggregates",
     "share_of_total",
 ]

@@ -161,6 +161,21 @@ class StarModel:
         """Rows of ``table`` visible under ``ctx``."""
         return self._scoped(table, ctx, None, frozenset())
 
+    def marked(self, table: str, ctx: FilterContext, selection: FilterContext, name: str) -> DataFrame:
+        """Rows of ``table`` visible under ``ctx``, with a flag: also visible under ``selection``. The
+        selection's keys arrive by left joins on distinct keys, so no row is dropped or repeated."""
+        df = self.scoped(table, ctx)
+        pred = selection.predicate_for(table)
+        flag = F.lit(True) if pred is None else F.coalesce(pred, F.lit(False))
+        df = df.withColumn(name, flag)
+        for i, hop in enumerate(self.inbound(table)):
+            if not self._filtered(hop.src, selection, hop.rel, frozenset({hop.rel})):
+                continue
+            keys = self._key_frame(hop, selection, frozenset()).distinct().select(F.col("__key").alias(f"__key{i}"))
+            joined = df.join(keys, F.col(hop.dst_col) == F.col(f"__key{i}"), "left")
+            df = joined.withColumn(name, F.col(name) & F.col(f"__key{i}").isNotNull()).drop(f"__key{i}")
+        return df
+
     # --- grouping across tables ----------------------------------------------------------------
     def group_mapping(self, group_table: str, group_cols: Sequence[str], target: str, ctx: FilterContext) -> tuple[str, DataFrame]:
         """Map rows of ``target`` to group values of ``group_table``.

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kpi_lake.operators.context import FilterContext, range_predicate
-from kpi_lake.operators.measures import DateSet, Measure, date_set_bounds
+from kpi_lake.operators.measures import GAP_TEXT, DateSet, Measure, date_set_bounds
 from kpi_lake.operators.model import StarModel
 
 
@@ -59,12 +59,14 @@ def shifted_dates(
     date_col: str,
     months: int = -1,
     extend_month_end: bool = True,
+    contiguous: bool = True,
 ) -> DataFrame:
     """Visible dates moved by ``months`` (month ends clamp), kept only where the calendar has them.
 
     With ``extend_month_end`` a selection of whole months (first visible date is a first of
     month, last visible date a last of month) maps to whole shifted months: the days after the
-    shifted last date up to the end of its month are added.
+    shifted last date up to the end of its month are added. With ``contiguous`` the query fails
+    where the visible dates leave out a date of the calendar between the first and the last.
     """
     c = F.col(date_col)
     visible = model.scoped(date_table, ctx).select(date_col)
@@ -77,6 +79,11 @@ def shifted_dates(
         moved_hi = F.add_months(hi, months)
         tail = calendar.filter(whole_months & (c > moved_hi) & (c <= F.last_day(moved_hi)))
         dates = dates.unionByName(tail)
+    if contiguous:
+        lo, hi = visible_bounds(model, ctx, date_table, date_col)
+        left_out = calendar.filter((c > lo) & (c < hi)).join(visible.select(c.alias("__v")), c == F.col("__v"), "left_anti")
+        gap = left_out.agg(F.count(F.lit(1)) > 0).scalar()
+        dates = dates.filter(F.when(gap, F.raise_error(F.lit(GAP_TEXT)).cast("boolean")).otherwise(F.lit(True)))
     return dates
 
 
@@ -95,11 +102,15 @@ def month_to_date(base: Measure, date_table: str, date_col: str, name: str) -> M
     return dataclasses.replace(base, name=name, scope=scope, date_set=DateSet(date_table, date_col, dates, 0, member))
 
 
-def shift_months(base: Measure, date_table: str, date_col: str, name: str, months: int = -1, extend_month_end: bool = True) -> Measure:
-    """``base`` over the visible calendar dates moved by ``months`` (replacing the calendar's filter)."""
+def shift_months(
+    base: Measure, date_table: str, date_col: str, name: str, months: int = -1, extend_month_end: bool = True, contiguous: bool = True
+) -> Measure:
+    """``base`` over the visible calendar dates moved by ``months`` (replacing the calendar's filter).
+    A selection with gaps is refused when the query runs, unless ``contiguous`` is off: then each
+    date is moved by itself."""
 
     def dates(model: StarModel, ctx: FilterContext) -> DataFrame:
-        return shifted_dates(model, ctx, date_table, date_col, months, extend_month_end)
+        return shifted_dates(model, ctx, date_table, date_col, months, extend_month_end, contiguous)
 
     def member(day: Column, visible: Column, lo: Column, hi: Column) -> Column:
         """The tail of a whole-month selection; the moved dates themselves are ``moved``."""
@@ -114,7 +125,7 @@ def shift_months(base: Measure, date_table: str, date_col: str, name: str, month
     def scope(model: StarModel, ctx: FilterContext) -> DataFrame:
         return _restrict(model, ctx, base.table, date_table, dates(model, ctx), date_col, back)
 
-    return dataclasses.replace(base, name=name, scope=scope, date_set=DateSet(date_table, date_col, dates, back, member, months))
+    return dataclasses.replace(base, name=name, scope=scope, date_set=DateSet(date_table, date_col, dates, back, member, months, contiguous))
 
 
 __all__ = ["month_to_date", "month_to_date_dates", "shift_months", "shifted_dates", "visible_bounds"]

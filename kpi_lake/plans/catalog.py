@@ -24,7 +24,8 @@ from kpi_lake.functions.formatting import format_kpi
 from kpi_lake.operators import context as C
 from kpi_lake.operators import star
 from kpi_lake.operators.keymap import KeyMap
-from kpi_lake.operators.measures import evaluate, evaluate_by, implicit_aggregates, one_row
+from kpi_lake.operators.lookup import table_lookup
+from kpi_lake.operators.measures import evaluate, evaluate_by, highlight_by, implicit_aggregates, one_row
 from kpi_lake.operators.quality import QualityCounters
 from kpi_lake.operators.rollup import distinct_count, distinct_rollup
 from kpi_lake.plans import dashboard as D
@@ -180,6 +181,34 @@ def sink_two_layers(spark, sf_dir):
     )
 
 
+@query("sink_versioned")
+def sink_versioned(spark, sf_dir):
+    """A versioned table after two full refreshes: readers see the second."""
+    lake = Lake(root=scratch_lake(spark, sf_dir, f"versioned-{uuid.uuid4().hex[:8]}").root, versioned=True)
+    orders = read_table(spark, source_lake(sf_dir), "", "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    write_table(orders.where("o_orderkey % 2 = 0"), lake, "gold", "orders")
+    write_table(orders, lake, "gold", "orders")
+    return read_table(spark, lake, "gold", "orders")
+
+
+@query("sink_merge_nested")
+def sink_merge_nested(spark, sf_dir):
+    """A refresh whose struct, and structs in an array, lost a field and gained one: the lost ones
+    survive as null."""
+    lake = scratch_lake(spark, sf_dir, f"nested-{uuid.uuid4().hex[:8]}")
+    orders = read_table(spark, source_lake(sf_dir), "", "orders")
+    old = F.struct(F.col("o_custkey").alias("customer"), F.col("o_orderstatus").alias("status"))
+    new = F.struct(F.col("o_custkey").alias("customer"), F.col("o_orderpriority").alias("priority"))
+    for info in (old, new):
+        df = orders.select("o_orderkey", info.alias("info"), F.array(info, F.lit(None)).alias("history"))
+        write_table(df, lake, "gold", "orders", schema_mode="merge")
+    found = read_table(spark, lake, "gold", "orders")
+    first = F.col("history")[0]
+    return found.select(
+        "o_orderkey", "info.customer", "info.status", "info.priority", first["status"].alias("first_status"), first["priority"].alias("first_priority"), F.size("history").alias("n")
+    )
+
+
 @query("copy_table")
 def copy_table_query(spark, sf_dir):
     from kpi_lake.sources.layers import copy_table
@@ -792,6 +821,40 @@ def page_activity_visuals(spark, sf_dir):
     return D.page_visuals(model(spark, sf_dir), D.activity_context(activity_period=[(2024, 1)]), "activity")
 
 
+@query("sales_months_by_industry")
+def sales_months_by_industry(spark, sf_dir):
+    """Sales, month to date and last month by industry, in one scan of the sales."""
+    names = ["total_sales", "current_month_sales", "last_month_sales"]
+    return evaluate_by(model(spark, sf_dir), saved_performance_context(), "success_profile", ["industry"], names, CATALOG)
+
+
+@query("sales_months_by_category_unfiltered")
+def sales_months_by_category_unfiltered(spark, sf_dir):
+    """The same by category without a selected period: total sales keep rows without a date."""
+    names = ["total_sales", "current_month_sales", "last_month_sales"]
+    return evaluate_by(model(spark, sf_dir), C.EMPTY, "success_profile", ["msme_category"], names, CATALOG)
+
+
+@query("highlight_loans")
+def highlight_loans(spark, sf_dir):
+    """The loan chart by industry and the businesses, with the category Micro picked elsewhere: each
+    industry's whole and its chosen part."""
+    picked = C.EMPTY.where("success_profile", C.equals("msme_category", "Micro"), "msme_category")
+    chosen = [CATALOG["total_loan"], CATALOG["total_msmes"]]
+    return highlight_by(model(spark, sf_dir), C.EMPTY, picked, "success_profile", ["industry"], chosen)
+
+
+@query("table_lookup")
+def table_lookup_query(spark, sf_dir):
+    """Look-ups in tables: each customer's nation by its key, and of the nation's suppliers the first
+    by balance, where several rows have one key."""
+    source = source_lake(sf_dir)
+    customers, nations, suppliers = (read_table(spark, source, "", t) for t in ("customer", "nation", "supplier"))
+    named = table_lookup(customers.select("c_custkey", "c_nationkey"), ["c_nationkey"], nations, ["n_nationkey"], ["n_name"], defaults={"n_name": "unknown"})
+    order = [-F.col("s_acctbal"), F.col("s_suppkey")]
+    return table_lookup(named, ["c_nationkey"], suppliers, ["s_nationkey"], ["s_suppkey", "s_name"], "first", order)
+
+
 @query("write_quality")
 def write_quality(spark, sf_dir):
     """Counters of the silver writes, taken by the writes themselves: rows read, written and dropped,

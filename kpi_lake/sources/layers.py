@@ -13,9 +13,9 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, DataType, MapType, StructField, StructType
 
 LAYERS = ("bronze", "silver", "gold")
 
@@ -24,6 +24,8 @@ LAYERS = ("bronze", "silver", "gold")
 STAGING, REPLACED = ".__staging-", ".__replaced-"
 # A hidden file in each table folder that names its last full refresh (see ``refresh_id``).
 REFRESH_FILE = "_refresh_id"
+# In the folder of a versioned table: names of its versions, and of the file that names the current.
+VERSION, POINTER = "v-", "_current"
 
 
 class SchemaConflictError(ValueError):
@@ -42,6 +44,10 @@ class Lake:
     root: str
     fmt: str = "parquet"
     pattern: str = "{root}/{layer}/{name}"
+    #: File tables as versions: a full refresh writes a folder of its own inside the table's, and a
+    #: small file that names the current one is replaced in one step. Readers never find the table
+    #: missing; the version before stays for those that have begun to read it.
+    versioned: bool = False
 
     def path(self, layer: str, name: str) -> str:
         return self.pattern.format(root=self.root.rstrip("/"), layer=layer, name=name)
@@ -54,15 +60,83 @@ def source_lake(sf_dir: str) -> Lake:
 
 def read_table(spark: SparkSession, lake: Lake, layer: str, name: str) -> DataFrame:
     """Lazy scan of one table; projections and filters applied later reach the file scan."""
-    if lake.fmt != "delta":
+    if lake.fmt != "delta" and not lake.versioned:
         _recover(spark, lake.path(layer, name))
-    return spark.read.format(lake.fmt).load(lake.path(layer, name))
+    return spark.read.format(lake.fmt).load(table_path(spark, lake, layer, name))
+
+
+def table_path(spark: SparkSession, lake: Lake, layer: str, name: str) -> str:
+    """The folder that holds the table's files now."""
+    path = lake.path(layer, name)
+    versions = _pointer(spark, path) if lake.versioned else []
+    return f"{path}/{versions[0]}" if versions else path
+
+
+def _pointer(spark: SparkSession, path: str) -> list[str]:
+    """The current version's folder and the one before, as far as there are any."""
+    text = _read_mark(spark, f"{path}/{POINTER}")
+    return text.split("\n") if text else []
+
+
+def _point_to(spark: SparkSession, path: str, versions: list[str]) -> None:
+    """Replace the pointer file in one step: a rename that overwrites, or, on a store without one
+    (where creating a small object is one step), creating it."""
+    jvm, gateway = spark._jvm, spark.sparkContext._gateway  # noqa: SLF001
+    new = f"{path}/{POINTER}.{uuid.uuid4().hex[:12]}"
+    write_mark(spark, new, "\n".join(versions))
+    src, fs = _fs_path(spark, new)
+    dst, _ = _fs_path(spark, f"{path}/{POINTER}")
+    rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    overwrite = gateway.new_array(rename, 1)
+    overwrite[0] = rename.OVERWRITE
+    try:
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())  # noqa: SLF001
+    except Exception as e:  # a store without that interface
+        if "UnsupportedFileSystemException" not in str(e):
+            raise
+        write_mark(spark, f"{path}/{POINTER}", "\n".join(versions))
+        fs.delete(src, False)
+        return
+    context.rename(src, dst, overwrite)
+
+
+def _write_version(spark: SparkSession, writer, path: str) -> None:
+    """A full refresh: write a new version, point to it, and let go of the one before the last."""
+    version = f"{VERSION}{uuid.uuid4().hex[:12]}"
+    try:
+        writer.save(f"{path}/{version}")
+    except Exception:
+        _delete(spark, f"{path}/{version}")
+        raise
+    before = _pointer(spark, path)
+    _point_to(spark, path, [version, *before[:1]])
+    for old in before[1:]:
+        _delete(spark, f"{path}/{old}")
+
+
+def remove_unreferenced(spark: SparkSession, lake: Lake, layer: str, name: str) -> list[str]:
+    """Delete the versions and pointer files that refreshes which were cut off left in a table's
+    folder; not while one is running. Returns their names."""
+    path = lake.path(layer, name)
+    folder, fs = _fs_path(spark, path)
+    keep = {POINTER, *_pointer(spark, path)}
+    found = [f.getPath().getName() for f in fs.listStatus(folder)] if fs.exists(folder) else []
+    gone = [n for n in found if n not in keep and (n.startswith(VERSION) or n.startswith(POINTER))]
+    for n in gone:
+        _delete(spark, f"{path}/{n}")
+    return sorted(gone)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    hpath, fs = _fs_path(spark, path)
+    if fs.exists(hpath):
+        fs.delete(hpath, True)
 
 
 def _existing_schema(spark: SparkSession, lake: Lake, layer: str, name: str) -> StructType | None:
     """Schema of the stored table; None where there is no folder or no file in it. Any other
     failure to read it is raised: a table that can't be read must not be taken for none."""
-    path = lake.path(layer, name)
+    path = table_path(spark, lake, layer, name)
     hpath, fs = _fs_path(spark, path)
     if not fs.exists(hpath):
         return None
@@ -76,7 +150,7 @@ def _existing_schema(spark: SparkSession, lake: Lake, layer: str, name: str) ->
 
 def table_exists(spark: SparkSession, lake: Lake, layer: str, name: str) -> bool:
     """Whether the table is there, with a file that gives its schema."""
-    if lake.fmt != "delta":
+    if lake.fmt != "delta" and not lake.versioned:
         _recover(spark, lake.path(layer, name))
     return _existing_schema(spark, lake, layer, name) is not None
 
@@ -103,7 +177,13 @@ def _recover(spark: SparkSession, path: str) -> None:
 def refresh_id(spark: SparkSession, lake: Lake, layer: str, name: str) -> str | None:
     """Names the last full refresh of a table by this library; appends keep it. None for folders
     that others wrote."""
-    hpath, fs = _fs_path(spark, f"{lake.path(layer, name)}/{REFRESH_FILE}")
+    if lake.versioned:
+        return next(iter(_pointer(spark, lake.path(layer, name))), None)
+    return _read_mark(spark, f"{lake.path(layer, name)}/{REFRESH_FILE}")
+
+
+def _read_mark(spark: SparkSession, path: str) -> str | None:
+    hpath, fs = _fs_path(spark, path)
     if not fs.exists(hpath):
         return None
     stream = fs.open(hpath)
@@ -142,8 +222,39 @@ def _swap_into_place(spark: SparkSession, staged: str, path: str) -> None:
 
 def _merge_frame(df: DataFrame, old: StructType) -> DataFrame:
     """New rows carrying every old column: columns the new frame lacks are filled with null."""
+    stored = {f.name: f.dataType for f in old.fields}
+    shared = [_conform(F.col(f"`{f.name}`"), f.dataType, _merged_type(stored.get(f.name, f.dataType), f.dataType, f.name)).alias(f.name) for f in df.schema.fields]
     extra = [f for f in old.fields if f.name not in df.columns]
-    return df.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in extra])
+    return df.select(*shared, *[F.lit(None).cast(f.dataType).alias(f.name) for f in extra])
+
+
+def _merged_type(old: DataType, new: DataType, name: str) -> DataType:
+    """The type that holds both: structs, also inside arrays and map values, have the stored fields
+    and then the new ones. Anything else has to be equal."""
+    if isinstance(old, StructType) and isinstance(new, StructType):
+        own = {f.name: f.dataType for f in new.fields}
+        kept = [StructField(f.name, _merged_type(f.dataType, own.get(f.name, f.dataType), f"{name}.{f.name}")) for f in old.fields]
+        return StructType(kept + [StructField(f.name, f.dataType) for f in new.fields if f.name not in {k.name for k in old.fields}])
+    if isinstance(old, ArrayType) and isinstance(new, ArrayType):
+        return ArrayType(_merged_type(old.elementType, new.elementType, f"{name}.element"))
+    if isinstance(old, MapType) and isinstance(new, MapType) and old.keyType.simpleString() == new.keyType.simpleString():
+        return MapType(old.keyType, _merged_type(old.valueType, new.valueType, f"{name}.value"))
+    if old.simpleString() != new.simpleString():
+        raise SchemaConflictError(f"column {name} is {old.simpleString()} in the stored table, {new.simpleString()} in the new data; write with schema_mode='replace'")
+    return new
+
+
+def _conform(value: Column, have: DataType, want: DataType) -> Column:
+    """A value with the fields of a merged type; those that it lacks are null, a null stays null."""
+    if have.simpleString() == want.simpleString():
+        return value
+    if isinstance(have, StructType) and isinstance(want, StructType):
+        own = {f.name: f.dataType for f in have.fields}
+        fields = [_conform(value.getField(f.name), own[f.name], f.dataType) if f.name in own else F.lit(None).cast(f.dataType) for f in want.fields]
+        return F.when(value.isNotNull(), F.struct(*[c.alias(f.name) for c, f in zip(fields, want.fields, strict=True)]))
+    if isinstance(have, ArrayType) and isinstance(want, ArrayType):
+        return F.transform(value, lambda x: _conform(x, have.elementType, want.elementType))
+    return F.transform_values(value, lambda _, v: _conform(v, have.valueType, want.valueType))  # type: ignore[attr-defined]
 
 
 def _check_columns(df: DataFrame, old: StructType, path: str) -> None:
@@ -187,23 +298,23 @@ def write_table(
       ``keep``    overwrite; stored columns must not be dropped nor change their type.
       ``replace`` overwrite and take the new schema as it is.
       ``merge``   overwrite; columns of the stored table that the new data lacks survive as null,
-                  shared ones must not change their type.
+                  so do fields of structs, at any depth; shared ones must not change their type.
     """
     if schema_mode not in ("keep", "replace", "merge"):
         raise ValueError(f"schema_mode must be keep, replace or merge, not {schema_mode!r}")
     spark = df.sparkSession
     path = lake.path(layer, name)
     writer_df = df
-    if lake.fmt != "delta":
+    if lake.fmt != "delta" and not lake.versioned:
         _recover(spark, path)
     if lake.fmt != "delta" and schema_mode != "replace" and mode in ("overwrite", "append"):
         old = _existing_schema(spark, lake, layer, name)
         if old is not None:
-            # appended files must not disagree with the stored ones on a column's type either
-            _check_compatible(df, old, path)
             if mode == "overwrite" and schema_mode == "merge":
                 writer_df = _merge_frame(df, old)
-            elif mode == "overwrite":
+            else:  # appended files must not disagree with the stored ones on a column's type either
+                _check_compatible(df, old, path)
+            if mode == "overwrite" and schema_mode == "keep":
                 _check_columns(df, old, path)
     if sort_within:
         writer_df = writer_df.sortWithinPartitions(*sort_within)
@@ -215,7 +326,12 @@ def write_table(
             writer = writer.option("mergeSchema", "true")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    if atomic and mode == "overwrite" and lake.fmt != "delta":
+    if lake.versioned and lake.fmt != "delta":
+        if mode == "append" and _pointer(spark, path):
+            writer.save(table_path(spark, lake, layer, name))
+        else:
+            _write_version(spark, writer, path)
+    elif atomic and mode == "overwrite" and lake.fmt != "delta":
         staged = f"{path}{STAGING}{uuid.uuid4().hex[:12]}"
         try:
             writer.save(staged)
@@ -271,8 +387,10 @@ __all__ = [
     "copy_table",
     "read_table",
     "refresh_id",
+    "remove_unreferenced",
     "source_lake",
     "table_exists",
+    "table_path",
     "write_many",
     "write_table",
 ]

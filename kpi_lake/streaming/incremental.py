@@ -39,6 +39,8 @@ def stream_checkpoint(spark: SparkSession, lake: Lake, silver_name: str) -> str:
 
 def _check_state(spark: SparkSession, lake: Lake, bronze_name: str, silver_name: str, checkpoint: str) -> None:
     """Refuse to go on with a bronze table that was refreshed, or a silver table without its log."""
+    if lake.versioned:
+        raise ValueError("a stream reads and writes plain folders, not versioned tables")
     current = refresh_id(spark, lake, "bronze", bronze_name) or NO_REFRESH
     mark = f"{checkpoint}/bronze_refresh"
     path, fs = _fs_path(spark, mark)

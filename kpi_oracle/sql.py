@@ -816,6 +816,45 @@ SQL["page_activity_visuals"] = q(
 )
 
 
+def _months_by(column: str, total: str, dates: dict[str, str]) -> str:
+    def by(name: str, where: str) -> str:
+        return (
+            f"SELECT m.{column}, '{name}' AS measure, {_sum('f.domestic_sale')} AS v FROM sales_fact_g f "
+            f"LEFT JOIN success_profile_g m ON f.msme_key = m.msme_key WHERE {where} GROUP BY m.{column}"
+        )
+
+    parts = [by("total_sales", total)] + [by(name, f"f.date_sales_id IN (SELECT date_sales_id FROM {d})") for name, d in dates.items()]
+    measures = ", ".join(f"max(CASE WHEN measure = '{n}' THEN v END) AS {n}" for n in ["total_sales", *dates])
+    return f"SELECT {column}, {measures} FROM ({' UNION ALL '.join(parts)}) t GROUP BY {column} HAVING count(v) > 0"
+
+
+_MONTHS = {"current_month_sales": "mtd_sales_dates", "last_month_sales": "prev_sales_dates"}
+SQL["sales_months_by_industry"] = q(_months_by("industry", "f.date_sales_id IN (SELECT date_sales_id FROM vis_sales)", _MONTHS), PERF_CTX)
+SQL["sales_months_by_category_unfiltered"] = q(
+    _months_by("msme_category", "TRUE", _MONTHS),
+    PERF_CTX.replace(f"WHERE date_sales_id >= DATE '{SALES_FROM}' AND date_sales_id < DATE '{SALES_TO}'", ""),
+)
+SQL["sink_versioned"] = "SELECT o_orderkey, o_custkey, o_totalprice FROM orders"
+SQL["sink_merge_nested"] = (
+    "SELECT o_orderkey, o_custkey AS customer, CAST(NULL AS VARCHAR) AS status, o_orderpriority AS priority, "
+    "CAST(NULL AS VARCHAR) AS first_status, o_orderpriority AS first_priority, 2 AS n FROM orders"
+)
+SQL["highlight_loans"] = q(
+    "SELECT l.industry, total_loan, total_loan_highlighted, total_msmes, total_msmes_highlighted FROM ("
+    "SELECT p.industry, CAST(sum(CAST(f.loan_amount AS DECIMAL(38,6))) AS DOUBLE) AS total_loan, "
+    "CAST(sum(CASE WHEN p.msme_category = 'Micro' THEN CAST(f.loan_amount AS DECIMAL(38,6)) END) AS DOUBLE) AS total_loan_highlighted "
+    "FROM success_fact_g f LEFT JOIN success_profile_g p ON f.msme_key = p.msme_key GROUP BY p.industry) l "
+    f"JOIN (SELECT industry, {TOTAL_MSMES} AS total_msmes, "
+    "CAST(NULLIF(count(DISTINCT CASE WHEN msme_category = 'Micro' THEN msme_key END), 0) AS BIGINT) AS total_msmes_highlighted "
+    "FROM success_profile_g GROUP BY industry) b ON l.industry IS NOT DISTINCT FROM b.industry"
+)
+SQL["table_lookup"] = q(
+    "SELECT c.c_custkey, c.c_nationkey, coalesce(n.n_name, 'unknown') AS n_name, s.s_suppkey, s.s_name FROM customer c "
+    "LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey LEFT JOIN (SELECT s_nationkey, s_suppkey, s_name, "
+    "row_number() OVER (PARTITION BY s_nationkey ORDER BY s_acctbal DESC, s_suppkey) AS r FROM supplier) s ON c.c_nationkey = s.s_nationkey AND s.r = 1"
+)
+
+
 def _quality(table: str, source: str, kept: str = "TRUE", text_date: str | None = None) -> str:
     nulled = f"count(CASE WHEN {kept} AND {text_date} IS NOT NULL AND {_parse(text_date)} IS NULL THEN 1 END)" if text_date else "0"
     return (

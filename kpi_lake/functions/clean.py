@@ -203,7 +203,13 @@ def to_int_trunc(c: ColumnOrName, dtype: str = "bigint") -> Column:
     """
     text = _col(c).cast("string")
     exact = F.when(text.rlike(NUMERIC_TEXT), F.trim(text).try_cast("decimal(38,10)")).try_cast(dtype)
-    return F.coalesce(_col(c).try_cast(dtype), exact)
+    # A cast that fails is caught row by row, which is slow: text is only cast if it reads as an integer.
+    direct = F.when((F.typeof(_col(c)) != "string") | text.rlike(INTEGER_TEXT), _col(c).try_cast(dtype))
+    return F.coalesce(direct, exact)
+
+
+# What a cast to an integer takes: digits, within blanks and control characters.
+INTEGER_TEXT = r"^[\x00-\x20\x7F]*[+-]?\d+[\x00-\x20\x7F]*$"
 
 
 # Fixed value: plain decimal text.

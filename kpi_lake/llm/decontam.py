@@ -8,9 +8,11 @@ original text.
 
 Scale: the documents are never shuffled; the automaton is built once per Python worker from the
 broadcast windows. The benchmark's size is measured first, without wordless items and repeated rows:
-while its text is at most ``max_broadcast_bytes`` there is one automaton; a larger benchmark is dealt
-by running size into parts of at most that size, the documents are scanned once per part, and the hits
-of one document are united. One item longer than that is an error.
+while its text is at most ``max_broadcast_bytes`` there is one automaton (some 500 bytes of memory a
+byte of text). A larger benchmark is dealt by running size into parts of at most that size; an item
+that is longer is first cut into pieces that overlap by a window less a word, so that they have just
+its windows. Parts are brought to the driver one at a time; the documents are scanned once per part,
+each part's hits are written before the next is read, and the hits of one document are united.
 
 Defined cases: a null or wordless text has no words and no hits; a null or wordless item has no
 windows; repeated items count as items of their own; a null item id is listed as ``null``; an empty
@@ -31,7 +33,7 @@ from pyspark.sql import functions as F
 from kpi_lake.llm.common import free_name, materialise, slices, utf8_column, worker_cache
 
 WINDOW = 13
-MAX_BROADCAST_BYTES = 64 << 20
+MAX_BROADCAST_BYTES = 256 << 10
 # Fixed value: a word, before A-Z are lower-cased.
 WORD = re.compile("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
 _A_WORD = r"[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]"
@@ -162,10 +164,39 @@ def _scan_part(docs: DataFrame, items: list[tuple[str, bytes]], window: int) ->
     return docs.mapInArrow(run, SCHEMA)
 
 
-def _parts(benchmark: DataFrame, item_col: str, text_col: str, window: int, limit: int) -> list[list[tuple[str, bytes]]]:
+def cut_item(text: bytes, window: int, limit: int) -> list[bytes]:
+    """Pieces of an item's normalised words of about ``limit`` bytes (a window at least) that have
+    between them just the item's windows."""
+    words = normalise(text)
+    if len(words) <= window:
+        return [b" ".join(words)]
+    ends, pieces, first = np.cumsum([len(w) + 1 for w in words]), [], 0
+    while first + window <= len(words):
+        room = int(np.searchsorted(ends, (ends[first - 1] if first else 0) + limit, side="right"))
+        stop = min(len(words), max(room, first + window))
+        pieces.append(b" ".join(words[first:stop]))
+        first = stop - window + 1
+    return pieces
+
+
+class _Parts:
+    """Parts of a benchmark; each is brought to the driver when it is asked for."""
+
+    def __init__(self, frames: list[DataFrame]):
+        self.frames = frames
+
+    def __len__(self) -> int:
+        return len(self.frames)
+
+    def __iter__(self):
+        for f in self.frames:
+            yield [(r.item, r.text.encode("utf-8")) for r in f.collect()]
+
+
+def _parts(benchmark: DataFrame, item_col: str, text_col: str, window: int, limit: int) -> _Parts:
     """The benchmark's distinct items that have words, in parts of at most ``limit`` bytes of text
-    each. The size is measured before anything is brought to the driver, and one part is brought at
-    a time."""
+    each (but for a window that is longer). The size is measured before anything is brought to the
+    driver, and one part is brought at a time."""
     rows = benchmark.select(
         F.coalesce(F.col(item_col).cast("string"), F.lit("null")).alias("item"),
         F.col(text_col).cast("string").alias("text"),
@@ -173,11 +204,21 @@ def _parts(benchmark: DataFrame, item_col: str, text_col: str, window: int, limi
     rows = rows.where(F.col("text").rlike(_A_WORD)).distinct().withColumn("size", F.octet_length("text").cast("bigint"))
     total, longest = rows.agg(F.sum("size"), F.max("size")).first()
     if not total:
-        return []
+        return _Parts([])
     if total <= limit:
-        return [[(r.item, r.text.encode("utf-8")) for r in rows.collect()]]
+        return _Parts([rows])
     if longest > limit:
-        raise ValueError(f"a benchmark item exceeds {limit} bytes; raise max_broadcast_bytes")
+
+        def cut(batches):
+            for batch in slices(batches):
+                found = [(i, p.decode("utf-8", "replace")) for i, raw in zip(batch.column(0).to_pylist(), utf8_column(batch.column(1)), strict=True) for p in cut_item(raw, window, limit)]
+                columns = list(zip(*found, strict=True)) if found else [(), ()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in columns], names=["item", "text"])
+
+        long = rows.where(F.col("size") > limit).select("item", "text").mapInArrow(cut, "item string, text string")
+        pieces = long.distinct().withColumn("size", F.octet_length("text").cast("bigint"))
+        rows = materialise(rows.where(F.col("size") <= limit).unionByName(pieces), "benchmark_items")
+        total = rows.agg(F.sum("size")).first()[0]
     # By running size: an item that crosses a multiple of the limit is a part by itself, the items
     # between two multiples are one. Groups of many parts, each summed by one task.
     group = F.pmod(F.xxhash64("item", "text"), F.lit(int(-(-total // (_GROUPED * limit)))))
@@ -194,7 +235,7 @@ def _parts(benchmark: DataFrame, item_col: str, text_col: str, window: int, limi
             room = limit
         joined[-1].append(r["part"])
         room -= r["size"]
-    return [[(r.item, r.text.encode("utf-8")) for r in dealt.where(F.col("part").isin(parts)).collect()] for parts in joined]
+    return _Parts([dealt.where(F.col("part").isin(parts)).select("item", "text") for parts in joined])
 
 
 def find_contamination(
@@ -212,19 +253,20 @@ def find_contamination(
     docs = documents.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
     parts = _parts(benchmark, item_col, item_text_col, window, max_broadcast_bytes)
     if len(parts) <= 1:
-        return _scan_part(docs, parts[0] if parts else [], window)
+        return _scan_part(docs, next(iter(parts), []), window)
     # More than one automaton: number the rows, so that repeated ids stay apart, and unite the hits.
     docs = materialise(docs.withColumn("row", F.monotonically_increasing_id()), "decontam_docs")
     found = None
     for part in parts:
         one = _scan_part(docs.select(F.col("row").alias("id"), "text"), part, window)
-        one = one.where("n_hit > 0").select(F.col("id").alias("row"), "items", "word_runs", "spans")
+        one = materialise(one.where("n_hit > 0").select(F.col("id").alias("row"), "items", "word_runs"), "decontam_hits")
         found = one if found is None else found.unionByName(one)
     merged = found.groupBy("row").agg(
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
         _union_of(F.flatten(F.collect_list("word_runs"))).alias("word_runs"),
-        _union_of(F.flatten(F.collect_list("spans"))).alias("spans"),
     )
+    # Runs of different parts may touch, so the spans in the text follow from the united runs.
+    merged = docs.select("row", "text").join(merged, "row").mapInArrow(_add_spans, f"row bigint, items array<string>, word_runs {_SPAN}, spans {_SPAN}")
     counted = _scan_part(docs.select(F.col("row").alias("id"), "text"), [], window).select(F.col("id").alias("row"), "n_words")
     empty = F.array().cast(_SPAN)
     return (
@@ -242,6 +284,18 @@ def find_contamination(
     )
 
 
+def _add_spans(batches):
+    """Rows of ``row, text, items, word_runs`` with the runs' spans in place of the text."""
+    kind = _ARROW.field("spans").type
+    for batch in slices(batches):
+        found = []
+        for raw, word_runs in zip(utf8_column(batch.column(1)), batch.column(3).to_pylist(), strict=True):
+            spans = original_spans(raw.decode("utf-8", "replace"), [(x["start"], x["end"]) for x in word_runs])
+            found.append([{"start": a, "end": b} for a, b in spans])
+        columns = [batch.column(0), batch.column(2), batch.column(3), pa.array(found, kind)]
+        yield pa.RecordBatch.from_arrays(columns, names=["row", "items", "word_runs", "spans"])
+
+
 def _union_of(spans):
     """Union of half-open intervals (touching ones merge) as a column expression."""
 
@@ -273,7 +327,7 @@ def remove_contaminated(
     """The documents (all their columns) that the rule leaves, each row judged by itself."""
     parts = _parts(benchmark, item_col, item_text_col, window, max_broadcast_bytes)
     if len(parts) <= 1:
-        get, place = _shared_automaton(documents.sparkSession, parts[0] if parts else [], window), documents.columns.index(text_col)
+        get, place = _shared_automaton(documents.sparkSession, next(iter(parts), []), window), documents.columns.index(text_col)
 
         def keep(batches):
             automaton = get()

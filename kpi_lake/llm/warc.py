@@ -35,6 +35,8 @@ from kpi_lake.llm.common import utf8_column
 
 ROLL_BYTES = 16 << 20
 RANGE_BYTES = 16 << 20
+#: Most tasks of a read.
+READ_TASKS = 50_000
 #: The date of regenerated records: a parameter, so that bytes don't depend on the clock.
 DATE = "2020-01-01T00:00:00Z"
 _NAMESPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # fixed value: the URL namespace of RFC 4122
@@ -266,5 +268,6 @@ def read_warc(spark: SparkSession, folder: str, with_payload: bool = False) -> D
                     raise ValueError(f"{name} ({size} bytes) isn't the file of the manifest")
 
     files = read_manifest(spark, folder).select("file", "bytes", "sha256")
-    files = files.repartition(F.col("file"))  # one file a task, as far as there are partitions
+    # a task a file: a given number of partitions, which adaptive execution doesn't join together
+    files = files.repartitionByRange(max(1, min(READ_TASKS, files.count())), "file")
     return files.mapInArrow(read, _RECORD_KINDS + ", payload binary" * with_payload)

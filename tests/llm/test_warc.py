@@ -95,3 +95,12 @@ def test_files_outside_the_manifest_do_not_count_and_damage_is_found(spark, scra
 def test_empty_table(spark, scratch_dir):
     warc.write_warc(pages(spark, ROWS).limit(0), scratch_dir)
     assert read(spark, scratch_dir)[0] == []
+
+
+def test_a_read_has_a_task_a_file(spark, tmp_path):
+    rows = [(i, f"http://h/{i}", f"page {i} " * 50) for i in range(200)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    folder = str(tmp_path / "archive")
+    manifest = warc.write_warc(pages, folder, roll_bytes=2000, range_bytes=20_000)
+    found = warc.read_warc(spark, folder)
+    assert found.rdd.getNumPartitions() == manifest.count() > 3 and found.count() == 200

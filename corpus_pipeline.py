@@ -67,7 +67,8 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("bpe_encoding", encode),
 ]
 
-#: SQL expresses neither the classifier nor the encoding; tests hold run() against brute force.
+#: SQL expresses neither the classifier nor the encoding. Tests hold run() against its stages one by one,
+#: and each stage's operator against plain code, as far as their files say.
 ORACLE_SQL: str | None = None
 
 

@@ -69,14 +69,18 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_folder(spark: SparkSession, folder: str) -> None:
+    """Remove a folder of ``scratch_path``."""
+    jvm = spark._jvm  # noqa: SLF001
+    if "/kpi_lake_llm/" in folder:
+        path = jvm.org.apache.hadoop.fs.Path(re.sub(r"^file:/+", "file:///", folder))
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)  # noqa: SLF001
+
+
 def drop_table(df: DataFrame) -> None:
     """Remove the files of a materialised table that no later step reads."""
-    spark = df.sparkSession
-    jvm = spark._jvm  # noqa: SLF001
     for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        if "/kpi_lake_llm/" in folder:
-            path = jvm.org.apache.hadoop.fs.Path(re.sub(r"^file:/+", "file:///", folder))
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)  # noqa: SLF001
+        drop_folder(df.sparkSession, folder)
 
 
 def lower_ascii(column: Column) -> Column:
@@ -136,6 +140,7 @@ def utf8_column(array):
 
 __all__ = [
     "WORD_SEPARATORS",
+    "drop_folder",
     "drop_table",
     "free_name",
     "lower_ascii",

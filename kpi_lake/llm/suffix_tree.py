@@ -30,9 +30,13 @@ table by suffix, 65 536 rows at most whatever the corpus, and the only thing tha
 word, or one that fills a third of all texts, is one entry per block and suffix. Contexts of whole
 words grow with the corpus and are never gathered: level by level, each block asks for the totals of
 its distinct (context, token) and of its contexts, by 64-bit hash (two that collide would share their
-counts), from buckets that sum what the blocks have summed already. A context is extended if its
-count, which is that of the (context, token) one symbol shorter, is large enough. The blocks are
-dealt by name once and stay there.
+counts), from buckets, ranges of hashes, that sum what the blocks have summed already. It doesn't ask
+where the (context, token) one symbol shorter occurs in this block only, since the longer one does too.
+A context is extended if its count, which is that of the (context, token) one symbol shorter, is large
+enough; a token whose history is rarer is followed no further. What a block knows after a level (``State``;
+probabilities in single precision) is a row of a table bucketed by block, which takes the place of
+the last level's: states don't travel, no level but the first is gone through twice, and the files of
+tables and shuffles are removed when the next table stands.
 
 Defined cases: a null, empty or blank text is one end; a null id counts as an empty one (not held
 out); repeated rows count and are scored each for itself; without training texts every token is the
@@ -42,17 +46,17 @@ other columns are ignored, whatever their names.
 
 from __future__ import annotations
 
+import uuid
 import zlib
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kpi_lake.llm.common import materialise, slices, utf8_column
+from kpi_lake.llm.common import drop_folder, drop_table, materialise, scratch_path, slices, utf8_column
 
 GAIN = 2.0
 DEPTH, LEAST = 5, 8
@@ -105,7 +109,8 @@ def _rows(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 
 
 def _kinds(schema: pa.Schema) -> str:
-    names = {pa.int64(): "bigint", pa.string(): "string", pa.binary(): "binary", pa.list_(pa.int64()): "array<bigint>"}
+    names = {pa.int64(): "bigint", pa.string(): "string", pa.binary(): "binary", pa.bool_(): "boolean", pa.float64(): "double"}
+    names |= {pa.list_(k): f"array<{names[k]}>" for k in (pa.int64(), pa.binary())}
     return ", ".join(f"{f.name} {names[f.type]}" for f in schema)
 
 
@@ -314,8 +319,11 @@ def _all_sums(counted: DataFrame) -> np.ndarray:
 
 # --- contexts of whole words
 
-_ASKED = pa.schema([("bucket", pa.int64()), ("block", pa.string()), ("keys", pa.binary()), ("values", pa.binary())])
-_TOLD = pa.schema([("level", pa.int64()), ("bucket", pa.int64()), ("block", pa.string()), ("totals", pa.binary()), ("size", pa.int64())])
+# What a round writes: a block's state (bucket -1), and what it asks of each bucket.
+_ROUND = pa.schema(
+    [("bucket", pa.int64()), ("block", pa.string()), ("keys", pa.binary()), ("values", pa.binary()), ("size", pa.int64()), ("ids", pa.list_(pa.int64())), ("state", pa.list_(pa.binary()))]
+)
+_TOLD = pa.schema([("bucket", pa.int64()), ("block", pa.string()), ("totals", pa.binary())])
 
 
 def _extended(context: np.ndarray, word: np.ndarray) -> np.ndarray:
@@ -333,81 +341,168 @@ def _after(values: np.ndarray, first: np.ndarray, at_first) -> np.ndarray:
     return out
 
 
-def _dealt(keys: np.ndarray, n_buckets: int) -> list[tuple[int, np.ndarray]]:
-    """Bucket numbers, and which of the keys each has."""
+def _ask(block: str, kind: int, keys: np.ndarray, values: np.ndarray, n_buckets: int):
+    """Rows that ask for the totals of keys, a range of hashes a bucket. Kind 0: counts of (context,
+    token); kind 1, by context: different tokens, and the divergence from the context one shorter."""
     if not len(keys):
-        return []
-    bucket = keys % np.uint64(n_buckets)
-    order = np.argsort(bucket, kind="stable")
-    return [(int(bucket[at[0]]), at) for at in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1)]
+        return
+    order = np.argsort(keys)
+    keys, values = keys[order], values[:, order]
+    bucket = ((keys >> np.uint64(32)) * np.uint64(n_buckets) >> np.uint64(32)).astype(np.int64)
+    cuts = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(keys)]
+    for start, stop in zip(cuts, cuts[1:], strict=False):
+        steps = np.diff(keys[start:stop], prepend=np.uint64(0))
+        mine = np.ascontiguousarray(values[:, start:stop]).reshape(-1)
+        yield _rows([(kind * n_buckets + int(bucket[start]), block, pack(steps), pack(mine), stop - start, None, None)], _ROUND)
+
+
+def _told(more, kind: int, n_buckets: int, keys: np.ndarray) -> np.ndarray:
+    """The totals of keys, from the answers of the buckets that were asked."""
+    out = np.zeros(len(keys))
+    parts = sorted((x["bucket"], x["totals"]) for x in more or [] if (x["bucket"] >= n_buckets) == bool(kind))
+    if parts:
+        out[np.argsort(keys)] = np.concatenate([unpack(t, np.int64) for _, t in parts])
+    return out
 
 
-class Asked(NamedTuple):
-    """Sums of a block, by key, of which it needs the totals; kind 0: counts of (context, token);
-    kind 1, by context: different tokens, and the divergence from the context one symbol shorter."""
+class State(NamedTuple):
+    """A block between two rounds. Of its texts: tokens, known ones, the base score and the score so
+    far. The hashes of its words. The tokens that are still followed (a bit for each) and their pairs
+    of context and token; of these pairs the token, the context, the pair one symbol shorter, and
+    whether its total was asked; of these contexts hash and count. Of the shorter pairs: total,
+    probability before their contexts' weights, context; of their contexts: count and hash. And the
+    tokens that are followed no further: text and shorter pair."""
+
+    lengths: np.ndarray
+    known: np.ndarray
+    base: np.ndarray
+    score: np.ndarray
+    words: np.ndarray
+    followed: np.ndarray
+    pair: np.ndarray
+    token: np.ndarray
+    context: np.ndarray
+    shorter: np.ndarray
+    asked: np.ndarray
+    hashes: np.ndarray
+    n: np.ndarray
+    total_before: np.ndarray
+    p_before: np.ndarray
+    context_before: np.ndarray
+    n_before: np.ndarray
+    hashes_before: np.ndarray
+    gone_text: np.ndarray
+    gone: np.ndarray
 
-    kind: int
-    keys: np.ndarray
-    values: np.ndarray
 
+_KINDS = State(*"u4 u4 f8 f8 u8 u1 u4 u4 u4 u4 u1 u8 u4 u4 f4 u4 u4 u8 u4 u4".split())
 
-class Texts(NamedTuple):
-    """A block's words (their hashes and counts) and its tokens: word, whether it is its text's first,
-    whether it trains, its count after the suffix of two bytes, that suffix's count, and the
-    probability after byte suffixes."""
 
+class Level(NamedTuple):
+    """What a block knows of a context length: the positions of the tokens that are followed, their
+    pairs and words; by pair the total, whether all of it is this block's, and the hash and count
+    under which a longer context begins with it (``symbol`` numbers these by token)."""
+
+    at: np.ndarray
+    pair: np.ndarray
+    word: np.ndarray
+    whole: np.ndarray
+    symbol: np.ndarray
     hashes: np.ndarray
     counts: np.ndarray
-    word: np.ndarray
-    first: np.ndarray
-    train: np.ndarray
-    n_after: np.ndarray
-    n_suffix: np.ndarray
-    p: np.ndarray
-
-
-def follow(texts: Texts, n_texts: int, depth: int, least: int, told) -> tuple[np.ndarray, list[Asked]]:
-    """Follows the tokens' histories word by word, as far as ``told(level, kind, keys)`` has totals
-    (else it gives None): the tokens' probabilities by then, and what is to be asked next."""
-    p, asked, n_words = texts.p.copy(), [], len(texts.hashes)
-    # What contexts can be, by number: their hashes and counts; the last but one is the mark before a
-    # text, the last stands for all that are too rare.
-    pair, hashes, counts = texts.word, texts.hashes, texts.counts
-    n_shorter, n_parent = texts.n_after, texts.n_suffix
-    for level in range(1, depth + 1):
-        hashes, counts = np.concatenate((hashes, [_START, np.uint64(0)])), np.concatenate((counts, [n_texts, 0])).astype(np.float64)
-        context = _after(pair, texts.first, len(hashes) - 2)
-        at = np.flatnonzero((counts >= least)[context])
-        mine, of_pair = np.unique(context[at] * n_words + texts.word[at], return_inverse=True)
-        context_of, some = mine // n_words, np.zeros(len(mine), np.int64)
-        some[of_pair] = at  # a token of each pair
-        keys = _extended(hashes[context_of], texts.hashes[mine % n_words])
-        seen = np.bincount(of_pair, weights=texts.train[at], minlength=len(mine))
-        totals = told(level, 0, keys)
-        if totals is None:
-            asked.append(Asked(0, keys, seen[None]))
-            break
-        used = np.zeros(len(hashes), bool)
-        used[context_of] = True
-        contexts, place = np.flatnonzero(used), np.cumsum(used) - 1
-        n, here = counts[context_of], np.maximum(totals, 1)
-        weights = told(level, 1, hashes[contexts])
-        if weights is None:
-            terms = np.log(here) - np.log(np.maximum(n_shorter[some], 1)) - np.log(n) + np.log(np.maximum(n_parent[some], 1))
-            sums = [np.bincount(place[context_of], weights=seen * x, minlength=len(contexts)) for x in (1 / here, terms)]
-            asked.append(Asked(1, hashes[contexts], np.stack(sums)))
-        else:
-            weight = weights[place[context_of]]
-            p[at] = np.where(weight > 0, (totals + weight * p[some]) / (n + weight), p[some])[of_pair]
-        n_shorter, n_parent = np.zeros(len(pair)), np.zeros(len(pair))
-        n_shorter[at], n_parent[at] = totals[of_pair], n[of_pair]
-        pair = np.full(len(pair), len(mine) + 1)
-        pair[at] = of_pair
-        hashes, counts = keys, totals
-    return p, asked
 
 
-def tally(asked: DataFrame, level: int, n_buckets: int, gain: float) -> DataFrame:
+def longer(level: Level, lengths: np.ndarray, n_words: int, n_texts: int, least: int) -> dict:
+    """The fields of ``State`` for contexts one word longer. A token whose history is too rare is gone:
+    longer ones that end in it are as rare."""
+    size, starts = int(lengths.sum()), np.cumsum(lengths) - lengths
+    first = np.zeros(size, bool)
+    first[starts] = True
+    # The last but one is the mark before a text, the last stands for all that are too rare.
+    hashes, counts = np.concatenate((level.hashes, [_START, np.uint64(0)])), np.concatenate((level.counts, [n_texts, 0]))
+    before = np.full(size, len(hashes) - 1)
+    before[level.at] = level.symbol
+    context = _after(before, first, len(hashes) - 2)[level.at]
+    kept = counts[context] >= least
+    mine, pair = np.unique(context[kept] * n_words + level.word[kept], return_inverse=True)
+    shorter = np.zeros(len(mine), np.int64)
+    shorter[pair] = level.pair[kept]
+    contexts, context_of = np.unique(mine // n_words, return_inverse=True)
+    followed = np.zeros(size, np.uint8)
+    followed[level.at[kept]] = 1
+    text = np.searchsorted(starts, level.at[~kept], side="right") - 1
+    return {
+        "followed": np.packbits(followed),
+        "pair": pair,
+        "token": mine % n_words,
+        "context": context_of,
+        "shorter": shorter,
+        "asked": ~level.whole[shorter],
+        "hashes": hashes[contexts],
+        "n": counts[contexts],
+        "gone_text": text,
+        "gone": level.pair[~kept],
+    }
+
+
+def none_longer(level: Level, lengths: np.ndarray) -> dict:
+    """The fields of ``State`` where no longer contexts are looked at: all tokens are gone."""
+    none = np.zeros(0, np.int64)
+    text = np.searchsorted(np.cumsum(lengths) - lengths, level.at, side="right") - 1
+    names = ("pair", "token", "context", "shorter", "asked", "n")
+    return {"followed": np.packbits(np.zeros(int(lengths.sum()), np.uint8)), "hashes": none.astype(np.uint64), "gone_text": text, "gone": level.pair} | dict.fromkeys(names, none)
+
+
+def settle(state: State, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """With the weights of the shorter contexts (their different tokens if they are states, else 0):
+    the shorter pairs' probabilities, and the texts' scores with the tokens that are gone."""
+    p = state.p_before.astype(np.float64)
+    if len(weights):
+        weight = weights[state.context_before]
+        p = np.where(weight > 0, (state.total_before + weight * p) / (state.n_before[state.context_before] + weight), p)
+    return p, state.score + np.bincount(state.gone_text, weights=np.log10(p[state.gone]), minlength=len(state.lengths))
+
+
+def keys_of(state: State) -> np.ndarray:
+    return _extended(state.hashes[state.context], state.words[state.token])
+
+
+def advance(state: State, train: np.ndarray, n_texts: int, least: int, last: bool, told) -> tuple[State, list]:
+    """One round for a block: ``told(kind, keys)`` has the totals it asked for. The next state, and
+    what is to be asked: (kind, keys, values)."""
+    p, score = settle(state, told(1, state.hashes_before))
+    lengths = state.lengths.astype(np.int64)
+    at = np.flatnonzero(np.unpackbits(state.followed, count=int(lengths.sum())))
+    seen = np.bincount(state.pair, weights=train[at], minlength=len(state.token))
+    keys, total, asked = keys_of(state), seen.copy(), state.asked.astype(bool)
+    total[asked] = told(0, keys[asked])
+    n, here, before = state.n[state.context], np.maximum(total, 1), np.maximum(state.total_before[state.shorter], 1)
+    n_parent = np.maximum(state.n_before[state.context_before[state.shorter]], 1)
+    terms = np.log(here) - np.log(before) - np.log(n) + np.log(n_parent)
+    sums = np.stack([np.bincount(state.context, weights=seen * x, minlength=len(state.hashes)) for x in (1 / here, terms)])
+    level = Level(at, state.pair.astype(np.int64), state.token[state.pair].astype(np.int64), seen == total, state.pair, keys, total)
+    fields = none_longer(level, lengths) if last else longer(level, lengths, len(state.words), n_texts, least)
+    after = state._replace(
+        score=score,
+        total_before=total,
+        p_before=p[state.shorter],
+        context_before=state.context,
+        n_before=state.n,
+        hashes_before=state.hashes,
+        **fields,
+    )
+    return after, [(1, state.hashes, sums), *asks_of(after, train)]
+
+
+def asks_of(state: State, train: np.ndarray) -> list:
+    """The counts that a block asks for: not those of pairs whose shorter pair is all its own."""
+    at = np.flatnonzero(np.unpackbits(state.followed, count=int(state.lengths.sum())))
+    seen = np.bincount(state.pair, weights=train[at], minlength=len(state.token)).astype(np.uint32)
+    asked = state.asked.astype(bool)
+    return [(0, keys_of(state)[asked], seen[asked][None])]
+
+
+def tally(asked: DataFrame, n_buckets: int, gain: float) -> DataFrame:
     """The totals of what blocks ask for: counts, or a context's weight (its different tokens if it is
     a state, else 0)."""
 
@@ -415,16 +510,19 @@ def tally(asked: DataFrame, level: int, n_buckets: int, gain: float) -> DataFram
         key, held = None, []
 
         def flush():
-            unique, inverse = np.unique(np.concatenate([k for _, k, _ in held]), return_inverse=True)
-            values = np.concatenate([v for *_, v in held], axis=1)
-            totals = [np.bincount(inverse, weights=v, minlength=len(unique)) for v in values]
+            keys = np.concatenate([k for _, k, _ in held])
+            order = np.argsort(keys, kind="stable")  # each block's keys are in order
+            new = np.concatenate(([True], np.diff(keys[order]) > 0))
+            inverse = np.empty(len(keys), np.int64)
+            inverse[order] = np.cumsum(new) - 1
+            totals = [np.bincount(inverse, weights=v) for v in np.concatenate([v for *_, v in held], axis=1)]
             if key >= n_buckets:
                 types = np.rint(totals[0])
                 out = np.where(totals[1] >= gain * np.maximum(types, 1), types, 0.0)
             else:
                 out = totals[0]
             for (block, _, _), at in zip(held, np.split(inverse, np.cumsum([len(k) for _, k, _ in held])[:-1]), strict=True):
-                yield _rows([(level, key, block, pack(out[at].astype(np.int64)), len(at))], _TOLD)
+                yield _rows([(key, block, pack(out[at].astype(np.int64)))], _TOLD)
 
         for batch in batches:
             for bucket, block, keys, values in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -432,14 +530,50 @@ def tally(asked: DataFrame, level: int, n_buckets: int, gain: float) -> DataFram
                     if held:
                         yield from flush()
                     key, held = bucket, []
-                keys = unpack(keys, np.uint64)
-                held.append((block, keys, unpack(values, np.float64).reshape(-1, len(keys))))
+                keys = np.cumsum(unpack(keys, np.uint64))
+                held.append((block, keys, unpack(values, np.float64 if bucket >= n_buckets else np.uint32).reshape(-1, len(keys))))
         if held:
             yield from flush()
 
     return asked.repartition(F.col("bucket")).sortWithinPartitions("bucket", "block").mapInArrow(run, _kinds(_TOLD))
 
 
+class _Tables:
+    """Tables between rounds, bucketed by block, so that a block's state never travels, and shuffle
+    files removed with the job that wrote them."""
+
+    _CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+    def __init__(self, spark):
+        self.spark, self.names = spark, {}
+        self.n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def __enter__(self):
+        self.before = self.spark.conf.get(self._CLEAN, None)
+        self.spark.conf.set(self._CLEAN, "true")
+        return self
+
+    def __exit__(self, *_):
+        if self.before is None:
+            self.spark.conf.unset(self._CLEAN)
+        else:
+            self.spark.conf.set(self._CLEAN, self.before)
+        for name in list(self.names):
+            self.drop(name)
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        table = f"{name}_{uuid.uuid4().hex}"
+        path = scratch_path(self.spark, name)
+        df.write.bucketBy(self.n, "block").option("path", path).option("compression", "zstd").saveAsTable(table)
+        self.names[name] = (table, path)
+        return self.spark.table(table)
+
+    def drop(self, name: str) -> None:
+        table, path = self.names.pop(name)
+        self.spark.sql(f"DROP TABLE {table}")
+        drop_folder(self.spark, path)
+
+
 # --- scores
 
 _SCORED = pa.schema(
@@ -467,100 +601,122 @@ def score_documents(
 ) -> DataFrame:
     """Per row ``id, held_out, n_tokens, n_known, train_tokens, base_score, score``. ``depth``: how
     many whole words the contexts reach back, beyond the previous word's last two bytes."""
+    with _Tables(documents.sparkSession) as tables:
+        return _score(documents, id_col, text_col, gain, rule, bucket_pairs, depth, least, tables)
+
+
+def _score(documents, id_col, text_col, gain, rule, bucket_pairs, depth, least, tables) -> DataFrame:
     spark = documents.sparkSession
     docs = documents.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
-    blocks = materialise(blocks_of(docs, rule), "blocks")
+    blocks = tables.write(blocks_of(docs, rule), "blocks")
     pairs = blocks.agg(F.sum("size")).first()[0] or 0
     counted = materialise(count_words(deal_words(blocks, int(max(1, -(-pairs // bucket_pairs))))), "counted")
     tree = grow_tree(_all_sums(counted), gain)
     shared = spark.sparkContext.broadcast(tree)
+    n_texts = int(tree.totals[1][MARK << 8 | MARK])  # training texts
     found = counted.groupBy("block").agg(F.collect_list(F.struct("n_pairs", "starts", "counts")).alias("found"))
-    columns = ["block", "ids", "lengths", "tokens", "words", "n_pairs", "suffixes", "size"]
-    joined = blocks.select(*columns)
-    if depth:  # stays dealt by block: in each round only the totals travel
-        joined = joined.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "block")
-    joined = joined.join(found, "block")
-    dealt: list[int] = []  # buckets by level
-    told = None
-    if depth:
-        joined = joined.persist(StorageLevel.DISK_ONLY)
-    columns = ["block", "ids", "lengths", "tokens", "words", "n_pairs", "suffixes", "size", "found"]
-
-    def read(row, more, n_buckets):
-        """Of a block: the counts of its pairs, its texts' tokens, and what it was told."""
-        _, ids, packed, tokens, words, n_pairs, suffixes, size, parts = row
+    columns = ["block", "ids", "lengths", "tokens", "words", "n_pairs", "suffixes", "train", "size", "found"]
+    joined = blocks.join(found.hint("shuffle_hash"), "block").select(*columns)
+
+    def shallow(row):
+        """Of a block: its texts' fields, the tokens' pairs, and by pair suffix, counts and score."""
+        _, ids, packed, tokens, _, _, suffixes, _, size, parts = row
         model: Tree = shared.value
         counts = np.zeros((3, size), np.int64)
         for x in parts:
             places = _places(unpack(x["starts"], np.uint32).astype(np.int64), unpack(x["n_pairs"], np.uint32).astype(np.int64))
             counts[:, places] = unpack(x["counts"], np.int64).reshape(3, -1)
         suffix, at, lengths = unpack(suffixes, np.uint16).astype(np.int64), unpack(tokens, np.uint32), unpack(packed, np.uint32).astype(np.int64)
-        scores = model.log_probabilities(suffix, counts)
-        if not depth:
-            return counts, lengths, at, scores[at], []
-        hashes = np.array([xxhash.xxh64_intdigest(w) for w in _unpack_words(words)], np.uint64)
-        first = np.zeros(len(at), bool)
-        first[np.cumsum(lengths) - lengths] = True
-        train = np.repeat([not held_out(i, rule) for i in ids], lengths)
-        of_word = unpack(n_pairs, np.uint32).astype(np.int64)
-        of_pair = (np.repeat(np.arange(len(hashes)), of_word), counts[2].astype(np.float64), model.totals[1][suffix], 10.0**scores)
-        word, n_after, n_suffix, p = (x[at] for x in of_pair)
-        totals = {(x["level"], x["bucket"]): x["totals"] for x in more or []}
-
-        def told_of(level, kind, keys):
-            if level + kind > len(n_buckets):
-                return None
-            out = np.zeros(len(keys))
-            n = n_buckets[level + kind - 1]
-            for bucket, mine in _dealt(keys, n):
-                out[mine] = unpack(totals[level + kind, kind * n + bucket], np.int64)
-            return out
-
-        ends = model.totals[1][MARK << 8 | MARK]  # training texts
-        p, asked = follow(Texts(hashes, counts[0][np.cumsum(of_word) - of_word], word, first, train, n_after, n_suffix, p), int(ends), depth, least, told_of)
-        return counts, lengths, at, np.log10(p), asked
-
-    def with_told():
-        if told is None:
-            return joined.select(*columns, F.lit(None).cast("array<struct<level:bigint,bucket:bigint,totals:binary>>").alias("more"))
-        more = told.groupBy("block").agg(F.collect_list(F.struct("level", "bucket", "totals")).alias("more"))
-        return joined.join(more.hint("shuffle_hash"), "block", "left").select(*columns, "more")
-
-    def ask(n_buckets, n_next):
+        base = np.log10((counts[0] + 1) / (model.n_tokens + model.n_types + 1))
+        doc = np.repeat(np.arange(len(ids)), lengths)
+        texts = [lengths, *(np.bincount(doc, weights=x[at], minlength=len(ids)) for x in (counts[0] > 0, base))]
+        return texts, at, suffix, counts, model.log_probabilities(suffix, counts)
+
+    def first_state(row):
+        """A block with contexts of one word."""
+        texts, at, suffix, counts, scores = shallow(row)
+        lengths, of_word = texts[0], unpack(row[5], np.uint32).astype(np.int64)
+        words = np.array([xxhash.xxh64_intdigest(w) for w in _unpack_words(row[4])], np.uint64)
+        word = np.repeat(np.arange(len(words)), of_word)[at]
+        whole = unpack(row[7], np.uint32) == counts[2]
+        level = Level(np.arange(len(at)), at.astype(np.int64), word, whole, word, words, counts[0][np.cumsum(of_word) - of_word])
+        fields = longer(level, lengths, len(words), n_texts, least)
+        of_suffix = {"total_before": counts[2], "p_before": 10.0**scores, "context_before": suffix, "n_before": shared.value.totals[1].astype(np.int64)}
+        return State(*texts, np.zeros(len(lengths)), words, hashes_before=np.zeros(0, np.uint64), **of_suffix, **fields)
+
+    def trained(ids, lengths):
+        return np.repeat([not held_out(i, rule) for i in ids], lengths)
+
+    def scored(ids, lengths, known, base, score):
+        out = [ids, [held_out(i, rule) for i in ids], lengths, known.astype(np.int64), np.full(len(ids), shared.value.n_tokens), base, score]
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, _SCORED, strict=True)], schema=_SCORED)
+
+    def each(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                yield tuple(c.to_pylist()[0] for c in batch.slice(i, 1).columns)
+
+    def state_of(packed):
+        return State(*(unpack(x, np.dtype(k)) for x, k in zip(packed, _KINDS, strict=True)))
+
+    def out_rows(block, ids, state, asks, n_buckets):
+        if state is not None:
+            yield _rows([(-1, block, None, None, 0, ids, [pack(np.asarray(x).astype(k)) for x, k in zip(state, _KINDS, strict=True)])], _ROUND)
+        for kind, keys, values in asks:
+            yield from _ask(block, kind, keys, values, n_buckets)
+
+    if not depth:
+        shallow_scores = joined.mapInArrow(lambda batches: (scored(r[1], *t, np.bincount(np.repeat(np.arange(len(r[1])), t[0]), weights=s[a], minlength=len(r[1]))) for r in each(batches) for t, a, _, _, s in [shallow(r)]), _kinds(_SCORED))
+        return materialise(shallow_scores, "scores")
+
+    def ask_first(n_buckets):
         def run(batches):
-            for batch in batches:
-                for i in range(batch.num_rows):
-                    *row, more = (c.to_pylist()[0] for c in batch.slice(i, 1).columns)
-                    for kind, keys, values in read(row, more, n_buckets)[4]:
-                        for bucket, at in _dealt(keys, n_next):
-                            yield _rows([(kind * n_next + bucket, row[0], pack(keys[at]), pack(np.ascontiguousarray(values[:, at]).reshape(-1)))], _ASKED)
+            for row in each(batches):
+                state = first_state(row)
+                yield from out_rows(row[0], row[1], None, asks_of(state, trained(row[1], state.lengths)), n_buckets)
 
         return run
 
-    keys = pairs
-    for level in range(1, depth + 2 if depth else 1):
-        n_next = int(max(1, -(-keys // bucket_pairs)))
-        asked = with_told().mapInArrow(ask(tuple(dealt), n_next), _kinds(_ASKED))
-        one = materialise(tally(asked, level, n_next, gain), "totals")
-        del asked
-        spark._jvm.System.gc()  # noqa: SLF001 -- Spark removes the files of shuffles that are done
-        told = one if told is None else told.unionByName(one)
-        dealt.append(n_next)
-        keys = one.agg(F.sum("size")).first()[0] or 0
-        if not keys:
-            break
+    def ask_next(level, n_buckets, known_state):
+        """The round after the totals of ``level``-word contexts. The first state is made anew, not kept:
+        it's as large as all later ones."""
 
-    def run(batches):
-        model: Tree = shared.value
-        for batch in batches:
-            for i in range(batch.num_rows):
-                *row, more = (c.to_pylist()[0] for c in batch.slice(i, 1).columns)
-                ids = row[1]
-                counts, lengths, at, scores, _ = read(row, more, tuple(dealt))
-                base = np.log10((counts[0] + 1) / (model.n_tokens + model.n_types + 1))
-                doc = np.repeat(np.arange(len(ids)), lengths)
-                known, of_base, of_model = (np.bincount(doc, weights=values, minlength=len(ids)) for values in ((counts[0] > 0)[at], base[at], scores))
-                out = [ids, [held_out(i, rule) for i in ids], lengths, known.astype(np.int64), np.full(len(ids), model.n_tokens), of_base, of_model]
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, _SCORED, strict=True)], schema=_SCORED)
-
-    return with_told().mapInArrow(run, "id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")
+        def run(batches):
+            for row in each(batches):
+                *row, more = row
+                block, ids = row[0], row[1]
+                state = state_of(row[2]) if known_state else first_state(row)
+                train = trained(ids, state.lengths)
+                told = lambda kind, keys: _told(more, kind, n_buckets, keys)
+                state, asks = advance(state, train, n_texts, least, level == depth, told)
+                yield from out_rows(block, ids, state, asks, n_buckets)
+
+        return run
+
+    def with_told(frame, told):
+        more = told.groupBy("block").agg(F.collect_list(F.struct("bucket", "totals")).alias("more"))
+        return frame.join(more.hint("shuffle_hash"), "block", "left").select(*frame.columns, "more")
+
+    n_asked = int(max(1, -(-pairs // bucket_pairs)))
+    asked = joined.mapInArrow(ask_first(n_asked), _kinds(_ROUND))
+    told, states = materialise(tally(asked.select("bucket", "block", "keys", "values"), n_asked, gain), "totals"), joined
+    for level in range(1, depth + 1):
+        made = tables.write(with_told(states, told).mapInArrow(ask_next(level, n_asked, level > 1), _kinds(_ROUND)), f"round_{level}")
+        drop_table(told)
+        if level > 1:
+            tables.drop(f"round_{level - 1}")
+        else:
+            tables.drop("blocks")
+            drop_table(counted)
+        told = materialise(tally(made.where("bucket >= 0").select("bucket", "block", "keys", "values"), n_asked, gain), "totals")
+        states = made.where("bucket < 0").select("block", "ids", "state")
+
+    def finish(batches):
+        for _, ids, packed, more in each(batches):
+            state = state_of(packed)
+            _, score = settle(state, _told(more, 1, n_asked, state.hashes_before))
+            yield scored(ids, state.lengths, state.known, state.base, score)
+
+    scores = materialise(with_told(states, told).mapInArrow(finish, _kinds(_SCORED)), "scores")
+    drop_table(told)
+    return scores

@@ -217,7 +217,7 @@ def deal_words(blocks: DataFrame, n_buckets: int) -> DataFrame:
 
 def count_words(parts: DataFrame) -> DataFrame:
     """Per bucket and block: of each pair the counts, over all training documents, of its word, of
-    its word after its suffix's last byte, and after its suffix. A bucket's first row has its sums
+    its word after its suffix's last byte, and after its suffix, and whether only this block has it. A bucket's first row has its sums
     for the tree as well: of the tokens, and by suffix (see ``Tree``)."""
 
     def run(batches):
@@ -233,7 +233,8 @@ def count_words(parts: DataFrame) -> DataFrame:
             word = singles // 256
             none = np.bincount(word, weights=one, minlength=len(table))
             table_of_sums = np.concatenate(([[none.sum(), (none > 0).sum(), 0.0]], _sums(singles % 256, one, none[word], 256), _sums(unique % _SUFFIXES, two, one[of_single], _SUFFIXES)))
-            counts = np.stack([none[unique // _SUFFIXES], one[of_single], two]).astype(np.int64)
+            alone = np.bincount(inverse) == 1
+            counts = np.stack([none[unique // _SUFFIXES], one[of_single], two, alone]).astype(np.int64)
             cuts = np.cumsum([len(p) for _, _, _, p, _ in held])[:-1]
             for k, ((block, n_pairs, starts, _, _), at) in enumerate(zip(held, np.split(inverse, cuts), strict=True)):
                 sums = pack(table_of_sums.reshape(-1)) if k == 0 else b""
@@ -358,7 +359,7 @@ def _ask(block: str, kind: int, keys: np.ndarray, values: np.ndarray, n_buckets:
 
 def _told(more, kind: int, n_buckets: int, keys: np.ndarray) -> np.ndarray:
     """The totals of keys, from the answers of the buckets that were asked."""
-    out = np.zeros(len(keys))
+    out = np.zeros(len(keys), np.int64)
     parts = sorted((x["bucket"], x["totals"]) for x in more or [] if (x["bucket"] >= n_buckets) == bool(kind))
     if parts:
         out[np.argsort(keys)] = np.concatenate([unpack(t, np.int64) for _, t in parts])
@@ -400,8 +401,8 @@ _KINDS = State(*"u4 u4 f8 f8 u8 u1 u4 u4 u4 u4 u1 u8 u4 u4 f4 u4 u4 u8 u4 u4".sp
 
 class Level(NamedTuple):
     """What a block knows of a context length: the positions of the tokens that are followed, their
-    pairs and words; by pair the total, whether all of it is this block's, and the hash and count
-    under which a longer context begins with it (``symbol`` numbers these by token)."""
+    pairs and words; whether only this block has a pair; and the hashes and counts of what a longer
+    context can be (``symbol`` numbers these by token)."""
 
     at: np.ndarray
     pair: np.ndarray
@@ -474,13 +475,14 @@ def advance(state: State, train: np.ndarray, n_texts: int, least: int, last: boo
     lengths = state.lengths.astype(np.int64)
     at = np.flatnonzero(np.unpackbits(state.followed, count=int(lengths.sum())))
     seen = np.bincount(state.pair, weights=train[at], minlength=len(state.token))
-    keys, total, asked = keys_of(state), seen.copy(), state.asked.astype(bool)
-    total[asked] = told(0, keys[asked])
+    keys, total, asked, whole = keys_of(state), seen.astype(np.int64), state.asked.astype(bool), np.ones(len(seen), bool)
+    answers = told(0, keys[asked])
+    total[asked], whole[asked] = answers >> 1, answers & 1
     n, here, before = state.n[state.context], np.maximum(total, 1), np.maximum(state.total_before[state.shorter], 1)
     n_parent = np.maximum(state.n_before[state.context_before[state.shorter]], 1)
     terms = np.log(here) - np.log(before) - np.log(n) + np.log(n_parent)
     sums = np.stack([np.bincount(state.context, weights=seen * x, minlength=len(state.hashes)) for x in (1 / here, terms)])
-    level = Level(at, state.pair.astype(np.int64), state.token[state.pair].astype(np.int64), seen == total, state.pair, keys, total)
+    level = Level(at, state.pair.astype(np.int64), state.token[state.pair].astype(np.int64), whole, state.pair, keys, total)
     fields = none_longer(level, lengths) if last else longer(level, lengths, len(state.words), n_texts, least)
     after = state._replace(
         score=score,
@@ -503,8 +505,8 @@ def asks_of(state: State, train: np.ndarray) -> list:
 
 
 def tally(asked: DataFrame, n_buckets: int, gain: float) -> DataFrame:
-    """The totals of what blocks ask for: counts, or a context's weight (its different tokens if it is
-    a state, else 0)."""
+    """The totals of what blocks ask for: counts (doubled, plus one if just one block has the key), or
+    a context's weight (its different tokens if it is a state, else 0)."""
 
     def run(batches):
         key, held = None, []
@@ -520,7 +522,7 @@ def tally(asked: DataFrame, n_buckets: int, gain: float) -> DataFrame:
                 types = np.rint(totals[0])
                 out = np.where(totals[1] >= gain * np.maximum(types, 1), types, 0.0)
             else:
-                out = totals[0]
+                out = totals[0] * 2 + (np.bincount(inverse) == 1)
             for (block, _, _), at in zip(held, np.split(inverse, np.cumsum([len(k) for _, k, _ in held])[:-1]), strict=True):
                 yield _rows([(key, block, pack(out[at].astype(np.int64)))], _TOLD)
 
@@ -615,17 +617,17 @@ def _score(documents, id_col, text_col, gain, rule, bucket_pairs, depth, least,
     shared = spark.sparkContext.broadcast(tree)
     n_texts = int(tree.totals[1][MARK << 8 | MARK])  # training texts
     found = counted.groupBy("block").agg(F.collect_list(F.struct("n_pairs", "starts", "counts")).alias("found"))
-    columns = ["block", "ids", "lengths", "tokens", "words", "n_pairs", "suffixes", "train", "size", "found"]
+    columns = ["block", "ids", "lengths", "tokens", "words", "n_pairs", "suffixes", "size", "found"]
     joined = blocks.join(found.hint("shuffle_hash"), "block").select(*columns)
 
     def shallow(row):
         """Of a block: its texts' fields, the tokens' pairs, and by pair suffix, counts and score."""
-        _, ids, packed, tokens, _, _, suffixes, _, size, parts = row
+        _, ids, packed, tokens, _, _, suffixes, size, parts = row
         model: Tree = shared.value
-        counts = np.zeros((3, size), np.int64)
+        counts = np.zeros((4, size), np.int64)
         for x in parts:
             places = _places(unpack(x["starts"], np.uint32).astype(np.int64), unpack(x["n_pairs"], np.uint32).astype(np.int64))
-            counts[:, places] = unpack(x["counts"], np.int64).reshape(3, -1)
+            counts[:, places] = unpack(x["counts"], np.int64).reshape(4, -1)
         suffix, at, lengths = unpack(suffixes, np.uint16).astype(np.int64), unpack(tokens, np.uint32), unpack(packed, np.uint32).astype(np.int64)
         base = np.log10((counts[0] + 1) / (model.n_tokens + model.n_types + 1))
         doc = np.repeat(np.arange(len(ids)), lengths)
@@ -638,8 +640,7 @@ def _score(documents, id_col, text_col, gain, rule, bucket_pairs, depth, least,
         lengths, of_word = texts[0], unpack(row[5], np.uint32).astype(np.int64)
         words = np.array([xxhash.xxh64_intdigest(w) for w in _unpack_words(row[4])], np.uint64)
         word = np.repeat(np.arange(len(words)), of_word)[at]
-        whole = unpack(row[7], np.uint32) == counts[2]
-        level = Level(np.arange(len(at)), at.astype(np.int64), word, whole, word, words, counts[0][np.cumsum(of_word) - of_word])
+        level = Level(np.arange(len(at)), at.astype(np.int64), word, counts[3].astype(bool), word, words, counts[0][np.cumsum(of_word) - of_word])
         fields = longer(level, lengths, len(words), n_texts, least)
         of_suffix = {"total_before": counts[2], "p_before": 10.0**scores, "context_before": suffix, "n_before": shared.value.totals[1].astype(np.int64)}
         return State(*texts, np.zeros(len(lengths)), words, hashes_before=np.zeros(0, np.uint64), **of_suffix, **fields)

@@ -99,7 +99,7 @@ def free_name(df: DataFrame, name: str) -> str:
 _CACHES: dict[str, dict] = {}
 
 
-def _give_back() -> None:
+def give_back() -> None:
     """Return freed memory to the system, as far as the allocators can."""
     import ctypes
 
@@ -119,7 +119,7 @@ def worker_cache(owner: str) -> dict:
     for other in others:
         _CACHES.pop(other).clear()
     if others:
-        _give_back()
+        give_back()
     return _CACHES.setdefault(owner, {})
 
 
@@ -143,6 +143,7 @@ __all__ = [
     "drop_folder",
     "drop_table",
     "free_name",
+    "give_back",
     "lower_ascii",
     "materialise",
     "read_table",

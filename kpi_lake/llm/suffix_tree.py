@@ -56,12 +56,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kpi_lake.llm.common import drop_folder, drop_table, materialise, scratch_path, slices, utf8_column
+from kpi_lake.llm.common import drop_folder, drop_table, give_back, materialise, scratch_path, slices, utf8_column
 
 GAIN = 2.0
 DEPTH, LEAST = 5, 8
 HELD_OUT = (7, 2)
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 BUCKET_PAIRS = 1_000_000
 # Bytes that no UTF-8 text has, as mark before a word's first byte, and as end token.
 MARK = 0xFE
@@ -178,6 +178,8 @@ def blocks_of(docs: DataFrame, rule: tuple[int, int] = HELD_OUT) -> DataFrame:
                     ids, parts, table, held = [], [], {END_TOKEN: 0}, 0
         if ids:
             yield flush()
+        del table, parts
+        give_back()
 
     return docs.mapInArrow(run, _kinds(_BLOCK))
 
@@ -251,6 +253,8 @@ def count_words(parts: DataFrame) -> DataFrame:
                 held.append((block, n_pairs, starts, pairs, unpack(train, np.uint32)))
         if held:
             yield from flush()
+        held.clear()
+        give_back()
 
     return parts.repartition(F.col("bucket")).sortWithinPartitions("bucket", "block").mapInArrow(run, _kinds(_COUNTED))
 
@@ -536,6 +540,8 @@ def tally(asked: DataFrame, n_buckets: int, gain: float) -> DataFrame:
                 held.append((block, keys, unpack(values, np.float64 if bucket >= n_buckets else np.uint32).reshape(-1, len(keys))))
         if held:
             yield from flush()
+        held.clear()
+        give_back()
 
     return asked.repartition(F.col("bucket")).sortWithinPartitions("bucket", "block").mapInArrow(run, _kinds(_TOLD))
 
@@ -656,6 +662,7 @@ def _score(documents, id_col, text_col, gain, rule, bucket_pairs, depth, least,
         for batch in batches:
             for i in range(batch.num_rows):
                 yield tuple(c.to_pylist()[0] for c in batch.slice(i, 1).columns)
+                give_back()  # a block's arrays are large, and workers live on
 
     def state_of(packed):
         return State(*(unpack(x, np.dtype(k)) for x, k in zip(packed, _KINDS, strict=True)))

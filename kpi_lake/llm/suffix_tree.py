@@ -61,7 +61,7 @@ from kpi_lake.llm.common import drop_folder, drop_table, give_back, materialise,
 GAIN = 2.0
 DEPTH, LEAST = 5, 8
 HELD_OUT = (7, 2)
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 6 << 20
 BUCKET_PAIRS = 1_000_000
 # Bytes that no UTF-8 text has, as mark before a word's first byte, and as end token.
 MARK = 0xFE
@@ -303,7 +303,7 @@ def grow_tree(sums: np.ndarray, gain: float = GAIN) -> Tree:
     return Tree(int(root[0]), int(root[1]), (one[:, 0], two[:, 0]), (one[:, 1], two[:, 1]), tuple(states))
 
 
-def _all_sums(counted: DataFrame) -> np.ndarray:
+def _all_sums(sums: DataFrame) -> np.ndarray:
     size = 1 + 256 + _SUFFIXES
     schema = pa.schema([("at", pa.int64()), ("n", pa.float64()), ("types", pa.float64()), ("terms", pa.float64())])
 
@@ -315,7 +315,7 @@ def _all_sums(counted: DataFrame) -> np.ndarray:
         at = np.flatnonzero(total[:, 0])
         yield pa.RecordBatch.from_arrays([pa.array(at), *(pa.array(total[at, k]) for k in range(3))], schema=schema)
 
-    parts = counted.where("sums <> X''").select("sums").mapInArrow(run, "at bigint, n double, types double, terms double")
+    parts = sums.where("sums <> X''").mapInArrow(run, "at bigint, n double, types double, terms double")
     found = parts.groupBy("at").agg(*[F.sum(c).alias(c) for c in ("n", "types", "terms")]).toArrow()  # at most ``size`` rows
     out = np.zeros((size, 3))
     out[found["at"].to_numpy()] = np.stack([found[c].to_numpy() for c in ("n", "types", "terms")], axis=1)
@@ -618,13 +618,13 @@ def _score(documents, id_col, text_col, gain, rule, bucket_pairs, depth, least,
     docs = documents.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
     blocks = tables.write(blocks_of(docs, rule), "blocks")
     pairs = blocks.agg(F.sum("size")).first()[0] or 0
-    counted = materialise(count_words(deal_words(blocks, int(max(1, -(-pairs // bucket_pairs))))), "counted")
-    tree = grow_tree(_all_sums(counted), gain)
+    counted = count_words(deal_words(blocks, int(max(1, -(-pairs // bucket_pairs)))))
+    found = tables.write(counted.groupBy("block").agg(F.collect_list(F.struct("n_pairs", "starts", "counts", "sums")).alias("found")), "found")
+    tree = grow_tree(_all_sums(found.select(F.explode("found.sums").alias("sums"))), gain)
     shared = spark.sparkContext.broadcast(tree)
     n_texts = int(tree.totals[1][MARK << 8 | MARK])  # training texts
-    found = counted.groupBy("block").agg(F.collect_list(F.struct("n_pairs", "starts", "counts")).alias("found"))
     columns = ["block", "ids", "lengths", "tokens", "words", "n_pairs", "suffixes", "size", "found"]
-    joined = blocks.join(found.hint("shuffle_hash"), "block").select(*columns)
+    joined = blocks.join(found.hint("shuffle_hash"), "block").select(*columns[:-1], F.transform("found", lambda x: x.dropFields("sums")).alias("found"))
 
     def shallow(row):
         """Of a block: its texts' fields, the tokens' pairs, and by pair suffix, counts and score."""
@@ -662,7 +662,7 @@ def _score(documents, id_col, text_col, gain, rule, bucket_pairs, depth, least,
         for batch in batches:
             for i in range(batch.num_rows):
                 yield tuple(c.to_pylist()[0] for c in batch.slice(i, 1).columns)
-                give_back()  # a block's arrays are large, and workers live on
+        give_back()  # a block's arrays are large, and workers live on
 
     def state_of(packed):
         return State(*(unpack(x, np.dtype(k)) for x, k in zip(packed, _KINDS, strict=True)))
@@ -715,7 +715,7 @@ def _score(documents, id_col, text_col, gain, rule, bucket_pairs, depth, least,
             tables.drop(f"round_{level - 1}")
         else:
             tables.drop("blocks")
-            drop_table(counted)
+            tables.drop("found")
         told = materialise(tally(made.where("bucket >= 0").select("bucket", "block", "keys", "values"), n_asked, gain), "totals")
         states = made.where("bucket < 0").select("block", "ids", "state")
 

@@ -324,7 +324,8 @@ def _all_sums(sums: DataFrame) -> np.ndarray:
 
 # --- contexts of whole words
 
-# What a round writes: a block's state (bucket -1), and what it asks of each bucket.
+# What a round writes: a block's state (bucket -1), and what it asks of each bucket for its contexts. What
+# it asks for its pairs is made from the state when it's dealt, and not kept.
 _ROUND = pa.schema(
     [("bucket", pa.int64()), ("block", pa.string()), ("keys", pa.binary()), ("values", pa.binary()), ("size", pa.int64()), ("ids", pa.list_(pa.int64())), ("state", pa.list_(pa.binary()))]
 )
@@ -432,7 +433,9 @@ def longer(level: Level, lengths: np.ndarray, n_words: int, n_texts: int, least:
     mine, pair = np.unique(context[kept] * n_words + level.word[kept], return_inverse=True)
     shorter = np.zeros(len(mine), np.int64)
     shorter[pair] = level.pair[kept]
-    contexts, context_of = np.unique(mine // n_words, return_inverse=True)
+    context_of = mine // n_words  # in order
+    new = np.diff(context_of, prepend=-1) > 0
+    contexts, context_of = context_of[new], np.cumsum(new) - 1
     followed = np.zeros(size, np.uint8)
     followed[level.at[kept]] = 1
     text = np.searchsorted(starts, level.at[~kept], side="right") - 1
@@ -472,9 +475,14 @@ def keys_of(state: State) -> np.ndarray:
     return _extended(state.hashes[state.context], state.words[state.token])
 
 
-def advance(state: State, train: np.ndarray, n_texts: int, least: int, last: bool, told) -> tuple[State, list]:
+def compact(state: State) -> State:
+    """The state in the kinds that it is stored in."""
+    return State(*(np.asarray(x).astype(k, copy=False) for x, k in zip(state, _KINDS, strict=True)))
+
+
+def advance(state: State, train: np.ndarray, n_texts: int, least: int, last: bool, told) -> tuple[State, np.ndarray]:
     """One round for a block: ``told(kind, keys)`` has the totals it asked for. The next state, and
-    what is to be asked: (kind, keys, values)."""
+    of the contexts just counted what their tests sum."""
     p, score = settle(state, told(1, state.hashes_before))
     lengths = state.lengths.astype(np.int64)
     at = np.flatnonzero(np.unpackbits(state.followed, count=int(lengths.sum())))
@@ -497,15 +505,15 @@ def advance(state: State, train: np.ndarray, n_texts: int, least: int, last: boo
         hashes_before=state.hashes,
         **fields,
     )
-    return after, [(1, state.hashes, sums), *asks_of(after, train)]
+    return compact(after), sums
 
 
-def asks_of(state: State, train: np.ndarray) -> list:
-    """The counts that a block asks for: not those of pairs whose shorter pair is all its own."""
+def asks_of(state: State, train: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and counts of the pairs that a block asks for: not those whose shorter pair is all its own."""
     at = np.flatnonzero(np.unpackbits(state.followed, count=int(state.lengths.sum())))
     seen = np.bincount(state.pair, weights=train[at], minlength=len(state.token)).astype(np.uint32)
     asked = state.asked.astype(bool)
-    return [(0, keys_of(state)[asked], seen[asked][None])]
+    return keys_of(state)[asked], seen[asked][None]
 
 
 def tally(asked: DataFrame, n_buckets: int, gain: float) -> DataFrame:
@@ -649,7 +657,7 @@ def _score(documents, id_col, text_col, gain, rule, bucket_pairs, depth, least,
         level = Level(np.arange(len(at)), at.astype(np.int64), word, counts[3].astype(bool), word, words, counts[0][np.cumsum(of_word) - of_word])
         fields = longer(level, lengths, len(words), n_texts, least)
         of_suffix = {"total_before": counts[2], "p_before": 10.0**scores, "context_before": suffix, "n_before": shared.value.totals[1].astype(np.int64)}
-        return State(*texts, np.zeros(len(lengths)), words, hashes_before=np.zeros(0, np.uint64), **of_suffix, **fields)
+        return compact(State(*texts, np.zeros(len(lengths)), words, hashes_before=np.zeros(0, np.uint64), **of_suffix, **fields))
 
     def trained(ids, lengths):
         return np.repeat([not held_out(i, rule) for i in ids], lengths)
@@ -667,25 +675,21 @@ def _score(documents, id_col, text_col, gain, rule, bucket_pairs, depth, least,
     def state_of(packed):
         return State(*(unpack(x, np.dtype(k)) for x, k in zip(packed, _KINDS, strict=True)))
 
-    def out_rows(block, ids, state, asks, n_buckets):
-        if state is not None:
-            yield _rows([(-1, block, None, None, 0, ids, [pack(np.asarray(x).astype(k)) for x, k in zip(state, _KINDS, strict=True)])], _ROUND)
-        for kind, keys, values in asks:
-            yield from _ask(block, kind, keys, values, n_buckets)
-
     if not depth:
         shallow_scores = joined.mapInArrow(lambda batches: (scored(r[1], *t, np.bincount(np.repeat(np.arange(len(r[1])), t[0]), weights=s[a], minlength=len(r[1]))) for r in each(batches) for t, a, _, _, s in [shallow(r)]), _kinds(_SCORED))
         return materialise(shallow_scores, "scores")
 
-    def ask_first(n_buckets):
+    def ask(n_buckets, known_state):
+        """What blocks ask for the pairs of the contexts to be counted next."""
+
         def run(batches):
             for row in each(batches):
-                state = first_state(row)
-                yield from out_rows(row[0], row[1], None, asks_of(state, trained(row[1], state.lengths)), n_buckets)
+                state = state_of(row[2]) if known_state else first_state(row)
+                yield from _ask(row[0], 0, *asks_of(state, trained(row[1], state.lengths)), n_buckets)
 
         return run
 
-    def ask_next(level, n_buckets, known_state):
+    def go_on(level, n_buckets, known_state):
         """The round after the totals of ``level``-word contexts. The first state is made anew, not kept:
         it's as large as all later ones."""
 
@@ -694,10 +698,11 @@ def _score(documents, id_col, text_col, gain, rule, bucket_pairs, depth, least,
                 *row, more = row
                 block, ids = row[0], row[1]
                 state = state_of(row[2]) if known_state else first_state(row)
-                train = trained(ids, state.lengths)
                 told = lambda kind, keys: _told(more, kind, n_buckets, keys)
-                state, asks = advance(state, train, n_texts, least, level == depth, told)
-                yield from out_rows(block, ids, state, asks, n_buckets)
+                after, sums = advance(state, trained(ids, state.lengths), n_texts, least, level == depth, told)
+                yield from _ask(block, 1, state.hashes, sums, n_buckets)
+                del state, sums
+                yield _rows([(-1, block, None, None, 0, ids, [pack(x) for x in after])], _ROUND)
 
         return run
 
@@ -706,18 +711,18 @@ def _score(documents, id_col, text_col, gain, rule, bucket_pairs, depth, least,
         return frame.join(more.hint("shuffle_hash"), "block", "left").select(*frame.columns, "more")
 
     n_asked = int(max(1, -(-pairs // bucket_pairs)))
-    asked = joined.mapInArrow(ask_first(n_asked), _kinds(_ROUND))
-    told, states = materialise(tally(asked.select("bucket", "block", "keys", "values"), n_asked, gain), "totals"), joined
+    asking = ["bucket", "block", "keys", "values"]
+    asked = joined.mapInArrow(ask(n_asked, False), _kinds(_ROUND)).select(*asking)
+    told, states = materialise(tally(asked, n_asked, gain), "totals"), joined
     for level in range(1, depth + 1):
-        made = tables.write(with_told(states, told).mapInArrow(ask_next(level, n_asked, level > 1), _kinds(_ROUND)), f"round_{level}")
+        made = tables.write(with_told(states, told).mapInArrow(go_on(level, n_asked, level > 1), _kinds(_ROUND)), f"round_{level}")
         drop_table(told)
-        if level > 1:
-            tables.drop(f"round_{level - 1}")
-        else:
-            tables.drop("blocks")
-            tables.drop("found")
-        told = materialise(tally(made.where("bucket >= 0").select("bucket", "block", "keys", "values"), n_asked, gain), "totals")
-        states = made.where("bucket < 0").select("block", "ids", "state")
+        for name in [f"round_{level - 1}"] if level > 1 else ["blocks", "found"]:
+            tables.drop(name)
+        states, asked = made.where("bucket < 0").select("block", "ids", "state"), made.where("bucket >= 0").select(*asking)
+        if level < depth:
+            asked = asked.union(states.mapInArrow(ask(n_asked, True), _kinds(_ROUND)).select(*asking))
+        told = materialise(tally(asked, n_asked, gain), "totals")
 
     def finish(batches):
         for _, ids, packed, more in each(batches):

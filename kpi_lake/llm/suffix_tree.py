@@ -35,8 +35,8 @@ where the (context, token) one symbol shorter occurs in this block only, since t
 A context is extended if its count, which is that of the (context, token) one symbol shorter, is large
 enough; a token whose history is rarer is followed no further. What a block knows after a level (``State``;
 probabilities in single precision) is a row of a table bucketed by block, which takes the place of
-the last level's: states don't travel, no level but the first is gone through twice, and the files of
-tables and shuffles are removed when the next table stands.
+the last level's, one share of the blocks after another: states don't travel, no level is gone through
+twice, and the files of tables and shuffles are removed when the next table stands.
 
 Defined cases: a null, empty or blank text is one end; a null id counts as an empty one (not held
 out); repeated rows count and are scored each for itself; without training texts every token is the
@@ -48,12 +48,13 @@ from __future__ import annotations
 
 import uuid
 import zlib
+from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kpi_lake.llm.common import drop_folder, drop_table, give_back, materialise, scratch_path, slices, utf8_column
@@ -63,6 +64,8 @@ DEPTH, LEAST = 5, 8
 HELD_OUT = (7, 2)
 BLOCK_BYTES = 6 << 20
 BUCKET_PAIRS = 1_000_000
+#: Shares of the blocks that a round takes one after another, each replacing its old tables (disk only).
+SHARES = 4
 # Bytes that no UTF-8 text has, as mark before a word's first byte, and as end token.
 MARK = 0xFE
 END_TOKEN = b"\xfc"
@@ -418,7 +421,7 @@ class Level(NamedTuple):
     counts: np.ndarray
 
 
-def longer(level: Level, lengths: np.ndarray, n_words: int, n_texts: int, least: int) -> dict:
+def longer(level: Level, lengths: np.ndarray, n_texts: int, least: int) -> dict:
     """The fields of ``State`` for contexts one word longer. A token whose history is too rare is gone:
     longer ones that end in it are as rare."""
     size, starts = int(lengths.sum()), np.cumsum(lengths) - lengths
@@ -430,24 +433,23 @@ def longer(level: Level, lengths: np.ndarray, n_words: int, n_texts: int, least:
     before[level.at] = level.symbol
     context = _after(before, first, len(hashes) - 2)[level.at]
     kept = counts[context] >= least
-    mine, pair = np.unique(context[kept] * n_words + level.word[kept], return_inverse=True)
-    shorter = np.zeros(len(mine), np.int64)
-    shorter[pair] = level.pair[kept]
-    context_of = mine // n_words  # in order
-    new = np.diff(context_of, prepend=-1) > 0
-    contexts, context_of = context_of[new], np.cumsum(new) - 1
+    # In order of the shorter pairs, and so of tokens: both take little room in a state.
+    mine, pair = np.unique(level.pair[kept] * len(hashes) + context[kept], return_inverse=True)
+    shorter, context_of = np.divmod(mine, len(hashes))
+    token, used = np.zeros(len(mine), np.int64), np.zeros(len(hashes), bool)
+    token[pair], used[context_of] = level.word[kept], True
     followed = np.zeros(size, np.uint8)
     followed[level.at[kept]] = 1
     text = np.searchsorted(starts, level.at[~kept], side="right") - 1
     return {
         "followed": np.packbits(followed),
         "pair": pair,
-        "token": mine % n_words,
-        "context": context_of,
+        "token": token,
+        "context": (np.cumsum(used) - 1)[context_of],
         "shorter": shorter,
         "asked": ~level.whole[shorter],
-        "hashes": hashes[contexts],
-        "n": counts[contexts],
+        "hashes": hashes[used],
+        "n": counts[used],
         "gone_text": text,
         "gone": level.pair[~kept],
     }
@@ -495,7 +497,7 @@ def advance(state: State, train: np.ndarray, n_texts: int, least: int, last: boo
     terms = np.log(here) - np.log(before) - np.log(n) + np.log(n_parent)
     sums = np.stack([np.bincount(state.context, weights=seen * x, minlength=len(state.hashes)) for x in (1 / here, terms)])
     level = Level(at, state.pair.astype(np.int64), state.token[state.pair].astype(np.int64), whole, state.pair, keys, total)
-    fields = none_longer(level, lengths) if last else longer(level, lengths, len(state.words), n_texts, least)
+    fields = none_longer(level, lengths) if last else longer(level, lengths, n_texts, least)
     after = state._replace(
         score=score,
         total_before=total,
@@ -580,16 +582,24 @@ class _Tables:
     def write(self, df: DataFrame, name: str) -> DataFrame:
         table = f"{name}_{uuid.uuid4().hex}"
         path = scratch_path(self.spark, name)
-        df.write.bucketBy(self.n, "block").option("path", path).option("compression", "zstd").saveAsTable(table)
+        writer = df.write.bucketBy(self.n, "block").option("path", path).option("compression", "zstd")
+        (writer.partitionBy("share") if "share" in df.columns else writer).saveAsTable(table)
         self.names[name] = (table, path)
         return self.spark.table(table)
 
+    def drop_share(self, name: str, share: int) -> None:
+        drop_folder(self.spark, f"{self.names[name][1]}/share={share}")
+
     def drop(self, name: str) -> None:
         table, path = self.names.pop(name)
         self.spark.sql(f"DROP TABLE {table}")
         drop_folder(self.spark, path)
 
 
+def share_of(block: Column) -> Column:
+    return F.pmod(F.crc32(block.cast("binary")), F.lit(SHARES)).cast("int")
+
+
 # --- scores
 
 _SCORED = pa.schema(
@@ -624,15 +634,23 @@ def score_documents(
 def _score(documents, id_col, text_col, gain, rule, bucket_pairs, depth, least, tables) -> DataFrame:
     spark = documents.sparkSession
     docs = documents.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
-    blocks = tables.write(blocks_of(docs, rule), "blocks")
-    pairs = blocks.agg(F.sum("size")).first()[0] or 0
-    counted = count_words(deal_words(blocks, int(max(1, -(-pairs // bucket_pairs)))))
-    found = tables.write(counted.groupBy("block").agg(F.collect_list(F.struct("n_pairs", "starts", "counts", "sums")).alias("found")), "found")
+    blocks = tables.write(blocks_of(docs, rule).withColumn("share", share_of(F.col("block"))), "blocks")
+    sizes = {r["share"]: r["pairs"] for r in blocks.groupBy("share").agg(F.sum("size").alias("pairs")).collect()}
+    n_buckets = int(max(1, -(-sum(sizes.values()) // bucket_pairs)))
+    counted = count_words(deal_words(blocks, n_buckets))
+    found = counted.groupBy("block").agg(F.collect_list(F.struct("n_pairs", "starts", "counts", "sums")).alias("found"))
+    found = tables.write(found.withColumn("share", share_of(F.col("block"))), "found")
     tree = grow_tree(_all_sums(found.select(F.explode("found.sums").alias("sums"))), gain)
     shared = spark.sparkContext.broadcast(tree)
     n_texts = int(tree.totals[1][MARK << 8 | MARK])  # training texts
-    columns = ["block", "ids", "lengths", "tokens", "words", "n_pairs", "suffixes", "size", "found"]
-    joined = blocks.join(found.hint("shuffle_hash"), "block").select(*columns[:-1], F.transform("found", lambda x: x.dropFields("sums")).alias("found"))
+
+    def joined(share):
+        columns = ["block", "ids", "lengths", "tokens", "words", "n_pairs", "suffixes", "size"]
+        mine, counts = (x.where(F.col("share") == share).drop("share") for x in (blocks, found))
+        return mine.join(counts.hint("shuffle_hash"), "block").select(*columns, F.transform("found", lambda x: x.dropFields("sums")).alias("found"))
+
+    def together(frames):
+        return reduce(DataFrame.union, frames)
 
     def shallow(row):
         """Of a block: its texts' fields, the tokens' pairs, and by pair suffix, counts and score."""
@@ -655,7 +673,7 @@ def _score(documents, id_col, text_col, gain, rule, bucket_pairs, depth, least,
         words = np.array([xxhash.xxh64_intdigest(w) for w in _unpack_words(row[4])], np.uint64)
         word = np.repeat(np.arange(len(words)), of_word)[at]
         level = Level(np.arange(len(at)), at.astype(np.int64), word, counts[3].astype(bool), word, words, counts[0][np.cumsum(of_word) - of_word])
-        fields = longer(level, lengths, len(words), n_texts, least)
+        fields = longer(level, lengths, n_texts, least)
         of_suffix = {"total_before": counts[2], "p_before": 10.0**scores, "context_before": suffix, "n_before": shared.value.totals[1].astype(np.int64)}
         return compact(State(*texts, np.zeros(len(lengths)), words, hashes_before=np.zeros(0, np.uint64), **of_suffix, **fields))
 
@@ -675,61 +693,72 @@ def _score(documents, id_col, text_col, gain, rule, bucket_pairs, depth, least,
     def state_of(packed):
         return State(*(unpack(x, np.dtype(k)) for x, k in zip(packed, _KINDS, strict=True)))
 
+    shares = sorted(sizes) or [0]
     if not depth:
-        shallow_scores = joined.mapInArrow(lambda batches: (scored(r[1], *t, np.bincount(np.repeat(np.arange(len(r[1])), t[0]), weights=s[a], minlength=len(r[1]))) for r in each(batches) for t, a, _, _, s in [shallow(r)]), _kinds(_SCORED))
-        return materialise(shallow_scores, "scores")
+        shallow_scores = [joined(k).mapInArrow(lambda batches: (scored(r[1], *t, np.bincount(np.repeat(np.arange(len(r[1])), t[0]), weights=s[a], minlength=len(r[1]))) for r in each(batches) for t, a, _, _, s in [shallow(r)]), _kinds(_SCORED)) for k in shares]
+        return materialise(together(shallow_scores), "scores")
 
-    def ask(n_buckets, known_state):
-        """What blocks ask for the pairs of the contexts to be counted next."""
+    def state_row(block, ids, state):
+        return _rows([(-1, block, None, None, 0, ids, [pack(x) for x in state])], _ROUND)
 
-        def run(batches):
-            for row in each(batches):
-                state = state_of(row[2]) if known_state else first_state(row)
-                yield from _ask(row[0], 0, *asks_of(state, trained(row[1], state.lengths)), n_buckets)
+    def begin(batches):
+        for row in each(batches):
+            yield state_row(row[0], row[1], first_state(row))
 
-        return run
+    def ask(batches):
+        """What blocks ask for the pairs of the contexts to be counted next."""
+        for block, ids, packed in each(batches):
+            state = state_of(packed)
+            yield from _ask(block, 0, *asks_of(state, trained(ids, state.lengths)), n_buckets)
 
-    def go_on(level, n_buckets, known_state):
-        """The round after the totals of ``level``-word contexts. The first state is made anew, not kept:
-        it's as large as all later ones."""
+    def go_on(last):
+        """A round, after the totals of the contexts asked for."""
 
         def run(batches):
-            for row in each(batches):
-                *row, more = row
-                block, ids = row[0], row[1]
-                state = state_of(row[2]) if known_state else first_state(row)
+            for block, ids, packed, more in each(batches):
+                state = state_of(packed)
                 told = lambda kind, keys: _told(more, kind, n_buckets, keys)
-                after, sums = advance(state, trained(ids, state.lengths), n_texts, least, level == depth, told)
+                after, sums = advance(state, trained(ids, state.lengths), n_texts, least, last, told)
                 yield from _ask(block, 1, state.hashes, sums, n_buckets)
                 del state, sums
-                yield _rows([(-1, block, None, None, 0, ids, [pack(x) for x in after])], _ROUND)
+                yield state_row(block, ids, after)
 
         return run
 
-    def with_told(frame, told):
-        more = told.groupBy("block").agg(F.collect_list(F.struct("bucket", "totals")).alias("more"))
-        return frame.join(more.hint("shuffle_hash"), "block", "left").select(*frame.columns, "more")
-
-    n_asked = int(max(1, -(-pairs // bucket_pairs)))
-    asking = ["bucket", "block", "keys", "values"]
-    asked = joined.mapInArrow(ask(n_asked, False), _kinds(_ROUND)).select(*asking)
-    told, states = materialise(tally(asked, n_asked, gain), "totals"), joined
+    def states(made):
+        return made.where("bucket < 0").select("block", "ids", "state")
+
+    def with_told(share):
+        """States of a share and what their blocks have asked for."""
+        more = told.where(share_of(F.col("block")) == share).groupBy("block").agg(F.collect_list(F.struct("bucket", "totals")).alias("more"))
+        return states(made[share]).join(more.hint("shuffle_hash"), "block", "left").select("block", "ids", "state", "more")
+
+    def totals(pairs_too):
+        asking = ["bucket", "block", "keys", "values"]
+        asked = [x.where("bucket >= 0").select(*asking) for x in made.values()]
+        if pairs_too:
+            asked += [states(x).mapInArrow(ask, _kinds(_ROUND)).select(*asking) for x in made.values()]
+        return materialise(tally(together(asked), n_buckets, gain), "totals")
+
+    made = {}
+    for share in shares:
+        made[share] = tables.write(joined(share).mapInArrow(begin, _kinds(_ROUND)), f"round_0_{share}")
+        tables.drop_share("blocks", share)
+        tables.drop_share("found", share)
     for level in range(1, depth + 1):
-        made = tables.write(with_told(states, told).mapInArrow(go_on(level, n_asked, level > 1), _kinds(_ROUND)), f"round_{level}")
+        told = totals(pairs_too=True)
+        for share in shares:
+            made[share] = tables.write(with_told(share).mapInArrow(go_on(level == depth), _kinds(_ROUND)), f"round_{level}_{share}")
+            tables.drop(f"round_{level - 1}_{share}")
         drop_table(told)
-        for name in [f"round_{level - 1}"] if level > 1 else ["blocks", "found"]:
-            tables.drop(name)
-        states, asked = made.where("bucket < 0").select("block", "ids", "state"), made.where("bucket >= 0").select(*asking)
-        if level < depth:
-            asked = asked.union(states.mapInArrow(ask(n_asked, True), _kinds(_ROUND)).select(*asking))
-        told = materialise(tally(asked, n_asked, gain), "totals")
+    told = totals(pairs_too=False)
 
     def finish(batches):
         for _, ids, packed, more in each(batches):
             state = state_of(packed)
-            _, score = settle(state, _told(more, 1, n_asked, state.hashes_before))
+            _, score = settle(state, _told(more, 1, n_buckets, state.hashes_before))
             yield scored(ids, state.lengths, state.known, state.base, score)
 
-    scores = materialise(with_told(states, told).mapInArrow(finish, _kinds(_SCORED)), "scores")
+    scores = materialise(together([with_told(share).mapInArrow(finish, _kinds(_SCORED)) for share in shares]), "scores")
     drop_table(told)
     return scores

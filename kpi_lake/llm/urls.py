@@ -11,7 +11,8 @@ accepted and rejected urls are told apart best on average.
 Everything is DataFrame code. One aggregation counts the longest n-grams of all urls; shorter ones
 are rolled up from it, and the weights are joined back to the urls' n-grams. Partial aggregation
 keeps frequent n-grams from being shuffled once per url, and the joins are ordinary ones that
-adaptive execution splits where a key is hot. Rules are literals of the plan.
+adaptive execution splits where a key is hot. What is joined and summed carries 16 bytes of hash in
+a url's place (equal urls are scored once, by these). Rules are literals of the plan.
 
 Defined cases: a null url, or one without ``://``, has an empty host and path and an empty text for
 the models, whose score is 0; without a training set of both kinds every score is 0 and the
@@ -33,6 +34,8 @@ SMOOTHING = 4.0
 #: Probability that every order-0 model gives any character before counting.
 FLOOR = 1.0 / 1024
 BINS = 2000
+# The two halves of a text's hash.
+KEYS = ["k1", "k2"]
 #: Different urls whose n-grams one task makes.
 TASK_URLS = 4000
 RULES = [("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"), ("net/fr/", "block")]
@@ -73,6 +76,10 @@ def ngrams(text: Column, order: int = ORDER) -> Column:
     return F.when(text != "", grams).otherwise(F.array().cast("array<string>"))
 
 
+def text_keys(text: Column) -> list[Column]:
+    return [F.xxhash64(text).alias(KEYS[0]), F.xxhash64(F.lit(1), text).alias(KEYS[1])]
+
+
 def gram_weights(counts: DataFrame, order: int = ORDER, smoothing: float = SMOOTHING) -> DataFrame:
     """``gram, weight`` from ``gram, accepted, rejected`` (counts, zero for unseen): the logarithm
     of the smoothed probabilities' ratio."""
@@ -102,9 +109,7 @@ def judge_urls(
 ) -> DataFrame:
     """Per row ``page_id, host, path, rule, verdict, score, threshold``."""
     urls = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).cast("string").alias("url"))
-    judged = urls.select(
-        "page_id", "url", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), model_text(F.col("url")).alias("text")
-    )
+    judged = urls.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), model_text(F.col("url")).alias("text"))
     judged = judged.withColumn("rule", rule_for(F.col("host"), F.col("path"), rules))
     judged = judged.withColumn("ruled", rule_verdict(F.col("rule"), rules))
     # Equal urls are scored once.
@@ -112,27 +117,28 @@ def judge_urls(
         F.sum((F.col("ruled") == "allow").cast("bigint")).alias("accepted"), F.sum((F.col("ruled") == "block").cast("bigint")).alias("rejected")
     )
     texts = texts.select(
-        F.xxhash64("text").alias("key"), "text", F.coalesce("accepted", F.lit(0)).alias("accepted"), F.coalesce("rejected", F.lit(0)).alias("rejected")
-    ).withColumn("fitted", F.pmod("key", F.lit(2)) == 0)
+        *text_keys(F.col("text")), "text", F.coalesce("accepted", F.lit(0)).alias("accepted"), F.coalesce("rejected", F.lit(0)).alias("rejected")
+    ).withColumn("fitted", F.pmod("k1", F.lit(2)) == 0)
     texts = materialise(texts, "url_texts")
     # A url makes many n-grams: urls are dealt by number, not by their few bytes.
-    texts = texts.repartition(1 + texts.count() // TASK_URLS, "key")
+    texts = texts.repartition(1 + texts.count() // TASK_URLS, *KEYS)
     use = F.when(F.col("fitted"), F.lit(1)).otherwise(F.lit(0))
     grams = texts.select(F.explode(ngrams(F.col("text"), order)).alias("gram"), (F.col("accepted") * use).alias("accepted"), (F.col("rejected") * use).alias("rejected"))
     counts = materialise(grams.groupBy("gram").agg(F.sum("accepted").alias("accepted"), F.sum("rejected").alias("rejected")), "url_grams")
     weights = gram_weights(counts, order, smoothing)
     scored = (
-        texts.select("text", F.explode(ngrams(F.col("text"), order)).alias("gram"))
+        texts.select(*KEYS, F.explode(ngrams(F.col("text"), order)).alias("gram"))
         .join(weights, "gram")
-        .groupBy("text")
+        .groupBy(*KEYS)
         .agg((F.sum("weight") / F.count(F.lit(1))).alias("score"))
     )
-    scored = materialise(texts.select("text", "accepted", "rejected", "fitted").join(scored, "text", "left").fillna(0.0, ["score"]), "url_scores")
+    scored = materialise(texts.select(*KEYS, "accepted", "rejected", "fitted").join(scored, KEYS, "left").fillna(0.0, ["score"]), "url_scores")
     threshold = calibrate(scored.where("not fitted"))
     both = scored.agg(F.sum(F.col("accepted") * use), F.sum(F.col("rejected") * use)).first()
     if not both[0] or not both[1]:
         scored, threshold = scored.withColumn("score", F.lit(0.0)), 0.0
-    return judged.join(scored.select("text", "score"), "text").select(
+    judged = judged.select("page_id", "host", "path", "rule", "ruled", *text_keys(F.col("text")))
+    return judged.join(scored.select(*KEYS, "score"), KEYS).select(
         "page_id",
         "host",
         "path",

@@ -84,6 +84,53 @@ def test_weights_equal_plain_smoothing(spark):
         assert got[gram] == pytest.approx(math.log(p(gram, 0)) - math.log(p(gram, 1)))
 
 
+def test_scores_and_threshold_equal_plain_counting(spark, judged):
+    """All of the method: counts of the fitted half, smoothing, mean weights, the calibrated cut."""
+    rows, got = judged
+    n = urls.ORDER
+    ruled = {}
+    for _, url, *_ in rows:
+        verdict = RULES.get(rule(*parts(url)))
+        a, r = ruled.get(text_of(url), (0, 0))
+        ruled[text_of(url)] = (a + (verdict == "allow"), r + (verdict == "block"))
+    texts = spark.createDataFrame([(t,) for t in ruled], "text string")
+    fitted = {r.text for r in texts.where("pmod(xxhash64(text), 2) = 0").collect()}
+    counts = ({}, {})  # by model: of each n-gram and context, by length
+    for text in fitted:
+        for gram in grams(text):
+            for k in range(n + 1):
+                for side in (0, 1):
+                    for part in (("g", gram[n - k :]), ("c", k, gram[n - k : -1])):
+                        counts[side][part] = counts[side].get(part, 0) + ruled[text][side]
+
+    def weight(gram):
+        p = [urls.FLOOR, urls.FLOOR]
+        for k in range(n + 1):
+            for side in (0, 1):
+                seen, total = counts[side].get(("g", gram[n - k :]), 0), counts[side].get(("c", k, gram[n - k : -1]), 0)
+                p[side] = (seen + urls.SMOOTHING * p[side]) / (total + urls.SMOOTHING)
+        return math.log(p[0]) - math.log(p[1])
+
+    want = {text: sum(map(weight, grams(text))) / len(grams(text)) if text else 0.0 for text in ruled}
+    url_of = {(i, *parts(u)): u for i, u, *_ in rows}
+    exact = {}
+    for r in got:
+        text = text_of(url_of[r.page_id, r.host, r.path])
+        assert r.score == pytest.approx(want[text], abs=1e-9)
+        exact[text] = r.score
+    held = [(exact[t], a, r) for t, (a, r) in ruled.items() if t not in fitted and a + r]
+    low, high = min(s for s, *_ in held), max(s for s, *_ in held)
+    step = (high - low) / urls.BINS
+    bins = [(min(math.floor((s - low) / step), urls.BINS - 1), a, r) for s, a, r in held]
+    all_a, all_r = sum(a for _, a, _ in held), sum(r for *_, r in held)
+
+    def worth(cut):
+        return sum(a for b, a, _ in bins if b >= cut) / all_a + sum(r for b, _, r in bins if b < cut) / all_r
+
+    best = max(sorted({b for b, *_ in bins}), key=lambda cut: round(worth(cut), 12))
+    assert [r.threshold for r in got] == pytest.approx([low + best * step] * len(got))
+
+
 def test_grams_and_texts(spark):
     rows = [u for u in sample()[:20] if u is not None]
     frame = spark.createDataFrame([(u,) for u in rows], "url string")

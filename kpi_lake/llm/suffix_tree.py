@@ -33,7 +33,10 @@ its distinct (context, token) and of its contexts, by 64-bit hash (two that coll
 counts), from buckets, ranges of hashes, that sum what the blocks have summed already. It doesn't ask
 where the (context, token) one symbol shorter occurs in this block only, since the longer one does too.
 A context is extended if its count, which is that of the (context, token) one symbol shorter, is large
-enough; a token whose history is rarer is followed no further. What a block knows after a level (``State``;
+enough; a token whose history is rarer is followed no further. A round asks for the totals of the pairs, then,
+with these, for the weights of their contexts, so that a level's probabilities are final before the next
+state is written: a token that is followed no further adds to its text's score at once, and a state keeps of
+the shorter pairs only those that longer ones refer to. What a block knows after a level (``State``;
 probabilities in single precision) is a row of a table bucketed by block, which takes the place of
 the last level's, one share of the blocks after another: states don't travel, no level is gone through
 twice, and the files of tables and shuffles are removed when the next table stands.
@@ -48,6 +51,7 @@ from __future__ import annotations
 
 import uuid
 import zlib
+from collections import defaultdict
 from functools import reduce
 from typing import NamedTuple
 
@@ -94,6 +98,31 @@ def unpack(packed: bytes, kind) -> np.ndarray:
     return np.ascontiguousarray(raw.reshape(np.dtype(kind).itemsize, -1).T).view(kind).reshape(-1)
 
 
+def order_of(keys: np.ndarray) -> np.ndarray:
+    """What puts unsigned 64-bit keys in order: their high bits are sorted with the places below them,
+    unless two keys are equal in these bits and out of order in the rest."""
+    bits = np.uint64(max(len(keys), 1).bit_length())
+    places = keys >> bits << bits | np.arange(len(keys), dtype=np.uint64)
+    places.sort()
+    order = (places & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+    mine = keys[order]
+    return order if (mine[1:] >= mine[:-1]).all() else np.argsort(keys, kind="stable")
+
+
+def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct non-negative keys in order, and the number of each key among them."""
+    bits = len(keys).bit_length()
+    if not len(keys) or int(keys.max()).bit_length() + bits > 63:
+        return np.unique(keys, return_inverse=True)
+    places = keys.astype(np.int64) << bits | np.arange(len(keys))
+    places.sort()
+    order, mine = places & (1 << bits) - 1, places >> bits
+    new = np.concatenate(([True], mine[1:] > mine[:-1]))
+    inverse = np.empty(len(keys), np.int64)
+    inverse[order] = np.cumsum(new) - 1
+    return mine[new], inverse
+
+
 def _pack_words(words: list[bytes]) -> bytes:
     return pack(np.frombuffer(b" ".join(words), np.uint8))
 
@@ -125,7 +154,7 @@ _BLOCK = pa.schema(
         ("ids", pa.list_(pa.int64())),
         ("lengths", pa.binary()),  # tokens per document
         ("tokens", pa.binary()),  # pair numbers
-        ("words", pa.binary()),
+        ("words", pa.binary()),  # in order of their hashes
         ("n_pairs", pa.binary()),  # per word; pairs are in order of words
         ("suffixes", pa.binary()),  # per pair
         ("train", pa.binary()),  # per pair, its count in training documents
@@ -134,21 +163,36 @@ _BLOCK = pa.schema(
 )
 
 
+def _numbers() -> defaultdict:
+    """Numbers words as they are asked for."""
+    table = defaultdict()
+    table.default_factory = table.__len__
+    return table
+
+
+def hashes_of(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+
+
 def blocks_of(docs: DataFrame, rule: tuple[int, int] = HELD_OUT) -> DataFrame:
     def run(batches):
         from pyspark import TaskContext
 
         part, number = TaskContext.get().partitionId(), 0
-        ids, parts, table, held = [], [], {END_TOKEN: 0}, 0
+        ids, parts, table, held = [], [], _numbers(), 0
 
         def flush():
             words = list(table)
+            order = order_of(hashes_of(words))
+            rank = np.empty(len(words), np.int64)
+            rank[order] = np.arange(len(words))
+            words = [words[i] for i in order.tolist()]
             last = np.fromiter((suffix_of(w) for w in words), np.int64, len(words))
             lengths = np.array([len(p) for p in parts])
-            token = np.concatenate(parts)
+            token = rank[np.concatenate(parts)]
             before = np.concatenate(([0], last[token[:-1]]))
             before[np.cumsum(lengths)[:-1]] = before[0] = MARK << 8 | MARK
-            pairs, tokens = np.unique(token * _SUFFIXES + before, return_inverse=True)
+            pairs, tokens = distinct(token * _SUFFIXES + before)
             training = np.repeat([not held_out(i, rule) for i in ids], lengths)
             counts = np.bincount(tokens[training], minlength=len(pairs))
             row = (
@@ -168,17 +212,13 @@ def blocks_of(docs: DataFrame, rule: tuple[int, int] = HELD_OUT) -> DataFrame:
             for doc, raw in zip(batch.column(0).to_pylist(), utf8_column(batch.column(1)), strict=True):
                 words = raw.lower().split()
                 words.append(END_TOKEN)
-                try:
-                    found = np.fromiter(map(table.__getitem__, words), np.int64, len(words))
-                except KeyError:
-                    found = np.fromiter((table.setdefault(w, len(table)) for w in words), np.int64, len(words))
                 ids.append(doc)
-                parts.append(found)
+                parts.append(np.fromiter(map(table.__getitem__, words), np.int64, len(words)))
                 held += len(raw)
                 if held > BLOCK_BYTES:
                     yield flush()
                     number += 1
-                    ids, parts, table, held = [], [], {END_TOKEN: 0}, 0
+                    ids, parts, table, held = [], [], _numbers(), 0
         if ids:
             yield flush()
         del table, parts
@@ -230,10 +270,10 @@ def count_words(parts: DataFrame) -> DataFrame:
 
         def flush():
             pairs = np.concatenate([p for _, _, _, p, _ in held])
-            unique, inverse = np.unique(pairs, return_inverse=True)
+            unique, inverse = distinct(pairs)
             two = np.bincount(inverse, weights=np.concatenate([c for *_, c in held]), minlength=len(unique))
             shorter = unique // _SUFFIXES * 256 + unique % 256
-            singles, of_single = np.unique(shorter, return_inverse=True)
+            singles, of_single = distinct(shorter)
             one = np.bincount(of_single, weights=two)
             word = singles // 256
             none = np.bincount(word, weights=one, minlength=len(table))
@@ -327,11 +367,9 @@ def _all_sums(sums: DataFrame) -> np.ndarray:
 
 # --- contexts of whole words
 
-# What a round writes: a block's state (bucket -1), and what it asks of each bucket for its contexts. What
-# it asks for its pairs is made from the state when it's dealt, and not kept.
-_ROUND = pa.schema(
-    [("bucket", pa.int64()), ("block", pa.string()), ("keys", pa.binary()), ("values", pa.binary()), ("size", pa.int64()), ("ids", pa.list_(pa.int64())), ("state", pa.list_(pa.binary()))]
-)
+# What a round writes, a block's state; what a block asks of a bucket, and what it's told.
+_ROUND = pa.schema([("block", pa.string()), ("ids", pa.list_(pa.int64())), ("state", pa.list_(pa.binary()))])
+_ASKED = pa.schema([("bucket", pa.int64()), ("block", pa.string()), ("keys", pa.binary()), ("values", pa.binary())])
 _TOLD = pa.schema([("bucket", pa.int64()), ("block", pa.string()), ("totals", pa.binary())])
 
 
@@ -355,14 +393,14 @@ def _ask(block: str, kind: int, keys: np.ndarray, values: np.ndarray, n_buckets:
     token); kind 1, by context: different tokens, and the divergence from the context one shorter."""
     if not len(keys):
         return
-    order = np.argsort(keys)
+    order = order_of(keys)
     keys, values = keys[order], values[:, order]
     bucket = ((keys >> np.uint64(32)) * np.uint64(n_buckets) >> np.uint64(32)).astype(np.int64)
     cuts = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(keys)]
     for start, stop in zip(cuts, cuts[1:], strict=False):
         steps = np.diff(keys[start:stop], prepend=np.uint64(0))
         mine = np.ascontiguousarray(values[:, start:stop]).reshape(-1)
-        yield _rows([(kind * n_buckets + int(bucket[start]), block, pack(steps), pack(mine), stop - start, None, None)], _ROUND)
+        yield _rows([(kind * n_buckets + int(bucket[start]), block, pack(steps), pack(mine))], _ASKED)
 
 
 def _told(more, kind: int, n_buckets: int, keys: np.ndarray) -> np.ndarray:
@@ -370,17 +408,16 @@ def _told(more, kind: int, n_buckets: int, keys: np.ndarray) -> np.ndarray:
     out = np.zeros(len(keys), np.int64)
     parts = sorted((x["bucket"], x["totals"]) for x in more or [] if (x["bucket"] >= n_buckets) == bool(kind))
     if parts:
-        out[np.argsort(keys)] = np.concatenate([unpack(t, np.int64) for _, t in parts])
+        out[order_of(keys)] = np.concatenate([unpack(t, np.int64) for _, t in parts])
     return out
 
 
 class State(NamedTuple):
-    """A block between two rounds. Of its texts: tokens, known ones, the base score and the score so
-    far. The hashes of its words. The tokens that are still followed (a bit for each) and their pairs
-    of context and token; of these pairs the token, the context, the pair one symbol shorter, and
-    whether its total was asked; of these contexts hash and count. Of the shorter pairs: total,
-    probability before their contexts' weights, context; of their contexts: count and hash. And the
-    tokens that are followed no further: text and shorter pair."""
+    """A block between two rounds. Of its texts: tokens, known ones, the base score and the score of
+    the tokens that are followed no further. The hashes of its words. The tokens that are still
+    followed (a bit for each) and their pairs of context and token; of these pairs the token, the
+    context, the pair one symbol shorter, and whether its total was asked; of these contexts hash and
+    count. And of the shorter pairs: total, probability, and their context's count."""
 
     lengths: np.ndarray
     known: np.ndarray
@@ -397,31 +434,37 @@ class State(NamedTuple):
     n: np.ndarray
     total_before: np.ndarray
     p_before: np.ndarray
-    context_before: np.ndarray
     n_before: np.ndarray
-    hashes_before: np.ndarray
-    gone_text: np.ndarray
-    gone: np.ndarray
 
 
-_KINDS = State(*"u4 u4 f8 f8 u8 u1 u4 u4 u4 u4 u1 u8 u4 u4 f4 u4 u4 u8 u4 u4".split())
+_KINDS = State(*"u4 u4 f8 f8 u8 u1 u4 u4 u4 u4 u1 u8 u4 u4 f4 u4".split())
 
 
 class Level(NamedTuple):
     """What a block knows of a context length: the positions of the tokens that are followed, their
-    pairs and words; whether only this block has a pair; and the hashes and counts of what a longer
-    context can be (``symbol`` numbers these by token)."""
+    pairs and words; of the pairs whether only this block has them, their totals, probabilities, and
+    their contexts' counts; and the hashes and counts of what a longer context can be (``symbol``
+    numbers these by token)."""
 
     at: np.ndarray
     pair: np.ndarray
     word: np.ndarray
     whole: np.ndarray
+    total: np.ndarray
+    p: np.ndarray
+    n: np.ndarray
     symbol: np.ndarray
     hashes: np.ndarray
     counts: np.ndarray
 
 
-def longer(level: Level, lengths: np.ndarray, n_texts: int, least: int) -> dict:
+def scores_of(level: Level, lengths: np.ndarray, gone: np.ndarray) -> np.ndarray:
+    """By text, the sum of the logarithms of the followed tokens that are gone."""
+    text = np.searchsorted(np.cumsum(lengths), level.at[gone], side="right")
+    return np.bincount(text, weights=np.log10(level.p)[level.pair[gone]], minlength=len(lengths))
+
+
+def longer(level: Level, lengths: np.ndarray, score: np.ndarray, n_texts: int, least: int) -> dict:
     """The fields of ``State`` for contexts one word longer. A token whose history is too rare is gone:
     longer ones that end in it are as rare."""
     size, starts = int(lengths.sum()), np.cumsum(lengths) - lengths
@@ -434,45 +477,28 @@ def longer(level: Level, lengths: np.ndarray, n_texts: int, least: int) -> dict:
     context = _after(before, first, len(hashes) - 2)[level.at]
     kept = counts[context] >= least
     # In order of the shorter pairs, and so of tokens: both take little room in a state.
-    mine, pair = np.unique(level.pair[kept] * len(hashes) + context[kept], return_inverse=True)
+    mine, pair = distinct(level.pair[kept] * len(hashes) + context[kept])
     shorter, context_of = np.divmod(mine, len(hashes))
-    token, used = np.zeros(len(mine), np.int64), np.zeros(len(hashes), bool)
-    token[pair], used[context_of] = level.word[kept], True
+    token, used, referred = np.zeros(len(mine), np.int64), np.zeros(len(hashes), bool), np.zeros(len(level.p), bool)
+    token[pair], used[context_of], referred[shorter] = level.word[kept], True, True
     followed = np.zeros(size, np.uint8)
     followed[level.at[kept]] = 1
-    text = np.searchsorted(starts, level.at[~kept], side="right") - 1
     return {
+        "score": score + scores_of(level, lengths, ~kept),
         "followed": np.packbits(followed),
         "pair": pair,
         "token": token,
         "context": (np.cumsum(used) - 1)[context_of],
-        "shorter": shorter,
+        "shorter": (np.cumsum(referred) - 1)[shorter],
         "asked": ~level.whole[shorter],
         "hashes": hashes[used],
         "n": counts[used],
-        "gone_text": text,
-        "gone": level.pair[~kept],
+        "total_before": level.total[referred],
+        "p_before": level.p[referred],
+        "n_before": level.n[referred],
     }
 
 
-def none_longer(level: Level, lengths: np.ndarray) -> dict:
-    """The fields of ``State`` where no longer contexts are looked at: all tokens are gone."""
-    none = np.zeros(0, np.int64)
-    text = np.searchsorted(np.cumsum(lengths) - lengths, level.at, side="right") - 1
-    names = ("pair", "token", "context", "shorter", "asked", "n")
-    return {"followed": np.packbits(np.zeros(int(lengths.sum()), np.uint8)), "hashes": none.astype(np.uint64), "gone_text": text, "gone": level.pair} | dict.fromkeys(names, none)
-
-
-def settle(state: State, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """With the weights of the shorter contexts (their different tokens if they are states, else 0):
-    the shorter pairs' probabilities, and the texts' scores with the tokens that are gone."""
-    p = state.p_before.astype(np.float64)
-    if len(weights):
-        weight = weights[state.context_before]
-        p = np.where(weight > 0, (state.total_before + weight * p) / (state.n_before[state.context_before] + weight), p)
-    return p, state.score + np.bincount(state.gone_text, weights=np.log10(p[state.gone]), minlength=len(state.lengths))
-
-
 def keys_of(state: State) -> np.ndarray:
     return _extended(state.hashes[state.context], state.words[state.token])
 
@@ -482,40 +508,52 @@ def compact(state: State) -> State:
     return State(*(np.asarray(x).astype(k, copy=False) for x, k in zip(state, _KINDS, strict=True)))
 
 
-def advance(state: State, train: np.ndarray, n_texts: int, least: int, last: bool, told) -> tuple[State, np.ndarray]:
-    """One round for a block: ``told(kind, keys)`` has the totals it asked for. The next state, and
-    of the contexts just counted what their tests sum."""
-    p, score = settle(state, told(1, state.hashes_before))
-    lengths = state.lengths.astype(np.int64)
-    at = np.flatnonzero(np.unpackbits(state.followed, count=int(lengths.sum())))
-    seen = np.bincount(state.pair, weights=train[at], minlength=len(state.token))
-    keys, total, asked, whole = keys_of(state), seen.astype(np.int64), state.asked.astype(bool), np.ones(len(seen), bool)
-    answers = told(0, keys[asked])
-    total[asked], whole[asked] = answers >> 1, answers & 1
-    n, here, before = state.n[state.context], np.maximum(total, 1), np.maximum(state.total_before[state.shorter], 1)
-    n_parent = np.maximum(state.n_before[state.context_before[state.shorter]], 1)
-    terms = np.log(here) - np.log(before) - np.log(n) + np.log(n_parent)
-    sums = np.stack([np.bincount(state.context, weights=seen * x, minlength=len(state.hashes)) for x in (1 / here, terms)])
-    level = Level(at, state.pair.astype(np.int64), state.token[state.pair].astype(np.int64), whole, state.pair, keys, total)
-    fields = none_longer(level, lengths) if last else longer(level, lengths, n_texts, least)
-    after = state._replace(
-        score=score,
-        total_before=total,
-        p_before=p[state.shorter],
-        context_before=state.context,
-        n_before=state.n,
-        hashes_before=state.hashes,
-        **fields,
-    )
-    return compact(after), sums
+def followed_of(state: State) -> np.ndarray:
+    return np.flatnonzero(np.unpackbits(state.followed, count=int(state.lengths.sum())))
+
+
+def seen_of(state: State, train: np.ndarray) -> np.ndarray:
+    """How often training texts of the block have its pairs."""
+    return np.bincount(state.pair, weights=train[followed_of(state)], minlength=len(state.token))
 
 
 def asks_of(state: State, train: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Keys and counts of the pairs that a block asks for: not those whose shorter pair is all its own."""
-    at = np.flatnonzero(np.unpackbits(state.followed, count=int(state.lengths.sum())))
-    seen = np.bincount(state.pair, weights=train[at], minlength=len(state.token)).astype(np.uint32)
     asked = state.asked.astype(bool)
-    return keys_of(state)[asked], seen[asked][None]
+    return keys_of(state)[asked], seen_of(state, train).astype(np.uint32)[asked][None]
+
+
+def totals_of(state: State, train: np.ndarray, told) -> tuple[np.ndarray, ...]:
+    """Of the pairs: keys, counts in the block, totals, and whether only this block has them, with
+    ``told(kind, keys)`` for the totals it asked for."""
+    seen, asked = seen_of(state, train), state.asked.astype(bool)
+    keys, total, whole = keys_of(state), seen.astype(np.int64), np.ones(len(seen), bool)
+    answers = told(0, keys[asked])
+    total[asked], whole[asked] = answers >> 1, answers & 1
+    return keys, seen, total, whole
+
+
+def tests_of(state: State, train: np.ndarray, told) -> np.ndarray:
+    """Of the contexts what their tests sum, in this block."""
+    _, seen, total, _ = totals_of(state, train, told)
+    here, before = np.maximum(total, 1), np.maximum(state.total_before, 1)
+    terms = np.log(here) - np.log(state.n)[state.context] + (np.log(np.maximum(state.n_before, 1)) - np.log(before))[state.shorter]
+    return np.stack([np.bincount(state.context, weights=seen * x, minlength=len(state.hashes)) for x in (1 / here, terms)])
+
+
+def advance(state: State, train: np.ndarray, n_texts: int, least: int, last: bool, told) -> State | np.ndarray:
+    """One round for a block: ``told(kind, keys)`` has the totals and the weights it asked for (a
+    context's different tokens if it is a state, else 0). The next state, or in the last round the
+    texts' scores."""
+    keys, _, total, whole = totals_of(state, train, told)
+    weight, n = told(1, state.hashes)[state.context], state.n[state.context].astype(np.int64)
+    p = state.p_before.astype(np.float64)[state.shorter]
+    p = np.where(weight > 0, (total + weight * p) / np.maximum(n + weight, 1), p)
+    lengths, pair = state.lengths.astype(np.int64), state.pair.astype(np.int64)
+    level = Level(followed_of(state), pair, state.token[pair].astype(np.int64), whole, total, p, n, pair, keys, total)
+    if last:
+        return state.score + scores_of(level, lengths, np.ones(len(pair), bool))
+    return compact(state._replace(**longer(level, lengths, state.score, n_texts, least)))
 
 
 def tally(asked: DataFrame, n_buckets: int, gain: float) -> DataFrame:
@@ -670,12 +708,11 @@ def _score(documents, id_col, text_col, gain, rule, bucket_pairs, depth, least,
         """A block with contexts of one word."""
         texts, at, suffix, counts, scores = shallow(row)
         lengths, of_word = texts[0], unpack(row[5], np.uint32).astype(np.int64)
-        words = np.array([xxhash.xxh64_intdigest(w) for w in _unpack_words(row[4])], np.uint64)
+        words = hashes_of(_unpack_words(row[4]))
         word = np.repeat(np.arange(len(words)), of_word)[at]
-        level = Level(np.arange(len(at)), at.astype(np.int64), word, counts[3].astype(bool), word, words, counts[0][np.cumsum(of_word) - of_word])
-        fields = longer(level, lengths, n_texts, least)
-        of_suffix = {"total_before": counts[2], "p_before": 10.0**scores, "context_before": suffix, "n_before": shared.value.totals[1].astype(np.int64)}
-        return compact(State(*texts, np.zeros(len(lengths)), words, hashes_before=np.zeros(0, np.uint64), **of_suffix, **fields))
+        n = shared.value.totals[1].astype(np.int64)[suffix]
+        level = Level(np.arange(len(at)), at.astype(np.int64), word, counts[3].astype(bool), counts[2], 10.0**scores, n, word, words, counts[0][np.cumsum(of_word) - of_word])
+        return compact(State(*texts, words=words, **longer(level, lengths, np.zeros(len(lengths)), n_texts, least)))
 
     def trained(ids, lengths):
         return np.repeat([not held_out(i, rule) for i in ids], lengths)
@@ -691,7 +728,8 @@ def _score(documents, id_col, text_col, gain, rule, bucket_pairs, depth, least,
         give_back()  # a block's arrays are large, and workers live on
 
     def state_of(packed):
-        return State(*(unpack(x, np.dtype(k)) for x, k in zip(packed, _KINDS, strict=True)))
+        state = State(*(unpack(x, np.dtype(k)) for x, k in zip(packed, _KINDS, strict=True)))
+        return state._replace(words=np.cumsum(state.words), hashes=np.cumsum(state.hashes))
 
     shares = sorted(sizes) or [0]
     if not depth:
@@ -699,7 +737,9 @@ def _score(documents, id_col, text_col, gain, rule, bucket_pairs, depth, least,
         return materialise(together(shallow_scores), "scores")
 
     def state_row(block, ids, state):
-        return _rows([(-1, block, None, None, 0, ids, [pack(x) for x in state])], _ROUND)
+        """Hashes as steps from one to the next: those of words, and of contexts of one word, are in order."""
+        steps = {k: np.diff(getattr(state, k), prepend=np.uint64(0)) for k in ("words", "hashes")}
+        return _rows([(block, ids, [pack(x) for x in state._replace(**steps)])], _ROUND)
 
     def begin(batches):
         for row in each(batches):
@@ -711,34 +751,29 @@ def _score(documents, id_col, text_col, gain, rule, bucket_pairs, depth, least,
             state = state_of(packed)
             yield from _ask(block, 0, *asks_of(state, trained(ids, state.lengths)), n_buckets)
 
+    def ask_weights(batches):
+        """What blocks ask for these contexts, with the totals of the pairs."""
+        for block, ids, packed, more in each(batches):
+            state = state_of(packed)
+            told = lambda kind, keys: _told(more, kind, n_buckets, keys)
+            yield from _ask(block, 1, state.hashes, tests_of(state, trained(ids, state.lengths), told), n_buckets)
+
     def go_on(last):
-        """A round, after the totals of the contexts asked for."""
+        """A round, after the totals of the pairs and the weights of the contexts asked for."""
 
         def run(batches):
             for block, ids, packed, more in each(batches):
                 state = state_of(packed)
                 told = lambda kind, keys: _told(more, kind, n_buckets, keys)
-                after, sums = advance(state, trained(ids, state.lengths), n_texts, least, last, told)
-                yield from _ask(block, 1, state.hashes, sums, n_buckets)
-                del state, sums
-                yield state_row(block, ids, after)
+                after = advance(state, trained(ids, state.lengths), n_texts, least, last, told)
+                yield scored(ids, state.lengths, state.known, state.base, after) if last else state_row(block, ids, after)
 
         return run
 
-    def states(made):
-        return made.where("bucket < 0").select("block", "ids", "state")
-
-    def with_told(share):
-        """States of a share and what their blocks have asked for."""
-        more = told.where(share_of(F.col("block")) == share).groupBy("block").agg(F.collect_list(F.struct("bucket", "totals")).alias("more"))
-        return states(made[share]).join(more.hint("shuffle_hash"), "block", "left").select("block", "ids", "state", "more")
-
-    def totals(pairs_too):
-        asking = ["bucket", "block", "keys", "values"]
-        asked = [x.where("bucket >= 0").select(*asking) for x in made.values()]
-        if pairs_too:
-            asked += [states(x).mapInArrow(ask, _kinds(_ROUND)).select(*asking) for x in made.values()]
-        return materialise(tally(together(asked), n_buckets, gain), "totals")
+    def with_told(share, *told):
+        """States of a share and what their blocks have been told."""
+        more = together(told).where(share_of(F.col("block")) == share).groupBy("block").agg(F.collect_list(F.struct("bucket", "totals")).alias("more"))
+        return made[share].join(more.hint("shuffle_hash"), "block", "left").select("block", "ids", "state", "more")
 
     made = {}
     for share in shares:
@@ -746,19 +781,16 @@ def _score(documents, id_col, text_col, gain, rule, bucket_pairs, depth, least,
         tables.drop_share("blocks", share)
         tables.drop_share("found", share)
     for level in range(1, depth + 1):
-        told = totals(pairs_too=True)
-        for share in shares:
-            made[share] = tables.write(with_told(share).mapInArrow(go_on(level == depth), _kinds(_ROUND)), f"round_{level}_{share}")
-            tables.drop(f"round_{level - 1}_{share}")
-        drop_table(told)
-    told = totals(pairs_too=False)
-
-    def finish(batches):
-        for _, ids, packed, more in each(batches):
-            state = state_of(packed)
-            _, score = settle(state, _told(more, 1, n_buckets, state.hashes_before))
-            yield scored(ids, state.lengths, state.known, state.base, score)
-
-    scores = materialise(together([with_told(share).mapInArrow(finish, _kinds(_SCORED)) for share in shares]), "scores")
-    drop_table(told)
+        asked = together([made[share].select("block", "ids", "state").mapInArrow(ask, _kinds(_ASKED)) for share in shares])
+        totals = materialise(tally(asked, n_buckets, gain), "totals")
+        asked = together([with_told(share, totals).mapInArrow(ask_weights, _kinds(_ASKED)) for share in shares])
+        weights = materialise(tally(asked, n_buckets, gain), "weights")
+        if level == depth:
+            scores = materialise(together([with_told(share, totals, weights).mapInArrow(go_on(True), _kinds(_SCORED)) for share in shares]), "scores")
+        else:
+            for share in shares:
+                made[share] = tables.write(with_told(share, totals, weights).mapInArrow(go_on(False), _kinds(_ROUND)), f"round_{level}_{share}")
+                tables.drop(f"round_{level - 1}_{share}")
+        drop_table(totals)
+        drop_table(weights)
     return scores

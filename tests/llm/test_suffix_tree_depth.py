@@ -6,6 +6,7 @@ import math
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from kpi_lake.llm import suffix_tree
@@ -95,3 +96,25 @@ def test_query_reads_far_contexts(spark, documents, rows, tmp_path):
     want = sorted((r[0] or -1, r[2]) for r in brute_deep(rows, least=suffix_tree.LEAST)[0])
     assert [g[0] for g in got] == [w[0] for w in want]
     assert [g[1] for g in got] == pytest.approx([w[1] for w in want])
+
+
+def test_a_state_keeps_only_what_longer_contexts_refer_to():
+    """Two texts of three tokens; the second's first word is too rare to be a context. Its next token is
+    settled at once, and that token's pair isn't kept."""
+    lengths, none = np.array([3, 3]), np.zeros(6, bool)
+    p = np.array([0.5, 0.25, 0.125, 0.5, 0.01, 0.125])
+    pair, counts = np.arange(6), np.array([9, 9, 9, 1, 9, 9])
+    level = suffix_tree.Level(pair, pair, pair, none, counts, p, counts, pair, pair.astype(np.uint64) + np.uint64(7), counts)
+    found = suffix_tree.longer(level, lengths, np.array([-1.0, -1.0]), 9, LEAST)
+    assert found["score"].tolist() == pytest.approx([-1.0, -1.0 + math.log10(0.01)])
+    assert found["p_before"].tolist() == [0.5, 0.25, 0.125, 0.5, 0.125]
+    assert found["shorter"].tolist() == list(range(5)) and found["token"].tolist() == [0, 1, 2, 3, 5]
+
+
+def test_orders_equal_numpys():
+    made = np.random.default_rng(3)
+    for keys in (made.integers(0, 1 << 64, 500, np.uint64), made.integers(0, 9, 500).astype(np.uint64), (np.uint64(1) << np.uint64(63)) - np.arange(500, dtype=np.uint64), np.zeros(0, np.uint64)):
+        assert keys[suffix_tree.order_of(keys)].tolist() == np.sort(keys).tolist()
+    for keys in (made.integers(0, 40, 500), made.integers(0, 1 << 62, 500), np.zeros(0, np.int64)):
+        for a, b in zip(suffix_tree.distinct(keys), np.unique(keys, return_inverse=True), strict=True):
+            assert a.tolist() == b.tolist()

@@ -26,20 +26,22 @@ its pairs of word and suffix, and a list of pair numbers; all counting works on
 words are dealt by hash to buckets (as many as the dictionaries' sizes ask for), where the counts of
 words, and of words after suffixes, are summed over all documents and go back to the blocks. The
 sums that the divergence tests take are additive over buckets, so the tree's part of two bytes is a
-table by suffix, 65 536 rows at most whatever the corpus, and the only thing that is broadcast. A frequent
+table by suffix, 65 536 rows at most whatever the corpus, which is broadcast. A frequent
 word, or one that fills a third of all texts, is one entry per block and suffix. Contexts of whole
-words grow with the corpus and are never gathered: level by level, each block asks for the totals of
-its distinct (context, token) and of its contexts, by 64-bit hash (two that collide would share their
-counts), from buckets, ranges of hashes, that sum what the blocks have summed already. It doesn't ask
-where the (context, token) one symbol shorter occurs in this block only, since the longer one does too.
-A context is extended if its count, which is that of the (context, token) one symbol shorter, is large
-enough; a token whose history is rarer is followed no further. A round asks for the totals of the pairs, then,
-with these, for the weights of their contexts, so that a level's probabilities are final before the next
-state is written: a token that is followed no further adds to its text's score at once, and a state keeps of
-the shorter pairs only those that longer ones refer to. What a block knows after a level (``State``;
-probabilities in single precision) is a row of a table bucketed by block, which takes the place of
-the last level's, one share of the blocks after another: states don't travel, no level is gone through
-twice, and the files of tables and shuffles are removed when the next table stands.
+words grow with the corpus and are never gathered. Frequent words get small numbers, which all blocks share. A
+context that training texts hold ``bucket_pairs`` / 2 times at most goes to one bucket with all tokens that
+follow it (by the hash of the context; of a token its number, and those of the older words up to the first that
+can't belong to a context frequent enough: its own count, or that of the next word after its last two bytes, is
+too small). So all its longer contexts are there too, and a bucket counts and tests them to the last in
+memory. It says which tokens have a state, and how that changes the probability one symbol before
+(the share of it that remains, and what is added), which the block knows. Of the context one symbol shorter the tests need one sum per
+context, which blocks make. Contexts that are found more often are tested across buckets, a round a word: a
+block asks for the totals of its distinct (context, token), by 64-bit hash (two that collide would share
+their counts), not where the (context, token) one symbol shorter occurs in this block only; buckets sum the tests as they
+sum the totals. Such contexts are at most twice the training tokens by ``bucket_pairs``, and which of them are states is
+broadcast. Then their longer contexts that are rarer are dealt like the others. Blocks stay where they are, in
+tables bucketed by block; a step reads them anew with what they have been told. Deals take one
+share of the buckets after another, and the files of shuffles are removed with their job.
 
 Defined cases: a null, empty or blank text is one end; a null id counts as an empty one (not held
 out); repeated rows count and are scored each for itself; without training texts every token is the
@@ -53,27 +55,28 @@ import uuid
 import zlib
 from collections import defaultdict
 from functools import reduce
+from itertools import islice
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kpi_lake.llm.common import drop_folder, drop_table, give_back, materialise, scratch_path, slices, utf8_column
+from kpi_lake.llm.common import drop_folder, drop_table, give_back, materialise, scratch_path, slices
 
 GAIN = 2.0
 DEPTH, LEAST = 5, 8
 HELD_OUT = (7, 2)
 BLOCK_BYTES = 6 << 20
 BUCKET_PAIRS = 1_000_000
-#: Shares of the blocks that a round takes one after another, each replacing its old tables (disk only).
-SHARES = 4
+#: Shares of the buckets that tokens are dealt to, and of the blocks that are told, one after another (disk only).
+SHARES = 2
 # Bytes that no UTF-8 text has, as mark before a word's first byte, and as end token.
 MARK = 0xFE
 END_TOKEN = b"\xfc"
 _SUFFIXES = 1 << 16
+_ALL = np.iinfo(np.int64).max  # fixed value: more than any count
 _START = np.uint64(0x94D049BB133111EB)  # fixed value: the hash of the mark before a text
 _MIX = np.uint64(0xBF58476D1CE4E5B9)  # fixed value: a mixing constant
 _FOLD = np.uint64(0x9E3779B97F4A7C15)  # fixed value: a mixing constant
@@ -87,15 +90,23 @@ def pack(values: np.ndarray) -> bytes:
     """An array as compressed bytes, all lowest bytes first."""
     import zstandard
 
-    planes = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.itemsize).T
-    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+    numbers = np.ascontiguousarray(values).view(f"u{values.itemsize}")
+    planes = np.empty((values.itemsize, len(values)), np.uint8)
+    for k, plane in enumerate(planes):
+        plane[:] = numbers >> numbers.dtype.type(8 * k)
+    return zstandard.ZstdCompressor(level=1).compress(planes)
 
 
 def unpack(packed: bytes, kind) -> np.ndarray:
     import zstandard
 
-    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8)
-    return np.ascontiguousarray(raw.reshape(np.dtype(kind).itemsize, -1).T).view(kind).reshape(-1)
+    size = np.dtype(kind).itemsize
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8).reshape(size, -1)
+    numbers = planes[0].astype(f"u{size}")
+    for k in range(1, size):
+        if planes[k].any():
+            numbers |= planes[k].astype(numbers.dtype) << numbers.dtype.type(8 * k)
+    return numbers.view(kind)
 
 
 def order_of(keys: np.ndarray) -> np.ndarray:
@@ -150,15 +161,17 @@ def _kinds(schema: pa.Schema) -> str:
 
 _BLOCK = pa.schema(
     [
+        ("part", pa.int64()),  # 0: texts, 1: the dictionary, which no step reads after the counts
         ("block", pa.string()),
         ("ids", pa.list_(pa.int64())),
         ("lengths", pa.binary()),  # tokens per document
         ("tokens", pa.binary()),  # pair numbers
-        ("words", pa.binary()),  # in order of their hashes
+        ("words", pa.binary()),
         ("n_pairs", pa.binary()),  # per word; pairs are in order of words
         ("suffixes", pa.binary()),  # per pair
         ("train", pa.binary()),  # per pair, its count in training documents
         ("size", pa.int64()),
+        ("n_tokens", pa.int64()),
     ]
 )
 
@@ -170,12 +183,26 @@ def _numbers() -> defaultdict:
     return table
 
 
-def hashes_of(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+def tokens_of(texts: pa.Array, table: dict) -> tuple[np.ndarray, np.ndarray]:
+    """Of texts without nulls, how many tokens each has and all their tokens, numbered by ``table``."""
+    import pyarrow.compute as pc
+
+    found = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    text = pc.list_parent_indices(found).to_numpy()
+    words = pc.list_flatten(found).dictionary_encode()
+    kind = pa.large_binary() if pa.types.is_large_string(words.dictionary.type) else pa.binary()
+    different = words.dictionary.cast(kind).to_pylist()
+    number = np.fromiter((table[w] if w else -1 for w in different), np.int64, len(different))[words.indices.to_numpy()]
+    text, number = text[number >= 0], number[number >= 0]
+    lengths = np.bincount(text, minlength=len(texts)) + 1
+    out = np.full(len(number) + len(texts), table[END_TOKEN])
+    out[np.arange(len(number)) + text] = number
+    return lengths, out
 
 
 def blocks_of(docs: DataFrame, rule: tuple[int, int] = HELD_OUT) -> DataFrame:
     def run(batches):
+        import pyarrow.compute as pc
         from pyspark import TaskContext
 
         part, number = TaskContext.get().partitionId(), 0
@@ -183,44 +210,33 @@ def blocks_of(docs: DataFrame, rule: tuple[int, int] = HELD_OUT) -> DataFrame:
 
         def flush():
             words = list(table)
-            order = order_of(hashes_of(words))
-            rank = np.empty(len(words), np.int64)
-            rank[order] = np.arange(len(words))
-            words = [words[i] for i in order.tolist()]
-            last = np.fromiter((suffix_of(w) for w in words), np.int64, len(words))
-            lengths = np.array([len(p) for p in parts])
-            token = rank[np.concatenate(parts)]
+            last = np.fromiter(map(suffix_of, words), np.int64, len(words))
+            lengths, token = (np.concatenate(x) for x in zip(*parts, strict=True))
             before = np.concatenate(([0], last[token[:-1]]))
             before[np.cumsum(lengths)[:-1]] = before[0] = MARK << 8 | MARK
             pairs, tokens = distinct(token * _SUFFIXES + before)
             training = np.repeat([not held_out(i, rule) for i in ids], lengths)
             counts = np.bincount(tokens[training], minlength=len(pairs))
-            row = (
-                f"{part}-{number}",
-                ids,
-                pack(lengths.astype(np.uint32)),
-                pack(tokens.astype(np.uint32)),
-                _pack_words(words),
-                pack(np.bincount(pairs // _SUFFIXES, minlength=len(words)).astype(np.uint32)),
-                pack((pairs % _SUFFIXES).astype(np.uint16)),
-                pack(counts.astype(np.uint32)),
-                len(pairs),
-            )
-            return _rows([row], _BLOCK)
+            block, sizes = f"{part}-{number}", (len(pairs), len(tokens))
+            shared = (pack(np.bincount(pairs // _SUFFIXES, minlength=len(words)).astype(np.uint32)), pack((pairs % _SUFFIXES).astype(np.uint16)))
+            yield _rows([(0, block, ids, pack(lengths.astype(np.uint32)), pack(tokens.astype(np.uint32)), None, *shared, None, *sizes)], _BLOCK)
+            yield _rows([(1, block, None, None, None, _pack_words(words), *shared, pack(counts.astype(np.uint32)), 0, 0)], _BLOCK)
 
         for batch in slices(batches):
-            for doc, raw in zip(batch.column(0).to_pylist(), utf8_column(batch.column(1)), strict=True):
-                words = raw.lower().split()
-                words.append(END_TOKEN)
-                ids.append(doc)
-                parts.append(np.fromiter(map(table.__getitem__, words), np.int64, len(words)))
-                held += len(raw)
+            texts, start = pc.fill_null(batch.column(1), ""), 0
+            sizes = pc.binary_length(texts).to_numpy().astype(np.int64)
+            while start < len(texts):
+                total = held + np.cumsum(sizes[start:])
+                n = min(int(np.searchsorted(total, BLOCK_BYTES, side="right")) + 1, len(total))
+                ids += batch.column(0).slice(start, n).to_pylist()
+                parts.append(tokens_of(texts.slice(start, n), table))
+                held, start = int(total[n - 1]), start + n
                 if held > BLOCK_BYTES:
-                    yield flush()
+                    yield from flush()
                     number += 1
                     ids, parts, table, held = [], [], _numbers(), 0
         if ids:
-            yield flush()
+            yield from flush()
         del table, parts
         give_back()
 
@@ -232,7 +248,9 @@ def blocks_of(docs: DataFrame, rule: tuple[int, int] = HELD_OUT) -> DataFrame:
 _PART = pa.schema(
     [("bucket", pa.int64()), ("block", pa.string()), ("words", pa.binary()), ("n_pairs", pa.binary()), ("starts", pa.binary()), ("suffixes", pa.binary()), ("train", pa.binary())]
 )
-_COUNTED = pa.schema([("bucket", pa.int64()), ("block", pa.string()), ("n_pairs", pa.binary()), ("starts", pa.binary()), ("counts", pa.binary()), ("sums", pa.binary())])
+_COUNTED = pa.schema(
+    [("bucket", pa.int64()), ("block", pa.string()), ("n_pairs", pa.binary()), ("starts", pa.binary()), ("numbers", pa.binary()), ("counts", pa.binary()), ("largest", pa.int64()), ("sums", pa.binary())]
+)
 
 
 def _places(starts: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -260,16 +278,18 @@ def deal_words(blocks: DataFrame, n_buckets: int) -> DataFrame:
     return blocks.select("block", "words", "n_pairs", "suffixes", "train").mapInArrow(run, _kinds(_PART))
 
 
-def count_words(parts: DataFrame) -> DataFrame:
-    """Per bucket and block: of each pair the counts, over all training documents, of its word, of
-    its word after its suffix's last byte, and after its suffix, and whether only this block has it. A bucket's first row has its sums
-    for the tree as well: of the tokens, and by suffix (see ``Tree``)."""
+def count_words(parts: DataFrame, n_buckets: int) -> DataFrame:
+    """Per bucket and block: of each word a number that all blocks share (frequent words have small
+    ones); of each pair the counts, over all training documents, of its word, of its word after its
+    suffix's last byte, and after its suffix, and whether only this block has it; and the count of the
+    bucket's most frequent word. A bucket's first row has its sums for the tree as well: of the tokens,
+    and by suffix (see ``Tree``)."""
 
     def run(batches):
         key, table, held = None, {}, []
 
         def flush():
-            pairs = np.concatenate([p for _, _, _, p, _ in held])
+            pairs = np.concatenate([p for *_, p, _ in held])
             unique, inverse = distinct(pairs)
             two = np.bincount(inverse, weights=np.concatenate([c for *_, c in held]), minlength=len(unique))
             shorter = unique // _SUFFIXES * 256 + unique % 256
@@ -280,10 +300,13 @@ def count_words(parts: DataFrame) -> DataFrame:
             table_of_sums = np.concatenate(([[none.sum(), (none > 0).sum(), 0.0]], _sums(singles % 256, one, none[word], 256), _sums(unique % _SUFFIXES, two, one[of_single], _SUFFIXES)))
             alone = np.bincount(inverse) == 1
             counts = np.stack([none[unique // _SUFFIXES], one[of_single], two, alone]).astype(np.int64)
-            cuts = np.cumsum([len(p) for _, _, _, p, _ in held])[:-1]
-            for k, ((block, n_pairs, starts, _, _), at) in enumerate(zip(held, np.split(inverse, cuts), strict=True)):
+            number = np.empty(len(none), np.int64)
+            number[np.argsort(-none, kind="stable")] = np.arange(len(none)) * n_buckets + key
+            cuts = np.cumsum([len(p) for *_, p, _ in held])[:-1]
+            for k, ((block, n_pairs, starts, words, _, _), at) in enumerate(zip(held, np.split(inverse, cuts), strict=True)):
                 sums = pack(table_of_sums.reshape(-1)) if k == 0 else b""
-                yield _rows([(key, block, n_pairs, starts, pack(counts[:, at].reshape(-1)), sums)], _COUNTED)
+                mine = pack(number[words].astype(np.uint32))
+                yield _rows([(key, block, n_pairs, starts, mine, pack(counts[:, at].reshape(-1)), int(none.max()), sums)], _COUNTED)
 
         for batch in batches:
             for bucket, block, packed, n_pairs, starts, suffixes, train in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -293,7 +316,7 @@ def count_words(parts: DataFrame) -> DataFrame:
                     key, table, held = bucket, {}, []
                 numbers = np.fromiter((table.setdefault(w, len(table)) for w in _unpack_words(packed)), np.int64)
                 pairs = np.repeat(numbers, unpack(n_pairs, np.uint32)) * _SUFFIXES + unpack(suffixes, np.uint16)
-                held.append((block, n_pairs, starts, pairs, unpack(train, np.uint32)))
+                held.append((block, n_pairs, starts, numbers, pairs, unpack(train, np.uint32)))
         if held:
             yield from flush()
         held.clear()
@@ -367,10 +390,10 @@ def _all_sums(sums: DataFrame) -> np.ndarray:
 
 # --- contexts of whole words
 
-# What a round writes, a block's state; what a block asks of a bucket, and what it's told.
-_ROUND = pa.schema([("block", pa.string()), ("ids", pa.list_(pa.int64())), ("state", pa.list_(pa.binary()))])
-_ASKED = pa.schema([("bucket", pa.int64()), ("block", pa.string()), ("keys", pa.binary()), ("values", pa.binary())])
-_TOLD = pa.schema([("bucket", pa.int64()), ("block", pa.string()), ("totals", pa.binary())])
+# What a block asks of a bucket (keys and their counts; of the keys' contexts the hashes, and by key the
+# place among these; and the sums of pairs that it doesn't ask for), and what it's told.
+_ASKED = pa.schema([("bucket", pa.int64()), ("block", pa.string()), *((c, pa.binary()) for c in ("keys", "seen", "hashes", "context", "sums"))])
+_TOLD = pa.schema([("bucket", pa.int64()), ("block", pa.string()), ("totals", pa.binary()), ("largest", pa.int64()), ("hashes", pa.binary()), ("sums", pa.binary())])
 
 
 def _extended(context: np.ndarray, word: np.ndarray) -> np.ndarray:
@@ -380,6 +403,11 @@ def _extended(context: np.ndarray, word: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(27))
 
 
+def hashes_of(numbers: np.ndarray) -> np.ndarray:
+    """Different ones for different words, from their shared numbers."""
+    return _extended(numbers.astype(np.uint64), np.uint64(0))
+
+
 def _after(values: np.ndarray, first: np.ndarray, at_first) -> np.ndarray:
     """What stands one token earlier; ``at_first`` for a text's first token."""
     out = np.empty_like(values)
@@ -388,41 +416,51 @@ def _after(values: np.ndarray, first: np.ndarray, at_first) -> np.ndarray:
     return out
 
 
-def _ask(block: str, kind: int, keys: np.ndarray, values: np.ndarray, n_buckets: int):
-    """Rows that ask for the totals of keys, a range of hashes a bucket. Kind 0: counts of (context,
-    token); kind 1, by context: different tokens, and the divergence from the context one shorter."""
-    if not len(keys):
-        return
+def _runs(values: np.ndarray):
+    """Start and stop of each run of equal values."""
+    cuts = [0, *(np.flatnonzero(np.diff(values)) + 1).tolist(), len(values)]
+    return zip(cuts, cuts[1:], strict=False) if len(values) else ()
+
+
+def _bucket_of(keys: np.ndarray, n_buckets: int) -> np.ndarray:
+    """Buckets are ranges of hashes."""
+    return ((keys >> np.uint64(32)) * np.uint64(n_buckets) >> np.uint64(32)).astype(np.int64)
+
+
+def _sums_by(context: np.ndarray, total: np.ndarray, size: int) -> np.ndarray:
+    """By context: all its tokens, its different tokens, and the sum of ``n log n``."""
+    logs = total * np.log(np.maximum(total, 1))
+    return np.stack([np.bincount(context, weights=x, minlength=size) for x in (total, total > 0, logs)]).astype(np.float64)
+
+
+def _ask(block: str, first: int, n_buckets: int, asks: tuple[np.ndarray, ...], hashes: np.ndarray, sums: np.ndarray):
+    """Rows that ask for the totals of keys (``asks``: keys, counts, contexts) from the bucket ``first`` on."""
+    keys, seen, context = asks
     order = order_of(keys)
-    keys, values = keys[order], values[:, order]
-    bucket = ((keys >> np.uint64(32)) * np.uint64(n_buckets) >> np.uint64(32)).astype(np.int64)
-    cuts = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(keys)]
-    for start, stop in zip(cuts, cuts[1:], strict=False):
+    keys, seen, context = keys[order], seen[order].astype(np.uint32), context[order]
+    bucket = _bucket_of(keys, n_buckets)
+    for start, stop in _runs(bucket):
         steps = np.diff(keys[start:stop], prepend=np.uint64(0))
-        mine = np.ascontiguousarray(values[:, start:stop]).reshape(-1)
-        yield _rows([(kind * n_buckets + int(bucket[start]), block, pack(steps), pack(mine))], _ASKED)
+        used, mine = distinct(context[start:stop])
+        yield _rows([(first + int(bucket[start]), block, pack(steps), pack(seen[start:stop]), pack(hashes[used]), pack(mine.astype(np.uint32)), b"")], _ASKED)
+    none = pack(np.zeros(0, np.uint32))
+    yield _rows([(first, block, pack(np.zeros(0, np.uint64)), none, pack(hashes), none, pack(sums.reshape(-1)))], _ASKED)
 
 
-def _told(more, kind: int, n_buckets: int, keys: np.ndarray) -> np.ndarray:
-    """The totals of keys, from the answers of the buckets that were asked."""
-    out = np.zeros(len(keys), np.int64)
-    parts = sorted((x["bucket"], x["totals"]) for x in more or [] if (x["bucket"] >= n_buckets) == bool(kind))
-    if parts:
-        out[order_of(keys)] = np.concatenate([unpack(t, np.int64) for _, t in parts])
-    return out
+def _told(more, first: int, n_buckets: int, size: int, kind) -> np.ndarray:
+    """What the buckets from ``first`` on say, in their order; zeros if they weren't asked."""
+    parts = sorted((x["bucket"], x["totals"]) for x in more or [] if first <= x["bucket"] < first + n_buckets)
+    return np.concatenate([unpack(t, kind) for _, t in parts]) if parts else np.zeros(size, kind)
 
 
 class State(NamedTuple):
-    """A block between two rounds. Of its texts: tokens, known ones, the base score and the score of
-    the tokens that are followed no further. The hashes of its words. The tokens that are still
-    followed (a bit for each) and their pairs of context and token; of these pairs the token, the
-    context, the pair one symbol shorter, and whether its total was asked; of these contexts hash and
-    count. And of the shorter pairs: total, probability, and their context's count."""
+    """What a block has of a context length, for tokens after contexts that are tested across buckets.
+    The texts' lengths and the hashes of the block's words. The tokens that are followed (a bit for
+    each) and their pairs of context and token; of these pairs the token, the context, the pair one
+    symbol shorter, and whether its total is asked; of these contexts hash and count. And of the
+    shorter pairs: total, probability, and their context's count."""
 
     lengths: np.ndarray
-    known: np.ndarray
-    base: np.ndarray
-    score: np.ndarray
     words: np.ndarray
     followed: np.ndarray
     pair: np.ndarray
@@ -437,9 +475,6 @@ class State(NamedTuple):
     n_before: np.ndarray
 
 
-_KINDS = State(*"u4 u4 f8 f8 u8 u1 u4 u4 u4 u4 u1 u8 u4 u4 f4 u4".split())
-
-
 class Level(NamedTuple):
     """What a block knows of a context length: the positions of the tokens that are followed, their
     pairs and words; of the pairs whether only this block has them, their totals, probabilities, and
@@ -464,17 +499,22 @@ def scores_of(level: Level, lengths: np.ndarray, gone: np.ndarray) -> np.ndarray
     return np.bincount(text, weights=np.log10(level.p)[level.pair[gone]], minlength=len(lengths))
 
 
-def longer(level: Level, lengths: np.ndarray, score: np.ndarray, n_texts: int, least: int) -> dict:
-    """The fields of ``State`` for contexts one word longer. A token whose history is too rare is gone:
-    longer ones that end in it are as rare."""
-    size, starts = int(lengths.sum()), np.cumsum(lengths) - lengths
-    first = np.zeros(size, bool)
-    first[starts] = True
-    # The last but one is the mark before a text, the last stands for all that are too rare.
+def contexts_of(level: Level, lengths: np.ndarray, n_texts: int) -> tuple[np.ndarray, ...]:
+    """Hashes and counts of contexts, and the number of each followed token's context among them. The
+    last but one is the mark before a text, the last stands for all that the level doesn't know."""
+    first = np.zeros(int(lengths.sum()), bool)
+    first[np.cumsum(lengths) - lengths] = True
     hashes, counts = np.concatenate((level.hashes, [_START, np.uint64(0)])), np.concatenate((level.counts, [n_texts, 0]))
-    before = np.full(size, len(hashes) - 1)
+    before = np.full(len(first), len(hashes) - 1)
     before[level.at] = level.symbol
-    context = _after(before, first, len(hashes) - 2)[level.at]
+    return hashes, counts, _after(before, first, len(hashes) - 2)[level.at]
+
+
+def longer(level: Level, lengths: np.ndarray, score: np.ndarray | None, n_texts: int, least: int) -> dict:
+    """The fields of ``State`` for contexts one word longer that are found ``least`` times, and the texts'
+    scores (if given) with the other tokens'."""
+    size = int(lengths.sum())
+    hashes, counts, context = contexts_of(level, lengths, n_texts)
     kept = counts[context] >= least
     # In order of the shorter pairs, and so of tokens: both take little room in a state.
     mine, pair = distinct(level.pair[kept] * len(hashes) + context[kept])
@@ -484,7 +524,7 @@ def longer(level: Level, lengths: np.ndarray, score: np.ndarray, n_texts: int, l
     followed = np.zeros(size, np.uint8)
     followed[level.at[kept]] = 1
     return {
-        "score": score + scores_of(level, lengths, ~kept),
+        "score": score if score is None else score + scores_of(level, lengths, ~kept),
         "followed": np.packbits(followed),
         "pair": pair,
         "token": token,
@@ -503,11 +543,6 @@ def keys_of(state: State) -> np.ndarray:
     return _extended(state.hashes[state.context], state.words[state.token])
 
 
-def compact(state: State) -> State:
-    """The state in the kinds that it is stored in."""
-    return State(*(np.asarray(x).astype(k, copy=False) for x, k in zip(state, _KINDS, strict=True)))
-
-
 def followed_of(state: State) -> np.ndarray:
     return np.flatnonzero(np.unpackbits(state.followed, count=int(state.lengths.sum())))
 
@@ -517,75 +552,217 @@ def seen_of(state: State, train: np.ndarray) -> np.ndarray:
     return np.bincount(state.pair, weights=train[followed_of(state)], minlength=len(state.token))
 
 
-def asks_of(state: State, train: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Keys and counts of the pairs that a block asks for: not those whose shorter pair is all its own."""
-    asked = state.asked.astype(bool)
-    return keys_of(state)[asked], seen_of(state, train).astype(np.uint32)[asked][None]
+def asks_of(state: State, train: np.ndarray) -> tuple[tuple[np.ndarray, ...], np.ndarray]:
+    """Keys, counts and contexts of the pairs that a block asks for: not those whose shorter pair is all
+    its own. And by context the block's share of the test's sums: of the pairs it doesn't ask for,
+    and of the context one symbol shorter."""
+    asked, seen = state.asked.astype(bool), seen_of(state, train)
+    sums = _sums_by(state.context[~asked], seen[~asked], len(state.hashes))
+    shorter = np.log(np.maximum(state.total_before, 1)) - np.log(np.maximum(state.n_before, 1))
+    sums[2] -= np.bincount(state.context, weights=seen * shorter[state.shorter], minlength=len(state.hashes))
+    return (keys_of(state)[asked], seen[asked], state.context[asked]), sums
 
 
 def totals_of(state: State, train: np.ndarray, told) -> tuple[np.ndarray, ...]:
-    """Of the pairs: keys, counts in the block, totals, and whether only this block has them, with
-    ``told(kind, keys)`` for the totals it asked for."""
+    """Of the pairs: keys, totals, and whether only this block has them, with ``told(keys)`` for the
+    totals it asked for."""
     seen, asked = seen_of(state, train), state.asked.astype(bool)
     keys, total, whole = keys_of(state), seen.astype(np.int64), np.ones(len(seen), bool)
-    answers = told(0, keys[asked])
+    answers = told(keys[asked])
     total[asked], whole[asked] = answers >> 1, answers & 1
-    return keys, seen, total, whole
+    return keys, total, whole
 
 
-def tests_of(state: State, train: np.ndarray, told) -> np.ndarray:
-    """Of the contexts what their tests sum, in this block."""
-    _, seen, total, _ = totals_of(state, train, told)
-    here, before = np.maximum(total, 1), np.maximum(state.total_before, 1)
-    terms = np.log(here) - np.log(state.n)[state.context] + (np.log(np.maximum(state.n_before, 1)) - np.log(before))[state.shorter]
-    return np.stack([np.bincount(state.context, weights=seen * x, minlength=len(state.hashes)) for x in (1 / here, terms)])
+def level_of(state: State, train: np.ndarray, told, weight: np.ndarray) -> Level:
+    """The contexts of a state with ``told(keys)`` for the totals it asked for, and the contexts' weights
+    (their different tokens if they are states, else 0)."""
+    keys, total, whole = totals_of(state, train, told)
+    weight, n = weight[state.context], state.n[state.context].astype(np.int64)
+    p = state.p_before[state.shorter]
+    p = np.where(weight > 0, (total + weight * p) / np.maximum(n + weight, 1), p)
+    return Level(followed_of(state), state.pair, state.token[state.pair], whole, total, p, n, state.pair, keys, total)
 
 
-def advance(state: State, train: np.ndarray, n_texts: int, least: int, last: bool, told) -> State | np.ndarray:
-    """One round for a block: ``told(kind, keys)`` has the totals and the weights it asked for (a
-    context's different tokens if it is a state, else 0). The next state, or in the last round the
-    texts' scores."""
-    keys, _, total, whole = totals_of(state, train, told)
-    weight, n = told(1, state.hashes)[state.context], state.n[state.context].astype(np.int64)
-    p = state.p_before.astype(np.float64)[state.shorter]
-    p = np.where(weight > 0, (total + weight * p) / np.maximum(n + weight, 1), p)
-    lengths, pair = state.lengths.astype(np.int64), state.pair.astype(np.int64)
-    level = Level(followed_of(state), pair, state.token[pair].astype(np.int64), whole, total, p, n, pair, keys, total)
-    if last:
-        return state.score + scores_of(level, lengths, np.ones(len(pair), bool))
-    return compact(state._replace(**longer(level, lengths, state.score, n_texts, least)))
+class Words(NamedTuple):
+    """A block's texts as the deals need them: their lengths, the words' hashes, and by token its word
+    and its word's shared number from 2 on. That number is a context's symbol (0: too rare, 1: the mark
+    before a text, if it isn't). ``lines`` have the symbols of all texts, each after ``depth`` symbols for
+    what lies before it, as a context's newest symbol and as an older one (0 as well if the next word is too
+    rare after its last two bytes); ``place`` says where the tokens stand."""
+
+    lengths: np.ndarray
+    hashes: np.ndarray
+    word: np.ndarray
+    number: np.ndarray
+    lines: tuple[np.ndarray, np.ndarray]
+    place: np.ndarray
+
+    def before(self, at: np.ndarray, n: int) -> np.ndarray:
+        """The symbol ``n`` tokens before."""
+        return self.lines[n > 1][self.place[at] - n]
+
+
+def words_of(lengths: np.ndarray, hashes: np.ndarray, word: np.ndarray, number: np.ndarray, seen: np.ndarray, linked: np.ndarray, n_texts: int, depth: int, least: int) -> Words:
+    """From the words' numbers and counts, and whether tokens are frequent after the last two bytes before."""
+    place = np.arange(len(word)) + np.repeat(np.arange(1, len(lengths) + 1) * depth, lengths)
+    line = np.zeros(len(word) + len(lengths) * depth, np.uint32)
+    line[place] = np.where(seen >= least, number, 0)[word]
+    if n_texts >= least:
+        line[place[np.cumsum(lengths) - lengths] - 1] = 1
+    older = line.copy()
+    older[place - 1] *= linked
+    return Words(lengths, hashes, word, number[word].astype(np.uint32), (line, older), place)
+
+
+class Deal(NamedTuple):
+    """Tokens whose contexts go to one bucket each, with all that is longer: their positions and pairs,
+    in order of the contexts' hashes, and these."""
+
+    at: np.ndarray
+    pair: np.ndarray
+    hashes: np.ndarray
+
+
+def split(level: Level, words: Words, n_words: int, n_texts: int, least: int, most: int) -> tuple[np.ndarray, Deal]:
+    """Of the followed tokens, with contexts of ``n_words``: which go no further, and the deal. The rest
+    are those whose context is found more than ``most`` times. A context that the level doesn't know
+    is not: it extends one that is rarer."""
+    _, counts, context = contexts_of(level, words.lengths, n_texts if n_words == 1 else 0)
+    oldest, seen = words.before(level.at, n_words), counts[context]
+    gone = (oldest == 0) | (seen < least) & (context < len(counts) - 1)
+    dealt = ~gone & (seen <= most)
+    at, pair = level.at[dealt], level.pair[dealt]
+    hashes = words.hashes[words.word[np.maximum(at - n_words, 0)]]
+    hashes[oldest[dealt] == 1] = _START
+    for n in range(n_words - 1, 0, -1):
+        hashes = _extended(hashes, words.hashes[words.word[at - n]])
+    order = order_of(hashes)
+    return gone, Deal(at[order], pair[order], hashes[order])
+
+
+# Of a deal's tokens: which have a state (a bit for each), and of these what is added, and the share.
+_SETTLED = pa.schema([("bucket", pa.int64()), ("block", pa.string()), ("totals", pa.binary()), ("values", pa.binary())])
+_DEALT = pa.schema(
+    [
+        ("bucket", pa.int64()),
+        ("block", pa.string()),
+        ("contexts", pa.binary()),  # in order
+        ("sizes", pa.binary()),  # tokens per context
+        ("terms", pa.binary()),  # per context, the sum over training tokens
+        ("train", pa.binary()),  # per token
+        ("symbols", pa.binary()),  # its number, and what stands before its context
+    ]
+)
+
+
+def send(block: str, first: int, n_buckets: int, share: int, deal: Deal, level: Level, words: Words, train: np.ndarray, n_words: int, depth: int):
+    """The rows of a deal to a share of its buckets; ``first`` is its first bucket."""
+    bucket = _bucket_of(deal.hashes, n_buckets)
+    mine = slice(*np.searchsorted(bucket, [n_buckets * k // SHARES for k in (share, share + 1)]).tolist())
+    (at, pair, keys), bucket = (x[mine] for x in deal), bucket[mine]
+    trained = train[at]
+    symbols = np.empty((depth - n_words + 1, len(at)), np.uint32)
+    symbols[0] = words.number[at]
+    for k, n in enumerate(range(n_words + 1, depth + 1), 1):
+        symbols[k] = words.before(at, n)
+        if k > 1:
+            symbols[k][symbols[k - 1] == 0] = 0
+    terms = np.where(trained, (np.log(np.maximum(level.total, 1)) - np.log(np.maximum(level.n, 1)))[pair], 0.0)
+    for start, stop in _runs(bucket):
+        mine = keys[start:stop]
+        heads = np.flatnonzero(np.concatenate(([True], mine[1:] > mine[:-1])))
+        row = (
+            first + int(bucket[start]),
+            block,
+            pack(np.diff(mine[heads], prepend=np.uint64(0))),
+            pack(np.diff(heads, append=len(mine)).astype(np.uint32)),
+            pack(np.add.reduceat(terms[start:stop], heads)),
+            pack(np.packbits(trained[start:stop])),
+            pack(np.ascontiguousarray(symbols[:, start:stop]).reshape(-1)),
+        )
+        yield _rows([row], _DEALT)
+
+
+def _joint(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """As ``distinct`` of the pairs of ``a`` and ``b``, but with the pairs' ``a`` for their keys."""
+    if len(a) and int(a.max() + 1).bit_length() + int(b.max() + 1).bit_length() + len(a).bit_length() > 63:
+        b = distinct(b)[1]
+    size = int(b.max()) + 1 if len(b) else 1
+    keys, inverse = distinct(a * size + b)
+    return keys // size, inverse
+
+
+def probabilities(context: np.ndarray, terms: np.ndarray, token: np.ndarray, older: np.ndarray, train: np.ndarray, gain: float, least: int) -> np.ndarray:
+    """Of tokens of a bucket, the probabilities after the longest states: a share of the probability
+    one symbol before the bucket's contexts (second row, 1 if there is no state), and what is added to it
+    (first row). All contexts with all their tokens are here. ``terms``: by context, the sum over training tokens of the logarithm of their share
+    in the context one symbol shorter; ``older``: the symbols before the context, a row a step."""
+    out, at, n_token = np.stack([np.zeros(len(token)), np.ones(len(token))]), np.arange(len(token)), distinct(token)[1]
+    weights = train.astype(np.float64)
+    for step in range(len(older) + 1):
+        count = np.bincount(context, weights=weights[at], minlength=len(terms))
+        enough = count[context] >= least
+        if not enough.all():
+            at, context = at[enough], context[enough]
+        if not len(at):
+            break
+        of, pair = _joint(context, n_token[at])
+        total = np.bincount(pair, weights=weights[at])
+        with np.errstate(divide="ignore", invalid="ignore"):
+            share = np.where(total > 0, np.log(total) - np.log(count[of]), 0.0)
+        types = np.bincount(of, weights=total > 0, minlength=len(terms))
+        divergence = np.bincount(of, weights=total * share, minlength=len(terms)) - terms
+        weight = np.where(divergence >= gain * np.maximum(types, 1), types, 0.0)
+        state = weight[context] > 0
+        here, w = at[state], weight[context[state]]
+        for row, n in zip(out, (total[pair[state]], 0.0), strict=True):
+            row[here] = (n + w * row[here]) / (count[context[state]] + w)
+        if step == len(older):
+            break
+        symbol = older[step][at]
+        kept = symbol > 0
+        at, share = at[kept], share[pair[kept]]
+        _, context = _joint(context[kept], symbol[kept].astype(np.int64))
+        terms = np.bincount(context, weights=share * weights[at])
+    return out
 
 
-def tally(asked: DataFrame, n_buckets: int, gain: float) -> DataFrame:
-    """The totals of what blocks ask for: counts (doubled, plus one if just one block has the key), or
-    a context's weight (its different tokens if it is a state, else 0)."""
+def tally(asked: DataFrame) -> DataFrame:
+    """The totals of what blocks ask for: counts, doubled, plus one if just one block has the key. And, in
+    rows of no block, a bucket's sums for the tests of the contexts."""
 
     def run(batches):
         key, held = None, []
 
         def flush():
-            keys = np.concatenate([k for _, k, _ in held])
+            keys = np.concatenate([x[1] for x in held])
             order = np.argsort(keys, kind="stable")  # each block's keys are in order
-            new = np.concatenate(([True], np.diff(keys[order]) > 0))
+            new = np.diff(keys[order], prepend=~keys[order[:1]]) != 0
             inverse = np.empty(len(keys), np.int64)
             inverse[order] = np.cumsum(new) - 1
-            totals = [np.bincount(inverse, weights=v) for v in np.concatenate([v for *_, v in held], axis=1)]
-            if key >= n_buckets:
-                types = np.rint(totals[0])
-                out = np.where(totals[1] >= gain * np.maximum(types, 1), types, 0.0)
-            else:
-                out = totals[0] * 2 + (np.bincount(inverse) == 1)
-            for (block, _, _), at in zip(held, np.split(inverse, np.cumsum([len(k) for _, k, _ in held])[:-1]), strict=True):
-                yield _rows([(key, block, pack(out[at].astype(np.int64)))], _TOLD)
+            total = np.bincount(inverse, weights=np.concatenate([x[2] for x in held]))
+            unique, names = np.unique(np.concatenate([x[3] for x in held]), return_inverse=True)
+            cuts = np.cumsum([len(x[3]) for x in held])[:-1]
+            named = np.split(names, cuts)
+            context = np.concatenate([names[x[4]] for x, names in zip(held, named, strict=True)])[order[new]]
+            sums = _sums_by(context, total, len(unique))
+            for (*_, mine), names in zip(held, named, strict=True):
+                if mine is not None:
+                    sums[:, names] += mine
+            yield _rows([(key, None, None, int(total.max()) if len(total) else 0, pack(unique), pack(sums.reshape(-1)))], _TOLD)
+            out = (total * 2 + (np.bincount(inverse) == 1)).astype(np.int64)
+            for (block, *_), at in zip(held, np.split(inverse, np.cumsum([len(x[1]) for x in held])[:-1]), strict=True):
+                if len(at):
+                    yield _rows([(key, block, pack(out[at]), 0, None, None)], _TOLD)
 
         for batch in batches:
-            for bucket, block, keys, values in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for bucket, block, *packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if bucket != key:
                     if held:
                         yield from flush()
                     key, held = bucket, []
-                keys = np.cumsum(unpack(keys, np.uint64))
-                held.append((block, keys, unpack(values, np.float64 if bucket >= n_buckets else np.uint32).reshape(-1, len(keys))))
+                keys, seen, hashes, context = (unpack(x, k) for x, k in zip(packed, ("u8", "u4", "u8", "u4"), strict=False))
+                held.append((block, np.cumsum(keys), seen, hashes, context, unpack(packed[4], np.float64).reshape(3, -1) if packed[4] else None))
         if held:
             yield from flush()
         held.clear()
@@ -594,9 +771,83 @@ def tally(asked: DataFrame, n_buckets: int, gain: float) -> DataFrame:
     return asked.repartition(F.col("bucket")).sortWithinPartitions("bucket", "block").mapInArrow(run, _kinds(_TOLD))
 
 
+def states_of(told: DataFrame, gain: float) -> tuple[np.ndarray, np.ndarray]:
+    """Of the contexts that are tested across buckets: the hashes of those that are states, in order, and
+    their different tokens. They have so many training tokens each that they are few."""
+    schema = pa.schema([("hash", pa.int64()), *((c, pa.float64()) for c in ("n", "types", "terms"))])
+
+    def run(batches):
+        for batch in batches:
+            for hashes, sums in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                columns = (unpack(hashes, np.int64), *unpack(sums, np.float64).reshape(3, -1))
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=schema)
+
+    rows = told.where("block IS NULL").select("hashes", "sums").mapInArrow(run, _kinds(schema))
+    sums = rows.groupBy("hash").agg(*[F.sum(c).alias(c) for c in ("n", "types", "terms")])
+    found = sums.where(F.col("terms") - F.col("n") * F.log("n") >= gain * F.greatest("types", F.lit(1.0))).select("hash", "types").toArrow()
+    hashes, types = found["hash"].to_numpy().view(np.uint64), np.rint(found["types"].to_numpy())
+    order = np.argsort(hashes)
+    return hashes[order], types[order]
+
+
+def weights_of(hashes: np.ndarray, states: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """By context, its different tokens if it is a state, else 0."""
+    if not len(states[0]):
+        return np.zeros(len(hashes))
+    at = np.minimum(np.searchsorted(states[0], hashes), len(states[0]) - 1)
+    return np.where(states[0][at] == hashes, states[1][at], 0.0)
+
+
+def settle(dealt: DataFrame, gain: float, least: int) -> DataFrame:
+    """The probabilities of the tokens that were dealt, in the order they came in."""
+
+    def run(batches):
+        key, held = None, []
+
+        def flush():
+            contexts, sizes, terms, train, symbols = ([x[k] for x in held] for k in range(1, 6))
+            unique, inverse = np.unique(np.concatenate(contexts), return_inverse=True)
+            mine = np.repeat(inverse, np.concatenate(sizes))
+            terms = np.bincount(inverse, weights=np.concatenate(terms), minlength=len(unique))
+            symbols = np.concatenate(symbols, axis=1)
+            found = probabilities(mine, terms, symbols[0].astype(np.int64), symbols[1:], np.concatenate(train), gain, least)
+            for (block, *_), x in zip(held, np.split(found, np.cumsum([len(x) for x in train])[:-1], axis=1), strict=True):
+                changed = x[1] < 1
+                x[0] -= x[0] > 0.5  # single precision is finer near 0
+                yield _rows([(key, block, pack(np.packbits(changed)), pack(x[:, changed].astype(np.float32).reshape(-1)))], _SETTLED)
+
+        for batch in batches:
+            for bucket, block, *packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if bucket != key:
+                    if held:
+                        yield from flush()
+                    key, held = bucket, []
+                contexts, sizes, terms, train, symbols = (unpack(x, k) for x, k in zip(packed, ("u8", "u4", "f8", "u1", "u4"), strict=True))
+                n = int(sizes.sum())
+                held.append((block, np.cumsum(contexts), sizes, terms, np.unpackbits(train, count=n), symbols.reshape(-1, n)))
+        if held:
+            yield from flush()
+        held.clear()
+        give_back()
+
+    return dealt.repartition(F.col("bucket")).sortWithinPartitions("bucket", "block").mapInArrow(run, _kinds(_SETTLED))
+
+
+def settled(more, first: int, hashes: np.ndarray, n_buckets: int, p: np.ndarray) -> np.ndarray:
+    """The probabilities of a deal's tokens, from those one symbol shorter."""
+    parts = {x["bucket"]: x for x in more or []}
+    bucket, out = _bucket_of(hashes, n_buckets), p.copy()
+    for start, stop in _runs(bucket):
+        x = parts[first + int(bucket[start])]
+        changed = start + np.flatnonzero(np.unpackbits(unpack(x["totals"], np.uint8), count=stop - start))
+        added, share = unpack(x["values"], np.float32).astype(np.float64).reshape(2, -1)
+        out[changed] = (added + (added < 0)) + share * p[changed]
+    return out
+
+
 class _Tables:
-    """Tables between rounds, bucketed by block, so that a block's state never travels, and shuffle
-    files removed with the job that wrote them."""
+    """Tables of blocks, bucketed by block, so that a block never travels, and shuffle files removed
+    with the job that wrote them."""
 
     _CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -621,12 +872,12 @@ class _Tables:
         table = f"{name}_{uuid.uuid4().hex}"
         path = scratch_path(self.spark, name)
         writer = df.write.bucketBy(self.n, "block").option("path", path).option("compression", "zstd")
-        (writer.partitionBy("share") if "share" in df.columns else writer).saveAsTable(table)
+        (writer.partitionBy("part") if "part" in df.columns else writer).saveAsTable(table)
         self.names[name] = (table, path)
         return self.spark.table(table)
 
-    def drop_share(self, name: str, share: int) -> None:
-        drop_folder(self.spark, f"{self.names[name][1]}/share={share}")
+    def drop_part(self, name: str, part: int) -> None:
+        drop_folder(self.spark, f"{self.names[name][1]}/part={part}")
 
     def drop(self, name: str) -> None:
         table, path = self.names.pop(name)
@@ -634,10 +885,6 @@ class _Tables:
         drop_folder(self.spark, path)
 
 
-def share_of(block: Column) -> Column:
-    return F.pmod(F.crc32(block.cast("binary")), F.lit(SHARES)).cast("int")
-
-
 # --- scores
 
 _SCORED = pa.schema(
@@ -672,47 +919,45 @@ def score_documents(
 def _score(documents, id_col, text_col, gain, rule, bucket_pairs, depth, least, tables) -> DataFrame:
     spark = documents.sparkSession
     docs = documents.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
-    blocks = tables.write(blocks_of(docs, rule).withColumn("share", share_of(F.col("block"))), "blocks")
-    sizes = {r["share"]: r["pairs"] for r in blocks.groupBy("share").agg(F.sum("size").alias("pairs")).collect()}
-    n_buckets = int(max(1, -(-sum(sizes.values()) // bucket_pairs)))
-    counted = count_words(deal_words(blocks, n_buckets))
-    found = counted.groupBy("block").agg(F.collect_list(F.struct("n_pairs", "starts", "counts", "sums")).alias("found"))
-    found = tables.write(found.withColumn("share", share_of(F.col("block"))), "found")
+    blocks = tables.write(blocks_of(docs, rule), "blocks")
+    dictionaries, blocks = (blocks.where(F.col("part") == k).drop("part") for k in (1, 0))
+    size = blocks.agg(F.sum("size").alias("pairs"), F.sum("n_tokens").alias("tokens")).first()
+    n_buckets = int(max(1, -(-(size["pairs"] or 0) // bucket_pairs)))
+    n_deals, most = int(max(1, -(-2 * (size["tokens"] or 0) // bucket_pairs))), bucket_pairs // 2
+    counted = count_words(deal_words(dictionaries, n_buckets), n_buckets)
+    found = counted.groupBy("block").agg(F.collect_list(F.struct("n_pairs", "starts", "numbers", "counts", "sums")).alias("found"), F.max("largest").alias("largest"))
+    found = tables.write(found, "found")
+    tables.drop_part("blocks", 1)
     tree = grow_tree(_all_sums(found.select(F.explode("found.sums").alias("sums"))), gain)
     shared = spark.sparkContext.broadcast(tree)
     n_texts = int(tree.totals[1][MARK << 8 | MARK])  # training texts
-
-    def joined(share):
-        columns = ["block", "ids", "lengths", "tokens", "words", "n_pairs", "suffixes", "size"]
-        mine, counts = (x.where(F.col("share") == share).drop("share") for x in (blocks, found))
-        return mine.join(counts.hint("shuffle_hash"), "block").select(*columns, F.transform("found", lambda x: x.dropFields("sums")).alias("found"))
-
-    def together(frames):
-        return reduce(DataFrame.union, frames)
+    told, tables_told, states = [], [], []
+
+    def rows_of(shares=1, share=0):
+        """Blocks with their counts and what they have been told; all, or a share of them."""
+        chosen = F.pmod(F.crc32(F.col("block").cast("binary")), F.lit(shares)) == share
+        columns = ["block", "ids", "lengths", "tokens", "n_pairs", "suffixes", "size"]
+        mine = blocks.where(chosen).join(found.hint("shuffle_hash"), "block").select(*columns, F.transform("found", lambda x: x.dropFields("sums")).alias("found"))
+        if not told:
+            return mine
+        more = reduce(DataFrame.union, told).where(chosen).groupBy("block").agg(F.collect_list(F.struct("bucket", "totals", "values")).alias("more"))
+        return mine.join(more.hint("shuffle_hash"), "block", "left")
 
     def shallow(row):
-        """Of a block: its texts' fields, the tokens' pairs, and by pair suffix, counts and score."""
-        _, ids, packed, tokens, _, _, suffixes, size, parts = row
+        """Of a block: its texts' fields, the tokens' pairs, by pair suffix, counts and score, and by
+        pair the number of its word (where the word's first pair is)."""
+        ids, packed, tokens, _, suffixes, size, parts = row[1:8]
         model: Tree = shared.value
-        counts = np.zeros((4, size), np.int64)
+        counts, number = np.zeros((4, size), np.int64), np.zeros(size, np.int64)
         for x in parts:
-            places = _places(unpack(x["starts"], np.uint32).astype(np.int64), unpack(x["n_pairs"], np.uint32).astype(np.int64))
-            counts[:, places] = unpack(x["counts"], np.int64).reshape(4, -1)
-        suffix, at, lengths = unpack(suffixes, np.uint16).astype(np.int64), unpack(tokens, np.uint32), unpack(packed, np.uint32).astype(np.int64)
+            starts = unpack(x["starts"], np.uint32).astype(np.int64)
+            counts[:, _places(starts, unpack(x["n_pairs"], np.uint32).astype(np.int64))] = unpack(x["counts"], np.int64).reshape(4, -1)
+            number[starts] = unpack(x["numbers"], np.uint32)
+        suffix, at, lengths = unpack(suffixes, np.uint16).astype(np.int64), unpack(tokens, np.uint32).astype(np.int64), unpack(packed, np.uint32).astype(np.int64)
         base = np.log10((counts[0] + 1) / (model.n_tokens + model.n_types + 1))
         doc = np.repeat(np.arange(len(ids)), lengths)
         texts = [lengths, *(np.bincount(doc, weights=x[at], minlength=len(ids)) for x in (counts[0] > 0, base))]
-        return texts, at, suffix, counts, model.log_probabilities(suffix, counts)
-
-    def first_state(row):
-        """A block with contexts of one word."""
-        texts, at, suffix, counts, scores = shallow(row)
-        lengths, of_word = texts[0], unpack(row[5], np.uint32).astype(np.int64)
-        words = hashes_of(_unpack_words(row[4]))
-        word = np.repeat(np.arange(len(words)), of_word)[at]
-        n = shared.value.totals[1].astype(np.int64)[suffix]
-        level = Level(np.arange(len(at)), at.astype(np.int64), word, counts[3].astype(bool), counts[2], 10.0**scores, n, word, words, counts[0][np.cumsum(of_word) - of_word])
-        return compact(State(*texts, words=words, **longer(level, lengths, np.zeros(len(lengths)), n_texts, least)))
+        return texts, at, suffix, counts, model.log_probabilities(suffix, counts), number
 
     def trained(ids, lengths):
         return np.repeat([not held_out(i, rule) for i in ids], lengths)
@@ -727,70 +972,88 @@ def _score(documents, id_col, text_col, gain, rule, bucket_pairs, depth, least,
                 yield tuple(c.to_pylist()[0] for c in batch.slice(i, 1).columns)
         give_back()  # a block's arrays are large, and workers live on
 
-    def state_of(packed):
-        state = State(*(unpack(x, np.dtype(k)) for x, k in zip(packed, _KINDS, strict=True)))
-        return state._replace(words=np.cumsum(state.words), hashes=np.cumsum(state.hashes))
+    def levels(row, rounds):
+        """A block level by level, for so many rounds and the deal after them: its texts' fields, words, training
+        tokens, the level, its contexts' greatest count in a deal, and the state of the tokens after the rest.
+        After the rounds no context has more, but for those that only this block has."""
+        texts, at, suffix, counts, scores, number = shallow(row)
+        lengths, of_word, train = texts[0], unpack(row[4], np.uint32).astype(np.int64), trained(row[1], texts[0])
+        starts = np.cumsum(of_word) - of_word
+        number, seen, word = number[starts] + 2, counts[0][starts], np.repeat(np.arange(len(starts)), of_word)[at]
+        hashes = hashes_of(number)
+        words = words_of(lengths, hashes, word, number, seen, (counts[2] >= least)[at], n_texts, depth, least)
+        n = shared.value.totals[1].astype(np.int64)[suffix]
+        level = Level(np.arange(len(at)), at, word, counts[3].astype(bool), counts[2], 10.0**scores, n, word, hashes, seen)
+        for k in range(rounds):
+            fields = longer(level, lengths, None, n_texts if k == 0 else 0, max(most + 1, least))
+            state = State(lengths=lengths, words=hashes, **{f: fields[f] for f in State._fields if f in fields})
+            yield texts, words, train, level, most, state
+            if not len(state.pair):
+                return
+            level = level_of(state, train, answers_of(row, k), weights_of(state.hashes, states[k].value))
+        yield texts, words, train, level, _ALL, None
+
+    def answers_of(row, k):
+        def answers(keys):
+            out = np.empty(len(keys), np.int64)
+            out[order_of(keys)] = _told(row[8], k * n_buckets, n_buckets, len(keys), np.int64)
+            return out
+
+        return answers
+
+    def first_of(k):
+        """The first bucket of the deal of contexts of ``k + 1`` words."""
+        return depth * n_buckets + k * n_deals
 
-    shares = sorted(sizes) or [0]
     if not depth:
-        shallow_scores = [joined(k).mapInArrow(lambda batches: (scored(r[1], *t, np.bincount(np.repeat(np.arange(len(r[1])), t[0]), weights=s[a], minlength=len(r[1]))) for r in each(batches) for t, a, _, _, s in [shallow(r)]), _kinds(_SCORED)) for k in shares]
-        return materialise(together(shallow_scores), "scores")
-
-    def state_row(block, ids, state):
-        """Hashes as steps from one to the next: those of words, and of contexts of one word, are in order."""
-        steps = {k: np.diff(getattr(state, k), prepend=np.uint64(0)) for k in ("words", "hashes")}
-        return _rows([(block, ids, [pack(x) for x in state._replace(**steps)])], _ROUND)
-
-    def begin(batches):
-        for row in each(batches):
-            yield state_row(row[0], row[1], first_state(row))
+        plain = rows_of().mapInArrow(lambda batches: (scored(r[1], *t, np.bincount(np.repeat(np.arange(len(r[1])), t[0]), weights=s[a], minlength=len(r[1]))) for r in each(batches) for t, a, _, _, s, _ in [shallow(r)]), _kinds(_SCORED))
+        return materialise(plain, "scores")
 
-    def ask(batches):
-        """What blocks ask for the pairs of the contexts to be counted next."""
-        for block, ids, packed in each(batches):
-            state = state_of(packed)
-            yield from _ask(block, 0, *asks_of(state, trained(ids, state.lengths)), n_buckets)
+    def ask(k):
+        """What blocks ask for the pairs of the contexts of ``k + 1`` words that are found more often than a bucket takes."""
 
-    def ask_weights(batches):
-        """What blocks ask for these contexts, with the totals of the pairs."""
-        for block, ids, packed, more in each(batches):
-            state = state_of(packed)
-            told = lambda kind, keys: _told(more, kind, n_buckets, keys)
-            yield from _ask(block, 1, state.hashes, tests_of(state, trained(ids, state.lengths), told), n_buckets)
+        def run(batches):
+            for row in each(batches):
+                for _, _, train, _, _, state in islice(levels(row, k + 1), k, k + 1):
+                    if len(state.pair):
+                        asks, sums = asks_of(state, train)
+                        yield from _ask(row[0], k * n_buckets, n_buckets, asks, state.hashes, sums)
 
-    def go_on(last):
-        """A round, after the totals of the pairs and the weights of the contexts asked for."""
+        return run
 
+    def deal_out(share):
         def run(batches):
-            for block, ids, packed, more in each(batches):
-                state = state_of(packed)
-                told = lambda kind, keys: _told(more, kind, n_buckets, keys)
-                after = advance(state, trained(ids, state.lengths), n_texts, least, last, told)
-                yield scored(ids, state.lengths, state.known, state.base, after) if last else state_row(block, ids, after)
+            for row in each(batches):
+                for k, (_, words, train, level, up_to, _) in enumerate(islice(levels(row, rounds), depth)):
+                    _, deal = split(level, words, k + 1, n_texts, least, up_to)
+                    yield from send(row[0], first_of(k), n_deals, share, deal, level, words, train, k + 1, depth)
 
         return run
 
-    def with_told(share, *told):
-        """States of a share and what their blocks have been told."""
-        more = together(told).where(share_of(F.col("block")) == share).groupBy("block").agg(F.collect_list(F.struct("bucket", "totals")).alias("more"))
-        return made[share].join(more.hint("shuffle_hash"), "block", "left").select("block", "ids", "state", "more")
-
-    made = {}
-    for share in shares:
-        made[share] = tables.write(joined(share).mapInArrow(begin, _kinds(_ROUND)), f"round_0_{share}")
-        tables.drop_share("blocks", share)
-        tables.drop_share("found", share)
-    for level in range(1, depth + 1):
-        asked = together([made[share].select("block", "ids", "state").mapInArrow(ask, _kinds(_ASKED)) for share in shares])
-        totals = materialise(tally(asked, n_buckets, gain), "totals")
-        asked = together([with_told(share, totals).mapInArrow(ask_weights, _kinds(_ASKED)) for share in shares])
-        weights = materialise(tally(asked, n_buckets, gain), "weights")
-        if level == depth:
-            scores = materialise(together([with_told(share, totals, weights).mapInArrow(go_on(True), _kinds(_SCORED)) for share in shares]), "scores")
-        else:
-            for share in shares:
-                made[share] = tables.write(with_told(share, totals, weights).mapInArrow(go_on(False), _kinds(_ROUND)), f"round_{level}_{share}")
-                tables.drop(f"round_{level - 1}_{share}")
-        drop_table(totals)
-        drop_table(weights)
-    return scores
+    def finish(batches):
+        for row in each(batches):
+            score = 0.0
+            for k, (texts, words, _, level, up_to, _) in enumerate(levels(row, rounds)):
+                gone = np.ones(len(level.at), bool)
+                if k < depth:
+                    gone, (at, pair, hashes) = split(level, words, k + 1, n_texts, least, up_to)
+                    p = settled(row[8], first_of(k), hashes, n_deals, level.p[pair])
+                    text = np.repeat(np.arange(len(texts[0])), texts[0])[at]
+                    score += np.bincount(text, weights=np.log10(p), minlength=len(texts[0]))
+                score += scores_of(level, texts[0], gone)
+            yield scored(row[1], *texts, score)
+
+    rounds, largest = 0, max(n_texts, found.agg(F.max("largest")).first()[0] or 0)
+    while rounds < depth and largest > most:
+        totals = materialise(tally(rows_of().mapInArrow(ask(rounds), _kinds(_ASKED))), "totals")
+        states.append(spark.sparkContext.broadcast(states_of(totals, gain)))
+        largest = totals.agg(F.max("largest")).first()[0] or 0
+        tables_told.append(totals)
+        told.append(totals.where("block IS NOT NULL").select("bucket", "block", "totals", F.lit(None).cast("binary").alias("values")))
+        rounds += 1
+    answers = [materialise(settle(rows_of().mapInArrow(deal_out(k), _kinds(_DEALT)), gain, least), "settled") for k in range(SHARES)]
+    told += answers
+    parts = [materialise(rows_of(SHARES, k).mapInArrow(finish, _kinds(_SCORED)), "scores") for k in range(SHARES)]
+    for table in tables_told + answers:
+        drop_table(table)
+    return reduce(DataFrame.union, parts)

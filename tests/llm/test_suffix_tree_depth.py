@@ -7,6 +7,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from kpi_lake.llm import suffix_tree
@@ -111,6 +112,32 @@ def test_a_state_keeps_only_what_longer_contexts_refer_to():
     assert found["shorter"].tolist() == list(range(5)) and found["token"].tolist() == [0, 1, 2, 3, 5]
 
 
+def test_rare_contexts_are_settled_in_their_buckets(documents, rows, monkeypatch):
+    """Blocks ask for totals only of contexts that are found more often than half of ``bucket_pairs``."""
+    asked, tally = [], suffix_tree.tally
+    monkeypatch.setattr(suffix_tree, "tally", lambda *a: (asked.append(1), tally(*a))[1])
+    assert suffix_tree.score_documents(documents(rows), depth=DEPTH, least=LEAST).count() == len(rows)
+    assert not asked
+    suffix_tree.score_documents(documents(rows), depth=DEPTH, least=LEAST, bucket_pairs=400)
+    assert 0 < len(asked) <= DEPTH
+
+
+def test_scores_of_likely_texts_keep_their_precision(documents):
+    rows = [(i, "a b c d " * 700) for i in range(8)]
+    got = {r.id: r.score for r in suffix_tree.score_documents(documents(rows), depth=DEPTH, least=LEAST).collect()}
+    want = {i: score for i, _, score in brute_deep(rows)[0]}
+    assert got == pytest.approx(want, rel=1e-7)
+
+
+def test_tokens_equal_pythons_words():
+    texts = ["A b\x0bc", "", " \t\r\n\x0c", "Ä\x85ß\u00a0x\x1cy  Z", "x" * 90, "a\x00b a\x00B", " END "]
+    table = suffix_tree._numbers()
+    lengths, numbers = suffix_tree.tokens_of(pa.array(texts), table)
+    words = list(table)
+    assert lengths.tolist() == [len(t) for t in map(tokens, texts)]
+    assert [words[t] for t in numbers.tolist()] == [w for text in texts for w in tokens(text)]
+
+
 def test_orders_equal_numpys():
     made = np.random.default_rng(3)
     for keys in (made.integers(0, 1 << 64, 500, np.uint64), made.integers(0, 9, 500).astype(np.uint64), (np.uint64(1) << np.uint64(63)) - np.arange(500, dtype=np.uint64), np.zeros(0, np.uint64)):

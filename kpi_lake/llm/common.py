@@ -106,6 +106,8 @@ def give_back() -> None:
     import pyarrow as pa
 
     gc.collect()
+    if not gc.get_freeze_count():
+        gc.freeze()  # the modules, once a process: looking through them is most of what a collection takes
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim is not None:

@@ -54,8 +54,9 @@ from __future__ import annotations
 import uuid
 import zlib
 from collections import defaultdict
-from functools import reduce
-from itertools import islice
+from collections.abc import Iterator
+from functools import cache, reduce
+from itertools import chain, islice, pairwise, repeat
 from typing import NamedTuple
 
 import numpy as np
@@ -72,6 +73,11 @@ BLOCK_BYTES = 6 << 20
 BUCKET_PAIRS = 1_000_000
 #: Shares of the buckets that tokens are dealt to, and of the blocks that are told, one after another (disk only).
 SHARES = 2
+#: Rows of so many bytes go from a Python worker to Spark at once.
+ROWS_BYTES = 1 << 18
+#: Buckets of a deal are so many times larger than others: their tokens are settled piece by piece, and there are
+#: fewer rows, which number as many as blocks times buckets.
+PIECES = 4
 # Bytes that no UTF-8 text has, as mark before a word's first byte, and as end token.
 MARK = 0xFE
 END_TOKEN = b"\xfc"
@@ -86,22 +92,24 @@ def held_out(doc_id: int | None, rule: tuple[int, int] = HELD_OUT) -> bool:
     return zlib.crc32(b"" if doc_id is None else str(doc_id).encode()) % rule[0] == rule[1]
 
 
-def pack(values: np.ndarray) -> bytes:
-    """An array as compressed bytes, all lowest bytes first."""
+@cache
+def _coders():
     import zstandard
 
-    numbers = np.ascontiguousarray(values).view(f"u{values.itemsize}")
-    planes = np.empty((values.itemsize, len(values)), np.uint8)
-    for k, plane in enumerate(planes):
-        plane[:] = numbers >> numbers.dtype.type(8 * k)
-    return zstandard.ZstdCompressor(level=1).compress(planes)
+    return zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
 
 
-def unpack(packed: bytes, kind) -> np.ndarray:
-    import zstandard
+def pack(values: np.ndarray) -> bytes:
+    """An array as compressed bytes, all lowest bytes first."""
+    planes = np.ascontiguousarray(values).view(np.uint8).reshape(-1, values.itemsize).T
+    return _coders()[0].compress(np.ascontiguousarray(planes))
+
 
+def unpack(packed: bytes, kind) -> np.ndarray:
     size = np.dtype(kind).itemsize
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8).reshape(size, -1)
+    planes = np.frombuffer(_coders()[1].decompress(packed), np.uint8).reshape(size, -1)
+    if planes.shape[1] < 4096:
+        return planes.T.copy().view(kind).reshape(-1)
     numbers = planes[0].astype(f"u{size}")
     for k in range(1, size):
         if planes[k].any():
@@ -142,15 +150,31 @@ def _unpack_words(packed: bytes) -> list[bytes]:
     return unpack(packed, np.uint8).tobytes().split(b" ")
 
 
-def suffix_of(word: bytes) -> int:
-    """A word's last two bytes as a number."""
-    return (word[-2] if len(word) > 1 else MARK) << 8 | word[-1]
+def suffixes_of(words: list[bytes]) -> np.ndarray:
+    """The words' last two bytes as numbers."""
+    data = np.frombuffer(b" ".join([b"", *words, b""]), np.uint8)
+    stops = np.flatnonzero(data == ord(" "))
+    before = np.where(np.diff(stops) > 2, data[stops[1:] - 2], MARK)
+    return before.astype(np.int64) << 8 | data[stops[1:] - 1]
 
 
 def _rows(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
 
+def _batches(rows: Iterator[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Rows in batches of bounded size: small ones cost less together."""
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += 100 + sum(len(x) for x in row if isinstance(x, bytes))
+        if size >= ROWS_BYTES:
+            yield _rows(held, schema)
+            held, size = [], 0
+    if held:
+        yield _rows(held, schema)
+
+
 def _kinds(schema: pa.Schema) -> str:
     names = {pa.int64(): "bigint", pa.string(): "string", pa.binary(): "binary", pa.bool_(): "boolean", pa.float64(): "double"}
     names |= {pa.list_(k): f"array<{names[k]}>" for k in (pa.int64(), pa.binary())}
@@ -191,8 +215,12 @@ def tokens_of(texts: pa.Array, table: dict) -> tuple[np.ndarray, np.ndarray]:
     text = pc.list_parent_indices(found).to_numpy()
     words = pc.list_flatten(found).dictionary_encode()
     kind = pa.large_binary() if pa.types.is_large_string(words.dictionary.type) else pa.binary()
-    different = words.dictionary.cast(kind).to_pylist()
-    number = np.fromiter((table[w] if w else -1 for w in different), np.int64, len(different))[words.indices.to_numpy()]
+    some = words.dictionary.cast(kind)
+    different = pc.binary_join(pa.LargeListArray.from_arrays(pa.array([0, len(some)]), some), b" ")[0].as_py().split(b" ") if len(some) else []
+    number = np.fromiter(map(table.__getitem__, filter(None, different)), np.int64)
+    if b"" in different:
+        number = np.insert(number, different.index(b""), -1)
+    number = number[words.indices.to_numpy()]
     text, number = text[number >= 0], number[number >= 0]
     lengths = np.bincount(text, minlength=len(texts)) + 1
     out = np.full(len(number) + len(texts), table[END_TOKEN])
@@ -210,7 +238,7 @@ def blocks_of(docs: DataFrame, rule: tuple[int, int] = HELD_OUT) -> DataFrame:
 
         def flush():
             words = list(table)
-            last = np.fromiter(map(suffix_of, words), np.int64, len(words))
+            last = suffixes_of(words)
             lengths, token = (np.concatenate(x) for x in zip(*parts, strict=True))
             before = np.concatenate(([0], last[token[:-1]]))
             before[np.cumsum(lengths)[:-1]] = before[0] = MARK << 8 | MARK
@@ -267,13 +295,17 @@ def deal_words(blocks: DataFrame, n_buckets: int) -> DataFrame:
             for block, packed, n_pairs, suffixes, train in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 words, n = _unpack_words(packed), unpack(n_pairs, np.uint32).astype(np.int64)
                 starts, suffix, seen = np.cumsum(n) - n, unpack(suffixes, np.uint16), unpack(train, np.uint32)
-                bucket = np.fromiter((zlib.crc32(w) for w in words), np.int64, len(words)) % n_buckets
-                order, rows = np.argsort(bucket, kind="stable"), []
-                for at in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
-                    places = _places(starts[at], n[at])
-                    mine = _pack_words([words[i] for i in at.tolist()])
-                    rows.append((int(bucket[at[0]]), block, mine, pack(n[at].astype(np.uint32)), pack(starts[at].astype(np.uint32)), pack(suffix[places]), pack(seen[places])))
-                yield _rows(rows, _PART)
+                bucket = np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % n_buckets
+                order = np.argsort(bucket, kind="stable")
+                bucket, words, n, starts = bucket[order], np.array(words, object)[order].tolist(), n[order], starts[order]
+                places = _places(starts, n)
+                suffix, seen, cuts = suffix[places], seen[places], np.concatenate(([0], np.cumsum(n)))
+                n, starts = n.astype(np.uint32), starts.astype(np.uint32)
+                rows = (
+                    (int(bucket[i]), block, _pack_words(words[i:j]), pack(n[i:j]), pack(starts[i:j]), pack(suffix[cuts[i] : cuts[j]]), pack(seen[cuts[i] : cuts[j]]))
+                    for i, j in _runs(bucket)
+                )
+                yield from _batches(rows, _PART)
 
     return blocks.select("block", "words", "n_pairs", "suffixes", "train").mapInArrow(run, _kinds(_PART))
 
@@ -303,18 +335,20 @@ def count_words(parts: DataFrame, n_buckets: int) -> DataFrame:
             number = np.empty(len(none), np.int64)
             number[np.argsort(-none, kind="stable")] = np.arange(len(none)) * n_buckets + key
             cuts = np.cumsum([len(p) for *_, p, _ in held])[:-1]
-            for k, ((block, n_pairs, starts, words, _, _), at) in enumerate(zip(held, np.split(inverse, cuts), strict=True)):
-                sums = pack(table_of_sums.reshape(-1)) if k == 0 else b""
-                mine = pack(number[words].astype(np.uint32))
-                yield _rows([(key, block, n_pairs, starts, mine, pack(counts[:, at].reshape(-1)), int(none.max()), sums)], _COUNTED)
+            sums = chain([pack(table_of_sums.reshape(-1))], repeat(b""))
+            rows = (
+                (key, block, n_pairs, starts, pack(number[words].astype(np.uint32)), pack(counts[:, at].reshape(-1)), int(none.max()), next(sums))
+                for (block, n_pairs, starts, words, _, _), at in zip(held, np.split(inverse, cuts), strict=True)
+            )
+            yield from _batches(rows, _COUNTED)
 
         for batch in batches:
             for bucket, block, packed, n_pairs, starts, suffixes, train in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if bucket != key:
                     if held:
                         yield from flush()
-                    key, table, held = bucket, {}, []
-                numbers = np.fromiter((table.setdefault(w, len(table)) for w in _unpack_words(packed)), np.int64)
+                    key, table, held = bucket, _numbers(), []
+                numbers = np.fromiter(map(table.__getitem__, _unpack_words(packed)), np.int64)
                 pairs = np.repeat(numbers, unpack(n_pairs, np.uint32)) * _SUFFIXES + unpack(suffixes, np.uint16)
                 held.append((block, n_pairs, starts, numbers, pairs, unpack(train, np.uint32)))
         if held:
@@ -439,12 +473,16 @@ def _ask(block: str, first: int, n_buckets: int, asks: tuple[np.ndarray, ...], h
     order = order_of(keys)
     keys, seen, context = keys[order], seen[order].astype(np.uint32), context[order]
     bucket = _bucket_of(keys, n_buckets)
-    for start, stop in _runs(bucket):
-        steps = np.diff(keys[start:stop], prepend=np.uint64(0))
-        used, mine = distinct(context[start:stop])
-        yield _rows([(first + int(bucket[start]), block, pack(steps), pack(seen[start:stop]), pack(hashes[used]), pack(mine.astype(np.uint32)), b"")], _ASKED)
-    none = pack(np.zeros(0, np.uint32))
-    yield _rows([(first, block, pack(np.zeros(0, np.uint64)), none, pack(hashes), none, pack(sums.reshape(-1)))], _ASKED)
+
+    def rows():
+        for start, stop in _runs(bucket):
+            steps = np.diff(keys[start:stop], prepend=np.uint64(0))
+            used, mine = distinct(context[start:stop])
+            yield first + int(bucket[start]), block, pack(steps), pack(seen[start:stop]), pack(hashes[used]), pack(mine.astype(np.uint32)), b""
+        none = pack(np.zeros(0, np.uint32))
+        yield first, block, pack(np.zeros(0, np.uint64)), none, pack(hashes), none, pack(sums.reshape(-1))
+
+    yield from _batches(rows(), _ASKED)
 
 
 def _told(more, first: int, n_buckets: int, size: int, kind) -> np.ndarray:
@@ -623,10 +661,10 @@ class Deal(NamedTuple):
     hashes: np.ndarray
 
 
-def split(level: Level, words: Words, n_words: int, n_texts: int, least: int, most: int) -> tuple[np.ndarray, Deal]:
-    """Of the followed tokens, with contexts of ``n_words``: which go no further, and the deal. The rest
-    are those whose context is found more than ``most`` times. A context that the level doesn't know
-    is not: it extends one that is rarer."""
+def split(level: Level, words: Words, n_words: int, n_texts: int, least: int, most: int, share: tuple[int, ...] = ()) -> tuple[np.ndarray, Deal]:
+    """Of the followed tokens, with contexts of ``n_words``: which go no further, and the deal (to the
+    buckets from the first to the one before the last of so many, if ``share`` is given). The rest are those whose
+    context is found more than ``most`` times. A context that the level doesn't know is not: it extends one that is rarer."""
     _, counts, context = contexts_of(level, words.lengths, n_texts if n_words == 1 else 0)
     oldest, seen = words.before(level.at, n_words), counts[context]
     gone = (oldest == 0) | (seen < least) & (context < len(counts) - 1)
@@ -636,6 +674,11 @@ def split(level: Level, words: Words, n_words: int, n_texts: int, least: int, mo
     hashes[oldest[dealt] == 1] = _START
     for n in range(n_words - 1, 0, -1):
         hashes = _extended(hashes, words.hashes[words.word[at - n]])
+    if share:
+        first, last, n_buckets = share
+        bucket = _bucket_of(hashes, n_buckets)
+        mine = (bucket >= first) & (bucket < last)
+        at, pair, hashes = at[mine], pair[mine], hashes[mine]
     order = order_of(hashes)
     return gone, Deal(at[order], pair[order], hashes[order])
 
@@ -655,11 +698,9 @@ _DEALT = pa.schema(
 )
 
 
-def send(block: str, first: int, n_buckets: int, share: int, deal: Deal, level: Level, words: Words, train: np.ndarray, n_words: int, depth: int):
-    """The rows of a deal to a share of its buckets; ``first`` is its first bucket."""
-    bucket = _bucket_of(deal.hashes, n_buckets)
-    mine = slice(*np.searchsorted(bucket, [n_buckets * k // SHARES for k in (share, share + 1)]).tolist())
-    (at, pair, keys), bucket = (x[mine] for x in deal), bucket[mine]
+def send(block: str, first: int, n_buckets: int, deal: Deal, level: Level, words: Words, train: np.ndarray, n_words: int, depth: int):
+    """The rows of a deal; ``first`` is its first bucket."""
+    (at, pair, keys), bucket = deal, _bucket_of(deal.hashes, n_buckets)
     trained = train[at]
     symbols = np.empty((depth - n_words + 1, len(at)), np.uint32)
     symbols[0] = words.number[at]
@@ -668,19 +709,22 @@ def send(block: str, first: int, n_buckets: int, share: int, deal: Deal, level:
         if k > 1:
             symbols[k][symbols[k - 1] == 0] = 0
     terms = np.where(trained, (np.log(np.maximum(level.total, 1)) - np.log(np.maximum(level.n, 1)))[pair], 0.0)
-    for start, stop in _runs(bucket):
-        mine = keys[start:stop]
-        heads = np.flatnonzero(np.concatenate(([True], mine[1:] > mine[:-1])))
-        row = (
-            first + int(bucket[start]),
-            block,
-            pack(np.diff(mine[heads], prepend=np.uint64(0))),
-            pack(np.diff(heads, append=len(mine)).astype(np.uint32)),
-            pack(np.add.reduceat(terms[start:stop], heads)),
-            pack(np.packbits(trained[start:stop])),
-            pack(np.ascontiguousarray(symbols[:, start:stop]).reshape(-1)),
-        )
-        yield _rows([row], _DEALT)
+
+    def rows():
+        for start, stop in _runs(bucket):
+            mine = keys[start:stop]
+            heads = np.flatnonzero(np.concatenate(([True], mine[1:] > mine[:-1])))
+            yield (
+                first + int(bucket[start]),
+                block,
+                pack(np.diff(mine[heads], prepend=np.uint64(0))),
+                pack(np.diff(heads, append=len(mine)).astype(np.uint32)),
+                pack(np.add.reduceat(terms[start:stop], heads)),
+                pack(np.packbits(trained[start:stop])),
+                pack(np.ascontiguousarray(symbols[:, start:stop]).reshape(-1)),
+            )
+
+    yield from _batches(rows(), _DEALT)
 
 
 def _joint(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -751,9 +795,8 @@ def tally(asked: DataFrame) -> DataFrame:
                     sums[:, names] += mine
             yield _rows([(key, None, None, int(total.max()) if len(total) else 0, pack(unique), pack(sums.reshape(-1)))], _TOLD)
             out = (total * 2 + (np.bincount(inverse) == 1)).astype(np.int64)
-            for (block, *_), at in zip(held, np.split(inverse, np.cumsum([len(x[1]) for x in held])[:-1]), strict=True):
-                if len(at):
-                    yield _rows([(key, block, pack(out[at]), 0, None, None)], _TOLD)
+            answers = zip(held, np.split(inverse, np.cumsum([len(x[1]) for x in held])[:-1]), strict=True)
+            yield from _batches(((key, x[0], pack(out[at]), 0, None, None) for x, at in answers if len(at)), _TOLD)
 
         for batch in batches:
             for bucket, block, *packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -798,23 +841,43 @@ def weights_of(hashes: np.ndarray, states: tuple[np.ndarray, np.ndarray]) -> np.
     return np.where(states[0][at] == hashes, states[1][at], 0.0)
 
 
-def settle(dealt: DataFrame, gain: float, least: int) -> DataFrame:
-    """The probabilities of the tokens that were dealt, in the order they came in."""
+def settle(dealt: DataFrame, gain: float, least: int, piece: int) -> DataFrame:
+    """The probabilities of the tokens that were dealt, in the order they came in. A bucket's contexts are
+    settled in pieces of ``piece`` tokens, or of one context."""
 
     def run(batches):
         key, held = None, []
 
         def flush():
             contexts, sizes, terms, train, symbols = ([x[k] for x in held] for k in range(1, 6))
-            unique, inverse = np.unique(np.concatenate(contexts), return_inverse=True)
-            mine = np.repeat(inverse, np.concatenate(sizes))
-            terms = np.bincount(inverse, weights=np.concatenate(terms), minlength=len(unique))
-            symbols = np.concatenate(symbols, axis=1)
-            found = probabilities(mine, terms, symbols[0].astype(np.int64), symbols[1:], np.concatenate(train), gain, least)
-            for (block, *_), x in zip(held, np.split(found, np.cumsum([len(x) for x in train])[:-1], axis=1), strict=True):
-                changed = x[1] < 1
-                x[0] -= x[0] > 0.5  # single precision is finer near 0
-                yield _rows([(key, block, pack(np.packbits(changed)), pack(x[:, changed].astype(np.float32).reshape(-1)))], _SETTLED)
+            hashes = np.concatenate(contexts)
+            order = order_of(hashes)
+            number = np.empty(len(hashes), np.int64)
+            number[order] = np.cumsum(np.diff(hashes[order], prepend=hashes[order[:1]]) != 0)
+            sums = np.bincount(number, weights=np.concatenate(terms))
+            upto = np.cumsum(np.bincount(number, weights=np.concatenate(sizes))).astype(np.int64)
+            firsts = np.append(np.flatnonzero(np.diff(np.concatenate(([0], upto[:-1])) // piece, prepend=-1)), len(upto))
+            numbers = np.split(number, np.cumsum([len(x) for x in contexts])[:-1])
+            heads = [np.searchsorted(x, firsts) for x in numbers]  # each row's contexts are in order
+            stops = [np.concatenate(([0], np.cumsum(x, dtype=np.int64)))[h] for x, h in zip(sizes, heads, strict=True)]
+            out = [([], []) for _ in held]
+            for k, (first, last) in enumerate(pairwise(firsts.tolist())):
+                rows = [i for i, x in enumerate(heads) if x[k] < x[k + 1]]
+                at = [slice(stops[i][k], stops[i][k + 1]) for i in rows]
+                mine = np.concatenate([np.repeat(numbers[i][(x := slice(heads[i][k], heads[i][k + 1]))] - first, sizes[i][x]) for i in rows])
+                tokens = np.concatenate([symbols[i][:, x] for i, x in zip(rows, at, strict=True)], axis=1)
+                weights = np.concatenate([train[i][x] for i, x in zip(rows, at, strict=True)])
+                found = probabilities(mine, sums[first:last], tokens[0].astype(np.int64), tokens[1:], weights, gain, least)
+                changed = found[1] < 1
+                found[0] -= found[0] > 0.5  # single precision is finer near 0
+                found = found.astype(np.float32)
+                start = 0
+                for i, x in zip(rows, at, strict=True):
+                    part = slice(start, start := start + x.stop - x.start)
+                    out[i][0].append(changed[part])
+                    out[i][1].append(found[:, part][:, changed[part]])
+            answers = ((key, x[0], pack(np.packbits(np.concatenate(c))), pack(np.concatenate(v, axis=1).reshape(-1))) for x, (c, v) in zip(held, out, strict=True))
+            yield from _batches(answers, _SETTLED)
 
         for batch in batches:
             for bucket, block, *packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -846,25 +909,27 @@ def settled(more, first: int, hashes: np.ndarray, n_buckets: int, p: np.ndarray)
 
 
 class _Tables:
-    """Tables of blocks, bucketed by block, so that a block never travels, and shuffle files removed
-    with the job that wrote them."""
+    """Tables of blocks, bucketed by block, so that a block never travels, shuffle files removed
+    with the job that wrote them, and few blocks sent to a Python worker at once."""
 
-    _CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    _SET = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
 
     def __init__(self, spark):
         self.spark, self.names = spark, {}
         self.n = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def __enter__(self):
-        self.before = self.spark.conf.get(self._CLEAN, None)
-        self.spark.conf.set(self._CLEAN, "true")
+        self.before = {k: self.spark.conf.get(k, None) for k in self._SET}
+        for k, v in self._SET.items():
+            self.spark.conf.set(k, v)
         return self
 
     def __exit__(self, *_):
-        if self.before is None:
-            self.spark.conf.unset(self._CLEAN)
-        else:
-            self.spark.conf.set(self._CLEAN, self.before)
+        for k, v in self.before.items():
+            if v is None:
+                self.spark.conf.unset(k)
+            else:
+                self.spark.conf.set(k, v)
         for name in list(self.names):
             self.drop(name)
 
@@ -923,7 +988,7 @@ def _score(documents, id_col, text_col, gain, rule, bucket_pairs, depth, least,
     dictionaries, blocks = (blocks.where(F.col("part") == k).drop("part") for k in (1, 0))
     size = blocks.agg(F.sum("size").alias("pairs"), F.sum("n_tokens").alias("tokens")).first()
     n_buckets = int(max(1, -(-(size["pairs"] or 0) // bucket_pairs)))
-    n_deals, most = int(max(1, -(-2 * (size["tokens"] or 0) // bucket_pairs))), bucket_pairs // 2
+    n_deals, most = int(max(1, -(-2 * (size["tokens"] or 0) // (PIECES * bucket_pairs)))), bucket_pairs // 2
     counted = count_words(deal_words(dictionaries, n_buckets), n_buckets)
     found = counted.groupBy("block").agg(F.collect_list(F.struct("n_pairs", "starts", "numbers", "counts", "sums")).alias("found"), F.max("largest").alias("largest"))
     found = tables.write(found, "found")
@@ -944,9 +1009,9 @@ def _score(documents, id_col, text_col, gain, rule, bucket_pairs, depth, least,
         return mine.join(more.hint("shuffle_hash"), "block", "left")
 
     def shallow(row):
-        """Of a block: its texts' fields, the tokens' pairs, by pair suffix, counts and score, and by
+        """Of a block: its texts' lengths, the tokens' pairs, by pair suffix, counts and score, and by
         pair the number of its word (where the word's first pair is)."""
-        ids, packed, tokens, _, suffixes, size, parts = row[1:8]
+        _, packed, tokens, _, suffixes, size, parts = row[1:8]
         model: Tree = shared.value
         counts, number = np.zeros((4, size), np.int64), np.zeros(size, np.int64)
         for x in parts:
@@ -954,10 +1019,16 @@ def _score(documents, id_col, text_col, gain, rule, bucket_pairs, depth, least,
             counts[:, _places(starts, unpack(x["n_pairs"], np.uint32).astype(np.int64))] = unpack(x["counts"], np.int64).reshape(4, -1)
             number[starts] = unpack(x["numbers"], np.uint32)
         suffix, at, lengths = unpack(suffixes, np.uint16).astype(np.int64), unpack(tokens, np.uint32).astype(np.int64), unpack(packed, np.uint32).astype(np.int64)
-        base = np.log10((counts[0] + 1) / (model.n_tokens + model.n_types + 1))
-        doc = np.repeat(np.arange(len(ids)), lengths)
-        texts = [lengths, *(np.bincount(doc, weights=x[at], minlength=len(ids)) for x in (counts[0] > 0, base))]
-        return texts, at, suffix, counts, model.log_probabilities(suffix, counts), number
+        return lengths, at, suffix, counts, model.log_probabilities(suffix, counts), number
+
+    def of_texts(lengths, at, *values):
+        """By text, the sums of what its tokens' pairs have."""
+        doc = np.repeat(np.arange(len(lengths)), lengths)
+        return [np.bincount(doc, weights=x[at], minlength=len(lengths)) for x in values]
+
+    def known_and_base(lengths, at, seen):
+        model: Tree = shared.value
+        return of_texts(lengths, at, seen > 0, np.log10((seen + 1) / (model.n_tokens + model.n_types + 1)))
 
     def trained(ids, lengths):
         return np.repeat([not held_out(i, rule) for i in ids], lengths)
@@ -972,26 +1043,27 @@ def _score(documents, id_col, text_col, gain, rule, bucket_pairs, depth, least,
                 yield tuple(c.to_pylist()[0] for c in batch.slice(i, 1).columns)
         give_back()  # a block's arrays are large, and workers live on
 
-    def levels(row, rounds):
-        """A block level by level, for so many rounds and the deal after them: its texts' fields, words, training
-        tokens, the level, its contexts' greatest count in a deal, and the state of the tokens after the rest.
-        After the rounds no context has more, but for those that only this block has."""
-        texts, at, suffix, counts, scores, number = shallow(row)
-        lengths, of_word, train = texts[0], unpack(row[4], np.uint32).astype(np.int64), trained(row[1], texts[0])
+    def levels(row, rounds, deals=True):
+        """A block level by level, for so many rounds and the deal after them: its texts' lengths, words (for
+        the deals), training tokens, the level, its contexts' greatest count in a deal, and the state of the
+        tokens after the rest. After the rounds no context has more, but for those that only this block has."""
+        lengths, at, suffix, counts, scores, number = shallow(row)
+        of_word, train = unpack(row[4], np.uint32).astype(np.int64), trained(row[1], lengths)
         starts = np.cumsum(of_word) - of_word
         number, seen, word = number[starts] + 2, counts[0][starts], np.repeat(np.arange(len(starts)), of_word)[at]
         hashes = hashes_of(number)
-        words = words_of(lengths, hashes, word, number, seen, (counts[2] >= least)[at], n_texts, depth, least)
+        words = words_of(lengths, hashes, word, number, seen, (counts[2] >= least)[at], n_texts, depth, least) if deals else None
         n = shared.value.totals[1].astype(np.int64)[suffix]
-        level = Level(np.arange(len(at)), at, word, counts[3].astype(bool), counts[2], 10.0**scores, n, word, hashes, seen)
+        level = Level(np.arange(len(at)), at, word, counts[3].astype(bool), counts[2].copy(), 10.0**scores, n, word, hashes, seen.copy())
+        del at, suffix, counts, scores, number, of_word, starts, seen, word, n
         for k in range(rounds):
             fields = longer(level, lengths, None, n_texts if k == 0 else 0, max(most + 1, least))
             state = State(lengths=lengths, words=hashes, **{f: fields[f] for f in State._fields if f in fields})
-            yield texts, words, train, level, most, state
+            yield lengths, words, train, level, most, state
             if not len(state.pair):
                 return
             level = level_of(state, train, answers_of(row, k), weights_of(state.hashes, states[k].value))
-        yield texts, words, train, level, _ALL, None
+        yield lengths, words, train, level, _ALL, None
 
     def answers_of(row, k):
         def answers(keys):
@@ -1006,7 +1078,7 @@ def _score(documents, id_col, text_col, gain, rule, bucket_pairs, depth, least,
         return depth * n_buckets + k * n_deals
 
     if not depth:
-        plain = rows_of().mapInArrow(lambda batches: (scored(r[1], *t, np.bincount(np.repeat(np.arange(len(r[1])), t[0]), weights=s[a], minlength=len(r[1]))) for r in each(batches) for t, a, _, _, s, _ in [shallow(r)]), _kinds(_SCORED))
+        plain = rows_of().mapInArrow(lambda batches: (scored(r[1], n, *known_and_base(n, a, c[0]), *of_texts(n, a, s)) for r in each(batches) for n, a, _, c, s, _ in [shallow(r)]), _kinds(_SCORED))
         return materialise(plain, "scores")
 
     def ask(k):
@@ -1014,7 +1086,7 @@ def _score(documents, id_col, text_col, gain, rule, bucket_pairs, depth, least,
 
         def run(batches):
             for row in each(batches):
-                for _, _, train, _, _, state in islice(levels(row, k + 1), k, k + 1):
+                for _, _, train, _, _, state in islice(levels(row, k + 1, False), k, k + 1):
                     if len(state.pair):
                         asks, sums = asks_of(state, train)
                         yield from _ask(row[0], k * n_buckets, n_buckets, asks, state.hashes, sums)
@@ -1025,23 +1097,30 @@ def _score(documents, id_col, text_col, gain, rule, bucket_pairs, depth, least,
         def run(batches):
             for row in each(batches):
                 for k, (_, words, train, level, up_to, _) in enumerate(islice(levels(row, rounds), depth)):
-                    _, deal = split(level, words, k + 1, n_texts, least, up_to)
-                    yield from send(row[0], first_of(k), n_deals, share, deal, level, words, train, k + 1, depth)
+                    _, deal = split(level, words, k + 1, n_texts, least, up_to, (n_deals * share // SHARES, n_deals * (share + 1) // SHARES, n_deals))
+                    yield from send(row[0], first_of(k), n_deals, deal, level, words, train, k + 1, depth)
+                    del words, train, level, deal
 
         return run
 
     def finish(batches):
-        for row in each(batches):
-            score = 0.0
-            for k, (texts, words, _, level, up_to, _) in enumerate(levels(row, rounds)):
-                gone = np.ones(len(level.at), bool)
-                if k < depth:
-                    gone, (at, pair, hashes) = split(level, words, k + 1, n_texts, least, up_to)
-                    p = settled(row[8], first_of(k), hashes, n_deals, level.p[pair])
-                    text = np.repeat(np.arange(len(texts[0])), texts[0])[at]
-                    score += np.bincount(text, weights=np.log10(p), minlength=len(texts[0]))
-                score += scores_of(level, texts[0], gone)
-            yield scored(row[1], *texts, score)
+        yield from map(finished, each(batches))
+
+    def finished(row):
+        score = 0.0
+        for k, (lengths, words, _, level, up_to, _) in enumerate(levels(row, rounds)):
+            if k == 0:  # a word's count is that of the context it is
+                fields = known_and_base(lengths, level.symbol, level.counts)
+            gone = np.ones(len(level.at), bool)
+            if k < depth:
+                gone, deal = split(level, words, k + 1, n_texts, least, up_to)
+                p = settled(row[8], first_of(k), deal.hashes, n_deals, level.p[deal.pair])
+                text = np.repeat(np.arange(len(lengths)), lengths)[deal.at]
+                score += np.bincount(text, weights=np.log10(p), minlength=len(lengths))
+                del deal, p, text
+            score += scores_of(level, lengths, gone)
+            del gone, level, words
+        return scored(row[1], lengths, *fields, score)
 
     rounds, largest = 0, max(n_texts, found.agg(F.max("largest")).first()[0] or 0)
     while rounds < depth and largest > most:
@@ -1051,7 +1130,7 @@ def _score(documents, id_col, text_col, gain, rule, bucket_pairs, depth, least,
         tables_told.append(totals)
         told.append(totals.where("block IS NOT NULL").select("bucket", "block", "totals", F.lit(None).cast("binary").alias("values")))
         rounds += 1
-    answers = [materialise(settle(rows_of().mapInArrow(deal_out(k), _kinds(_DEALT)), gain, least), "settled") for k in range(SHARES)]
+    answers = [materialise(settle(rows_of().mapInArrow(deal_out(k), _kinds(_DEALT)), gain, least, max(1, bucket_pairs // 4)), "settled") for k in range(SHARES)]
     told += answers
     parts = [materialise(rows_of(SHARES, k).mapInArrow(finish, _kinds(_SCORED)), "scores") for k in range(SHARES)]
     for table in tables_told + answers:

@@ -145,3 +145,17 @@ def test_orders_equal_numpys():
     for keys in (made.integers(0, 40, 500), made.integers(0, 1 << 62, 500), np.zeros(0, np.int64)):
         for a, b in zip(suffix_tree.distinct(keys), np.unique(keys, return_inverse=True), strict=True):
             assert a.tolist() == b.tolist()
+
+
+def test_a_deal_has_few_rows_which_are_settled_in_pieces(documents, monkeypatch):
+    """Rows number as many as blocks times buckets, so buckets hold several pieces of what is settled at once."""
+    made, dealt, settle = random.Random(7), [], suffix_tree.settle
+    words = [f"w{i}" for i in range(400)] * 5
+    made.shuffle(words)
+    rows = [(i, " ".join(words[i * 20 : i * 20 + 20])) for i in range(100)]
+    monkeypatch.setattr(suffix_tree, "settle", lambda df, *a: (dealt.append(df.count()), settle(df, *a))[1])
+    got = suffix_tree.score_documents(documents(rows).coalesce(1), depth=DEPTH, least=LEAST, gain=0.1, bucket_pairs=20).collect()
+    assert 0 < sum(dealt) <= 2 * 2100 / 20 / 3
+    want, states = brute_deep(rows, gain=0.1)
+    assert len(states) > 20
+    assert {r.id: r.score for r in got} == pytest.approx({i: score for i, _, score in want})

@@ -40,7 +40,8 @@ block asks for the totals of its distinct (context, token), by 64-bit hash (two
 their counts), not where the (context, token) one symbol shorter occurs in this block only; buckets sum the tests as they
 sum the totals. Such contexts are at most twice the training tokens by ``bucket_pairs``, and which of them are states is
 broadcast. Then their longer contexts that are rarer are dealt like the others. Blocks stay where they are, in
-tables bucketed by block; a step reads them anew with what they have been told. Deals take one
+tables bucketed by block; a step reads them anew with what they have been told. From the third round on blocks
+go on from their states of the round before, which are small, as few contexts of two words are found that often. Deals take one
 share of the buckets after another, and the files of shuffles are removed with their job.
 
 Defined cases: a null, empty or blank text is one end; a null id counts as an empty one (not held
@@ -51,6 +52,7 @@ other columns are ignored, whatever their names.
 
 from __future__ import annotations
 
+import pickle
 import uuid
 import zlib
 from collections import defaultdict
@@ -425,8 +427,9 @@ def _all_sums(sums: DataFrame) -> np.ndarray:
 # --- contexts of whole words
 
 # What a block asks of a bucket (keys and their counts; of the keys' contexts the hashes, and by key the
-# place among these; and the sums of pairs that it doesn't ask for), and what it's told.
-_ASKED = pa.schema([("bucket", pa.int64()), ("block", pa.string()), *((c, pa.binary()) for c in ("keys", "seen", "hashes", "context", "sums"))])
+# place among these; and the sums of pairs that it doesn't ask for), and what it's told. Rows with a state
+# are for the block itself.
+_ASKED = pa.schema([("bucket", pa.int64()), ("block", pa.string()), *((c, pa.binary()) for c in ("keys", "seen", "hashes", "context", "sums", "state"))])
 _TOLD = pa.schema([("bucket", pa.int64()), ("block", pa.string()), ("totals", pa.binary()), ("largest", pa.int64()), ("hashes", pa.binary()), ("sums", pa.binary())])
 
 
@@ -478,9 +481,9 @@ def _ask(block: str, first: int, n_buckets: int, asks: tuple[np.ndarray, ...], h
         for start, stop in _runs(bucket):
             steps = np.diff(keys[start:stop], prepend=np.uint64(0))
             used, mine = distinct(context[start:stop])
-            yield first + int(bucket[start]), block, pack(steps), pack(seen[start:stop]), pack(hashes[used]), pack(mine.astype(np.uint32)), b""
+            yield first + int(bucket[start]), block, pack(steps), pack(seen[start:stop]), pack(hashes[used]), pack(mine.astype(np.uint32)), b"", None
         none = pack(np.zeros(0, np.uint32))
-        yield first, block, pack(np.zeros(0, np.uint64)), none, pack(hashes), none, pack(sums.reshape(-1))
+        yield first, block, pack(np.zeros(0, np.uint64)), none, pack(hashes), none, pack(sums.reshape(-1)), None
 
     yield from _batches(rows(), _ASKED)
 
@@ -577,6 +580,19 @@ def longer(level: Level, lengths: np.ndarray, score: np.ndarray | None, n_texts:
     }
 
 
+def pack_state(state: State, train: np.ndarray) -> bytes:
+    """A state, without words that none of its tokens is, and the training tokens of its block."""
+    words, token = distinct(state.token)
+    state = state._replace(words=state.words[words], token=token)
+    return _coders()[0].compress(pickle.dumps((tuple(state), np.packbits(train))))
+
+
+def unpack_state(packed: bytes) -> tuple[State, np.ndarray]:
+    fields, train = pickle.loads(_coders()[1].decompress(packed))  # noqa: S301, made by ``pack_state``
+    state = State(*fields)
+    return state, np.unpackbits(train, count=int(state.lengths.sum())).astype(bool)
+
+
 def keys_of(state: State) -> np.ndarray:
     return _extended(state.hashes[state.context], state.words[state.token])
 
@@ -1057,21 +1073,27 @@ def _score(documents, id_col, text_col, gain, rule, bucket_pairs, depth, least,
         level = Level(np.arange(len(at)), at, word, counts[3].astype(bool), counts[2].copy(), 10.0**scores, n, word, hashes, seen.copy())
         del at, suffix, counts, scores, number, of_word, starts, seen, word, n
         for k in range(rounds):
-            fields = longer(level, lengths, None, n_texts if k == 0 else 0, max(most + 1, least))
-            state = State(lengths=lengths, words=hashes, **{f: fields[f] for f in State._fields if f in fields})
+            state = state_of(level, lengths, hashes, k)
             yield lengths, words, train, level, most, state
             if not len(state.pair):
                 return
-            level = level_of(state, train, answers_of(row, k), weights_of(state.hashes, states[k].value))
+            level = level_after(state, train, row[8], k)
         yield lengths, words, train, level, _ALL, None
 
-    def answers_of(row, k):
+    def state_of(level, lengths, hashes, k):
+        """The state of the tokens whose contexts of ``k + 1`` words are found more often than a bucket takes."""
+        fields = longer(level, lengths, None, n_texts if k == 0 else 0, max(most + 1, least))
+        return State(lengths=lengths, words=hashes, **{f: fields[f] for f in State._fields if f in fields})
+
+    def level_after(state, train, more, k):
+        """The level of these tokens, with what the block was told in round ``k``."""
+
         def answers(keys):
             out = np.empty(len(keys), np.int64)
-            out[order_of(keys)] = _told(row[8], k * n_buckets, n_buckets, len(keys), np.int64)
+            out[order_of(keys)] = _told(more, k * n_buckets, n_buckets, len(keys), np.int64)
             return out
 
-        return answers
+        return level_of(state, train, answers, weights_of(state.hashes, states[k].value))
 
     def first_of(k):
         """The first bucket of the deal of contexts of ``k + 1`` words."""
@@ -1082,14 +1104,22 @@ def _score(documents, id_col, text_col, gain, rule, bucket_pairs, depth, least,
         return materialise(plain, "scores")
 
     def ask(k):
-        """What blocks ask for the pairs of the contexts of ``k + 1`` words that are found more often than a bucket takes."""
+        """What blocks ask for the pairs of the contexts of ``k + 1`` words that are found more often than a bucket
+        takes; and from the second round on their states. From the third on that is all they are made of."""
 
         def run(batches):
             for row in each(batches):
-                for _, _, train, _, _, state in islice(levels(row, k + 1, False), k, k + 1):
+                if k < 2:
+                    found = ((x[5], x[2]) for x in islice(levels(row, k + 1, False), k, k + 1))
+                else:
+                    state, train = unpack_state(row[1])
+                    found = [(state_of(level_after(state, train, row[2], k - 1), state.lengths, state.words, k), train)]
+                for state, train in found:
                     if len(state.pair):
                         asks, sums = asks_of(state, train)
                         yield from _ask(row[0], k * n_buckets, n_buckets, asks, state.hashes, sums)
+                        if k:
+                            yield _rows([(None, row[0], *[None] * 5, pack_state(state, train))], _ASKED)
 
         return run
 
@@ -1122,14 +1152,26 @@ def _score(documents, id_col, text_col, gain, rule, bucket_pairs, depth, least,
             del gone, level, words
         return scored(row[1], lengths, *fields, score)
 
-    rounds, largest = 0, max(n_texts, found.agg(F.max("largest")).first()[0] or 0)
+    rounds, largest, asked = 0, max(n_texts, found.agg(F.max("largest")).first()[0] or 0), None
     while rounds < depth and largest > most:
-        totals = materialise(tally(rows_of().mapInArrow(ask(rounds), _kinds(_ASKED))), "totals")
+        if rounds < 2:
+            rows = rows_of()
+        else:
+            more = told[-1].groupBy("block").agg(F.collect_list(F.struct("bucket", "totals")).alias("more"))
+            rows = asked.where("state IS NOT NULL").select("block", "state").join(more, "block", "left")
+        last, asked = asked, rows.mapInArrow(ask(rounds), _kinds(_ASKED))
+        if rounds:
+            asked = materialise(asked, "asked")
+        if rounds > 1:
+            drop_table(last)
+        totals = materialise(tally(asked.where("state IS NULL").drop("state")), "totals")
         states.append(spark.sparkContext.broadcast(states_of(totals, gain)))
         largest = totals.agg(F.max("largest")).first()[0] or 0
         tables_told.append(totals)
         told.append(totals.where("block IS NOT NULL").select("bucket", "block", "totals", F.lit(None).cast("binary").alias("values")))
         rounds += 1
+    if rounds > 1:
+        drop_table(asked)
     answers = [materialise(settle(rows_of().mapInArrow(deal_out(k), _kinds(_DEALT)), gain, least, max(1, bucket_pairs // 4)), "settled") for k in range(SHARES)]
     told += answers
     parts = [materialise(rows_of(SHARES, k).mapInArrow(finish, _kinds(_SCORED)), "scores") for k in range(SHARES)]

@@ -159,3 +159,15 @@ def test_a_deal_has_few_rows_which_are_settled_in_pieces(documents, monkeypatch)
     want, states = brute_deep(rows, gain=0.1)
     assert len(states) > 20
     assert {r.id: r.score for r in got} == pytest.approx({i: score for i, _, score in want})
+
+
+def test_late_rounds_go_on_from_states(documents, monkeypatch):
+    """From the third round on no block is read, as its texts' lengths would show."""
+    plans, materialise = [], suffix_tree.materialise
+    monkeypatch.setattr(suffix_tree, "materialise", lambda df, name: (plans.append((name, df._jdf.queryExecution().optimizedPlan().toString())), materialise(df, name))[1])
+    rows = [(i, f"{'a b c d e f ' * 3}x{i % 30} y{i % 7}") for i in range(60)]
+    got = suffix_tree.score_documents(documents(rows), depth=DEPTH, least=LEAST, bucket_pairs=60).collect()
+    asked = ["lengths" in plan for name, plan in plans if name in ("asked", "totals")]
+    assert sum(asked) == 2 and len(asked) == 1 + 2 * (DEPTH - 1)
+    want = {i: score for i, _, score in brute_deep(rows)[0]}
+    assert {r.id: r.score for r in got} == pytest.approx(want)

@@ -830,9 +830,9 @@ def tally(asked: DataFrame) -> DataFrame:
     return asked.repartition(F.col("bucket")).sortWithinPartitions("bucket", "block").mapInArrow(run, _kinds(_TOLD))
 
 
-def states_of(told: DataFrame, gain: float) -> tuple[np.ndarray, np.ndarray]:
+def states_of(told: DataFrame, gain: float) -> tuple[tuple[np.ndarray, np.ndarray], float]:
     """Of the contexts that are tested across buckets: the hashes of those that are states, in order, and
-    their different tokens. They have so many training tokens each that they are few."""
+    their different tokens; and how many training tokens all of them have. They have so many each that they are few."""
     schema = pa.schema([("hash", pa.int64()), *((c, pa.float64()) for c in ("n", "types", "terms"))])
 
     def run(batches):
@@ -843,10 +843,12 @@ def states_of(told: DataFrame, gain: float) -> tuple[np.ndarray, np.ndarray]:
 
     rows = told.where("block IS NULL").select("hashes", "sums").mapInArrow(run, _kinds(schema))
     sums = rows.groupBy("hash").agg(*[F.sum(c).alias(c) for c in ("n", "types", "terms")])
-    found = sums.where(F.col("terms") - F.col("n") * F.log("n") >= gain * F.greatest("types", F.lit(1.0))).select("hash", "types").toArrow()
+    state = F.coalesce(F.col("terms") - F.col("n") * F.log("n") >= gain * F.greatest("types", F.lit(1.0)), F.lit(False))
+    found = sums.select("hash", "n", "types", state.alias("state")).toArrow()
+    total, found = float(found["n"].to_numpy().sum()), found.filter(found["state"])
     hashes, types = found["hash"].to_numpy().view(np.uint64), np.rint(found["types"].to_numpy())
     order = np.argsort(hashes)
-    return hashes[order], types[order]
+    return (hashes[order], types[order]), total
 
 
 def weights_of(hashes: np.ndarray, states: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
@@ -1004,7 +1006,12 @@ def _score(documents, id_col, text_col, gain, rule, bucket_pairs, depth, least,
     dictionaries, blocks = (blocks.where(F.col("part") == k).drop("part") for k in (1, 0))
     size = blocks.agg(F.sum("size").alias("pairs"), F.sum("n_tokens").alias("tokens")).first()
     n_buckets = int(max(1, -(-(size["pairs"] or 0) // bucket_pairs)))
-    n_deals, most = int(max(1, -(-2 * (size["tokens"] or 0) // (PIECES * bucket_pairs)))), bucket_pairs // 2
+    n_tokens, most = size["tokens"] or 0, bucket_pairs // 2
+
+    def buckets_for(n):
+        """The buckets of a deal of so many tokens."""
+        return int(max(1, -(-2 * n // (PIECES * bucket_pairs))))
+
     counted = count_words(deal_words(dictionaries, n_buckets), n_buckets)
     found = counted.groupBy("block").agg(F.collect_list(F.struct("n_pairs", "starts", "numbers", "counts", "sums")).alias("found"), F.max("largest").alias("largest"))
     found = tables.write(found, "found")
@@ -1012,7 +1019,7 @@ def _score(documents, id_col, text_col, gain, rule, bucket_pairs, depth, least,
     tree = grow_tree(_all_sums(found.select(F.explode("found.sums").alias("sums"))), gain)
     shared = spark.sparkContext.broadcast(tree)
     n_texts = int(tree.totals[1][MARK << 8 | MARK])  # training texts
-    told, tables_told, states = [], [], []
+    told, tables_told, states, deals = [], [], [], [buckets_for(n_tokens)]  # of ``deals`` one more than rounds
 
     def rows_of(shares=1, share=0):
         """Blocks with their counts and what they have been told; all, or a share of them."""
@@ -1097,7 +1104,7 @@ def _score(documents, id_col, text_col, gain, rule, bucket_pairs, depth, least,
 
     def first_of(k):
         """The first bucket of the deal of contexts of ``k + 1`` words."""
-        return depth * n_buckets + k * n_deals
+        return depth * n_buckets + sum(deals[:k])
 
     if not depth:
         plain = rows_of().mapInArrow(lambda batches: (scored(r[1], n, *known_and_base(n, a, c[0]), *of_texts(n, a, s)) for r in each(batches) for n, a, _, c, s, _ in [shallow(r)]), _kinds(_SCORED))
@@ -1127,8 +1134,8 @@ def _score(documents, id_col, text_col, gain, rule, bucket_pairs, depth, least,
         def run(batches):
             for row in each(batches):
                 for k, (_, words, train, level, up_to, _) in enumerate(islice(levels(row, rounds), depth)):
-                    _, deal = split(level, words, k + 1, n_texts, least, up_to, (n_deals * share // SHARES, n_deals * (share + 1) // SHARES, n_deals))
-                    yield from send(row[0], first_of(k), n_deals, deal, level, words, train, k + 1, depth)
+                    _, deal = split(level, words, k + 1, n_texts, least, up_to, (deals[k] * share // SHARES, deals[k] * (share + 1) // SHARES, deals[k]))
+                    yield from send(row[0], first_of(k), deals[k], deal, level, words, train, k + 1, depth)
                     del words, train, level, deal
 
         return run
@@ -1144,7 +1151,7 @@ def _score(documents, id_col, text_col, gain, rule, bucket_pairs, depth, least,
             gone = np.ones(len(level.at), bool)
             if k < depth:
                 gone, deal = split(level, words, k + 1, n_texts, least, up_to)
-                p = settled(row[8], first_of(k), deal.hashes, n_deals, level.p[deal.pair])
+                p = settled(row[8], first_of(k), deal.hashes, deals[k], level.p[deal.pair])
                 text = np.repeat(np.arange(len(lengths)), lengths)[deal.at]
                 score += np.bincount(text, weights=np.log10(p), minlength=len(lengths))
                 del deal, p, text
@@ -1165,7 +1172,9 @@ def _score(documents, id_col, text_col, gain, rule, bucket_pairs, depth, least,
         if rounds > 1:
             drop_table(last)
         totals = materialise(tally(asked.where("state IS NULL").drop("state")), "totals")
-        states.append(spark.sparkContext.broadcast(states_of(totals, gain)))
+        found_states, followed = states_of(totals, gain)
+        states.append(spark.sparkContext.broadcast(found_states))
+        deals.append(buckets_for(followed * n_tokens / max(tree.n_tokens, 1)))  # held-out tokens are dealt too
         largest = totals.agg(F.max("largest")).first()[0] or 0
         tables_told.append(totals)
         told.append(totals.where("block IS NOT NULL").select("bucket", "block", "totals", F.lit(None).cast("binary").alias("values")))

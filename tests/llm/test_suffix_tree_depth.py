@@ -171,3 +171,18 @@ def test_late_rounds_go_on_from_states(documents, monkeypatch):
     assert sum(asked) == 2 and len(asked) == 1 + 2 * (DEPTH - 1)
     want = {i: score for i, _, score in brute_deep(rows)[0]}
     assert {r.id: r.score for r in got} == pytest.approx(want)
+
+
+def test_a_deal_of_few_tokens_has_few_buckets(documents, monkeypatch):
+    """The tokens after one frequent word, which are dealt by longer contexts, don't get as many buckets as the rest."""
+    made, buckets, settle = random.Random(9), [], suffix_tree.settle
+    words = [f"w{i}" for i in range(400)] * 5
+    made.shuffle(words)
+    rows = [(i, " ".join(words[i * 20 : i * 20 + 20] + [f"a{i % 10}", "the", f"w{i}"] * (i < 60))) for i in range(100)]
+    monkeypatch.setattr(suffix_tree, "settle", lambda df, *a: (buckets.extend(r.bucket for r in df.collect()), settle(df, *a))[1])
+    got = suffix_tree.score_documents(documents(rows), depth=DEPTH, least=LEAST, gain=0.1, bucket_pairs=20).collect()
+    of_rest = -(-2 * (2000 + 180 + 100) // (suffix_tree.PIECES * 20))
+    assert 0.8 * of_rest < max(buckets) - min(buckets) < 1.2 * of_rest
+    want, states = brute_deep(rows, gain=0.1)
+    assert any(len(c) == 2 for c in states)
+    assert {r.id: r.score for r in got} == pytest.approx({i: score for i, _, score in want})
